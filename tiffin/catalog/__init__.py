@@ -2,7 +2,7 @@
 
 import importlib
 
-MODULES = ["projections", "scalars", "joining", "aggregates", "windows"]
+MODULES = ["projections", "scalars", "joining", "aggregates", "windows", "history", "tables"]
 
 
 def load():

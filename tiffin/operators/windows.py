@@ -40,10 +40,12 @@ def join_beside(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str
 def ordered(df: DataFrame, keys: Sequence[str], order: Sequence[Column], parts: int | None = None) -> DataFrame:
     """Rows sorted by ``keys`` and ``order`` over many partitions, with ``_pos`` growing in that order.
 
-    ``order`` should be total. A hot key simply covers several partitions. The result is written out, because
+    ``order`` should be total. Given back to ``running`` or ``framed``, the result is not sorted again. A hot key simply covers several partitions. The result is written out, because
     its range bounds come from a sample and every consumer has to see the same ones.
     """
     n = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if "_pos" in df.columns:
+        return df  # comes from an ordered table already
     columns = [*[F.col(k) for k in keys], *order]
     split = df.repartitionByRange(n, *columns).sortWithinPartitions(*columns)
     return durable(split.withColumn("_pos", F.monotonically_increasing_id()), "ordered")
