@@ -2,7 +2,7 @@
 
 import importlib
 
-MODULES = ["projections", "scalars", "joining", "aggregates", "windows", "history", "tables"]
+MODULES = ["projections", "scalars", "joining", "aggregates", "windows", "history", "tables", "storage"]
 
 
 def load():

@@ -8,6 +8,7 @@ from tiffin.catalog.registry import query
 from tiffin.functions import columns as c
 from tiffin.operators import quality as q, versions as v
 from tiffin.session import scratch_path
+from tiffin.sources import sinks
 
 STATES = r.with_ctes(SNAPSHOTS)
 
@@ -236,7 +237,7 @@ SELECT event_id, user_id, event_type FROM events WHERE CAST(ts AS DATE) BETWEEN
 def v20_read(t):
     path = scratch_path(t.spark, "by-day")
     days = t.events.withColumn("ts_day", F.to_date("ts"))
-    days.repartition("ts_day").write.partitionBy("ts_day").parquet(path)
+    sinks.write_table(days, path, partition_by=["ts_day"])
     return v.between_days(t.spark.read.parquet(path), "ts", "2024-01-05", "2024-01-09").select("event_id", "user_id", "event_type")
 
 
@@ -244,8 +245,9 @@ def v20_read(t):
 def v21(t):
     old, new = scratch_path(t.spark, "layout-old"), scratch_path(t.spark, "layout-new")
     turn = F.lit("2024-01-16").cast("timestamp")
-    t.events.filter(F.col("ts") < turn).withColumn("month", F.date_format("ts", "yyyy-MM")).write.partitionBy("month").parquet(old)
-    t.events.filter(F.col("ts") >= turn).withColumn("day", F.to_date("ts")).repartition("day").write.partitionBy("day").parquet(new)
+    earlier = t.events.filter(F.col("ts") < turn).withColumn("month", F.date_format("ts", "yyyy-MM"))
+    sinks.write_table(earlier, old, partition_by=["month"])
+    sinks.write_table(t.events.filter(F.col("ts") >= turn).withColumn("day", F.to_date("ts")), new, partition_by=["day"])
     columns = ["event_id", "user_id", "event_type"]
     return t.spark.read.parquet(old).select(*columns).unionByName(t.spark.read.parquet(new).select(*columns))
 

@@ -277,7 +277,7 @@ def o04(t):
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate FROM lineitem""")
 def o05(t):
     rows = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate")
-    return rows.repartition("l_suppkey").sortWithinPartitions("l_suppkey", "l_shipdate")
+    return rows.repartitionByRange("l_suppkey", "l_shipdate").sortWithinPartitions("l_suppkey", "l_shipdate")
 
 
 @query("o06_head")
