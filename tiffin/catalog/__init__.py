@@ -2,7 +2,9 @@
 
 import importlib
 
-MODULES = ["projections", "scalars", "joining", "aggregates", "windows", "history", "tables", "storage"]
+MODULES = [
+    "projections", "scalars", "joining", "aggregates", "windows", "history", "tables", "storage", "functions", "streams", "jobs",
+]
 
 
 def load():

@@ -27,8 +27,9 @@ def s01(t):
 
 @query("s02_json_schema_glob", EVENTS_SQL)
 def s02(t):
-    path = sinks.write_table(t.events, scratch_path(t.spark, "json"), "json", files=3)
-    return files.read_table(t.spark, f"{path}/*.json", "json", SCHEMAS["events"])
+    micros = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+    path = sinks.write_table(t.events, scratch_path(t.spark, "json"), "json", files=3, **micros)
+    return files.read_table(t.spark, f"{path}/*.json", "json", SCHEMAS["events"], **micros)
 
 
 @query("s02_json_hinted", "SELECT p_partkey, p_name, p_type, CAST(p_size AS DOUBLE) AS p_size, CAST(p_retailprice AS VARCHAR) AS p_retailprice FROM part")

@@ -5,14 +5,19 @@ Each has a counterpart built from Spark functions; those are faster and the ones
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark import cloudpickle
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tiffin.functions.columns import tier
 
+# Workers get these functions by value and need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 Floors = Sequence[tuple[float, str]]
 
 
@@ -28,21 +33,21 @@ def label_by_floor(floors: Floors, otherwise: str, missing: str = "Unknown") ->
 
 
 def label_udf(floors: Floors, otherwise: str):
-    return F.udf(label_by_floor(floors, otherwise), "string")
+    return F.udf(label_by_floor(floors, otherwise), T.StringType())
 
 
 def register_label(spark: SparkSession, name: str, floors: Floors, otherwise: str) -> None:
     """The same function for SQL text."""
-    spark.udf.register(name, label_by_floor(floors, otherwise), "string")
+    spark.udf.register(name, label_by_floor(floors, otherwise), T.StringType())
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def log_score_pandas(rating: pd.Series, reviews: pd.Series) -> pd.Series:
     """``rating² · log(1 + reviews) / 10`` over Arrow batches."""
     return rating**2 * np.log1p(reviews) / 10
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def scale_pandas(value: pd.Series, mean: pd.Series, deviation: pd.Series) -> pd.Series:
     return (value - mean) / deviation
 
