@@ -6,7 +6,10 @@ from tiffin.catalog import roles as r
 from tiffin.catalog.joining import SNAPSHOTS, snapshots
 from tiffin.catalog.registry import query
 from tiffin.operators import cdc, joins, quality as q
+from tiffin.session import scratch_path
+from tiffin.sources import sinks
 
+STATE_SQL = r.with_ctes(SNAPSHOTS) + "SELECT * FROM new_s"
 SEEN = [F.col("ts"), F.col("event_id")]
 
 
@@ -255,10 +258,19 @@ def c16_null(t):
     return q.expect(t.orders, [q.Rule("known_status", "nullif(o_orderstatus, 'P') IN ('F', 'O')", null_passes=True)]).select("o_orderkey")
 
 
-@query("c17_validators", "SELECT n_nationkey, n_name FROM nation")
+@query("c17_validators", "SELECT o_orderkey, o_custkey FROM orders")
 def c17(t):
-    checked = q.validate_schema(t.nation, t.nation.schema)
-    return q.validate_no_nulls(q.validate_rows(checked, 25), ["n_nationkey", "n_name"]).select("n_nationkey", "n_name")
+    checked = q.validate_schema(t.orders, t.orders.schema)
+    return q.validate_no_nulls(q.validate_rows(checked, 100), ["o_orderkey", "o_custkey"]).select("o_orderkey", "o_custkey")
+
+
+@query("c06_full_replace", STATE_SQL)
+def c06(t):
+    path = scratch_path(t.spark, "current")
+    old, new = snapshots(t)
+    for state in (old, new):
+        sinks.write_table(state, path, mode="overwrite")
+    return t.spark.read.parquet(path)
 
 
 @query("c18_outliers", """

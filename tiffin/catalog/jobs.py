@@ -328,7 +328,7 @@ def e08_time(t):
 
 @query("e09_restaurants", BASE + """, b AS (SELECT r.restaurant_id, name, cuisine, city, rating, reviews, count(order_id) AS order_count, sum(amount_d) AS rev
   FROM restaurants r LEFT JOIN sales USING (restaurant_id) GROUP BY ALL),
-s AS (SELECT *, round(CAST(rev AS DOUBLE) / nullif(order_count, 0) * sqrt(reviews / 1000), 6) AS performance_score FROM b)
+s AS (SELECT *, CAST(rev AS DOUBLE) / nullif(order_count, 0) * sqrt(reviews / 1000) AS performance_score FROM b)
 SELECT restaurant_id, name, cuisine, city, rating, reviews, order_count, performance_score, coalesce(CAST(rev AS DOUBLE), 0) AS total_revenue,
   dense_rank() OVER (PARTITION BY cuisine ORDER BY performance_score DESC NULLS LAST) AS cuisine_rank,
   dense_rank() OVER (PARTITION BY city ORDER BY performance_score DESC NULLS LAST) AS city_rank,
@@ -367,8 +367,8 @@ def e09_cities(t):
 @query("e10_dashboard", BASE + f""", b AS (SELECT r.restaurant_id, name, cuisine, city, rating, rating_d, reviews, count(order_id) AS order_count, sum(amount_d) AS rev,
   {r.mean_sql('amount_d')} AS avg_order_value FROM restaurants r LEFT JOIN sales USING (restaurant_id) GROUP BY ALL),
 k AS (SELECT cuisine, CAST(sum(rating_d) AS DOUBLE) / count(*) AS avg_rating FROM b GROUP BY 1)
-SELECT restaurant_id, name, cuisine, city, rating, round((rating - avg_rating) / avg_rating * 100, 6) AS rating_vs_cuisine_pct, order_count,
-  CAST(rev AS DOUBLE) AS total_revenue, avg_order_value, round(rating * sqrt(reviews / 1000), 6) AS popularity_score,
+SELECT restaurant_id, name, cuisine, city, rating, (rating - avg_rating) / avg_rating * 100 AS rating_vs_cuisine_pct, order_count,
+  CAST(rev AS DOUBLE) AS total_revenue, avg_order_value, rating * sqrt(reviews / 1000) AS popularity_score,
   rank() OVER (PARTITION BY cuisine ORDER BY rev DESC NULLS LAST) AS revenue_rank_in_cuisine, rank() OVER (PARTITION BY city ORDER BY rev DESC NULLS LAST) AS revenue_rank_in_city,
   {TIER_SQL.format('rating')} AS rating_category FROM b JOIN k USING (cuisine)""")
 def e10(t):
@@ -378,8 +378,8 @@ def e10(t):
 EFFICIENCY_SQL = """
 SELECT *, rank() OVER (PARTITION BY vehicle ORDER BY revenue_per_hour DESC) AS efficiency_rank FROM (SELECT driver_id, driver_name, vehicle, city, order_count,
   CAST(rev AS DOUBLE) AS total_revenue, CAST(mins AS DOUBLE) AS total_minutes, CAST(km AS DOUBLE) AS total_km,
-  round(order_count / (CAST(mins AS DOUBLE) / 60), 6) AS orders_per_hour, round(CAST(rev AS DOUBLE) / (CAST(mins AS DOUBLE) / 60), 6) AS revenue_per_hour,
-  round(CAST(rev AS DOUBLE) / nullif(order_count, 0), 6) AS revenue_per_order, round(CAST(km AS DOUBLE) / nullif(order_count, 0), 6) AS km_per_order FROM x WHERE mins > 0)"""
+  order_count / (CAST(mins AS DOUBLE) / 60) AS orders_per_hour, CAST(rev AS DOUBLE) / (CAST(mins AS DOUBLE) / 60) AS revenue_per_hour,
+  CAST(rev AS DOUBLE) / nullif(order_count, 0) AS revenue_per_order, CAST(km AS DOUBLE) / nullif(order_count, 0) AS km_per_order FROM x WHERE mins > 0)"""
 WORK_SQL = """, s AS (SELECT l_suppkey AS driver_id, CAST(l_extendedprice AS DECIMAL(18,2)) AS amount_d FROM lineitem WHERE l_returnflag = 'A' AND l_shipdate < TIMESTAMP '1997-01-01'),
 w AS (SELECT l_suppkey AS driver_id, CAST(l_quantity AS DECIMAL(18,2)) AS mins, CAST(l_discount * 100 AS DECIMAL(18,2)) AS km FROM lineitem WHERE l_returnflag = 'R' AND l_shipdate < TIMESTAMP '1997-01-01')"""
 
@@ -446,7 +446,7 @@ def e12_kpis(t):
 SCORE_SQL = BASE + """, b AS (SELECT r.restaurant_id, name, cuisine, city, rating, rating_d, reviews, count(order_id) AS order_count, coalesce(sum(amount_d), 0) AS rev
   FROM restaurants r LEFT JOIN sales USING (restaurant_id) GROUP BY ALL),
 tops AS (SELECT CAST(max(rev) AS DOUBLE) AS mr, max(rating) AS mg, max(order_count) AS mo FROM b),
-s AS (SELECT b.*, round(0.4 * (CAST(rev AS DOUBLE) / mr) + 0.3 * (rating / mg) + 0.3 * (order_count / mo), 6) AS performance_score FROM b, tops)
+s AS (SELECT b.*, CAST(0.4 AS DOUBLE) * (CAST(rev AS DOUBLE) / mr) + CAST(0.3 AS DOUBLE) * (rating / mg) + CAST(0.3 AS DOUBLE) * (order_count / mo) AS performance_score FROM b, tops)
 """
 
 
@@ -465,7 +465,7 @@ def e15(t):
 
 @query("e15_cuisine_score", SCORE_SQL + f"""
 SELECT cuisine, count(*) AS restaurant_count, {r.mean_sql('rating_d')} AS avg_rating, CAST(sum(order_count) AS BIGINT) AS total_orders, CAST(sum(rev) AS DOUBLE) AS total_revenue,
-  round(CAST(sum(CAST(performance_score AS DECIMAL(18,6))) AS DOUBLE) / count(*), 6) AS avg_performance FROM s GROUP BY 1""")
+  round(CAST(sum(CAST(performance_score AS DECIMAL(18,9))) AS DOUBLE) / count(*), 6) AS avg_performance FROM s GROUP BY 1""")
 def e15_cuisine(t):
     return rest_plan.performance_score(r.restaurants(t), r.sales(t))["cuisine"]
 
@@ -498,7 +498,7 @@ def e13_dashboard(t):
 
 
 @query("e13_dashboard_top", REST + """
-SELECT restaurant_id, name, cuisine, city, rating, reviews, round(rating * sqrt(reviews / 1000), 6) AS popularity_score FROM restaurants
+SELECT restaurant_id, name, cuisine, city, rating, reviews, rating * sqrt(reviews / 1000) AS popularity_score FROM restaurants
 ORDER BY popularity_score DESC, restaurant_id LIMIT 20""")
 def e13_top(t):
     return rest_plan.rating_dashboard(r.restaurants(t))["top"]
@@ -639,7 +639,7 @@ def e20_match(t):
 
 
 @query("e21_restaurants", BASE + f"""
-SELECT restaurant_id, name, cuisine, city, {SOLD}, round(rating * 0.3 + count(*) / 10 * 0.7, 6) AS performance_score FROM sales JOIN restaurants USING (restaurant_id)
+SELECT restaurant_id, name, cuisine, city, {SOLD}, rating * CAST(0.3 AS DOUBLE) + count(*) / 10 * CAST(0.7 AS DOUBLE) AS performance_score FROM sales JOIN restaurants USING (restaurant_id)
 GROUP BY restaurant_id, name, cuisine, city, rating""")
 def e21(t):
     tables = lake.delivery_tables(r.restaurants(t), r.drivers(t), r.sales(t))

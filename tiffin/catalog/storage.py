@@ -82,11 +82,11 @@ def s13(t):
     return files.rescue_columns(lines, "event_id BIGINT, event_type STRING")
 
 
-@query("s14_lineage", "SELECT n_nationkey, n_name, 'nation.parquet' AS file, true AS stamped FROM nation")
+@query("s14_lineage", "SELECT c_custkey, c_name, 'customer.parquet' AS file, true AS stamped FROM customer")
 def s14(t):
-    rows = files.add_lineage(t.nation)
+    rows = files.add_lineage(t.customer)
     return rows.select(
-        "n_nationkey", "n_name", F.element_at(F.split("source_file", "/"), -1).alias("file"),
+        "c_custkey", "c_name", F.element_at(F.split("source_file", "/"), -1).alias("file"),
         F.col("ingestion_timestamp").isNotNull().alias("stamped"),
     )
 

@@ -117,7 +117,7 @@ def x01(t):
     rows = closing_stream(t).withWatermark("ts", "10 minutes")
     counted = st.windowed(rows, "ts", "1 day", {"n": F.count(F.lit(1))}, ["event_type"])
     return run_append(t, counted, "daily").select("event_type", F.col("window_start").alias("day"), "n").filter(
-        F.col("day") < t.events.agg(F.max("ts") + F.expr("INTERVAL 12 HOURS")).scalar()
+        F.col("day") <= t.events.agg(F.max("ts")).scalar()
     )
 
 
@@ -147,10 +147,10 @@ def measures():
     }
 
 
-def streamed_windows(t, length, keys=(), slide=None, label="windows"):
+def streamed_windows(t, length, keys=(), slide=None):
     rows = closing_stream(t).withWatermark("ts", "10 minutes")
-    out = run_append(t, st.windowed(rows, "ts", length, measures(), keys, slide), label)
-    return out.filter(F.col("max_value") > 0)  # the sentinels are the only zero amounts
+    out = run_append(t, st.windowed(rows, "ts", length, measures(), keys, slide), "windows")
+    return out.filter(F.col("window_start") <= t.events.agg(F.max("ts")).scalar())
 
 
 @query("x03_tumbling_by_key", f"""
@@ -172,9 +172,7 @@ SELECT event_type, s AS window_start, s + INTERVAL 1 HOUR AS window_end, {MEASUR
 FROM (SELECT *, unnest([time_bucket(INTERVAL '30 minutes', ts), time_bucket(INTERVAL '30 minutes', ts) - INTERVAL 30 MINUTES]) AS s FROM events)
 GROUP BY event_type, s""")
 def x05(t):
-    rows = closing_stream(t).withWatermark("ts", "10 minutes")
-    out = run_append(t, st.windowed(rows, "ts", "1 hour", measures(), ["event_type"], "30 minutes"), "sliding")
-    return out.filter(F.col("max_value") > 0)
+    return streamed_windows(t, "1 hour", ["event_type"], "30 minutes")
 
 
 @query("x06_running_by_key", f"SELECT user_id, {MEASURES_SQL} FROM events GROUP BY user_id")
@@ -246,7 +244,8 @@ def c01_stream(t):
         rows.write.mode("append").parquet(source)
         changes = stream_files(t.spark, source, ddl)
         st.merge_state(changes, path, checkpoint, ["user_id"], "seq", F.col("event_type") == "error")
-    return st.current_state(t.spark, path)
+    compacted = st.compact_state(t.spark, path, scratch_path(t.spark, "state-compacted"), ["user_id"], "seq")
+    return st.current_state(t.spark, compacted, ["user_id"], "seq")
 
 
 GOLD_SQL = f"""count(*) AS order_count, CAST(sum(CAST(total_amount AS DECIMAL(18,2))) AS DOUBLE) AS total_revenue,

@@ -95,7 +95,7 @@ def delivery_tables(restaurants: DataFrame, drivers: DataFrame, sales: DataFrame
     carried = sales.join(restaurants.select("restaurant_id"), "restaurant_id", "left_semi").groupBy("driver_id").agg(
         F.count(F.lit(1)).alias("delivery_count"), F.sum(money("amount")).alias("_sum")
     )
-    score = lambda rating, orders: F.round(rating * 0.3 + orders / 10 * 0.7, 6)
+    score = lambda rating, orders: rating * 0.3 + orders / 10 * 0.7
     return {
         "restaurant_performance": sold.select(
             "restaurant_id", "name", "cuisine", "city", "order_count", F.col("_sum").cast("double").alias("total_revenue"),

@@ -128,10 +128,10 @@ def performance_dashboard(restaurants: DataFrame, sales: DataFrame, tiers, scale
     ranked = ranks(ranked, ["city"], "revenue_d", {"revenue_rank_in_city": "rank"}, descending=True)
     return ranked.select(
         "restaurant_id", "name", "cuisine", "city", "rating",
-        F.round((F.col("rating") - F.col("_avg_rating")) / F.col("_avg_rating") * 100, 6).alias("rating_vs_cuisine_pct"),
+        ((F.col("rating") - F.col("_avg_rating")) / F.col("_avg_rating") * 100).alias("rating_vs_cuisine_pct"),
         "order_count", F.col("revenue_d").cast("double").alias("total_revenue"),
         ratio(F.col("revenue_d"), F.col("order_count")).alias("avg_order_value"),
-        F.round(popularity("rating", "reviews", scale), 6).alias("popularity_score"),
+        popularity("rating", "reviews", scale).alias("popularity_score"),
         "revenue_rank_in_cuisine", "revenue_rank_in_city", tier("rating", tiers, "Below Average").alias("rating_category"),
     )
 
@@ -140,7 +140,7 @@ def comprehensive_performance(restaurants: DataFrame, sales: DataFrame, scale: i
     """Performance score with dense ranks in cuisine, in city and overall."""
     base = restaurant_sales(restaurants, sales)
     per_order = F.col("revenue_d").cast("double") / F.nullif(F.col("order_count"), F.lit(0))
-    scored = base.withColumn("performance_score", F.round(per_order * F.sqrt(F.col("reviews") / F.lit(scale)), 6))
+    scored = base.withColumn("performance_score", per_order * F.sqrt(F.col("reviews") / F.lit(scale)))
     for keys, out in ((["cuisine"], "cuisine_rank"), (["city"], "city_rank"), ([], "overall_rank")):
         scored = ranks(scored, keys, "performance_score", {out: "dense_rank"}, descending=True)
     return scored.withColumn("total_revenue", F.coalesce(F.col("revenue_d").cast("double"), F.lit(0.0))).drop("revenue_d")
@@ -210,8 +210,8 @@ def driver_efficiency(drivers: DataFrame, sales: DataFrame, shifts: DataFrame, p
     hours = F.nullif(F.col("total_minutes") / 60, F.lit(0.0))
     orders = F.nullif(F.col("order_count"), F.lit(0))
     rated = sums.withColumns({
-        "orders_per_hour": F.round(F.col("order_count") / hours, 6), "revenue_per_hour": F.round(F.col("total_revenue") / hours, 6),
-        "revenue_per_order": F.round(F.col("total_revenue") / orders, 6), "km_per_order": F.round(F.col("total_km") / orders, 6),
+        "orders_per_hour": F.col("order_count") / hours, "revenue_per_hour": F.col("total_revenue") / hours,
+        "revenue_per_order": F.col("total_revenue") / orders, "km_per_order": F.col("total_km") / orders,
     })
     return ranks(rated, ["vehicle"], "revenue_per_hour", {"efficiency_rank": "rank"}, descending=True)
 
@@ -260,16 +260,14 @@ def performance_score(restaurants: DataFrame, sales: DataFrame) -> dict[str, Dat
     revenue = F.col("revenue_d").cast("double")
     scored = ranked.withColumn("_tops", tops).withColumn(
         "performance_score",
-        F.round(
-            0.4 * share(revenue, F.col("_tops.revenue")) + 0.3 * share(F.col("rating"), F.col("_tops.rating"))
-            + 0.3 * share(F.col("order_count"), F.col("_tops.orders")), 6,
-        ),
+        0.4 * share(revenue, F.col("_tops.revenue")) + 0.3 * share(F.col("rating"), F.col("_tops.rating"))
+        + 0.3 * share(F.col("order_count"), F.col("_tops.orders")),
     )
     restaurant = scored.withColumn("total_revenue", revenue).drop("_tops", "revenue_d")
     cuisine = scored.groupBy("cuisine").agg(
         F.count(F.lit(1)).alias("restaurant_count"), mean("rating").alias("avg_rating"), F.sum("order_count").alias("total_orders"),
         F.sum("revenue_d").cast("double").alias("total_revenue"),
-        F.round(F.sum(F.col("performance_score").cast("decimal(18,6)")).cast("double") / F.count(F.lit(1)), 6).alias("avg_performance"),
+        F.round(F.sum(F.col("performance_score").cast("decimal(18,9)")).cast("double") / F.count(F.lit(1)), 6).alias("avg_performance"),
     )
     return {"restaurant": restaurant, "cuisine": cuisine}
 
@@ -286,6 +284,6 @@ def rating_dashboard(restaurants: DataFrame, scale: int = 1000) -> dict[str, Dat
             total("reviews").alias("total_reviews"),
         ).filter(F.col("restaurant_count") > 1),
         "distribution": restaurants.groupBy((F.floor(F.col("rating") / 10) * 10).alias("rating_bucket")).agg(F.count(F.lit(1)).alias("restaurant_count")),
-        "top": restaurants.withColumn("popularity_score", F.round(popularity("rating", "reviews", scale), 6))
+        "top": restaurants.withColumn("popularity_score", popularity("rating", "reviews", scale))
         .orderBy(F.col("popularity_score").desc(), "restaurant_id").limit(20),
     }

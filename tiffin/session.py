@@ -12,9 +12,14 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split a hot key even where the next step then needs a shuffle of its own.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
 
+LOCAL_FOLDERS: dict[str, str] = {}  # by application, for local sessions without the setting
+
+
 def build_session(app: str = "tiffin", master: str | None = None, **conf: str) -> SparkSession:
     """Session with the settings this library expects. Keys are full Spark configuration names."""
     builder = SparkSession.builder.appName(app).config("spark.ui.enabled", "false")
@@ -46,9 +51,9 @@ def shared_dir(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="tiffin-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if context.applicationId not in LOCAL_FOLDERS:
+        LOCAL_FOLDERS[context.applicationId] = tempfile.mkdtemp(prefix="tiffin-")
+    return LOCAL_FOLDERS[context.applicationId]
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -102,42 +101,40 @@ def latest_groups(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFr
     return newest.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in rest])
 
 
-def state_schema(changes: DataFrame, keys: Sequence[str], seq: str) -> list[str]:
-    return [*keys, seq, *[c for c in changes.columns if c not in {*keys, seq}]]
+def newest_change(rows: DataFrame, keys: Sequence[str], seq: str) -> DataFrame:
+    """The winning change per key: highest ``seq``, then a delete, then the greater row hash."""
+    rest = [c for c in rows.columns if c not in keys]
+    order = F.struct(seq, "_gone", row_hash(*[c for c in rest if c != "_gone"]))
+    newest = rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), order).alias("_row"))
+    return newest.select(*keys, "_row.*")
 
 
 def merge_state(changes: DataFrame, path: str, checkpoint: str, keys: Sequence[str], seq: str, delete_when: Column) -> StreamingQuery:
     """Current state per key from a stream of changes in any order.
 
-    Every batch writes the whole state as a new folder, built from the newest folder of an earlier batch; a repeated
-    batch gives the same folder. Deleted keys stay as tombstones, so that a late older change does not revive them.
+    Every batch writes only its own winning change per key, as one folder that a repeated batch overwrites; the reader
+    settles the folders. Deletes stay as tombstones, so that a late older change does not revive a key.
     """
-    columns = state_schema(changes, keys, seq)
-
-    def earlier_state(batch: DataFrame, batch_id: int) -> DataFrame | None:
-        try:
-            known = batch.sparkSession.read.option("basePath", path).parquet(path)
-        except AnalysisException:
-            return None
-        before = known.filter(F.col("batch_id") < batch_id)
-        last = before.agg(F.max("batch_id")).first()[0]
-        return None if last is None else before.filter(F.col("batch_id") == last).drop("batch_id")
-
-    def merge(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.select(*columns).withColumn("_gone", F.coalesce(delete_when, F.lit(False)))
-        state = earlier_state(batch, batch_id)
-        both = rows if state is None else state.unionByName(rows)
-        rest = [c for c in both.columns if c not in keys]
-        order = F.struct(seq, "_gone", row_hash(*[c for c in rest if c != "_gone"]))
-        newest = both.groupBy(*keys).agg(F.max_by(F.struct(*rest), order).alias("_row"))
-        newest.select(*keys, "_row.*").write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
-
-    writer = changes.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        rows = batch.withColumn("_gone", F.coalesce(delete_when, F.lit(False)))
+        newest_change(rows, keys, seq).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+    writer = changes.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return finish(writer.trigger(availableNow=True).start())
 
 
-def current_state(spark: SparkSession, path: str) -> DataFrame:
-    """Living keys of the newest state folder."""
-    rows = spark.read.option("basePath", path).parquet(path)
-    newest = rows.agg(F.max("batch_id")).first()[0]  # one number; the filter below then reads one folder
-    return rows.filter((F.col("batch_id") == newest) & ~F.col("_gone")).drop("batch_id", "_gone")
+def settled_state(spark: SparkSession, path: str, keys: Sequence[str], seq: str) -> DataFrame:
+    rows = spark.read.option("basePath", path).parquet(path).drop("batch_id")
+    return newest_change(rows, keys, seq)
+
+
+def current_state(spark: SparkSession, path: str, keys: Sequence[str], seq: str) -> DataFrame:
+    """Living keys over all batches."""
+    return settled_state(spark, path, keys, seq).filter(~F.col("_gone")).drop("_gone")
+
+
+def compact_state(spark: SparkSession, path: str, target: str, keys: Sequence[str], seq: str) -> str:
+    """All batch folders settled into one folder at a new place, tombstones included; the stream goes on there."""
+    settled_state(spark, path, keys, seq).write.parquet(f"{target}/batch_id=-1")
+    return target
