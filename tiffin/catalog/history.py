@@ -10,7 +10,7 @@ from tiffin.session import scratch_path
 from tiffin.sources import sinks
 
 STATE_SQL = r.with_ctes(SNAPSHOTS) + "SELECT * FROM new_s"
-SEEN = [F.col("ts"), F.col("event_id")]
+SEEN = ["ts", "event_id"]
 
 
 def feed(t):
@@ -18,7 +18,7 @@ def feed(t):
     return t.events.select("user_id", F.col("event_id").alias("seq"), "event_type", "value")
 
 
-DELETES = F.col("event_type") == "error"
+DELETES = "event_type = 'error'"
 
 SCD2_SQL = """ch AS (SELECT user_id, event_id AS seq, event_type, value, event_type = 'error' AS del FROM events),
 l AS (SELECT *, lag(event_type) OVER w AS pt, lag(del) OVER w AS pd FROM ch WINDOW w AS (PARTITION BY user_id ORDER BY seq)),
@@ -30,14 +30,14 @@ h AS (SELECT user_id, event_type, value, start_at, coalesce(del_at, lead(start_a
 
 
 def history(t):
-    return cdc.scd2(feed(t), ["user_id"], "seq", ["event_type"], DELETES, start="start_at", end="end_at")
+    return cdc.scd2(feed(t), ["user_id"], "seq", ["event_type"], F.expr(DELETES), start="start_at", end="end_at")
 
 
 @query("c01_scd1", """
 SELECT user_id, event_type, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS rn FROM events)
 WHERE rn = 1 AND event_type != 'error'""")
 def c01(t):
-    return cdc.scd1(feed(t), ["user_id"], "seq", DELETES)
+    return cdc.scd1(feed(t), ["user_id"], "seq", F.expr(DELETES))
 
 
 @query("c01_scd1_keep_known", """
@@ -53,7 +53,7 @@ def c01_keep(t):
         F.when(F.col("event_type") == "purchase", F.col("value")).alias("amount"),
         F.when(F.col("event_type") == "click", F.col("props")).alias("props"),
     )
-    return cdc.scd1(partial, ["user_id"], "seq", DELETES, exclude=["event_type"], ignore_nulls=True)
+    return cdc.scd1(partial, ["user_id"], "seq", F.expr(DELETES), exclude=["event_type"], ignore_nulls=True)
 
 
 @query("c02_scd2", r.with_ctes(SCD2_SQL) + "SELECT * FROM h")
@@ -76,7 +76,7 @@ SELECT user_id, event_type, start_at, end_at, CASE WHEN end_at IS NULL THEN 'CUR
   date_diff('day', CAST(start_at AS DATE), CAST(coalesce(end_at, TIMESTAMP '2024-02-15') AS DATE)) AS days_active FROM h""")
 def c04(t):
     timed = t.events.select("user_id", F.col("ts").alias("seq"), "event_type", "value")
-    rows = cdc.scd2(timed, ["user_id"], "seq", ["event_type"], DELETES, start="start_at", end="end_at")
+    rows = cdc.scd2(timed, ["user_id"], "seq", ["event_type"], F.expr(DELETES), start="start_at", end="end_at")
     return cdc.version_status(rows, F.lit("2024-02-15").cast("timestamp"), "start_at", "end_at").drop("value")
 
 

@@ -264,7 +264,7 @@ ON user_id = status_user AND status_time >= order_time AND status_time <= order_
 def j22_left(t):
     views, buys = views_and_buys(t)
     return joins.interval_join(
-        views, buys, ("user_id", "status_user"), ("order_time", "status_time"), 7200, "left", "order_id"
+        views, buys, ("user_id", "status_user"), ("order_time", "status_time"), 7200, "left"
     ).drop("status_user", "amount")
 
 

@@ -156,7 +156,7 @@ def deliveries(t):
         F.col("ts").alias("status_event_time"), F.col("event_id").alias("status_id"),
     )
     joined = joins.interval_join(
-        orders, status, ("user_id", "status_user"), ("order_event_time", "status_event_time"), 7200, "left", "order_id"
+        orders, status, ("user_id", "status_user"), ("order_event_time", "status_event_time"), 7200, "left"
     ).drop("status_user")
     return enrich_delivery(joined, delivered="purchase", threshold=15)
 

@@ -15,7 +15,7 @@ STATES = r.with_ctes(SNAPSHOTS)
 
 def three_loads(t):
     """A snapshot dataset with three loads of the customers."""
-    base = scratch_path(t.spark, "customers")
+    base = v.create_dataset(t.spark, scratch_path(t.spark, "customers"))
     old, new = snapshots(t)
     v.commit_snapshot(old, base, "APPEND", "2024-01-01 00:00:00")
     v.commit_snapshot(new, base, "MERGE", "2024-01-02 00:00:00")
@@ -72,7 +72,7 @@ def v05_ts(t):
     return v.read_as_of(t.spark, three_loads(t), ts="2024-01-02 12:00:00")
 
 
-LOG = STATES + """, log AS (SELECT 1 AS snapshot_id, TIMESTAMP '2024-01-01' AS ts, 'APPEND' AS operation, (SELECT count(*) FROM old_s) AS rows
+LOG = STATES + """, log AS (SELECT CAST(1 AS BIGINT) AS snapshot_id, TIMESTAMP '2024-01-01' AS ts, 'APPEND' AS operation, (SELECT count(*) FROM old_s) AS rows
 UNION ALL SELECT 2, TIMESTAMP '2024-01-02', 'MERGE', (SELECT count(*) FROM new_s)
 UNION ALL SELECT 3, TIMESTAMP '2024-01-03', 'DELETE', (SELECT count(*) FROM new_s WHERE balance >= 0))
 """
@@ -141,7 +141,7 @@ def v10(t):
 
 @query("v11_write_audit_publish", STATES + "SELECT * FROM old_s UNION ALL SELECT id + 1000000, segment, balance, nation FROM new_s WHERE balance >= 0")
 def v11(t):
-    base = scratch_path(t.spark, "published")
+    base = v.create_dataset(t.spark, scratch_path(t.spark, "published"))
     old, new = snapshots(t)
     v.commit_snapshot(old, base, "APPEND", "2024-01-01 00:00:00")
     rules = [q.Rule("has_id", "id IS NOT NULL", q.FAIL), q.Rule("no_debt", "balance >= 0")]
@@ -270,14 +270,14 @@ def v23(t):
     return t.spark.read.parquet(v.sorted_write(short_orders(t), path, ["o_orderdate", "o_orderkey"], 4))
 
 
-@query("v24_file_metrics", "SELECT count(*) AS row_count, 4 AS files, true AS has_bytes FROM orders")
+@query("v24_file_metrics", "SELECT count(*) AS row_count, CAST(4 AS BIGINT) AS files, true AS has_bytes FROM orders")
 def v24(t):
     path = scratch_path(t.spark, "metrics")
     short_orders(t).repartition(4).write.parquet(path)
     return v.table_metrics(t.spark.read.parquet(path)).select("row_count", "files", (F.col("bytes") > 0).alias("has_bytes"))
 
 
-@query("v25_file_ranges", "SELECT min(o_orderkey) AS least, max(o_orderkey) AS most, 4 AS files FROM orders")
+@query("v25_file_ranges", "SELECT min(o_orderkey) AS least, max(o_orderkey) AS most, CAST(4 AS BIGINT) AS files FROM orders")
 def v25(t):
     path = scratch_path(t.spark, "ranges")
     v.sorted_write(short_orders(t), path, ["o_orderkey"], 4)

@@ -14,7 +14,7 @@ def order_lines(t):
     return t.orders.select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
 
 
-BY_DATE = [F.col("o_orderdate"), F.col("o_orderkey")]
+BY_DATE = ["o_orderdate", "o_orderkey"]
 
 
 @query("w01_row_number", """

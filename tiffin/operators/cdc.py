@@ -193,7 +193,7 @@ def scd2_apply(
     return target.filter(~F.col(current)).unionByName(rows)
 
 
-def with_previous(history: DataFrame, key: str, order: Sequence[Column], columns: Sequence[str]) -> DataFrame:
+def with_previous(history: DataFrame, key: str, order: Sequence[Column | str], columns: Sequence[str]) -> DataFrame:
     """Each row beside the former values (``prev_*``) of its key; ``_first`` marks the first row."""
     return framed(
         history, [key], order,
@@ -206,7 +206,7 @@ def with_previous(history: DataFrame, key: str, order: Sequence[Column], columns
 
 
 def field_changes(
-    history: DataFrame, key: str, order: Sequence[Column], labels: dict[str, str], keep: Sequence[str] = (), null_safe: bool = False
+    history: DataFrame, key: str, order: Sequence[Column | str], labels: dict[str, str], keep: Sequence[str] = (), null_safe: bool = False
 ) -> DataFrame:
     """One text per changed field, ``Label: "old" → "new"``, for rows with a change.
 
@@ -231,7 +231,7 @@ def field_changes(
     return rows.filter(found).select(key, *keep, *[text(f).alias(f"{f}_change") for f in fields])
 
 
-def change_rates(history: DataFrame, key: str, order: Sequence[Column], fields: Sequence[str], needed: Sequence[str] = ()) -> DataFrame:
+def change_rates(history: DataFrame, key: str, order: Sequence[Column | str], fields: Sequence[str], needed: Sequence[str] = ()) -> DataFrame:
     """How often each field changed from one row of a key to the next, and as percent of all rows."""
     rows = with_previous(history.select(key, *dict.fromkeys([*needed, *fields])), key, order, fields)
     counts = rows.agg(
@@ -252,7 +252,7 @@ def latest_two(history: DataFrame, moment: str = "start_date") -> tuple[DataFram
     return current, history.filter(F.col(moment) == before)
 
 
-def reconcile(type1: DataFrame, type2: DataFrame, key: str, fields: Sequence[str], order: Sequence[Column]) -> DataFrame:
+def reconcile(type1: DataFrame, type2: DataFrame, key: str, fields: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
     """Keys whose current state differs from the latest history row, field by field."""
     latest = latest_per_key(type2.select(key, *fields, *[c for c in type2.columns if c not in {key, *fields}]), [key], order)
     a, b = type1.alias("a"), latest.alias("b")
@@ -308,7 +308,7 @@ def activity_flags(
     return counts.filter(F.col("appearances") >= least).withColumn("activity_flag", flag.otherwise("Normal"))
 
 
-def audit_trail(history: DataFrame, key: str, order: Sequence[Column], fields: Sequence[str], needed: Sequence[str] = ()) -> DataFrame:
+def audit_trail(history: DataFrame, key: str, order: Sequence[Column | str], fields: Sequence[str], needed: Sequence[str] = ()) -> DataFrame:
     """Each row of a key as Initial, Changed or Unchanged against the row before."""
     rows = with_previous(history.select(key, *dict.fromkeys([*needed, *fields])), key, order, fields)
     changed = either([differs(F.col(f), F.col(f"prev_{f}"), True) for f in fields])

@@ -53,51 +53,33 @@ def salted_join(
     return hot_rows.unionByName(cold_left.join(cold_right, key))
 
 
-def interval_pairs(
-    left: DataFrame, right: DataFrame, keys: tuple[str, str], times: tuple[str, str], seconds: int
+def interval_join(
+    left: DataFrame, right: DataFrame, keys: tuple[str, str], times: tuple[str, str], seconds: int, how: str = "inner"
 ) -> DataFrame:
-    """Pairs with equal keys and ``left time <= right time <= left time + seconds``.
+    """Join on equal keys and ``left time <= right time <= left time + seconds``; inner or left.
 
-    Both sides also carry a time bucket as wide as the interval, so a hot key is spread over its buckets and a row
-    meets two buckets instead of the whole history of its key.
+    Both sides also carry a time bucket as wide as the interval, so a hot key is spread over its buckets and a row meets
+    two buckets instead of the whole history of its key. A left row lies in one bucket; a right row is copied to its own
+    and the one before. So every pair, and every left row without a pair, comes out once. Works on watermarked streams.
     """
     width = seconds * MICROS
     bucket = lambda c: F.floor(F.unix_micros(c) / F.lit(width))
-    lefts = left.withColumn("_bucket", F.explode(F.array(bucket(times[0]), bucket(times[0]) + 1)))
-    rights = right.withColumn("_right_bucket", bucket(times[1]))
+    lefts = left.withColumn("_bucket", bucket(times[0]))
+    rights = right.withColumn("_right_bucket", F.explode(F.array(bucket(times[1]), bucket(times[1]) - 1)))
     condition = (
         (F.col(keys[0]) == F.col(keys[1]))
         & (F.col("_bucket") == F.col("_right_bucket"))
         & (F.col(times[1]) >= F.col(times[0]))
         & (F.col(times[1]) <= F.col(times[0]) + F.expr(f"INTERVAL {seconds} SECONDS"))
     )
-    return lefts.join(rights, condition).drop("_bucket", "_right_bucket")
-
-
-def interval_join(
-    left: DataFrame,
-    right: DataFrame,
-    keys: tuple[str, str],
-    times: tuple[str, str],
-    seconds: int,
-    how: str = "inner",
-    left_id: str | None = None,
-) -> DataFrame:
-    """``interval_pairs`` as inner or left join. The left form needs a unique ``left_id``."""
-    pairs = interval_pairs(left, right, keys, times, seconds)
-    if how == "inner":
-        return pairs
-    if how != "left" or left_id is None:
-        raise ValueError("how is inner or left; left needs left_id")
-    alone = left.join(pairs.select(left_id).distinct(), left_id, "left_anti")
-    return pairs.unionByName(alone, allowMissingColumns=True)
+    return lefts.join(rights, condition, {"inner": "inner", "left": "leftOuter"}[how]).drop("_bucket", "_right_bucket")
 
 
 def unify_sources(
     first: DataFrame,
     second: DataFrame,
     key: str,
-    order: tuple[Sequence[Column], Sequence[Column]],
+    order: tuple[Sequence[Column | str], Sequence[Column | str]],
     prefer_first: Sequence[str] = (),
     newest: str | None = None,
 ) -> DataFrame:

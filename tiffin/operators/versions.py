@@ -9,7 +9,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F, types as T
 
 from tiffin.functions.columns import row_hash
@@ -157,12 +156,15 @@ def read_log(spark: SparkSession, base: str) -> DataFrame:
     return spark.read.schema(LOG_SCHEMA).parquet(f"{base}/log")
 
 
+def create_dataset(spark: SparkSession, base: str) -> str:
+    """A snapshot dataset without snapshots. Refuses a place that has a log already."""
+    spark.createDataFrame([], LOG_SCHEMA).write.parquet(f"{base}/log")
+    return base
+
+
 def last_version(spark: SparkSession, base: str) -> int:
     """Highest snapshot number, 0 before the first load."""
-    try:
-        return read_log(spark, base).agg(F.max("snapshot_id")).first()[0] or 0
-    except AnalysisException:
-        return 0
+    return read_log(spark, base).agg(F.max("snapshot_id")).first()[0] or 0
 
 
 def commit_snapshot(df: DataFrame, base: str, operation: str, ts: str) -> int:
@@ -256,27 +258,30 @@ def compact(spark: SparkSession, source: str, target: str, files: int) -> str:
     return target
 
 
-def value_bounds(df: DataFrame, column: str, parts: int) -> Column:
-    """Approximate quantile bounds of a numeric column as one array of ``parts - 1`` values."""
+def quantile_buckets(df: DataFrame, columns: Sequence[str], parts: int) -> DataFrame:
+    """``_bucket_<i>``: which of ``parts`` approximate quantile ranges each numeric column falls in.
+
+    The bounds are ``parts - 1`` numbers per column, found in one pass and used as a scalar.
+    """
     shares = [i / parts for i in range(1, parts)]
-    return df.agg(F.percentile_approx(column, shares, 10_000)).scalar()
+    bounds = df.agg(F.struct(*[F.percentile_approx(c, shares, 10_000).alias(f"c{i}") for i, c in enumerate(columns)])).scalar()
+    result = df.withColumn("_bounds", bounds)
+    for i, column in enumerate(columns):
+        reached = [(F.col(f"_bounds.c{i}")[j] <= F.col(column)).cast("int") for j in range(parts - 1)]
+        result = result.withColumn(f"_bucket_{i}", reduce(lambda a, b: a + b, reached))
+    return result.drop("_bounds")
 
 
 def zorder_key(df: DataFrame, columns: Sequence[str], bits: int = 5) -> DataFrame:
-    """``_z``: the interleaved bits of each column's quantile bucket."""
-    bucketed = df
-    for i, column in enumerate(columns):
-        bounds = value_bounds(df, column, 1 << bits)
-        value = F.col(column).cast("double")
-        bucketed = bucketed.withColumn(f"_bounds_{i}", bounds).withColumn(
-            f"_bucket_{i}", F.size(F.filter(f"_bounds_{i}", lambda b: b <= value))  # noqa: B023
-        )
+    """``_z``: the interleaved bits of each column's quantile bucket. NULL goes to the lowest bucket."""
+    bucketed = quantile_buckets(df, columns, 1 << bits)
     key = F.lit(0).cast("bigint")
     for bit in range(bits):
         for i in range(len(columns)):
-            one = F.shiftright(F.col(f"_bucket_{i}"), bit).bitwiseAND(F.lit(1)).cast("bigint")
+            number = F.coalesce(F.col(f"_bucket_{i}"), F.lit(0))
+            one = F.shiftright(number, bit).bitwiseAND(F.lit(1)).cast("bigint")
             key = key + F.shiftleft(one, bit * len(columns) + i)
-    return bucketed.withColumn("_z", key).drop(*[f"_{n}_{i}" for n in ("bounds", "bucket") for i in range(len(columns))])
+    return bucketed.withColumn("_z", key).drop(*[f"_bucket_{i}" for i in range(len(columns))])
 
 
 def zorder(df: DataFrame, columns: Sequence[str], files: int, bits: int = 5) -> DataFrame:

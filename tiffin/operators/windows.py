@@ -37,15 +37,16 @@ def join_beside(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str
     return left.join(renamed, condition, how).drop(*[f"__r_{k}" for k in keys])
 
 
-def ordered(df: DataFrame, keys: Sequence[str], order: Sequence[Column], parts: int | None = None) -> DataFrame:
+def ordered(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], parts: int | None = None) -> DataFrame:
     """Rows sorted by ``keys`` and ``order`` over many partitions, with ``_pos`` growing in that order.
 
-    ``order`` should be total. Given back to ``running`` or ``framed``, the result is not sorted again. A hot key simply covers several partitions. The result is written out, because
-    its range bounds come from a sample and every consumer has to see the same ones.
+    ``order`` should be total. A hot key simply covers several partitions. The result is written out, because its range
+    bounds come from a sample and every consumer has to see the same ones. Pass only the columns that are needed. Given
+    to ``running`` or ``framed``, the result is not sorted again.
     """
-    n = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     if "_pos" in df.columns:
         return df  # comes from an ordered table already
+    n = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     columns = [*[F.col(k) for k in keys], *order]
     split = df.repartitionByRange(n, *columns).sortWithinPartitions(*columns)
     return durable(split.withColumn("_pos", F.monotonically_increasing_id()), "ordered")
@@ -54,7 +55,7 @@ def ordered(df: DataFrame, keys: Sequence[str], order: Sequence[Column], parts:
 def running(
     df: DataFrame,
     keys: Sequence[str],
-    order: Sequence[Column],
+    order: Sequence[Column | str],
     aggregates: dict[str, tuple[str, str]],
     parts: int | None = None,
 ) -> DataFrame:
@@ -91,7 +92,7 @@ def running(
     return result.select(*df.columns, *merged)
 
 
-def number_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column], out: str = "row_number") -> DataFrame:
+def number_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], out: str = "row_number") -> DataFrame:
     """ROW_NUMBER over a total order."""
     return (
         running(df.withColumn("_one", F.lit(1).cast("bigint")), keys, order, {out: ("sum", "_one")}).drop("_one")
@@ -149,7 +150,7 @@ def value_ranks(
 def framed(
     df: DataFrame,
     keys: Sequence[str],
-    order: Sequence[Column],
+    order: Sequence[Column | str],
     columns: Callable[[W], dict[str, Column]],
     before: int = 0,
     after: int = 0,
@@ -224,9 +225,9 @@ def beside(df: DataFrame, keys: Sequence[str], **aggregates: Column) -> DataFram
     return join_beside(df, df.groupBy(*keys).agg(*[c.alias(n) for n, c in aggregates.items()]), keys)
 
 
-def top_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int, out: str = "rn") -> DataFrame:
+def top_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], n: int, out: str = "rn") -> DataFrame:
     """First ``n`` rows per key. Spark limits each group before the shuffle (WindowGroupLimit)."""
-    return df.withColumn(out, F.row_number().over(W.partitionBy(*keys).orderBy(*order))).filter(F.col(out) <= n)
+    return df.withColumn(out, F.row_number().over(W.partitionBy(*keys).orderBy(*order)).cast("bigint")).filter(F.col(out) <= n)
 
 
 def top_ranked(
@@ -247,7 +248,7 @@ def top_ranked(
     return join_beside(df, first.select(*keys, by, out), [*keys, by])
 
 
-def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
+def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
     """The row of each key with the highest ``order``; NULL counts as lowest.
 
     An aggregate with a map-side step instead of a ROW_NUMBER over all versions of a key.

@@ -8,8 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tiffin.functions.columns import row_hash
-
-MICROS = 1_000_000
+from tiffin.operators.joins import interval_join
 
 
 def stream_interval_join(
@@ -21,37 +20,12 @@ def stream_interval_join(
     delay: str = "10 minutes",
     how: str = "inner",
 ) -> DataFrame:
-    """Stream-stream join with ``left time <= right time <= left time + seconds``.
+    """``interval_join`` of two streams.
 
-    Watermarks on both sides and the time bound let Spark drop old state. Time buckets spread the state of a hot key:
-    each left row goes to two buckets, each right row to one. With ``how="left"`` a copy without match comes out once
-    the watermark has passed it; ``settle_outer`` keeps the rows whose two copies both found nothing.
+    Watermarks on both sides and the time bound let Spark drop old state; the time buckets spread the state of a hot key.
+    With ``how="left"`` a row without match comes out once the watermark has passed its interval.
     """
-    width = seconds * MICROS
-    bucket = lambda c: F.floor(F.unix_micros(c) / F.lit(width))
-    lefts = left.withWatermark(times[0], delay).withColumn("_bucket", F.explode(F.array(bucket(times[0]), bucket(times[0]) + 1)))
-    rights = right.withWatermark(times[1], delay).withColumn("_right_bucket", bucket(times[1]))
-    condition = (
-        (F.col(keys[0]) == F.col(keys[1]))
-        & (F.col("_bucket") == F.col("_right_bucket"))
-        & (F.col(times[1]) >= F.col(times[0]))
-        & (F.col(times[1]) <= F.col(times[0]) + F.expr(f"INTERVAL {seconds} SECONDS"))
-    )
-    return lefts.join(rights, condition, {"inner": "inner", "left": "leftOuter"}[how]).drop("_bucket", "_right_bucket")
-
-
-def settle_outer(rows: DataFrame, left_id: str, right_id: str) -> DataFrame:
-    """Batch view over the sink of a left stream join: pairs, and left rows without any pair once."""
-    pairs = rows.filter(F.col(right_id).isNotNull())
-    rest = [c for c in rows.columns if c != left_id]
-    alone = (
-        rows.filter(F.col(right_id).isNull())
-        .groupBy(left_id)
-        .agg(F.count(F.lit(1)).alias("_copies"), F.max_by(F.struct(*rest), F.lit(1)).alias("_row"))
-        .filter(F.col("_copies") == 2)
-        .select(*[F.col(c) if c == left_id else F.col(f"_row.{c}").alias(c) for c in rows.columns])
-    )
-    return pairs.unionByName(alone)
+    return interval_join(left.withWatermark(times[0], delay), right.withWatermark(times[1], delay), keys, times, seconds, how)
 
 
 def windowed(
