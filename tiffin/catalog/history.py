@@ -284,8 +284,8 @@ def c18(t):
 @query("c19_transitions", """
 WITH l AS (SELECT event_type, lead(event_type) OVER w AS next_status, epoch_us(lead(ts) OVER w) // 1000 - epoch_us(ts) // 1000 AS ms FROM events
   WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id))
-SELECT event_type, next_status, count(*) AS transitions, round(CAST(sum(ms) AS DOUBLE) / count(*) / 60000, 4) AS avg_minutes,
-  round(min(ms) / 60000, 4) AS min_minutes, round(max(ms) / 60000, 4) AS max_minutes, round(quantile_cont(CAST(ms AS DOUBLE), 0.5) / 60000, 4) AS median_minutes
+SELECT event_type, next_status, count(*) AS transitions, CAST(sum(ms) AS DOUBLE) / count(*) / 60000 AS avg_minutes,
+  min(ms) / 60000 AS min_minutes, max(ms) / 60000 AS max_minutes, quantile_cont(CAST(ms AS DOUBLE), 0.5) / 60000 AS median_minutes
 FROM l WHERE next_status IS NOT NULL GROUP BY 1, 2""")
 def c19(t):
     return q.transitions(t.events, "user_id", "event_type", "ts", "event_id")

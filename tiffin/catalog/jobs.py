@@ -459,14 +459,14 @@ def average_rank(by, out):
 SELECT restaurant_id, name, cuisine, city, rating, reviews, order_count, CAST(rev AS DOUBLE) AS total_revenue, performance_score,
   {average_rank('rev', 'revenue_rank')}, {average_rank('rating', 'rating_rank')}, {average_rank('order_count', 'order_rank')} FROM s""")
 def e15(t):
-    return rest_plan.performance_score(r.restaurants(t), r.sales(t))["restaurant"]
+    return rest_plan.ranked_scores(rest_plan.performance_score(r.restaurants(t), r.sales(t)))
 
 
 @query("e15_cuisine_score", SCORE_SQL + f"""
 SELECT cuisine, count(*) AS restaurant_count, {r.mean_sql('rating_d')} AS avg_rating, CAST(sum(order_count) AS BIGINT) AS total_orders, CAST(sum(rev) AS DOUBLE) AS total_revenue,
   round(CAST(sum(CAST(performance_score AS DECIMAL(18,9))) AS DOUBLE) / count(*), 6) AS avg_performance FROM s GROUP BY 1""")
 def e15_cuisine(t):
-    return rest_plan.performance_score(r.restaurants(t), r.sales(t))["cuisine"]
+    return rest_plan.cuisine_scores(rest_plan.performance_score(r.restaurants(t), r.sales(t)))
 
 
 # ---------------------------------------------------------------- E13, E14 order and rating reports

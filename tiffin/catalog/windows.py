@@ -177,9 +177,8 @@ SELECT * FROM (SELECT p_partkey, p_type, p_brand, p_retailprice, rank() OVER (PA
 WHERE type_rank <= 2 OR brand_rank <= 2 OR overall_rank <= 5""")
 def w16(t):
     rows = t.part.select("p_partkey", "p_type", "p_brand", "p_retailprice")
-    ranked = win.ranks(rows, ["p_type"], "p_retailprice", {"type_rank": "rank"}, descending=True)
-    ranked = win.ranks(ranked, ["p_brand"], "p_retailprice", {"brand_rank": "rank"}, descending=True)
-    ranked = win.ranks(ranked, [], "p_retailprice", {"overall_rank": "rank"}, descending=True)
+    groups = ((["p_type"], "type_rank"), (["p_brand"], "brand_rank"), ([], "overall_rank"))
+    ranked = win.ranks_many(rows, [(keys, "p_retailprice", {out: "rank"}) for keys, out in groups])
     return ranked.filter((F.col("type_rank") <= 2) | (F.col("brand_rank") <= 2) | (F.col("overall_rank") <= 5))
 
 

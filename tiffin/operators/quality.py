@@ -123,12 +123,12 @@ def transitions(df: DataFrame, key: str, status: str, time: str, tie: str) -> Da
     group = [status, "next_status"]
     stats = timed.groupBy(*group).agg(
         F.count(F.lit(1)).alias("transitions"),
-        F.round(F.sum("_ms").cast("double") / F.count("_ms") / 60000, 4).alias("avg_minutes"),
-        F.round(F.min("_ms") / 60000, 4).alias("min_minutes"),
-        F.round(F.max("_ms") / 60000, 4).alias("max_minutes"),
+        (F.sum("_ms").cast("double") / F.count("_ms") / 60000).alias("avg_minutes"),
+        (F.min("_ms") / 60000).alias("min_minutes"),
+        (F.max("_ms") / 60000).alias("max_minutes"),
     )
     medians = percentiles(timed, group, "_ms", {"_median": 0.5})
-    return join_beside(stats, medians, group).withColumn("median_minutes", F.round(F.col("_median") / 60000, 4)).drop("_median")
+    return join_beside(stats, medians, group).withColumn("median_minutes", F.col("_median") / 60000).drop("_median")
 
 
 def count_rows(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:

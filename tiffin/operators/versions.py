@@ -258,28 +258,33 @@ def compact(spark: SparkSession, source: str, target: str, files: int) -> str:
     return target
 
 
-def quantile_buckets(df: DataFrame, columns: Sequence[str], parts: int) -> DataFrame:
-    """``_bucket_<i>``: which of ``parts`` approximate quantile ranges each numeric column falls in.
+def quantile_buckets(df: DataFrame, columns: Sequence[str], bits: int) -> DataFrame:
+    """``_bucket_<i>``: which of ``2 ** bits`` approximate quantile ranges each numeric column falls in.
 
-    The bounds are ``parts - 1`` numbers per column, found in one pass and used as a scalar.
+    The bounds are found in one pass and used as a scalar; each row finds its bucket in ``bits`` comparisons. NULL goes
+    to the lowest bucket.
     """
+    parts = 1 << bits
     shares = [i / parts for i in range(1, parts)]
     bounds = df.agg(F.struct(*[F.percentile_approx(c, shares, 10_000).alias(f"c{i}") for i, c in enumerate(columns)])).scalar()
     result = df.withColumn("_bounds", bounds)
     for i, column in enumerate(columns):
-        reached = [(F.col(f"_bounds.c{i}")[j] <= F.col(column)).cast("int") for j in range(parts - 1)]
-        result = result.withColumn(f"_bucket_{i}", reduce(lambda a, b: a + b, reached))
+        name, step = f"_bucket_{i}", parts >> 1
+        result = result.withColumn(name, F.lit(0))
+        while step:
+            reached = F.col(f"_bounds.c{i}")[F.col(name) + (step - 1)] <= F.col(column)
+            result = result.withColumn(name, F.col(name) + F.when(reached, step).otherwise(0))
+            step >>= 1
     return result.drop("_bounds")
 
 
 def zorder_key(df: DataFrame, columns: Sequence[str], bits: int = 5) -> DataFrame:
-    """``_z``: the interleaved bits of each column's quantile bucket. NULL goes to the lowest bucket."""
-    bucketed = quantile_buckets(df, columns, 1 << bits)
+    """``_z``: the interleaved bits of each column's quantile bucket."""
+    bucketed = quantile_buckets(df, columns, bits)
     key = F.lit(0).cast("bigint")
     for bit in range(bits):
         for i in range(len(columns)):
-            number = F.coalesce(F.col(f"_bucket_{i}"), F.lit(0))
-            one = F.shiftright(number, bit).bitwiseAND(F.lit(1)).cast("bigint")
+            one = F.shiftright(F.col(f"_bucket_{i}"), bit).bitwiseAND(F.lit(1)).cast("bigint")
             key = key + F.shiftleft(one, bit * len(columns) + i)
     return bucketed.withColumn("_z", key).drop(*[f"_bucket_{i}" for i in range(len(columns))])
 

@@ -115,6 +115,21 @@ def ranks(
     return join_beside(df, values.select(*keys, by, *outputs), [*keys, by])
 
 
+def ranks_many(df: DataFrame, specs: Sequence[tuple[Sequence[str], str, dict[str, str]]], descending: bool = True) -> DataFrame:
+    """Several ranks of one table: (keys, column, outputs) each, as in ``ranks``.
+
+    The table is written once first. All value counts then read that copy instead of repeating the work behind it, and
+    no rank waits for another.
+    """
+    base = durable(df, "ranked")
+    result = base
+    for keys, by, outputs in specs:
+        counts = base.groupBy(*keys, by).agg(F.count(F.lit(1)).alias("_n"))
+        values = value_ranks(counts, keys, by, outputs, descending)
+        result = join_beside(result, values.select(*keys, by, *outputs), [*keys, by])
+    return result
+
+
 def beside_total(rows: DataFrame, counts: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Sum of ``_n`` per key as ``_total``; without keys a scalar subquery."""
     if not keys:
@@ -201,9 +216,7 @@ def rolling_mean(value: Column, window: W, size: int, min_periods: int | None =
 
 def composite_rank(df: DataFrame, columns: Sequence[str], out: str) -> DataFrame:
     """Mean of the descending ranks by several columns over the whole table."""
-    ranked = df
-    for column in columns:
-        ranked = ranks(ranked, [], column, {f"_rank_{column}": "rank"}, descending=True)
+    ranked = ranks_many(df, [([], column, {f"_rank_{column}": "rank"}) for column in columns])
     summed = reduce(lambda a, b: a + b, [F.col(f"_rank_{column}") for column in columns])
     return ranked.withColumn(out, summed / F.lit(float(len(columns)))).drop(*[f"_rank_{column}" for column in columns])
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tiffin.functions.columns import above_tier, count_where, mean, money, percent, popularity, ratio, tier, total
 from tiffin.operators.aggs import weighted_mean
 from tiffin.operators.quality import Rule, expect
-from tiffin.operators.windows import composite_rank, join_beside, latest_per_key, percentiles, ranks
+from tiffin.operators.windows import composite_rank, join_beside, latest_per_key, percentiles, ranks, ranks_many
 
 SALES_MEASURES = ("order_count", "revenue_d")
 
@@ -124,8 +124,9 @@ def performance_dashboard(restaurants: DataFrame, sales: DataFrame, tiers, scale
     base = restaurant_sales(restaurants, sales)
     stats = base.groupBy("cuisine").agg((F.sum(money("rating")).cast("double") / F.count("rating")).alias("_avg_rating"))
     joined = base.join(stats, "cuisine")
-    ranked = ranks(joined, ["cuisine"], "revenue_d", {"revenue_rank_in_cuisine": "rank"}, descending=True)
-    ranked = ranks(ranked, ["city"], "revenue_d", {"revenue_rank_in_city": "rank"}, descending=True)
+    ranked = ranks_many(joined, [
+        (["cuisine"], "revenue_d", {"revenue_rank_in_cuisine": "rank"}), (["city"], "revenue_d", {"revenue_rank_in_city": "rank"})
+    ])
     return ranked.select(
         "restaurant_id", "name", "cuisine", "city", "rating",
         ((F.col("rating") - F.col("_avg_rating")) / F.col("_avg_rating") * 100).alias("rating_vs_cuisine_pct"),
@@ -141,9 +142,9 @@ def comprehensive_performance(restaurants: DataFrame, sales: DataFrame, scale: i
     base = restaurant_sales(restaurants, sales)
     per_order = F.col("revenue_d").cast("double") / F.nullif(F.col("order_count"), F.lit(0))
     scored = base.withColumn("performance_score", per_order * F.sqrt(F.col("reviews") / F.lit(scale)))
-    for keys, out in ((["cuisine"], "cuisine_rank"), (["city"], "city_rank"), ([], "overall_rank")):
-        scored = ranks(scored, keys, "performance_score", {out: "dense_rank"}, descending=True)
-    return scored.withColumn("total_revenue", F.coalesce(F.col("revenue_d").cast("double"), F.lit(0.0))).drop("revenue_d")
+    groups = ((["cuisine"], "cuisine_rank"), (["city"], "city_rank"), ([], "overall_rank"))
+    ranked = ranks_many(scored, [(keys, "performance_score", {out: "dense_rank"}) for keys, out in groups])
+    return ranked.withColumn("total_revenue", F.coalesce(F.col("revenue_d").cast("double"), F.lit(0.0))).drop("revenue_d")
 
 
 def cuisine_analysis(restaurants: DataFrame, sales: DataFrame, high: float) -> DataFrame:
@@ -247,29 +248,35 @@ def mart_kpis(mart: DataFrame, tiers, high: float, medium: float) -> DataFrame:
     )
 
 
-def performance_score(restaurants: DataFrame, sales: DataFrame) -> dict[str, DataFrame]:
-    """Average ranks by revenue, rating and orders, and a weighted score against the maxima; cuisine summary."""
+def performance_score(restaurants: DataFrame, sales: DataFrame) -> DataFrame:
+    """Weighted score of revenue, rating and orders, each against its maximum; a maximum of zero counts as one."""
     base = restaurant_sales(restaurants, sales).withColumn("revenue_d", F.coalesce("revenue_d", F.lit(0).cast("decimal(28,2)")))
-    ranked = base
-    for by, out in (("revenue_d", "revenue_rank"), ("rating", "rating_rank"), ("order_count", "order_rank")):
-        ranked = ranks(ranked, ["cuisine"], by, {out: "average_rank"}, descending=True)
     tops = base.agg(
         F.struct(F.max("revenue_d").cast("double").alias("revenue"), F.max("rating").alias("rating"), F.max("order_count").alias("orders"))
     ).scalar()
     share = lambda value, top: value / F.when(top > 0, top).otherwise(F.lit(1))
-    revenue = F.col("revenue_d").cast("double")
-    scored = ranked.withColumn("_tops", tops).withColumn(
-        "performance_score",
-        0.4 * share(revenue, F.col("_tops.revenue")) + 0.3 * share(F.col("rating"), F.col("_tops.rating"))
-        + 0.3 * share(F.col("order_count"), F.col("_tops.orders")),
+    score = (
+        0.4 * share(F.col("revenue_d").cast("double"), F.col("_tops.revenue")) + 0.3 * share(F.col("rating"), F.col("_tops.rating"))
+        + 0.3 * share(F.col("order_count"), F.col("_tops.orders"))
     )
-    restaurant = scored.withColumn("total_revenue", revenue).drop("_tops", "revenue_d")
-    cuisine = scored.groupBy("cuisine").agg(
+    return base.withColumn("_tops", tops).withColumn("performance_score", score).drop("_tops")
+
+
+def ranked_scores(scored: DataFrame) -> DataFrame:
+    """Scores beside the average ranks by revenue, rating and orders within the cuisine."""
+    columns = (("revenue_d", "revenue_rank"), ("rating", "rating_rank"), ("order_count", "order_rank"))
+    ranked = ranks_many(scored, [(["cuisine"], by, {out: "average_rank"}) for by, out in columns])
+    return ranked.withColumn("total_revenue", F.col("revenue_d").cast("double")).drop("revenue_d")
+
+
+def cuisine_scores(scored: DataFrame) -> DataFrame:
+    """Restaurants, ratings, orders, revenue and mean score per cuisine."""
+    exact = F.col("performance_score").cast("decimal(18,9)")
+    return scored.groupBy("cuisine").agg(
         F.count(F.lit(1)).alias("restaurant_count"), mean("rating").alias("avg_rating"), F.sum("order_count").alias("total_orders"),
         F.sum("revenue_d").cast("double").alias("total_revenue"),
-        F.round(F.sum(F.col("performance_score").cast("decimal(18,9)")).cast("double") / F.count(F.lit(1)), 6).alias("avg_performance"),
+        F.round(F.sum(exact).cast("double") / F.count(F.lit(1)), 6).alias("avg_performance"),
     )
-    return {"restaurant": restaurant, "cuisine": cuisine}
 
 
 def rating_dashboard(restaurants: DataFrame, scale: int = 1000) -> dict[str, DataFrame]:
