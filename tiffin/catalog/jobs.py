@@ -192,6 +192,16 @@ def e05(t):
     )
 
 
+@query("e05_age_groups", """
+WITH x AS (SELECT floor(date_diff('day', CAST(o_orderdate AS DATE), DATE '2031-06-01') / 365.25) AS age FROM orders)
+SELECT CASE WHEN age BETWEEN 18 AND 25 THEN '18-25 (Young Adults)' WHEN age BETWEEN 26 AND 35 THEN '26-35 (Millennials)'
+  WHEN age BETWEEN 36 AND 50 THEN '36-50 (Gen X)' WHEN age BETWEEN 51 AND 65 THEN '51-65 (Boomers)' WHEN age > 65 THEN '65+ (Seniors)' ELSE 'Unknown' END AS age_group,
+  count(*) AS n FROM x GROUP BY 1""")
+def e05_ages(t):
+    born = t.orders.select(F.to_date("o_orderdate").alias("born"))
+    return born.groupBy(users_plan.age_group("born", F.lit("2031-06-01").cast("date")).alias("age_group")).agg(F.count(F.lit(1)).alias("n"))
+
+
 # ---------------------------------------------------------------- E6 unified users from change feeds
 
 FEEDS_SQL = """f AS (SELECT user_id, event_id AS seq, event_type = 'error' AS del, CASE WHEN event_type IN ('view', 'click') THEN event_type END AS city,
@@ -379,15 +389,14 @@ SELECT *, rank() OVER (PARTITION BY vehicle ORDER BY revenue_per_hour DESC) AS e
   CAST(rev AS DOUBLE) AS total_revenue, CAST(mins AS DOUBLE) AS total_minutes, CAST(km AS DOUBLE) AS total_km,
   order_count / (CAST(mins AS DOUBLE) / 60) AS orders_per_hour, CAST(rev AS DOUBLE) / (CAST(mins AS DOUBLE) / 60) AS revenue_per_hour,
   CAST(rev AS DOUBLE) / nullif(order_count, 0) AS revenue_per_order, CAST(km AS DOUBLE) / nullif(order_count, 0) AS km_per_order FROM x WHERE mins > 0)"""
-WORK_SQL = """, s AS (SELECT l_suppkey AS driver_id, CAST(l_extendedprice AS DECIMAL(18,2)) AS amount_d FROM lineitem WHERE l_returnflag = 'A' AND l_shipdate < TIMESTAMP '1997-01-01'),
-w AS (SELECT l_suppkey AS driver_id, CAST(l_quantity AS DECIMAL(18,2)) AS mins, CAST(l_discount * 100 AS DECIMAL(18,2)) AS km FROM lineitem WHERE l_returnflag = 'R' AND l_shipdate < TIMESTAMP '1997-01-01')"""
+WORK_SQL = """, s AS (SELECT l_suppkey AS driver_id, CAST(l_extendedprice AS DECIMAL(18,2)) AS amount_d FROM lineitem WHERE l_returnflag = 'A'),
+w AS (SELECT l_suppkey AS driver_id, CAST(l_quantity AS DECIMAL(18,2)) AS mins, CAST(l_discount * 100 AS DECIMAL(18,2)) AS km FROM lineitem WHERE l_returnflag = 'R')"""
 
 
 def work(t):
-    """Accepted lines as sales, returned lines as shifts of the supplier; the years before 1997."""
-    early = t.lineitem.filter(F.col("l_shipdate") < F.lit("1997-01-01").cast("timestamp"))
-    sold = early.filter(F.col("l_returnflag") == "A").select(F.col("l_suppkey").alias("driver_id"), F.col("l_extendedprice").alias("amount"))
-    shifts = early.filter(F.col("l_returnflag") == "R").select(
+    """Accepted lines as sales, returned lines as shifts of the supplier."""
+    sold = t.lineitem.filter(F.col("l_returnflag") == "A").select(F.col("l_suppkey").alias("driver_id"), F.col("l_extendedprice").alias("amount"))
+    shifts = t.lineitem.filter(F.col("l_returnflag") == "R").select(
         F.col("l_suppkey").alias("driver_id"), F.col("l_quantity").alias("shift_minutes"), (F.col("l_discount") * 100).alias("distance_km")
     )
     return sold, shifts
@@ -489,6 +498,23 @@ def e13_restaurant(t):
     return orders_plan.sales_report(r.sales(t), r.restaurants(t), r.drivers(t))["restaurant"]
 
 
+@query("e13_rating", BASE + "SELECT name, rating, count(*) AS order_count, CAST(sum(amount_d) AS DOUBLE) AS total_revenue FROM sales JOIN restaurants USING (restaurant_id) GROUP BY 1, 2")
+def e13_rating(t):
+    return orders_plan.sales_report(r.sales(t), r.restaurants(t), r.drivers(t))["rating"]
+
+
+@query("e13_dashboard_city", REST + f"""
+SELECT city, count(*) AS restaurant_count, {r.mean_sql('rating_d')} AS avg_rating, {r.mean_sql(DEC.format('reviews'), 0)} AS avg_reviews,
+  CAST(sum(reviews) AS DOUBLE) AS total_reviews FROM restaurants GROUP BY 1 HAVING count(*) > 1""")
+def e13_city(t):
+    return rest_plan.rating_dashboard(r.restaurants(t))["city"]
+
+
+@query("e13_dashboard_distribution", REST + "SELECT CAST(floor(rating / 10) * 10 AS BIGINT) AS rating_bucket, count(*) AS restaurant_count FROM restaurants GROUP BY 1")
+def e13_distribution(t):
+    return rest_plan.rating_dashboard(r.restaurants(t))["distribution"]
+
+
 @query("e13_dashboard_cuisine", REST + f"""
 SELECT cuisine, count(*) AS restaurant_count, {r.mean_sql('rating_d')} AS avg_rating, CAST(sum(reviews) AS BIGINT) AS total_reviews,
   CAST(sum(rating_d * reviews) AS DOUBLE) / CAST(sum(reviews) AS DOUBLE) AS weighted_rating FROM restaurants GROUP BY 1 HAVING count(*) > 1""")
@@ -510,6 +536,11 @@ def e14(t):
     return orders_plan.ratings_report(t.events, "user_id", "value", "ts", 100, 20)["by_time"]
 
 
+@query("e14_ratings_distribution", "SELECT l_quantity, count(*) AS ratings FROM lineitem GROUP BY 1")
+def e14_distribution(t):
+    return orders_plan.ratings_report(t.lineitem, "l_partkey", "l_quantity", "l_shipdate", 40, 20)["distribution"]
+
+
 @query("e14_ratings_by_restaurant", f"""
 SELECT l_partkey, {r.mean_sql(DEC.format('l_quantity'))} AS avg_rating, min(l_quantity) AS min_rating, max(l_quantity) AS max_rating FROM lineitem GROUP BY 1""")
 def e14_restaurant(t):

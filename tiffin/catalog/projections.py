@@ -88,6 +88,13 @@ def p08(t):
     )
 
 
+@query("p08_keyword_groups", """
+SELECT p_partkey, CASE WHEN p_name LIKE '%ring%' OR p_name LIKE '%gear%' THEN 'Round' WHEN p_name LIKE '%bolt%' THEN 'Fastener' ELSE 'Other' END AS word_group FROM part""")
+def p08_groups(t):
+    groups = [("Round", ["ring", "gear"]), ("Fastener", ["bolt"])]
+    return t.part.select("p_partkey", c.keyword_group("p_name", groups, "Other", "Unknown").alias("word_group"))
+
+
 @query("p09_is_null", """
 SELECT c_custkey, o_orderkey IS NULL AS without_order, count(o_orderkey) AS orders
 FROM customer LEFT JOIN orders ON c_custkey = o_custkey AND o_totalprice > 450000

@@ -98,12 +98,17 @@ def s15(t):
     return t.orders.join(F.broadcast(weights), F.col("o_orderpriority") == F.col("p")).select("o_orderkey", "o_orderpriority", "weight")
 
 
-@query("s16_generated_orders")
+@query("s16_generated_orders", """
+SELECT count(*) AS row_count, count(*) AS order_ids, true AS amounts_in_range, true AS days_in_range, true AS hot_share_holds FROM orders""")
 def s16(t):
     # As many synthetic orders as there are real ones; half of the rows fall on three restaurants.
-    n = t.orders.count()
-    return generators.gen_orders(t.spark, n, hot_share=0.5).groupBy("restaurant_id").agg(
-        F.count(F.lit(1)).alias("orders"), F.sum("total_amount").alias("revenue")
+    made = generators.gen_orders(t.spark, t.orders.count(), hot_share=0.5)
+    hot = F.avg(F.col("restaurant_key").isin("REST0", "REST1", "REST2").cast("double"))
+    return made.agg(
+        F.count(F.lit(1)).alias("row_count"), F.countDistinct("order_id").alias("order_ids"),
+        F.min(F.col("total_amount").between(15, 95)).alias("amounts_in_range"),
+        F.min(F.col("order_date").between(F.lit("2024-01-01").cast("date"), F.lit("2024-12-31").cast("date"))).alias("days_in_range"),
+        hot.between(0.45, 0.55).alias("hot_share_holds"),
     )
 
 

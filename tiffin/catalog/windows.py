@@ -261,10 +261,10 @@ def o02(t):
 
 
 @query("o03_nulls_last", """
-SELECT c_custkey, CASE WHEN c_acctbal > 0 THEN c_acctbal END AS balance FROM customer ORDER BY balance DESC NULLS LAST, c_custkey LIMIT 1400""")
+SELECT c_custkey, CASE WHEN c_acctbal > 0 THEN c_acctbal END AS balance FROM customer ORDER BY balance DESC NULLS LAST, c_custkey""")
 def o03(t):
     rows = t.customer.select("c_custkey", F.when(F.col("c_acctbal") > 0, F.col("c_acctbal")).alias("balance"))
-    return rows.orderBy(F.col("balance").desc_nulls_last(), "c_custkey").limit(1400)
+    return rows.orderBy(F.col("balance").desc_nulls_last(), "c_custkey")
 
 
 @query("o04_top_k", "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 20")

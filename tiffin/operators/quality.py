@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Observation, functions as F, types as
 
 from tiffin.functions.columns import money
 from tiffin.operators.windows import beside, framed, join_beside, percentiles
+from tiffin.session import durable
 
 DROP, WARN, FAIL = "drop", "warn", "fail"
 
@@ -119,7 +120,8 @@ def transitions(df: DataFrame, key: str, status: str, time: str, tie: str) -> Da
         lambda w: {"next_status": F.lead(status).over(w), "_next": F.lead(time).over(w)},
         after=1,
     ).filter(F.col("next_status").isNotNull())
-    timed = follow.select(status, "next_status", (F.unix_millis("_next") - F.unix_millis(time)).alias("_ms"))
+    # Written once: the figures and the medians both read it.
+    timed = durable(follow.select(status, "next_status", (F.unix_millis("_next") - F.unix_millis(time)).alias("_ms")), "transitions")
     group = [status, "next_status"]
     stats = timed.groupBy(*group).agg(
         F.count(F.lit(1)).alias("transitions"),

@@ -21,11 +21,6 @@ AGGREGATE = {"sum": F.sum, "count": F.count, "max": F.max, "min": F.min}
 LAST_STEP = {"sum": F.sum, "count": F.sum, "max": F.max, "min": F.min}
 
 
-def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    """Join condition on equally named columns; NULL matches NULL, as it does in a window."""
-    return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys], F.lit(True))
-
-
 def join_beside(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
     """Join on ``keys`` null-safely and keep one copy of them.
 
@@ -142,14 +137,10 @@ def value_ranks(
 ) -> DataFrame:
     """Rank columns for a table of distinct values with their row count ``_n``."""
     direction = F.col(by).desc_nulls_last() if descending else F.col(by).asc_nulls_last()
-    run = running(
-        counts.withColumn("_one", F.lit(1).cast("bigint")),
-        keys,
-        [direction],
-        {"_upto": ("sum", "_n"), "_dense": ("sum", "_one")},
-    )
+    placed = ordered(counts.withColumn("_one", F.lit(1).cast("bigint")), keys, [direction])  # counted once, read twice
+    run = running(placed, keys, [direction], {"_upto": ("sum", "_n"), "_dense": ("sum", "_one")})
     if {"percent_rank", "cume_dist"} & set(outputs.values()):
-        run = beside_total(run, counts, keys)
+        run = beside_total(run, placed, keys)
     rank = F.col("_upto") - F.col("_n") + 1
     forms = {
         "rank": lambda: rank,
@@ -159,7 +150,7 @@ def value_ranks(
         "percent_rank": lambda: F.when(F.col("_total") > 1, (rank - 1) / (F.col("_total") - 1)).otherwise(F.lit(0.0)),
         "cume_dist": lambda: F.col("_upto") / F.col("_total"),
     }
-    return run.withColumns({out: forms[kind]() for out, kind in outputs.items()}).drop("_one", "_dense")
+    return run.withColumns({out: forms[kind]() for out, kind in outputs.items()}).drop("_one", "_dense", "_pos")
 
 
 def framed(
@@ -281,8 +272,9 @@ def percentiles(df: DataFrame, keys: Sequence[str], by: str, outputs: dict[str,
     with a running count, and only the two values around each wanted position are kept.
     """
     counts = df.filter(F.col(by).isNotNull()).groupBy(*keys, by).agg(F.count(F.lit(1)).alias("_n"))
-    run = running(counts, keys, [F.col(by).asc()], {"_upto": ("sum", "_n")})
-    both = beside_total(run, counts, keys)
+    placed = ordered(counts, keys, [F.col(by).asc()])  # counted once, read twice
+    run = running(placed, keys, [F.col(by).asc()], {"_upto": ("sum", "_n")})
+    both = beside_total(run, placed, keys)
     picks = []
     for out, share in outputs.items():
         at = (F.col("_total") - 1) * F.lit(share)

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tiffin.functions.columns import above_tier, count_where, delivery_eta, delivery_fee, mean, money, percent, ratio, tier, total
+from tiffin.functions.columns import above_tier, delivery_eta, delivery_fee, mean, money, ratio, tier, total
 from tiffin.operators.aggs import share_of_total
 from tiffin.operators.windows import framed, rolling_mean
 from tiffin.sources.sinks import write_table
@@ -113,10 +113,3 @@ def daily_rolling(orders: DataFrame, time: str, amount: str, days: int = 7, min_
         daily, [], [F.col("order_day")], lambda w: {"rolling_avg": rolling_mean(F.col("_sum"), w, days, min_periods)}, before=days - 1
     )
     return rolled.select("order_day", "order_count", F.col("_sum").cast("double").alias("revenue"), "rolling_avg")
-
-
-def order_share(orders: DataFrame, condition: Column, key: str) -> DataFrame:
-    """Share of orders per key that meet a condition."""
-    return orders.groupBy(key).agg(
-        F.count(F.lit(1)).alias("orders"), percent(count_where(condition), F.count(F.lit(1))).alias("share_pct")
-    )

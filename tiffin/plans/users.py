@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tiffin.functions.columns import age_years, count_where, percent, ratio, total
+from tiffin.functions.columns import age_years, count_where, percent, ratio
 from tiffin.operators.aggs import completeness, most_frequent, share_of_total
 from tiffin.operators.cdc import scd1, scd2
 from tiffin.operators.windows import join_beside
@@ -86,11 +86,3 @@ def email_domains(users: DataFrame, email: Column) -> DataFrame:
     domain = F.lower(F.expr("substring(_email, locate('@', _email) + 1)"))
     counted = users.select(email.alias("_email")).filter(F.col("_email").isNotNull()).groupBy(domain.alias("email_domain"))
     return share_of_total(counted.agg(F.count(F.lit(1)).alias("user_count")), "user_count")
-
-
-def spend_by_segment(users: DataFrame, sales: DataFrame, segment: str) -> DataFrame:
-    """Users, buyers and revenue per segment."""
-    facts = sales.groupBy("user_id").agg(F.sum(F.col("amount").cast("decimal(18,2)")).alias("spent"))
-    return users.join(facts, "user_id", "left").groupBy(segment).agg(
-        F.count(F.lit(1)).alias("users"), F.count("spent").alias("buyers"), total("spent").alias("revenue")
-    )

@@ -4,11 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 # Lists the synthetic orders choose from.
-CITIES = ["São Paulo", "Rio de Janeiro", "Belo Horizonte", "Porto Alegre", "Curitiba"]
-STATUSES = ["placed", "preparing", "in_transit", "delivered", "cancelled"]
+STATUSES = ["placed", "confirmed", "preparing", "out_for_delivery", "delivered"]
+CITIES = ["São Paulo", "Rio de Janeiro", "Belo Horizonte", "Salvador", "Brasília"]
+CUISINES = ["Italian", "Brazilian", "Japanese", "Mexican", "Chinese", "American", "Indian"]
+
+
+def unit(seed: int, *columns: str) -> Column:
+    """A number in [0, 1) that follows the given columns, not the place of the row: a repeated task gives the same."""
+    return F.pmod(F.xxhash64(*[F.col(c) for c in columns], F.lit(seed)), F.lit(1_000_000)) / F.lit(1_000_000.0)
+
+
+def pick(values: Sequence[str], share: Column) -> Column:
+    return F.element_at(F.array(*[F.lit(v) for v in values]), (F.floor(share * len(values)) + 1).cast("int"))
 
 
 def number_sequence(df: DataFrame, first: str, last: str, out: str = "n") -> DataFrame:
@@ -28,34 +38,40 @@ def rows_from(spark: SparkSession, rows: Sequence[tuple], ddl: str) -> DataFrame
     return spark.createDataFrame(list(rows), ddl)
 
 
-def gen_orders(spark: SparkSession, n: int, seed: int = 7, hot_share: float = 0.9, hot_keys: int = 3, keys: int = 50) -> DataFrame:
+def gen_orders(spark: SparkSession, n: int, seed: int = 7, hot_share: float = 0.9, hot_keys: int = 3, keys: int = 500) -> DataFrame:
     """``n`` synthetic orders; ``hot_share`` of them fall on the first ``hot_keys`` restaurants."""
-    pick = lambda values, s: F.element_at(
-        F.array(*[F.lit(v) for v in values]), (F.floor(F.rand(s) * len(values)) + 1).cast("int")
-    )
-    hot = F.rand(seed) < hot_share
-    restaurant = F.when(hot, F.floor(F.rand(seed + 1) * hot_keys)).otherwise(
-        hot_keys + F.floor(F.rand(seed + 2) * (keys - hot_keys))
-    )
+    chance = lambda k: unit(seed + k, "id")
+    restaurant = F.when(chance(0) < hot_share, F.floor(chance(1) * hot_keys)).otherwise(hot_keys + F.floor(chance(2) * (keys - hot_keys)))
+    amount = lambda share, low, high: F.round(share * (high - low) + low, 2).cast("decimal(10,2)")
+    text, day = F.col("id").cast("string"), F.date_add(F.lit("2024-01-01").cast("date"), F.floor(chance(10) * 365).cast("int"))
     return spark.range(n).select(
-        F.concat(F.lit("ORD-"), F.lpad(F.col("id").cast("string"), 9, "0")).alias("order_id"),
-        restaurant.alias("restaurant_id"),
-        F.floor(F.rand(seed + 3) * 10_000).alias("user_id"),
-        F.round(F.rand(seed + 4) * 195 + 5, 2).cast("decimal(10,2)").alias("total_amount"),
-        pick(CITIES, seed + 5).alias("city"),
-        pick(STATUSES, seed + 6).alias("status"),
-        F.date_add(F.lit("2024-01-01").cast("date"), F.floor(F.rand(seed + 7) * 365).cast("int")).alias("order_date"),
+        F.concat(F.lit("ORD"), F.lpad(text, 12, "0")).alias("order_id"),
+        F.concat(F.lit("USER"), F.floor(chance(3) * 10_000).cast("string")).alias("user_key"),
+        F.concat(F.lit("REST"), restaurant.cast("string")).alias("restaurant_key"),
+        F.concat(F.lit("DRIVER"), F.floor(chance(4) * 2_000).cast("string")).alias("driver_key"),
+        amount(chance(5), 15, 95).alias("total_amount"),
+        amount(chance(6), 2, 10).alias("delivery_fee"),
+        amount(chance(7), 1, 6).alias("service_fee"),
+        day.alias("order_date"),
+        pick(STATUSES, chance(8)).alias("status"),
+        pick(CITIES, chance(9)).alias("city"),
+        pick(CUISINES, chance(11)).alias("cuisine_type"),
+        F.concat(F.lit("EMAIL"), text, F.lit("@domain"), F.floor(chance(12) * 10).cast("string"), F.lit(".com")).alias("customer_email"),
+        F.concat(F.lit("PHONE"), F.lpad(text, 12, "0")).alias("phone_number"),
+        F.date_format(day, "yyyy").alias("year"),
+        F.date_format(day, "MM").alias("month"),
+        F.date_format(day, "yyyy-MM").alias("year_month"),
     )
 
 
-def gen_shifts(drivers: DataFrame, driver: str, last_day, seed: int = 7) -> DataFrame:
-    """One random shift per driver in the 30 days before ``last_day``. The numbers follow the key, not the row order."""
-    unit = lambda salt: F.pmod(F.xxhash64(F.col(driver), F.lit(seed + salt)), F.lit(1_000_000)) / F.lit(1_000_000.0)
+def gen_shifts(drivers: DataFrame, driver: str, last_day: Column, seed: int = 7) -> DataFrame:
+    """One random shift per driver in the 30 days before ``last_day``."""
+    chance = lambda k: unit(seed + k, driver)
     return drivers.select(
         driver,
         F.lit("Day").alias("shift_type"),
-        F.date_sub(last_day, F.floor(unit(0) * 30).cast("int")).alias("start_date"),
-        (unit(1) * 500).alias("earnings"),
-        (unit(2) * 300).alias("shift_minutes"),
-        (unit(3) * 100).alias("distance_km"),
+        F.date_sub(last_day, F.floor(chance(0) * 30).cast("int")).alias("start_date"),
+        (chance(1) * 500).alias("earnings"),
+        (chance(2) * 300).alias("shift_minutes"),
+        (chance(3) * 100).alias("distance_km"),
     )
