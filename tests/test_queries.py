@@ -4,7 +4,7 @@ import pytest
 
 import __spark_entry__ as entry
 from check_queries import compare, views
-from tests.conftest import SMALL
+from tests.conftest import SMALL, plan
 
 ORACLES = entry.oracle_sql()
 
@@ -16,7 +16,10 @@ def con():
 
 @pytest.mark.parametrize("name", sorted(entry.queries()))
 def test_query(spark, con, name):
-    compare(entry.queries()[name](spark, SMALL), con, ORACLES.get(name))
+    df = entry.queries()[name](spark, SMALL)
+    compare(df, con, ORACLES.get(name))
+    text = plan(df)
+    assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
 
 
 def test_entry(spark):

@@ -203,3 +203,56 @@ def test_jdbc_reads(spark):
 def test_schema_diff(spark):
     df = spark.createDataFrame([(1, 2)], "ID int, extra int")
     assert jdbc.schema_diff(df, ["id", "name"]) == (["extra"], ["name"])
+
+
+def test_lake_layers(spark, tmp_path):
+    """Gold tables from the written layers equal those computed directly; the hour of an order survives."""
+    import datetime as dt
+
+    from tiffin.plans import lake
+
+    restaurants = spark.createDataFrame(
+        [(1, "A", "x", "c1", 4.6, 10), (2, "B", "y", "c1", 3.0, 20), (3, "N", "y", "c2", None, 1)],
+        "restaurant_id int, name string, cuisine string, city string, rating double, reviews int",
+    )
+    drivers = spark.createDataFrame([(7, "D", "c1", "bike"), (8, "E", "c2", "car")], "driver_id int, driver_name string, city string, vehicle string")
+    sales = spark.createDataFrame(
+        [(1, 1, 7, 10.0, dt.datetime(2024, 1, 1, 9)), (2, 1, 7, 20.5, dt.datetime(2024, 2, 1, 21)), (3, 2, 7, None, dt.datetime(2024, 2, 1, 21))],
+        "order_id int, restaurant_id int, driver_id int, amount double, order_date timestamp",
+    )
+    base = str(tmp_path / "lake")
+    lake.build_lake(restaurants, drivers, sales, base, [(4.5, "Excellent")])
+    gold = lambda name: files.read_table(spark, f"{base}/gold/{name}")
+    assert rows(gold("restaurant_performance"), "name", "rating_category", "order_count", "total_revenue", "avg_order_value") == [
+        ("A", "Excellent", 2, 30.5, 15.25), ("B", "Below Average", 0, None, None)
+    ]
+    assert rows(gold("cuisine_performance"), "cuisine", "total_orders", "total_revenue") == [("x", 2, 30.5), ("y", 0, None)]
+    assert rows(gold("driver_performance"), "driver_name", "delivery_count", "total_revenue") == [("D", 2, 30.5), ("E", 0, None)]
+    assert rows(gold("time_analytics"), "month", "hour", "order_count") == [(1, 9, 1), (2, 21, 1)]
+
+
+def test_relational_job_writes_every_table(spark, monkeypatch):
+    from tiffin.plans import lake
+
+    written = []
+    monkeypatch.setattr(lake, "write_jdbc", lambda df, url, name, mode, properties: written.append((name, mode, df.columns[0])))
+    lake.load_relational({"a": spark.range(1), "b": spark.range(1)}, "jdbc:x", {})
+    assert written == [("a", "overwrite", "id"), ("b", "overwrite", "id")]
+
+
+def test_staged_refresh_stops_on_a_short_load(spark, monkeypatch):
+    statements = []
+    monkeypatch.setattr(jdbc, "write_jdbc", lambda *a, **k: None)
+
+    class Frame:
+        def __init__(self, loaded):
+            self.sparkSession = FakeReader(spark, spark.createDataFrame([(loaded,)], "n bigint"))
+
+        def count(self):
+            return 3
+
+    with pytest.raises(ValueError):
+        jdbc.staged_refresh(Frame(2), "jdbc:x", "orders", statements.extend)
+    assert not statements
+    assert jdbc.staged_refresh(Frame(3), "jdbc:x", "orders", statements.extend) == 3
+    assert [s.split()[0] for s in statements] == ["DROP", "ALTER", "ALTER", "DROP"]

@@ -45,6 +45,12 @@ def test_framed_equals_lag_and_lead(skewed, keys, block):
     assert rows(got) == rows(want)
 
 
+def test_a_hot_key_is_spread_over_slices(spark):
+    df = spark.range(8000).select(F.when(F.col("id") % 10 < 9, "hot").otherwise("cold").alias("k"), "id")
+    slices = win.ordered(df, ["k"], ["id"], parts=8).groupBy(F.shiftright("_pos", win.SLICE_BITS)).count()
+    assert slices.agg(F.max("count")).first()[0] < 2500
+
+
 def test_frame_longer_than_block_is_refused(skewed):
     with pytest.raises(ValueError):
         win.framed(skewed, [], ORDER, lambda w: {}, before=10, block=5)
