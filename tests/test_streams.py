@@ -97,3 +97,52 @@ def test_sliding_windows(spark):
     df = spark.createDataFrame([(1, "a", at(5)), (2, "a", at(12))], DDL)
     got = st.windowed(df, "ts", "10 minutes", {"n": F.count("*")}, slide="5 minutes")
     assert rows(got, "window_start", "n") == [(at(0), 1), (at(5), 2), (at(10), 1)]
+
+
+def test_realtime_delivery_job(spark, tmp_path):
+    """Two runs of the whole job; the second one brings the updates that close the first orders."""
+    import json
+
+    from tiffin.plans import realtime
+
+    orders, status, base = tmp_path / "orders", tmp_path / "status", str(tmp_path / "job")
+    orders.mkdir(), status.mkdir()
+
+    def put(folder, name, items):
+        (folder / name).write_text("\n".join(json.dumps(i) for i in items))
+
+    def order(key, minute, amount=50.0, driver="d1"):
+        return {"order_id": key, "user_key": "u", "restaurant_key": "r1", "driver_key": driver, "order_date": str(at(minute)),
+                "total_amount": amount, "dt_current_timestamp": str(at(minute))}
+
+    def update(number, key, name, minute, epoch=int):
+        millis = epoch(at(minute).replace(tzinfo=dt.timezone.utc).timestamp() * 1000)
+        return {"status_id": number, "order_identifier": key, "status": {"status_name": name, "timestamp": millis},
+                "dt_current_timestamp": str(at(minute))}
+
+    put(orders, "1.json", [order("late", 0), order("done", 1), order("alone", 2), order("cheap", 3, 5.0), order("bad", 3, -1.0)])
+    put(status, "1.json", [
+        update(1, "late", "Preparing", 60), update(2, "done", "Delivered", 20, float), update(3, "cheap", "Preparing", 70), update(4, "bad", "Preparing", 50),
+    ])
+    realtime.run(spark, str(orders), str(status), base)
+    put(orders, "2.json", [order("flush", 1000, driver="d2")])
+    put(status, "2.json", [update(5, "flush", "Delivered", 1001)])
+    realtime.run(spark, str(orders), str(status), base)
+    put(orders, "3.json", [order("end", 3000, driver="d2")])
+    put(status, "3.json", [update(6, "end", "Delivered", 3001)])
+    paths = realtime.run(spark, str(orders), str(status), base)
+
+    silver = spark.read.parquet(paths["order_status"])
+    assert rows(silver, "order_id", "current_status", "delivery_time_minutes", "is_delivered", "event_severity") == sorted([
+        ("alone", None, None, None, "NORMAL"), ("cheap", "Preparing", 67.0, False, "CRITICAL"), ("done", "Delivered", 19.0, True, "CRITICAL"),
+        ("end", "Delivered", 1.0, True, "INFO"), ("flush", "Delivered", 1.0, True, "INFO"), ("late", "Preparing", 60.0, False, "CRITICAL"),
+    ])
+    message = spark.read.parquet(paths["alerts_published"]).collect()
+    assert [m.key for m in message] == ["late"]
+    assert json.loads(message[0].value)["message"] == "Order late is delayed (60.0 minutes). Driver: d1"
+    drivers = st.latest_groups(spark, paths["driver_performance"], ["driver_key"])
+    assert rows(drivers, "driver_key", "order_count", "completed_orders", "pending_orders") == [("d1", 4, 1, 2), ("d2", 2, 2, 0)]
+    buckets = st.latest_groups(spark, paths["time_distribution"], ["time_bucket"])
+    assert rows(buckets, "time_bucket", "order_count") == [("Fast (15-30min)", 1), ("Slow (>45min)", 2), ("Very Fast (<15min)", 2)]
+    health = spark.read.parquet(paths["system_health"])
+    assert rows(health.filter(F.col("window_start") == at(0)), "order_count", "delayed_orders", "active_restaurants") == [(4, 3, 1)]

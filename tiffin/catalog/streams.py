@@ -16,7 +16,7 @@ from tiffin.operators.aggs import share_of_total
 from tiffin.session import scratch_path
 from tiffin.sources.files import add_lineage, stream_files
 from tiffin.streaming import streams as st
-from tiffin.streaming.delivery import actionable_alerts, delivery_measures, enrich_delivery, time_bucket, to_messages
+from tiffin.streaming.delivery import actionable_alerts, delay_message, delivery_measures, enrich_delivery, time_bucket, to_messages
 
 SENTINEL_USER = -1
 
@@ -291,8 +291,10 @@ def e03_distribution(t):
 
 
 @query("e03_alert_messages", ENRICH_SQL + """
-SELECT CAST(order_id AS VARCHAR) AS key, '{"order_id":' || order_id || ',"alert_type":"DELIVERY_DELAY","current_status":"' || current_status || '"}' AS value
+SELECT CAST(order_id AS VARCHAR) AS key, '{"order_id":' || order_id || ',"alert_type":"DELIVERY_DELAY","current_status":"' || current_status
+  || '","message":"Order ' || order_id || ' is delayed (' || round(delivery_time_minutes, 2) || ' minutes). Driver: ' || user_id || '"}' AS value
 FROM enriched WHERE delivery_time_minutes > 45 AND NOT is_delivered AND total_amount >= 20 AND delivery_time_minutes < 180 AND current_status = 'click'""")
 def e03_alerts(t):
     alerts = actionable_alerts(streamed_deliveries(t, "inner"), 45, 20, 180, ["click"])
-    return to_messages(alerts, "order_id", ["order_id", F.lit("DELIVERY_DELAY").alias("alert_type"), "current_status"])
+    return to_messages(alerts, "order_id", ["order_id", F.lit("DELIVERY_DELAY").alias("alert_type"), "current_status",
+                                          delay_message(driver="user_id").alias("message")])
