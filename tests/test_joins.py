@@ -17,6 +17,16 @@ def test_salted_join_equals_plain_join(spark):
         assert rows(got, "id", "k", "n") == want
 
 
+def test_salted_left_join_keeps_unmatched_and_null_keys(spark):
+    facts = spark.createDataFrame([(1, "hot"), (2, "hot"), (3, "a"), (4, None), (5, "none")], "id int, k string")
+    names = spark.createDataFrame([("a", 3), ("b", 4)], "k string, n int")
+    want = rows(facts.join(names, "k", "left"), "id", "k", "n")
+    for hot in (["hot"], ["a", "hot"], []):
+        assert rows(joins.salted_join(facts, names, "k", salts=3, hot=hot, how="left"), "id", "k", "n") == want
+    with pytest.raises(ValueError):
+        joins.salted_join(facts, names, "k", how="full")
+
+
 def test_hot_keys_are_found_by_share(spark):
     df = spark.createDataFrame([("h",)] * 8 + [("a",), ("b",)], "k string")
     assert rows(joins.hot_keys(df, "k", 0.5)) == [("h",)]

@@ -146,3 +146,35 @@ def test_realtime_delivery_job(spark, tmp_path):
     assert rows(buckets, "time_bucket", "order_count") == [("Fast (15-30min)", 1), ("Slow (>45min)", 2), ("Very Fast (<15min)", 2)]
     health = spark.read.parquet(paths["system_health"])
     assert rows(health.filter(F.col("window_start") == at(0)), "order_count", "delayed_orders", "active_restaurants") == [(4, 3, 1)]
+
+
+def test_silver_rules_work_on_a_stream(spark, tmp_path):
+    from tiffin.plans.restaurants import silver_ratings
+
+    source, sink, checkpoint = (str(tmp_path / n) for n in ("in", "out", "cp"))
+    ddl = "restaurant_id int, rating int"
+    arrive(spark, source, [(1, 5), (1, 9), (None, 3), (2, None)], ddl)
+    st.append_files(silver_ratings(stream_files(spark, source, ddl), 0, 5), sink, checkpoint)
+    assert rows(spark.read.parquet(sink)) == [(1, 5)]
+
+
+def test_change_feeds_into_current_state_and_history(spark, tmp_path):
+    from tiffin.plans import users
+
+    one, two, base = (str(tmp_path / n) for n in ("one", "two", "job"))
+    first, second = "cpf string, seq bigint, operation string, city string", "cpf string, seq bigint, operation string, job string"
+    arrive(spark, one, [("a", 1, "INSERT", "x"), ("b", 2, "INSERT", "y")], first)
+    arrive(spark, two, [("a", 3, "UPDATE", "cook")], second)
+    run = lambda: users.run_feeds(
+        stream_files(spark, one, first), stream_files(spark, two, second), base, "cpf", "seq", "operation"
+    )
+    paths = run()
+    current = lambda: rows(st.current_state(spark, paths["current"], ["cpf"], "seq"), "cpf", "city", "job")
+    assert current() == [("a", None, "cook"), ("b", "y", None)]  # the later source overwrites with NULL
+    arrive(spark, one, [("b", 5, "DELETE", None), ("a", 4, "UPDATE", "z")], first)
+    run()
+    assert current() == [("a", "z", None)]
+    staged = spark.read.parquet(paths["staging"])
+    assert staged.count() == 5
+    history = users.user_history(staged, "cpf", "seq", "operation", ["city", "job"])
+    assert rows(history, "cpf", "__START_AT", "__END_AT") == [("a", 1, 3), ("a", 3, 4), ("a", 4, None), ("b", 2, 5)]

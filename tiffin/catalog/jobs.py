@@ -7,12 +7,13 @@ from tiffin.catalog.aggregates import REST
 from tiffin.catalog.functions import TIER_SQL
 from tiffin.catalog.joining import BUYS, VIEWS, views_and_buys
 from tiffin.catalog.projections import PRICE_TIERS
-from tiffin.catalog.registry import query
+from tiffin.catalog.registry import SCHEMAS, query
 from tiffin.functions import columns as c
 from tiffin.operators import cdc, joins
 from tiffin.plans import lake, orders as orders_plan, restaurants as rest_plan, users as users_plan
 from tiffin.session import scratch_path
-from tiffin.sources.files import read_table
+from tiffin.sources.files import read_table, stream_files
+from tiffin.streaming.streams import current_state
 
 BASE = r.with_ctes(r.RESTAURANTS, r.SALES, r.DRIVERS)
 TIMED = r.with_ctes(r.RESTAURANTS, r.TIMED_SALES, r.DRIVERS)
@@ -211,24 +212,28 @@ cur AS (SELECT f.user_id, arg_max(city, seq) FILTER (city IS NOT NULL AND seq >
   arg_max(props, seq) FILTER (props IS NOT NULL AND seq > last_del) AS props FROM f JOIN d USING (user_id) WHERE last_seq != last_del GROUP BY 1)"""
 
 
-def change_feeds(t):
+def change_feeds(events):
     """Views and clicks from one system, purchases and sign-ups from the other; errors delete."""
     kind = F.col("event_type")
     operation = F.when(kind == "error", "DELETE").when(kind == "signup", "INSERT").otherwise("UPDATE").alias("operation")
-    delivery = t.events.filter(kind.isin("view", "click", "error"))
+    delivery = events.filter(kind.isin("view", "click", "error"))
     gone = kind == "error"
     first = delivery.select(
         "user_id", F.col("event_id").alias("seq"), operation, F.when(~gone, kind).alias("city"), F.when(~gone, F.col("value")).alias("amount")
     )
-    second = t.events.filter(kind.isin("purchase", "signup")).select("user_id", F.col("event_id").alias("seq"), operation, "props")
-    return users_plan.merge_feeds(first, second)
+    second = events.filter(kind.isin("purchase", "signup")).select("user_id", F.col("event_id").alias("seq"), operation, "props")
+    return first, second
+
+
+def merged_feeds(t):
+    return users_plan.merge_feeds(*change_feeds(t.events))
 
 
 @query("e06_demographics", r.with_ctes(FEEDS_SQL) + """
 SELECT city, count(DISTINCT user_id) AS total_users, count(DISTINCT CASE WHEN amount IS NOT NULL THEN user_id END) AS users_with_amount,
   count(DISTINCT CASE WHEN props IS NOT NULL THEN user_id END) AS users_with_props FROM cur GROUP BY city""")
 def e06(t):
-    current = users_plan.current_users(change_feeds(t), "user_id", "seq", "operation", ignore_nulls=True)
+    current = users_plan.current_users(merged_feeds(t), "user_id", "seq", "operation", ignore_nulls=True)
     return users_plan.demographics(current, "city", "user_id", ["amount", "props"])
 
 
@@ -236,7 +241,14 @@ def e06(t):
 SELECT user_id, city, amount, props FROM f JOIN d USING (user_id) WHERE seq = last_seq AND NOT del""")
 def e06_plain(t):
     # A later change of one source writes NULL over the columns of the other, as the plain union does.
-    return users_plan.current_users(change_feeds(t), "user_id", "seq", "operation")
+    return users_plan.current_users(merged_feeds(t), "user_id", "seq", "operation")
+
+
+@query("e06_stream_current", r.with_ctes(FEEDS_SQL) + "SELECT user_id, city, amount, props FROM f JOIN d USING (user_id) WHERE seq = last_seq AND NOT del")
+def e06_stream(t):
+    stream = stream_files(t.spark, t.folder, SCHEMAS["events"], pattern="events.parquet")
+    paths = users_plan.run_feeds(*change_feeds(stream), scratch_path(t.spark, "feeds"), "user_id", "seq", "operation")
+    return current_state(t.spark, paths["current"], ["user_id"], "seq").select("user_id", "city", "amount", "props")
 
 
 @query("e06_history", r.with_ctes(FEEDS_SQL, """l AS (SELECT *, lag(seq) OVER w AS ps, lag(del) OVER w AS pd, lag(city) OVER w AS pc, lag(props) OVER w AS pp FROM f
@@ -246,7 +258,7 @@ def e06_plain(t):
 SELECT g.user_id, f.city, f.amount, f.props, __START_AT, coalesce(del_at, lead(__START_AT) OVER (PARTITION BY g.user_id ORDER BY ver)) AS __END_AT
 FROM g JOIN f ON f.user_id = g.user_id AND f.seq = last_at""")
 def e06_history(t):
-    return users_plan.user_history(change_feeds(t), "user_id", "seq", "operation", ["city", "props"])
+    return users_plan.user_history(merged_feeds(t), "user_id", "seq", "operation", ["city", "props"])
 
 
 # ---------------------------------------------------------------- E7 SQL script reports

@@ -27,13 +27,16 @@ def salted_join(
     hot: Sequence | None = None,
     share: float = 0.01,
     salt_by: Sequence[str] | None = None,
+    how: str = "inner",
 ) -> DataFrame:
-    """Inner join on ``key`` with the hot keys of ``left`` spread over ``salts`` tasks.
+    """Inner or left join on ``key`` with the hot keys of ``left`` spread over ``salts`` tasks.
 
     Hot keys are given, or found as those above ``share`` of the rows (at most ``1 / share`` keys, hence the
     broadcast). The salt is a hash of row content, so a repeated task gives the same rows; ``right`` rows of hot keys
     are copied once per salt. Cold rows take the plain join.
     """
+    if how not in ("inner", "left"):
+        raise ValueError("how is inner or left: only the left side is salted")
     spark = left.sparkSession
     if hot is None:
         keys = hot_keys(left, key, share)
@@ -49,8 +52,8 @@ def salted_join(
     )
     cold_left = left.join(keys, F.col(key) == F.col("_hot"), "left_anti")
     cold_right = right.join(keys, F.col(key) == F.col("_hot"), "left_anti")
-    hot_rows = hot_left.join(hot_right, [key, "_salt"]).drop("_salt")
-    return hot_rows.unionByName(cold_left.join(cold_right, key))
+    hot_rows = hot_left.join(hot_right, [key, "_salt"], how).drop("_salt")
+    return hot_rows.unionByName(cold_left.join(cold_right, key, how))
 
 
 def interval_join(

@@ -10,6 +10,8 @@ from tiffin.functions.columns import age_years, count_where, percent, ratio
 from tiffin.operators.aggs import completeness, most_frequent, share_of_total
 from tiffin.operators.cdc import scd1, scd2
 from tiffin.operators.windows import join_beside
+from tiffin.sources.files import stream_files
+from tiffin.streaming.streams import append_files, merge_state
 
 # Age groups of the user report.
 AGE_GROUPS = [
@@ -68,6 +70,20 @@ def user_history(changes: DataFrame, key: str, seq: str, operation: str, track:
     return scd2(changes, [key], seq, track, F.col(operation) == "DELETE", exclude=[operation])
 
 
+def run_feeds(first: DataFrame, second: DataFrame, base: str, key: str, seq: str, operation: str) -> dict[str, str]:
+    """Two change streams into one staging table and, from there, the current state per key.
+
+    ``user_history`` over the staging table gives the versions. Running it again takes up new changes.
+    """
+    paths = {name: f"{base}/{name}" for name in ("staging", "current")}
+    marks = {name: f"{base}/checkpoints/{name}" for name in paths}
+    changes = merge_feeds(first, second)
+    append_files(changes, paths["staging"], marks["staging"])
+    staged = stream_files(changes.sparkSession, paths["staging"], changes.schema)
+    merge_state(staged, paths["current"], marks["current"], [key], seq, F.col(operation) == "DELETE")
+    return paths
+
+
 def demographics(current: DataFrame, group: str, key: str, fields: Sequence[str]) -> DataFrame:
     """Users per group and those with each field."""
     known = [F.countDistinct(F.when(F.col(f).isNotNull(), F.col(key))).alias(f"users_with_{f}") for f in fields]
