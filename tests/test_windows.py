@@ -60,7 +60,7 @@ def test_frame_longer_than_block_is_refused(skewed):
 @pytest.mark.parametrize("descending", [True, False])
 def test_ranks(skewed, keys, descending):
     kinds = {"r": "rank", "d": "dense_rank", "p": "percent_rank", "c": "cume_dist"}
-    by = F.col("v").desc_nulls_last() if descending else F.col("v").asc_nulls_last()
+    by = F.col("v").desc() if descending else F.col("v").asc()
     w = W.partitionBy(*keys).orderBy(by)
     got = win.ranks(skewed, keys, "v", kinds, descending)
     want = skewed.select(
@@ -76,6 +76,16 @@ def test_average_rank_is_mean_of_positions(spark):
     assert rows(got, "id", "a", "m") == [(1, 1.0, 1), (2, 2.5, 3), (3, 2.5, 3), (4, 4.0, 4)]
 
 
+def test_pandas_rank_leaves_null_out(skewed):
+    methods = ["average", "min", "max", "dense"]
+    got = win.pandas_rank(skewed, ["k"], "v", {m: m for m in methods}, ascending=False)
+    frame = skewed.toPandas()
+    frame["k"] = frame["k"].fillna("null")
+    ranked = {m: frame.groupby("k")["v"].rank(method=m, ascending=False) for m in methods}
+    want = {int(i): tuple(None if ranked[m].isna()[at] else float(ranked[m][at]) for m in methods) for at, i in enumerate(frame["id"])}
+    assert {r.id: tuple(None if r[m] is None else float(r[m]) for m in methods) for r in got.collect()} == want
+
+
 def test_single_row_percent_rank_is_zero(spark):
     df = spark.createDataFrame([("a", 1)], "k string, v int")
     assert rows(win.ranks(df, ["k"], "v", {"p": "percent_rank"}), "p") == [(0.0,)]

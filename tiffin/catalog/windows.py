@@ -187,8 +187,8 @@ SELECT p_partkey, p_type, p_size, rank() OVER w AS min_rank, dense_rank() OVER w
   rank() OVER w + (count(*) OVER (PARTITION BY p_type, p_size) - 1) / 2.0 AS average_rank
 FROM part WINDOW w AS (PARTITION BY p_type ORDER BY p_size DESC)""")
 def w17(t):
-    kinds = {"min_rank": "rank", "dense": "dense_rank", "average_rank": "average_rank"}
-    return win.ranks(t.part.select("p_partkey", "p_type", "p_size"), ["p_type"], "p_size", kinds, descending=True)
+    methods = {"min_rank": "min", "dense": "dense", "average_rank": "average"}
+    return win.pandas_rank(t.part.select("p_partkey", "p_type", "p_size"), ["p_type"], "p_size", methods, ascending=False)
 
 
 @query("w18_cumcount", "SELECT p_partkey, p_type, row_number() OVER (PARTITION BY p_type ORDER BY p_partkey) - 1 AS cumcount FROM part")

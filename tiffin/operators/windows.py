@@ -94,6 +94,11 @@ def number_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str
     )
 
 
+def sorting(by: str, descending: bool) -> Column:
+    """Spark's default place for NULL: first when ascending, last when descending."""
+    return F.col(by).desc_nulls_last() if descending else F.col(by).asc_nulls_first()
+
+
 def ranks(
     df: DataFrame,
     keys: Sequence[str],
@@ -104,7 +109,8 @@ def ranks(
     """Rank functions over one value column.
 
     ``outputs`` maps an output column to rank, dense_rank, percent_rank, cume_dist, average_rank or max_rank.
-    Ties are counted before the shuffle, so neither a hot key nor a hot value reaches one task. NULL sorts last.
+    Ties are counted before the shuffle, so neither a hot key nor a hot value reaches one task. NULL sorts first when
+    ascending and last when descending, as in Spark SQL; ``average_rank`` follows pandas and gives NULL for it.
     """
     values = value_ranks(df.groupBy(*keys, by).agg(F.count(F.lit(1)).alias("_n")), keys, by, outputs, descending)
     return join_beside(df, values.select(*keys, by, *outputs), [*keys, by])
@@ -125,6 +131,20 @@ def ranks_many(df: DataFrame, specs: Sequence[tuple[Sequence[str], str, dict[str
     return result
 
 
+def pandas_rank(
+    df: DataFrame, keys: Sequence[str], by: str, outputs: dict[str, str], ascending: bool = True
+) -> DataFrame:
+    """``groupby(keys)[by].rank(method)``; ``outputs`` maps an output column to average, min, max or dense.
+
+    NULL takes no part and gets NULL.
+    """
+    kinds = {"average": "average_rank", "min": "rank", "max": "max_rank", "dense": "dense_rank"}
+    known = df.filter(F.col(by).isNotNull())
+    counts = known.groupBy(*keys, by).agg(F.count(F.lit(1)).alias("_n"))
+    values = value_ranks(counts, keys, by, {out: kinds[method] for out, method in outputs.items()}, not ascending)
+    return join_beside(df, values.select(*keys, by, *outputs), [*keys, by], "left")
+
+
 def beside_total(rows: DataFrame, counts: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Sum of ``_n`` per key as ``_total``; without keys a scalar subquery."""
     if not keys:
@@ -136,7 +156,7 @@ def value_ranks(
     counts: DataFrame, keys: Sequence[str], by: str, outputs: dict[str, str], descending: bool = False
 ) -> DataFrame:
     """Rank columns for a table of distinct values with their row count ``_n``."""
-    direction = F.col(by).desc_nulls_last() if descending else F.col(by).asc_nulls_last()
+    direction = sorting(by, descending)
     placed = ordered(counts.withColumn("_one", F.lit(1).cast("bigint")), keys, [direction])  # counted once, read twice
     run = running(placed, keys, [direction], {"_upto": ("sum", "_n"), "_dense": ("sum", "_one")})
     if {"percent_rank", "cume_dist"} & set(outputs.values()):
@@ -146,7 +166,7 @@ def value_ranks(
         "rank": lambda: rank,
         "dense_rank": lambda: F.col("_dense"),
         "max_rank": lambda: F.col("_upto"),
-        "average_rank": lambda: rank + (F.col("_n") - 1) / F.lit(2.0),
+        "average_rank": lambda: F.when(F.col(by).isNotNull(), rank + (F.col("_n") - 1) / F.lit(2.0)),
         "percent_rank": lambda: F.when(F.col("_total") > 1, (rank - 1) / (F.col("_total") - 1)).otherwise(F.lit(0.0)),
         "cume_dist": lambda: F.col("_upto") / F.col("_total"),
     }
@@ -217,8 +237,7 @@ def running_with_ties(
 ) -> DataFrame:
     """Running sum with the default RANGE frame: rows with an equal ``by`` share the sum."""
     sums = df.groupBy(*keys, by).agg(F.sum(value).alias("_v"))
-    order = [F.col(by).desc_nulls_last() if descending else F.col(by).asc_nulls_last()]
-    run = running(sums, keys, order, {out: ("sum", "_v")}).drop("_v")
+    run = running(sums, keys, [sorting(by, descending)], {out: ("sum", "_v")}).drop("_v")
     return join_beside(df, run, [*keys, by])
 
 
@@ -241,7 +260,7 @@ def top_ranked(
 
     Ranks come from the first ``n`` distinct values per key, so a large tie does not reach one task.
     """
-    order = F.col(by).desc_nulls_last() if descending else F.col(by).asc_nulls_last()
+    order = sorting(by, descending)
     counts = df.groupBy(*keys, by).agg(F.count(F.lit(1)).alias("_n"))
     first = top_rows(counts, keys, [order], n, "_dense")
     if method == "rank":
