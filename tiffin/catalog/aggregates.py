@@ -7,7 +7,7 @@ from tiffin.catalog.projections import ENRICHED_SQL, deliveries
 from tiffin.catalog.registry import query
 from tiffin.functions import columns as c
 from tiffin.operators import aggs, windows as win
-from tiffin.streaming.delivery import time_bucket
+from tiffin.streaming.delivery import commission, time_bucket
 
 REST = r.with_ctes(r.RESTAURANTS)
 
@@ -125,6 +125,14 @@ def a08_buckets(t):
     )
 
 
+@query("a08_commission", """
+SELECT CASE WHEN value < 30 THEN 'small' WHEN value < 60 THEN 'medium' ELSE 'large' END AS size, user_id,
+  CAST(sum(CAST(value AS DECIMAL(18,2))) * CAST('0.15' AS DECIMAL(4,2)) AS DOUBLE) AS commission FROM events GROUP BY 1, 2""")
+def a08_commission(t):
+    size = time_bucket("value", [(30, "small"), (60, "medium")], "large")
+    return t.events.groupBy(size.alias("size"), "user_id").agg(commission("value").alias("commission"))
+
+
 @query("a09_stddev", """
 SELECT p_type, round(stddev_samp(p_retailprice), 4) AS sd, round(var_samp(p_retailprice), 3) AS var FROM part GROUP BY p_type""")
 def a09(t):

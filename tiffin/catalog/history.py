@@ -8,6 +8,7 @@ from tiffin.catalog.registry import query
 from tiffin.operators import cdc, joins, quality as q
 from tiffin.session import scratch_path
 from tiffin.sources import sinks
+from tiffin.streaming.delivery import delivery_rules
 
 STATE_SQL = r.with_ctes(SNAPSHOTS) + "SELECT * FROM new_s"
 SEEN = ["ts", "event_id"]
@@ -252,6 +253,29 @@ def c16_report(t):
     return q.rule_report(t.orders, RULES)
 
 
+DELIVERY_RULES_SQL = " UNION ALL ".join(
+    f"SELECT '{name}' AS rule, '{action}' AS action, {r.n_if(broken)} AS broken, count(*) AS row_count FROM d"
+    for name, action, broken in [
+        ("valid_order_id", "drop", "o_orderkey IS NULL"), ("valid_order_date", "drop", "o_orderdate IS NULL"),
+        ("reasonable_order_date", "drop", "NOT o_orderdate BETWEEN TIMESTAMP '1996-01-01' AND TIMESTAMP '2001-01-01'"),
+        ("valid_restaurant_key", "drop", "o_custkey IS NULL"), ("valid_driver_key", "drop", "driver IS NULL"),
+        ("valid_total_amount", "drop", "o_totalprice IS NULL"), ("positive_amount", "drop", "o_totalprice <= 0"),
+        ("reasonable_amount", "warn", "o_totalprice >= 400000"), ("valid_status", "drop", "o_orderstatus IS NULL"),
+        ("known_status", "warn", "o_orderstatus NOT IN ('F', 'O')"),
+    ]
+)
+
+
+@query("c16_delivery_rules", "WITH d AS (SELECT *, nullif(o_orderpriority, '5-LOW') AS driver FROM orders) " + DELIVERY_RULES_SQL)
+def c16_delivery(t):
+    rows = t.orders.select(
+        F.col("o_orderkey").alias("order_id"), F.col("o_orderdate").alias("order_date"), F.col("o_custkey").alias("restaurant_key"),
+        F.nullif("o_orderpriority", F.lit("5-LOW")).alias("driver_key"), F.col("o_totalprice").alias("total_amount"),
+        F.col("o_orderstatus").alias("status_name"),
+    )
+    return q.rule_report(rows, delivery_rules("2001-01-01", "1996-01-01", 400000, ["F", "O"]))
+
+
 @query("c16_null_passes", "SELECT o_orderkey FROM orders")
 def c16_null(t):
     # The same rule lets rows with a NULL answer pass when the policy says so.

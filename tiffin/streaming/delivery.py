@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tiffin.functions.columns import count_where, minutes_between, percent, ratio
+from tiffin.operators.quality import WARN, Rule
 
 # Buckets of the delivery-time report. The last label also covers exactly 45 minutes.
 TIME_BUCKETS = [(15, "Very Fast (<15min)"), (30, "Fast (15-30min)"), (45, "Normal (30-45min)")]
@@ -67,12 +68,42 @@ def delay_message(order: str = "order_id", driver: str = "driver_key") -> Column
     )
 
 
-def time_bucket(minutes: str = "delivery_time_minutes") -> Column:
-    value = F.col(minutes)
-    result = None
-    for edge, label in TIME_BUCKETS:
+def time_bucket(
+    minutes: str = "delivery_time_minutes", edges: Sequence[tuple[float, str]] = TIME_BUCKETS, slowest: str = SLOWEST
+) -> Column:
+    """Label of the first edge above the minutes. Rows without minutes have to be left out before."""
+    value, result = F.col(minutes), None
+    for edge, label in edges:
         result = F.when(value < edge, label) if result is None else result.when(value < edge, label)
-    return result.otherwise(SLOWEST)
+    return result.otherwise(slowest)
+
+
+def commission(amount: str = "total_amount", share: str = "0.15") -> Column:
+    """Exact share of the summed amount."""
+    return (F.sum(F.col(amount).cast("decimal(18,2)")) * F.lit(share).cast("decimal(4,2)")).cast("double")
+
+
+# Status names the delivery feed is expected to hold.
+KNOWN_STATUS = ("pending", "confirmed", "preparing", "out_for_delivery", "delivered", "cancelled")
+
+
+def delivery_rules(
+    latest: str, earliest: str = "2020-01-01", most: float = 10_000, statuses: Sequence[str] = KNOWN_STATUS
+) -> list[Rule]:
+    """Row rules of the delivery table. An unusual amount or status only warns."""
+    day, amount, status = F.col("order_date"), F.col("total_amount"), F.col("status_name")
+    return [
+        Rule("valid_order_id", F.col("order_id").isNotNull()),
+        Rule("valid_order_date", day.isNotNull()),
+        Rule("reasonable_order_date", day.between(F.lit(earliest).cast("timestamp"), F.lit(latest).cast("timestamp"))),
+        Rule("valid_restaurant_key", F.col("restaurant_key").isNotNull()),
+        Rule("valid_driver_key", F.col("driver_key").isNotNull()),
+        Rule("valid_total_amount", amount.isNotNull()),
+        Rule("positive_amount", amount > 0),
+        Rule("reasonable_amount", amount < most, WARN),
+        Rule("valid_status", status.isNotNull()),
+        Rule("known_status", status.isin(*statuses), WARN),
+    ]
 
 
 def delivery_measures(amount: str = "total_amount", order_time: str = "order_event_time",
