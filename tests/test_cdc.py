@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
-from tiffin.operators import cdc
+from tiffin.operators import cdc, windows
 
 DDL = "k string, seq int, op string, city string, note string"
 
@@ -42,7 +42,9 @@ def model_scd2(changes):
 
 
 @pytest.mark.parametrize("seed", [1, 2])
-def test_scd2_in_any_order(spark, seed):
+@pytest.mark.parametrize("limit", [1, 1000])
+def test_scd2_in_any_order(spark, monkeypatch, seed, limit):
+    monkeypatch.setattr(cdc, "small_groups", lambda df, keys: windows.small_groups(df, keys, limit))
     changes = feed(seed)
     shuffled = changes + changes[::3]  # duplicated rows
     random.Random(seed + 10).shuffle(shuffled)

@@ -24,8 +24,10 @@ ORDER = ["v", "id"]
 
 
 @pytest.mark.parametrize("keys", [["k"], []])
-def test_running_equals_rows_frame(skewed, keys):
-    got = win.running(skewed, keys, ORDER, {"s": ("sum", "x"), "n": ("count", "v"), "hi": ("max", "x"), "lo": ("min", "x")}, parts=9)
+@pytest.mark.parametrize("parts", [9, None])
+def test_running_equals_rows_frame(skewed, keys, parts):
+    kinds = {"s": ("sum", "x"), "n": ("count", "v"), "hi": ("max", "x"), "lo": ("min", "x")}
+    got = win.running(skewed, keys, ORDER, kinds, parts=parts)
     w = W.partitionBy(*keys).orderBy(*ORDER).rowsBetween(W.unboundedPreceding, 0)
     want = skewed.select(
         "*", F.sum("x").over(w).alias("s"), F.count("v").over(w).alias("n"), F.max("x").over(w).alias("hi"), F.min("x").over(w).alias("lo")
@@ -34,7 +36,7 @@ def test_running_equals_rows_frame(skewed, keys):
 
 
 @pytest.mark.parametrize("keys", [["k"], []])
-@pytest.mark.parametrize("block", [7, 1000])
+@pytest.mark.parametrize("block", [7, 1000, None])
 def test_framed_equals_lag_and_lead(skewed, keys, block):
     def columns(w):
         near = w.rowsBetween(-3, 2)
@@ -45,6 +47,14 @@ def test_framed_equals_lag_and_lead(skewed, keys, block):
     assert rows(got) == rows(want)
 
 
+def test_groups_are_measured(skewed):
+    assert win.small_groups(skewed, ["k"]) and win.small_groups(skewed, [])
+    assert not win.small_groups(skewed, ["k"], limit=50)  # "hot" holds more than a fourth of the rows
+    assert win.small_groups(skewed, ["id"], limit=1)
+    assert not win.small_groups(skewed, [], limit=299)
+    assert not win.small_groups(win.ordered(skewed, ["k"], ORDER), ["k"])
+
+
 def test_a_hot_key_is_spread_over_slices(spark):
     df = spark.range(8000).select(F.when(F.col("id") % 10 < 9, "hot").otherwise("cold").alias("k"), "id")
     slices = win.ordered(df, ["k"], ["id"], parts=8).groupBy(F.shiftright("_pos", win.SLICE_BITS)).count()

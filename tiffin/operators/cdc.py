@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tiffin.functions.columns import percent, row_hash
-from tiffin.operators.windows import framed, latest_per_key, ordered, running
+from tiffin.operators.windows import framed, latest_per_key, ordered, running, small_groups
 
 OPERATIONS = {"c": "INSERT", "r": "INSERT", "u": "UPDATE", "d": "DELETE"}  # fixed values of the envelope
 
@@ -88,14 +88,15 @@ def scd2(
     single = latest_per_key(
         marked.select(*keys, seq, *values, "_gone", "_hash"), [*keys, seq], [F.col("_gone"), F.col("_hash")]
     ).withColumn("_tracked", row_hash(*track))
-    rows = ordered(single.drop("_hash"), keys, [F.col(seq)])
+    single = single.drop("_hash")
+    plain = small_groups(changes, keys)
+    rows = single if plain else ordered(single, keys, [seq])
     lagged = framed(
-        rows, keys, [F.col(seq)],
-        lambda w: {"_was_gone": F.lag("_gone").over(w), "_was": F.lag("_tracked").over(w)}, before=1,
+        rows, keys, [seq], lambda w: {"_was_gone": F.lag("_gone").over(w), "_was": F.lag("_tracked").over(w)}, before=1, plain=plain
     )
     begins = ~F.col("_gone") & (F.coalesce(F.col("_was_gone"), F.lit(True)) | (F.col("_was") != F.col("_tracked")))
     numbered = running(
-        lagged.withColumn("_begins", F.when(begins, 1).otherwise(0)), keys, [F.col(seq)], {"_version": ("sum", "_begins")}
+        lagged.withColumn("_begins", F.when(begins, 1).otherwise(0)), keys, [seq], {"_version": ("sum", "_begins")}, plain=plain
     )
     # The first row of a version also tells the version before it where it ends, so one grouping is enough.
     spread = numbered.select(

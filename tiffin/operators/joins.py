@@ -173,7 +173,7 @@ def partners_beyond(df: DataFrame, keys: Sequence[str], by: str, gap: int) -> Da
             )
         ).alias("_e"),
     ).select(*keys, "_value", "_e.*")
-    run = running(events, keys, [F.col("at"), F.col("kind"), F.col("_value")], {"_upto": ("sum", "n")})
+    run = running(events, keys, [F.col("at"), F.col("kind"), F.col("_value")], {"_upto": ("sum", "n")}, plain=False)
     per_value = run.groupBy(*keys, "_value").agg(
         F.max(F.when(F.col("kind") == 0, F.col("_upto"))).alias("partners_below"),
         F.max(F.when(F.col("kind") == 2, F.col("_upto"))).alias("_not_above"),
