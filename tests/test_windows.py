@@ -114,6 +114,8 @@ def test_top_ranked(skewed, method):
     w = W.partitionBy("k").orderBy(F.col("v").desc_nulls_last())
     want = skewed.withColumn("rank", function.over(w).cast("bigint")).filter("rank <= 3")
     assert rows(win.top_ranked(skewed, ["k"], "v", 3, method), "id", "rank") == rows(want, "id", "rank")
+    single = win.top_ranked(skewed, ["k"], "v", 3, method, few_ties=True)
+    assert rows(single, "id", "rank") == rows(want, "id", "rank") and "WindowGroupLimit" in plan(single)
 
 
 def test_top_rows_limits_before_the_shuffle(skewed):

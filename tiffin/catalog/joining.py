@@ -20,7 +20,7 @@ def flagship(t):
         F.count(F.lit(1)).alias("order_count"), F.countDistinct("user_id").alias("customers"),
         F.sum(c.money("amount")).alias("revenue_d"),
     )
-    top = win.top_ranked(brands, ["cuisine"], "revenue_d", 3, "dense_rank", out="sales_rank")
+    top = win.top_ranked(brands, ["cuisine"], "revenue_d", 3, "dense_rank", out="sales_rank", few_ties=True)
     return top.select("cuisine", "city", "order_count", "customers", F.col("revenue_d").cast("double").alias("revenue"), "sales_rank")
 
 

@@ -285,13 +285,18 @@ def top_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str],
 
 
 def top_ranked(
-    df: DataFrame, keys: Sequence[str], by: str, n: int, method: str = "rank", descending: bool = True, out: str = "rank"
+    df: DataFrame, keys: Sequence[str], by: str, n: int, method: str = "rank", descending: bool = True, out: str = "rank",
+    few_ties: bool = False,
 ) -> DataFrame:
     """Rows whose rank or dense_rank by one column is at most ``n``.
 
-    Ranks come from the first ``n`` distinct values per key, so a large tie does not reach one task.
+    Ranks come from the first ``n`` distinct values per key, so a large tie does not reach one task. For sums and other
+    values that hardly repeat, ``few_ties`` takes a single window, which Spark limits before the shuffle.
     """
     order = sorting(by, descending)
+    if few_ties:
+        rank = F.rank() if method == "rank" else F.dense_rank()
+        return df.withColumn(out, rank.over(W.partitionBy(*keys).orderBy(order)).cast("bigint")).filter(F.col(out) <= n)
     counts = df.groupBy(*keys, by).agg(F.count(F.lit(1)).alias("_n"))
     first = top_rows(counts, keys, [order], n, "_dense")
     if method == "rank":
