@@ -78,6 +78,11 @@ def test_running_totals_over_batches(spark, tmp_path):
         totals = stream_files(spark, source, DDL).groupBy("k").agg(F.count("*").alias("n"))
         st.update_files(totals, sink, checkpoint)
     assert rows(st.latest_groups(spark, sink, ["k"])) == [("a", 2), ("b", 1)]
+    compacted = st.compact_groups(spark, sink, str(tmp_path / "compact"), ["k"])
+    arrive(spark, source, [(4, "b", at(2))])
+    totals = stream_files(spark, source, DDL).groupBy("k").agg(F.count("*").alias("n"))
+    st.update_files(totals, compacted, checkpoint)
+    assert rows(st.latest_groups(spark, compacted, ["k"])) == [("a", 2), ("b", 2)]
 
 
 def test_state_ignores_late_older_changes(spark, tmp_path):

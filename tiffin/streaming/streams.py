@@ -75,6 +75,12 @@ def latest_groups(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFr
     return newest.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in rest])
 
 
+def compact_groups(spark: SparkSession, path: str, target: str, keys: Sequence[str]) -> str:
+    """All batch folders of ``update_files`` as one folder at a new place; the stream goes on there."""
+    latest_groups(spark, path, keys).write.parquet(f"{target}/batch_id=-1")
+    return target
+
+
 def newest_change(rows: DataFrame, keys: Sequence[str], seq: str) -> DataFrame:
     """The winning change per key: highest ``seq``, then a delete, then the greater row hash."""
     rest = [c for c in rows.columns if c not in keys]
