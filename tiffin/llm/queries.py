@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tiffin.llm import token_counts, token_files
+from tiffin.llm import classifier, token_counts, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -39,3 +39,9 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
 @query("op3_token_files")
 def op3(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.token_files(documents(spark, folder), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query("op8_quality_classifier")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    labels = table(spark, folder, "labels", "doc_id BIGINT, quality INT, toxic INT")
+    return classifier.classify(documents(spark, folder), labels)
