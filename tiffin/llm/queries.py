@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tiffin.llm import classifier, token_counts, token_files
+from tiffin.llm import classifier, decontaminate, token_counts, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -45,3 +45,8 @@ def op3(spark: SparkSession, folder: str) -> DataFrame:
 def op8(spark: SparkSession, folder: str) -> DataFrame:
     labels = table(spark, folder, "labels", "doc_id BIGINT, quality INT, toxic INT")
     return classifier.classify(documents(spark, folder), labels)
+
+
+@query("op9_decontaminate")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.leaks(documents(spark, folder), table(spark, folder, "benchmark", "item_id BIGINT, text STRING"))
