@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tiffin.llm import classifier, decontaminate, token_counts, token_files
+from tiffin.llm import classifier, decontaminate, near_dup, token_counts, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -50,3 +50,8 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
 @query("op9_decontaminate")
 def op9(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.leaks(documents(spark, folder), table(spark, folder, "benchmark", "item_id BIGINT, text STRING"))
+
+
+@query("op4_near_duplicates")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    return near_dup.near_duplicates(documents(spark, folder), size=4)
