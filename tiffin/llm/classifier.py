@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tiffin.llm import text
 
@@ -180,7 +181,7 @@ def score(docs: DataFrame, model: Model, output: str = "score", text_column: str
             yield pa.RecordBatch.from_arrays([*columns, pa.array(1 / (1 + np.exp(-odds)))], [*(c for c in part.schema.names if c != body), output])
 
     source = docs.withColumn(body, text.utf8(text_column))
-    schema = docs.schema.add(output, "double")
+    schema = T.StructType([*docs.schema.fields, T.StructField(output, T.DoubleType())])
     return source.mapInArrow(rate, schema)
 
 

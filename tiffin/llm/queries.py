@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tiffin.llm import classifier, decontaminate, near_dup, token_counts, token_files
+from tiffin.llm import classifier, decontaminate, near_dup, substring_dedup, token_counts, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -55,3 +56,9 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
 @query("op4_near_duplicates")
 def op4(spark: SparkSession, folder: str) -> DataFrame:
     return near_dup.near_duplicates(documents(spark, folder), size=4)
+
+
+@query("op10_substring_dedup")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    kept = substring_dedup.without_repeats(documents(spark, folder).select("doc_id", "text"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
