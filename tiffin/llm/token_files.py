@@ -1,6 +1,6 @@
 """Token ids in binary files with an index by document key.
 
-Files (Parquet, below one folder): ``blocks`` holds the raw little-endian ids of consecutive documents, about a megabyte of text each, in
+Files (Parquet, below one folder): ``blocks`` holds the raw little-endian ids of consecutive documents, about four megabytes of text each, in
 ascending order of shard, block and key; ``index`` holds, for each hash bucket of keys, a minimal perfect hash function, one fingerprint per
 key, and where the key's documents lie. A lookup hashes the key to its bucket, runs through the levels of the function (1.6 on average),
 compares the fingerprint and reads one range of one block, however many documents there are.
@@ -24,51 +24,66 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tiffin.llm import pieces, text
+from tiffin.llm.token_counts import byte_letters
 from tiffin.session import scratch_path
 
-CACHED_PIECES = 300_000
+CACHED_PIECES = 600_000
+SLICE_BYTES = 4 << 20  # of text in a block
 KEYS_PER_BUCKET = 50_000
 SPREAD = 2  # bits of a level for each key that comes to it
 ENTRY = np.dtype([("shard", "<i4"), ("block", "<i4"), ("at", "<i8"), ("tokens", "<i8"), ("start", "<i8")])
 
 
 class Encoder:
-    """Ids of whole texts, each distinct piece encoded by the tokenizers library once and kept within a bound."""
+    """Ids of whole texts; the tokenizers library encodes each distinct piece once, and its ids are kept within a bound."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, special: str | None):
         from tokenizers import Tokenizer
 
-        self.library = Tokenizer.from_file(path)
-        self.known: dict[bytes, bytes] = {}
+        library = Tokenizer.from_file(path)
+        self.model, self.special = library.model, (special.encode(), library.token_to_id(special)) if special else (None, None)
+        self.letters = dict(enumerate(byte_letters()))
+        self.forget()
+
+    def forget(self) -> None:
+        self.known: dict[bytes, int] = {}
+        self.flat, self.ends = np.zeros(0, np.uint32), np.zeros(1, np.int64)
 
     def learn(self, words: list[bytes]) -> None:
-        new = [w for w in words if w not in self.known]
-        if len(self.known) + len(new) > CACHED_PIECES:
-            self.known, new = {}, words
-        for at in range(0, len(new), 5000):
-            part = new[at : at + 5000]
-            for word, ids in zip(part, self.library.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)):
-                self.known[word] = np.array(ids.ids, dtype="<u4").tobytes()
-
-    def encode(self, data: np.ndarray, offsets: np.ndarray, special: bytes | None) -> tuple[np.ndarray, np.ndarray]:
+        special, number = self.special
+        found = [[number] if w == special else [t.id for t in self.model.tokenize(w.decode("latin-1").translate(self.letters))] for w in words]
+        first = len(self.known)
+        self.known.update(zip(words, range(first, first + len(words))))
+        sizes = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
+        self.flat = np.concatenate([self.flat, np.fromiter(itertools.chain.from_iterable(found), dtype=np.uint32, count=int(sizes.sum()))])
+        self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(sizes)])
+
+    def numbers(self, words: list[bytes]) -> np.ndarray:
+        """Where each piece's ids are kept; -1 for those not known yet."""
+        return np.fromiter(map(self.known.get, words, itertools.repeat(-1)), dtype=np.int64, count=len(words))
+
+    def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of a batch of texts and their offsets."""
-        bounds, first = pieces.split(data, offsets, pieces.by_rule, special)
+        bounds, first = pieces.split(data, offsets, pieces.by_rule, self.special[0])
         coded = text.binary(data, bounds).dictionary_encode()
         words = coded.dictionary.to_pylist()
-        self.learn(words)
-        found = [self.known[w] for w in words]
-        sizes = np.fromiter((len(x) // 4 for x in found), dtype=np.int64, count=len(found))
-        flat = np.frombuffer(b"".join(found), dtype="<u4")
-        codes = coded.indices.to_numpy()
-        each = sizes[codes] if len(words) else np.zeros(0, np.int64)
-        ends = np.concatenate([np.zeros(1, np.int64), np.cumsum(each)])
-        begins = (np.cumsum(sizes) - sizes)[codes] if len(words) else each
-        return flat[np.arange(ends[-1]) + np.repeat(begins - ends[:-1], each)], ends[first]
+        at = self.numbers(words)
+        if (at < 0).any():
+            if len(self.known) > CACHED_PIECES:
+                self.forget()
+                at[:] = -1
+            self.learn([words[k] for k in np.flatnonzero(at < 0).tolist()])
+            at = self.numbers(words)
+        at = at[coded.indices.to_numpy()] if len(words) else at
+        begins, sizes = self.ends[at], self.ends[at + 1] - self.ends[at]
+        ends = np.concatenate([np.zeros(1, np.int64), np.cumsum(sizes)])
+        return self.flat[np.arange(ends[-1]) + np.repeat(begins - ends[:-1], sizes)], ends[first]
 
 
 @functools.cache
-def encoder(path: str) -> Encoder:
-    return Encoder(path)
+def encoder(path: str, special: str | None) -> Encoder:
+    """One per Python worker."""
+    return Encoder(path, special)
 
 
 def hashed(keys: np.ndarray, level: int) -> np.ndarray:
@@ -160,15 +175,15 @@ def write_ids(
     a row with a null key is left out, as nothing could look it up. Other columns are left out, whatever their names. An empty table gives
     empty files. Texts are shuffled once, by ranges of (key, hash of the text), so that even one repeated key spreads.
     """
-    spark, marker = docs.sparkSession, special.encode() if special else None
+    spark = docs.sparkSession
     text.prepared(spark)
     shards = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
     kind = np.dtype(f"<u{width}")
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        machine, shard = encoder(path), TaskContext.get().partitionId()
-        for number, part in enumerate(text.slices(batches, "body", 1 << 20)):
-            ids, ends = machine.encode(*text.raw(part.column("body")), marker)
+        machine, shard = encoder(path, special), TaskContext.get().partitionId()
+        for number, part in enumerate(text.slices(batches, "body", SLICE_BYTES)):
+            ids, ends = machine.encode(*text.raw(part.column("body")))
             sizes = np.diff(ends) + 1
             out = np.full(int(sizes.sum()), end_id, dtype=kind)
             owner = np.repeat(np.arange(len(sizes)), sizes - 1)
