@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tiffin.llm import classifier, decontaminate, near_dup, substring_dedup, token_counts, token_files
+from tiffin.llm import chat, classifier, decontaminate, near_dup, substring_dedup, token_counts, token_files, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -62,3 +62,15 @@ def op4(spark: SparkSession, folder: str) -> DataFrame:
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     kept = substring_dedup.without_repeats(documents(spark, folder).select("doc_id", "text"))
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op6_chat_format", chat.SQL)
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    return chat.digests(table(spark, folder, "conversations", "conv_id BIGINT, turn BIGINT, role STRING, text STRING"))
+
+
+@query("op7_url_filter", url_filter.SQL)
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages", "page_id BIGINT, url STRING")
+    outcomes = url_filter.page_outcomes(pages, table(spark, folder, "labels", "doc_id BIGINT, quality INT"))
+    return url_filter.judge(pages, outcomes).drop("bad_share", "bound")
