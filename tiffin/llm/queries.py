@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tiffin.llm import chat, classifier, decontaminate, near_dup, substring_dedup, token_counts, token_files, url_filter
+from tiffin.llm import chat, classifier, decontaminate, near_dup, quality_rules, substring_dedup, token_counts, token_files, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -74,3 +74,8 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
     pages = table(spark, folder, "pages", "page_id BIGINT, url STRING")
     outcomes = url_filter.page_outcomes(pages, table(spark, folder, "labels", "doc_id BIGINT, quality INT"))
     return url_filter.judge(pages, outcomes).drop("bad_share", "bound")
+
+
+@query("op2_quality_rules")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_rules.quality_rules(documents(spark, folder)).drop("failed_shares")
