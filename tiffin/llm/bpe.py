@@ -1,11 +1,11 @@
-"""Byte-level BPE encoding and decoding in Spark expressions.
+"""Byte-level BPE encoding and decoding.
 
-Texts are split by a pattern; a word (one match) is encoded by a fold over its bytes, each written as two hex digits: in each step the neighbours
-whose union has the lowest rank merge, the first of equals, until no union has a rank. The ranks are a literal: an array of small maps, addressed
-by hash, so that a lookup costs the same for any vocabulary. Distinct words are folded once: words are counted over all documents, and the
-encodings of the ``known`` most frequent ones of up to ``LONGEST`` bytes (a fixed bound, whatever the input) become a second literal of the same
-kind. A word outside it is folded where it stands: the literal saves work, it decides nothing. Only words and their counts are shuffled, never
-texts.
+A word (one match of the pattern) is encoded in Spark expressions, by a fold over its bytes, each written as two hex digits: in each step the
+neighbours whose union has the lowest rank merge, the first of equals, until no union has a rank. The ranks are a literal: an array of small
+maps, addressed by hash, so that a lookup costs the same for any vocabulary. Distinct words are folded once: words are counted over all
+documents, and the ``known`` most frequent ones of up to ``LONGEST`` bytes (a fixed bound, whatever the input) are folded as a table and handed to
+all tasks. There, a document becomes the ids of its known words with the others between, which are folded where they stand: the table saves
+work, it decides nothing. Only words and their counts are shuffled, never texts.
 
 Decoding looks up the bytes of each id and concatenates them.
 """
@@ -13,7 +13,9 @@ Decoding looks up the bytes of each id and concatenates them.
 from __future__ import annotations
 
 import base64
+import itertools
 import json
+import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -21,13 +23,13 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tiffin.llm import pieces as splitting
 from tiffin.llm import text
 
-KNOWN = 1 << 17
+KNOWN = 1 << 20
 LONGEST = 24
-WHITE = r"\x09-\x0D\x20\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000"
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -35,12 +37,6 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def java_pattern(pattern: str) -> str:
-    """The pattern with Unicode white space spelled out, which Java's ``\\s`` does not cover."""
-    out = pattern.replace(r"[^\s", f"[^{WHITE}")
-    return out.replace(r"\S", f"[^{WHITE}]").replace(r"\s", f"[{WHITE}]")
-
-
 def read_ranks(path: str) -> dict[bytes, int]:
     """Rank file: base64 bytes and rank per line."""
     with open(path, "rb") as f:
@@ -101,10 +97,6 @@ def folded(word: Column, ranks: Lookup, table: Column) -> Column:
     return F.coalesce(ranks.find(table, word).cast("string"), each)
 
 
-def matches(column: Column, pattern: str) -> Column:
-    return F.regexp_extract_all(column, F.lit(java_pattern(pattern)), F.lit(0))
-
-
 def word_counts(docs: DataFrame, text_column: str) -> DataFrame:
     """``word, n``: how often each word of at most ``LONGEST`` bytes occurs, summed up per slice of input before the shuffle."""
 
@@ -122,45 +114,115 @@ def word_counts(docs: DataFrame, text_column: str) -> DataFrame:
     return each.groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def frequent_words(docs: DataFrame, ranks: Lookup, known: int, text_column: str) -> Lookup:
-    """Encodings of the most frequent words; ties by the word. At most ``known`` rows of bounded words come to the driver."""
+def known_words(docs: DataFrame, ranks: Lookup, known: int, text_column: str) -> pa.Table:
+    """``word, ids`` of the most frequent words; ties by the word. At most ``known`` rows of bounded words come to the driver."""
+    spark = docs.sparkSession
     top = word_counts(docs, text_column).orderBy(F.desc("n"), "word").limit(known)
-    spread = top.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "word")
-    coded = spread.select("word", let(ranks.literal(), lambda table: folded(F.hex("word"), ranks, table)).alias("ids"))
-    return Lookup({r.word: r.ids for r in coded.collect()}, "string")
+    spread = top.select("word").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "word")
+    return spread.select(F.col("word").cast("binary").alias("word"), let(ranks.literal(), lambda table: folded(F.hex("word"), ranks, table)).alias("ids")).toArrow()
 
 
-def encode(docs: DataFrame, path: str, pattern: str, known: int = KNOWN, output: str = "ids", text_column: str = "text") -> DataFrame:
-    """All columns of ``docs`` and the ids of each whole text, as text with commas; empty for a null or empty text.
+class Known:
+    """The known words of one Python worker: number of each word, and its ids as text."""
 
-    Special tokens are not looked for. Null ids, equal rows and any other columns stay as they are; an empty table gives an empty result.
-    """
-    ranks = rank_lookup(path)
-    words = frequent_words(docs, ranks, known, text_column)
-    pieces = text.new_name(docs, stem="pieces")
-    split = docs.withColumn(pieces, matches(F.coalesce(F.col(f"`{text_column}`"), F.lit("")), pattern))
-    both = F.struct(ranks.literal().alias("ranks"), words.literal().alias("words"))
+    def __init__(self, table: pa.Table):
+        self.numbers = dict(zip(table.column("word").to_pylist(), range(table.num_rows)))
+        self.ids = table.column("ids").combine_chunks()
 
-    def one(word: Column, tables: Column) -> Column:
-        return F.coalesce(words.find(tables["words"], word), let(F.hex(word), lambda w: folded(w, ranks, tables["ranks"])))
+    def shown(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of each word as text, or the word itself as ``w`` and hex digits; and which are known."""
+        at = np.fromiter(map(self.numbers.get, words, itertools.repeat(-1)), dtype=np.int64, count=len(words))
+        out = np.empty(len(words), dtype=object)
+        found = at >= 0
+        out[found] = self.ids.take(pa.array(at[found])).to_pylist()
+        out[~found] = ["w" + words[k].hex().upper() for k in np.flatnonzero(~found).tolist()]
+        return out, found
 
-    ids = let(both, lambda tables: F.array_join(F.transform(F.col(pieces), lambda word: one(word, tables)), ","))
-    return split.withColumn(output, ids).drop(pieces)
 
+LOADED: dict[str, Known] = {}  # of this Python worker
 
-def decode(ids: Column, path: str) -> Column:
-    """Bytes of ids given as text with commas."""
-    ranks = read_ranks(path)
-    by_id = [""] * (max(ranks.values(), default=-1) + 1)
-    for word, number in ranks.items():
-        by_id[number] = word.hex().upper()
-    pieces = F.split(F.lit(",".join(by_id)), ",")
-    shown = let(pieces, lambda table: F.array_join(F.transform(F.split(ids, ","), lambda k: F.get(table, k.cast("int"))), ""))
-    return F.coalesce(F.unhex(F.when(ids != "", shown).otherwise(F.lit(""))), F.lit(b""))
 
+def known_here(name: str, table: pa.Table) -> Known:
+    """Unpacked once per Python worker, one table at a time."""
+    if name not in LOADED:
+        LOADED.clear()
+        LOADED[name] = Known(table)
+    return LOADED[name]
 
-def round_trip(docs: DataFrame, path: str, pattern: str, known: int = KNOWN) -> DataFrame:
+
+def encode(docs: DataFrame, path: str, known: int = KNOWN, output: str = "ids", text_column: str = "text") -> DataFrame:
+    """All columns of ``docs`` and the ids of each whole text, as text with commas; empty for a null or empty text.
+
+    The pattern is that of ``pieces``. Special tokens are not looked for. Null ids, equal rows and any other columns stay as they are; a column
+    named like ``output`` is replaced. An empty table gives an empty result.
+    """
+    spark = docs.sparkSession
+    docs = docs.drop(output)
+    ranks = rank_lookup(path)
+    shared = spark.sparkContext.broadcast(known_words(docs, ranks, known, text_column))
+    body, parts = text.new_name(docs, stem="body"), text.new_name(docs, stem="parts")
+    names, name = docs.columns, uuid.uuid4().hex
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = known_here(name, shared.value)
+        for part in text.slices(batches, body):
+            data, offsets = text.raw(part.column(body))
+            bounds, first = splitting.split(data, offsets, splitting.by_rule, None)
+            coded = text.binary(data, bounds).dictionary_encode()
+            shown, found = words.shown(coded.dictionary.to_pylist())
+            codes = coded.indices.to_numpy()
+            every, gaps = shown[codes].tolist() if len(codes) else [], np.flatnonzero(~found[codes]) if len(codes) else np.zeros(0, np.int64)
+            rows = []
+            for begin, end in zip(first[:-1].tolist(), first[1:].tolist()):
+                row, at = [], begin
+                for gap in gaps[np.searchsorted(gaps, begin) : np.searchsorted(gaps, end)].tolist():
+                    if gap > at:
+                        row.append(",".join(every[at:gap]))
+                    row.append(every[gap])
+                    at = gap + 1
+                if end > at:
+                    row.append(",".join(every[at:end]))
+                rows.append(row)
+            yield pa.RecordBatch.from_arrays([*(part.column(c) for c in names), pa.array(rows, pa.list_(pa.string()))], [*names, parts])
+
+    schema = T.StructType([*docs.schema.fields, T.StructField(parts, T.ArrayType(T.StringType()))])
+    split = docs.withColumn(body, text.utf8(text_column)).mapInArrow(cut, schema)
+
+    def one(part: Column, table: Column) -> Column:
+        return F.when(part.startswith("w"), folded(F.substring(part, F.lit(2), F.length(part)), ranks, table)).otherwise(part)
+
+    ids = let(ranks.literal(), lambda table: F.array_join(F.transform(F.col(parts), lambda part: one(part, table)), ","))
+    return split.withColumn(output, ids).drop(parts)
+
+
+def decode(coded: DataFrame, path: str, ids: str = "ids", output: str = "decoded") -> DataFrame:
+    """All columns and the bytes of the ids (text with commas; null and empty give no bytes)."""
+    ranks = read_ranks(path)
+    size = max(ranks.values(), default=-1) + 1
+    words: list[bytes] = [b""] * size
+    for word, number in ranks.items():
+        words[number] = word
+    ends = np.concatenate([[0], np.cumsum([len(w) for w in words])]).astype(np.int64)
+    shared = coded.sparkSession.sparkContext.broadcast((np.frombuffer(b"".join(words), np.uint8), ends))
+    coded = coded.drop(output)
+    names = coded.columns
+
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        flat, limits = shared.value
+        for part in batches:
+            out = []
+            for value in part.column(ids).to_pylist():
+                own = np.fromstring(value or "", dtype=np.int64, sep=",")
+                sizes = limits[own + 1] - limits[own]
+                total = np.cumsum(sizes)
+                out.append(flat[np.arange(total[-1]) + np.repeat(limits[own] - total + sizes, sizes)].tobytes() if len(own) else b"")
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(out, pa.binary())], [*names, output])
+
+    return coded.mapInArrow(join, T.StructType([*coded.schema.fields, T.StructField(output, T.BinaryType())]))
+
+
+def round_trip(docs: DataFrame, path: str, known: int = KNOWN) -> DataFrame:
     """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of every document."""
-    coded = encode(docs.select("doc_id", "text"), path, pattern, known)
+    back = decode(encode(docs.select("doc_id", "text"), path, known).drop("text"), path)
     count = F.when(F.col("ids") == "", F.lit(0)).otherwise(F.length("ids") - F.length(F.replace("ids", F.lit(","), F.lit(""))) + 1)
-    return coded.select("doc_id", count.cast("bigint").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2(decode(F.col("ids"), path), 256).alias("decoded_sha256"))
+    return back.select("doc_id", count.cast("bigint").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))

@@ -83,4 +83,4 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("op5_byte_bpe")
 def op5(spark: SparkSession, folder: str) -> DataFrame:
-    return bpe.round_trip(documents(spark, folder), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    return bpe.round_trip(documents(spark, folder), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
