@@ -8,8 +8,10 @@ only, never with itself, and the sketch of the union has to estimate a similarit
 near 1e-8. What remains is verified on the full sets.
 
 Links that a list's smallest document does not show (two documents alike to each other but not to it) are looked for afterwards, among
-documents that met the same smallest document and are not connected yet: in blocks of bounded size, compared by their sketches, and only
-those whose lists were shared often enough for a link (five times, which a true link misses with a chance near 1e-6; once, for whole sets).
+documents that met the same smallest document and are not connected yet, if their lists were shared often enough for a link (five times,
+which a true link misses with a chance near 1e-6; once, for whole sets). They are compared in blocks of bounded size, first by sketches, which
+leave the documents that may have such a link, then these by their full sets. Only links come out, no pairs. The rows that are compared grow
+with the number of such documents times the blocks of their group, so a group of copies that are mostly not alike is the costly case.
 """
 
 from __future__ import annotations
@@ -32,7 +34,8 @@ KEPT = 64
 RUN = 3
 ESTIMATE = 0.5
 OFTEN = 5
-BLOCK = 500
+BLOCK = 1500
+COLUMNS = 4096  # shared values compared at a time
 
 
 def shingle_sets(words: text.Words, size: int) -> list[np.ndarray]:
@@ -149,37 +152,70 @@ def full_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     return docs.join(wanted.toDF("id"), "id", "left_semi").mapInArrow(cut, "rep bigint, set binary")
 
 
-def compare_blocks(members: DataFrame, percent: int) -> DataFrame:
-    """Pairs of one hub and block pair that are not connected yet and share half a sketch. ``members``: hub, i, j, block, rep, component, n, sketch."""
-
-    def compare(rows: list[tuple]) -> list[tuple[int, int]]:
-        values = [np.frombuffer(r[7], "<u8") for r in rows]
-        known, place, often = np.unique(np.concatenate(values), return_inverse=True, return_counts=True)
-        useful = np.cumsum(often > 1) - 1
-        owner = np.repeat(np.arange(len(rows)), [len(v) for v in values])
-        table = np.zeros((len(rows), int(useful[-1]) + 1), np.float32)
-        both = often[place] > 1
-        table[owner[both], useful[place[both]]] = 1
-        component, block = np.array([r[5] for r in rows]), np.array([r[3] for r in rows])
-        n, kept = np.array([r[6] for r in rows]), np.array([len(v) for v in values])
-        i, j = rows[0][1], rows[0][2]
-        out = []
-        for x in np.flatnonzero(block == i):
-            shared = table @ table[x]
-            good = (shared >= ESTIMATE * np.minimum(kept, kept[x])) & (component != component[x]) & (block == j)
-            good &= 100 * np.minimum(n, n[x]) >= percent * np.maximum(n, n[x])
-            out += [(min(rows[x][4], rows[y][4]), max(rows[x][4], rows[y][4])) for y in np.flatnonzero(good) if i != j or y > x]
-        return out
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def shared_counts(values: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Number of common values of each left and each right set, by products of incidence tables of a bounded number of columns."""
+    _, place, often = np.unique(np.concatenate(values), return_inverse=True, return_counts=True)
+    useful = np.cumsum(often > 1) - 1  # a value of one set only is shared with none
+    owner = np.repeat(np.arange(len(values)), [len(v) for v in values])
+    both = often[place] > 1
+    owner, column = owner[both], useful[place[both]]
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    total = np.zeros((len(left), len(right)), np.float32)
+    for begin in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
+        a, b = np.searchsorted(column, [begin, begin + COLUMNS])
+        table = np.zeros((len(values), COLUMNS), np.float32)
+        table[owner[a:b], column[a:b] - begin] = 1
+        total += table[left] @ table[right].T
+    return total
+
+
+GROUP = ["hub", "i", "j"]
+
+
+def in_blocks(members: DataFrame, values: str, schema: str, work) -> DataFrame:
+    """``work`` on the rows of each pair of blocks, one pair in memory at a time. ``members``: hub, i, j, block, rep, component, n and the values."""
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = (r for batch in batches for r in zip(*(c.to_pylist() for c in batch.columns)))
         for _, own in groupby(rows, key=lambda r: r[:3]):
-            found = compare(list(own))
-            yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in found], pa.int64()), pa.array([b for _, b in found], pa.int64())], ["a", "b"])
+            own = list(own)
+            block, component, n = (np.array([r[k] for r in own]) for k in (3, 5, 6))
+            left, right = np.flatnonzero(block == own[0][1]), np.flatnonzero(block == own[0][2])
+            if len(left) and len(right):
+                open_ = component[left][:, None] != component[right][None, :]
+                shared = shared_counts([np.frombuffer(r[7], "<u8") for r in own], left, right)
+                yield from work(own, n, left, right, open_, shared)
 
     n = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = members.select("hub", "i", "j", "block", "rep", "component", "n", "sketch").repartition(n, "hub", "i", "j").sortWithinPartitions("hub", "i", "j")
-    return dealt.mapInArrow(work, "a bigint, b bigint").distinct()
+    dealt = members.select(*GROUP, "block", "rep", "component", "n", values).repartition(n, *GROUP).sortWithinPartitions(*GROUP)
+    return dealt.mapInArrow(each, schema)
+
+
+def promising(members: DataFrame, percent: int) -> DataFrame:
+    """The members that share half a sketch with one of another component, whose size does not rule a link out."""
+
+    def work(own, n, left, right, open_, shared):
+        kept = np.array([len(r[7]) // 8 for r in own])
+        open_ &= shared >= ESTIMATE * np.minimum(kept[left][:, None], kept[right][None, :])
+        open_ &= 100 * np.minimum(n[left][:, None], n[right][None, :]) >= percent * np.maximum(n[left][:, None], n[right][None, :])
+        found = np.union1d(left[open_.any(axis=1)], right[open_.any(axis=0)])
+        columns = [pa.array([own[k][c] for k in found], t) for c, t in zip(range(7), (pa.int64(), *[pa.int32()] * 3, *[pa.int64()] * 3))]
+        yield pa.RecordBatch.from_arrays(columns, [*GROUP, "block", "rep", "component", "n"])
+
+    return in_blocks(members, "sketch", "hub bigint, i int, j int, block int, rep bigint, component bigint, n bigint", work)
+
+
+def late_links(members: DataFrame, percent: int) -> DataFrame:
+    """Links between the components of a block pair, on full sets."""
+
+    def work(own, n, left, right, open_, shared):
+        total = n[left][:, None] + n[right][None, :]
+        x, y = np.nonzero(open_ & (100 * shared.astype(np.float64) >= percent * (total - shared)))
+        reps = np.array([r[4] for r in own])
+        yield pa.RecordBatch.from_arrays([pa.array(reps[left[x]]), pa.array(reps[right[y]])], ["a", "b"])
+
+    return in_blocks(members, "set", "a bigint, b bigint", work).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def unresolved(met: DataFrame, chances: DataFrame, linked: DataFrame, classes: DataFrame, block: int = BLOCK) -> DataFrame:
@@ -224,20 +260,17 @@ def near_duplicates(
     chances = met_all.groupBy("rep").agg(F.sum("shared").alias("shared"))
 
     candidates = durable(likely(met, classes, percent, k), "candidates")
-    blocked_from = candidates.select("a").union(candidates.select("b")).distinct()
-    sets = durable(full_sets(source, blocked_from, size), "sets")
+    compared = candidates.select("a").union(candidates.select("b")).distinct()
+    sets = durable(full_sets(source, compared, size), "sets")
     links = durable(verified(candidates, sets, percent), "links")
     found = components(links)
 
-    blocks = unresolved(met, chances, found, classes, block)
-    late = compare_blocks(blocks, percent).join(candidates, ["a", "b"], "left_anti")
-    late = durable(likely(late, classes, percent, k), "late")
-    if not late.isEmpty():
-        missing = late.select("a").union(late.select("b")).distinct().join(blocked_from.toDF("a"), "a", "left_anti")
-        more = durable(sets.union(full_sets(source, missing, size)), "sets")
-        extra = durable(verified(late, more, percent), "links")
-        if not extra.isEmpty():
-            found = components(links.union(extra))
+    members = durable(promising(unresolved(met, chances, found, classes, block), percent), "members")
+    missing = members.select("rep").distinct().join(compared.toDF("rep"), "rep", "left_anti")
+    more = sets.union(full_sets(source, missing, size))
+    extra = durable(late_links(members.join(more, "rep"), percent), "links")
+    if not extra.isEmpty():
+        found = components(links.union(extra))
 
     # One document may hold several sets, and copies of one set several documents: both are links of their own.
     several = filled.select("id", "digest").distinct().groupBy("id").agg(F.count("*").alias("sets")).where("sets > 1")
