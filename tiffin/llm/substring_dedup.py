@@ -59,13 +59,41 @@ def unpacked(table: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarr
         yield owner, hashes, np.unpackbits(np.frombuffer(refs.as_buffer(), np.uint8), count=len(hashes)).astype(bool) if refs.is_valid else None
 
 
-def by_id(ids: np.ndarray, values: np.ndarray, name: str) -> pa.Table:
-    """One row per id with its values as bytes."""
+def by_id(ids: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct ids, their values one after the other, and where each id's begin (with the end)."""
     order = np.argsort(ids, kind="stable")
     ids, values = ids[order], np.ascontiguousarray(values[order])
     firsts = runs(ids)
-    ends = np.append(firsts, len(ids)) * values.dtype.itemsize
-    return pa.table({"id": pa.array(ids[firsts]), name: text.binary(values, ends) if len(firsts) else pa.array([], pa.binary())})
+    return ids[firsts], values, np.append(firsts, len(ids))
+
+
+FOUND = "part int, ids binary, counts binary, found binary"
+
+
+def handed_on(ids: np.ndarray, values: np.ndarray, parts: int) -> pa.Table:
+    """What was found for ids, one row per part of the ids, so that rows do not multiply with buckets."""
+    part = (ids % parts).astype(np.int32)
+    order = np.lexsort((ids, part))
+    part, ids, values = part[order], ids[order], values[order]
+    firsts = runs(part)
+    rows = []
+    for begin, end in zip(firsts.tolist(), [*firsts[1:].tolist(), len(part)]):
+        own, ordered, ends = by_id(ids[begin:end], values[begin:end])
+        rows.append((int(part[begin]), own.astype("<i8").tobytes(), np.diff(ends).astype("<i4").tobytes(), ordered.tobytes()))
+    kinds = (pa.int32(), pa.binary(), pa.binary(), pa.binary())
+    columns = list(zip(*rows)) or [[]] * 4
+    return pa.table([pa.array(c, k) for c, k in zip(columns, kinds)], ["part", "ids", "counts", "found"])
+
+
+def gathered(found: DataFrame, name: str, kind: str) -> DataFrame:
+    """``id`` and all that was found for it, as bytes: one row per id."""
+
+    def gather(table: pa.Table) -> pa.Table:
+        ids = [np.repeat(np.frombuffer(i.as_buffer(), "<i8"), np.frombuffer(c.as_buffer(), "<i4")) for i, c in zip(table.column("ids"), table.column("counts"))]
+        own, values, ends = by_id(np.concatenate(ids), np.concatenate([np.frombuffer(f.as_buffer(), kind) for f in table.column("found")]))
+        return pa.table({"id": pa.array(own), name: text.binary(values, ends * values.dtype.itemsize)})
+
+    return found.groupBy("part").applyInArrow(gather, f"id bigint, {name} binary")
 
 
 def probes(source: DataFrame, size: int, buckets: int) -> DataFrame:
@@ -101,7 +129,7 @@ def probes(source: DataFrame, size: int, buckets: int) -> DataFrame:
     return source.mapInArrow(cut, PACKED)
 
 
-def anchors(probed: DataFrame) -> DataFrame:
+def anchors(probed: DataFrame, parts: int) -> DataFrame:
     """``id, hits``: the blocks (lower 40 bits of the hash) of each document that are reference blocks somewhere and lie in another document too."""
 
     def meet(table: pa.Table) -> pa.Table:
@@ -123,9 +151,9 @@ def anchors(probed: DataFrame) -> DataFrame:
             hit = np.repeat(repeated, np.diff(np.append(firsts, len(hashes))))
             sure_ids.append(ids[hit])
             sure.append(hashes[hit])
-        return by_id(np.concatenate(sure_ids), np.concatenate(sure), "hits")
+        return handed_on(np.concatenate(sure_ids), np.concatenate(sure).astype("<u8"), parts)
 
-    return probed.groupBy("bucket").applyInArrow(meet, "id bigint, hits binary")
+    return gathered(probed.groupBy("bucket").applyInArrow(meet, FOUND), "hits", "<u8")
 
 
 WINDOWS = "bucket int, ids binary, hashes binary, places binary"
@@ -144,8 +172,7 @@ def windows(marked: DataFrame, size: int, buckets: int) -> DataFrame:
             for k, hits in enumerate(part.column("hits")):
                 begin, end = words.docs[k], words.docs[k + 1] - block + 1
                 if end > begin:
-                    known = np.concatenate([np.frombuffer(x.as_buffer(), "<u8") for x in hits])
-                    hit[begin:end] = np.isin(low[begin:end], known)
+                    hit[begin:end] = np.isin(low[begin:end], np.frombuffer(hits.as_buffer(), "<u8"))
             total = np.concatenate([[0], np.cumsum(hit)])
             at, owner = text.window_starts(words.docs, size)
             near = total[at + size - block + 1] > total[at]
@@ -159,7 +186,8 @@ def windows(marked: DataFrame, size: int, buckets: int) -> DataFrame:
             firsts = runs(hashes)
             smallest = np.repeat(np.minimum.reduceat(ids, firsts), np.diff(np.append(firsts, len(hashes))))
             later = ids > smallest
-            rows = [((int(i) % buckets), np.array([i]).tobytes(), None, p) for i, p in zip(*(c.to_pylist() for c in by_id(ids[later], places[later].astype("<i4"), "places").columns))]
+            own, sure, ends = by_id(ids[later], places[later].astype("<i4"))
+            rows = [(int(i) % buckets, np.array([i]).tobytes(), None, sure[a:b].tobytes()) for i, a, b in zip(own.tolist(), ends[:-1], ends[1:])]
             bucket = ((hashes >> np.uint64(40)) % np.uint64(buckets)).astype(np.int32)
             asked = np.flatnonzero(~later)
             asked = asked[np.argsort(bucket[asked], kind="stable")]
@@ -173,7 +201,7 @@ def windows(marked: DataFrame, size: int, buckets: int) -> DataFrame:
     return marked.mapInArrow(cut, WINDOWS)
 
 
-def repeats(found: DataFrame) -> DataFrame:
+def repeats(found: DataFrame, parts: int) -> DataFrame:
     """``id, places``: where windows start that a smaller id has too."""
 
     def meet(table: pa.Table) -> pa.Table:
@@ -195,9 +223,9 @@ def repeats(found: DataFrame) -> DataFrame:
             later = ids > np.repeat(np.minimum.reduceat(ids, firsts), np.diff(np.append(firsts, len(hashes))))
             sure_ids.append(ids[later])
             sure.append(places[later])
-        return by_id(np.concatenate(sure_ids), np.concatenate(sure), "places")
+        return handed_on(np.concatenate(sure_ids), np.concatenate(sure).astype("<i4"), parts)
 
-    return found.groupBy("bucket").applyInArrow(meet, "id bigint, places binary")
+    return gathered(found.groupBy("bucket").applyInArrow(meet, FOUND), "places", "<i4")
 
 
 def without_repeats(docs: DataFrame, size: int = 50, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -217,11 +245,11 @@ def without_repeats(docs: DataFrame, size: int = 50, id_column: str = "doc_id",
     # Both joins take all columns of these rows, so that one shuffle of the texts serves both.
     known = docs.where(own_id.isNotNull())
     source = known.select(own_id.alias("id"), text.utf8(text_column).alias("body"))
-    found = anchors(probes(source, size, buckets)).groupBy("id").agg(F.collect_list("hits").alias(hits)).withColumnRenamed("id", key)
+    found = anchors(probes(source, size, buckets), buckets).toDF(key, hits)
     marked = known.join(found, own_id == F.col(key)).select(F.col(key).alias("id"), text.utf8(text_column).alias("body"), F.col(hits).alias("hits"), *(F.col(f"`{c}`") for c in others))
     marked = marked.toDF("id", "body", "hits", *(f"unused_{k}" for k in range(len(others))))
-    gone = repeats(windows(marked, size, buckets)).groupBy("id").agg(F.collect_list("places").alias(places)).withColumnRenamed("id", key)
-    rest = docs.where(own_id.isNull()).withColumn(places, F.lit(None).cast("array<binary>"))
+    gone = repeats(windows(marked, size, buckets), buckets).toDF(key, places)
+    rest = docs.where(own_id.isNull()).withColumn(places, F.lit(None).cast("binary"))
     every = known.join(gone, own_id == F.col(key), "left").drop(key).unionByName(rest)
     kept_names = docs.columns
     every = every.withColumn(body, text.utf8(text_column))
@@ -234,7 +262,7 @@ def without_repeats(docs: DataFrame, size: int = 50, id_column: str = "doc_id",
                 words = own.split()
                 counts.append(len(words))
                 if lost.is_valid:
-                    starts = np.unique(np.concatenate([np.frombuffer(x.as_buffer(), "<i4") for x in lost]))
+                    starts = np.unique(np.frombuffer(lost.as_buffer(), "<i4"))
                     starts = starts[starts + size <= len(words)]
                     change = np.zeros(len(words) + 1, np.int64)
                     np.add.at(change, starts, 1)
