@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
-from tiffin.operators import cdc, windows
+from tiffin.operators import cdc
 
 DDL = "k string, seq int, op string, city string, note string"
 
@@ -42,9 +42,7 @@ def model_scd2(changes):
 
 
 @pytest.mark.parametrize("seed", [1, 2])
-@pytest.mark.parametrize("limit", [1, 1000])
-def test_scd2_in_any_order(spark, monkeypatch, seed, limit):
-    monkeypatch.setattr(cdc, "small_groups", lambda df, keys: windows.small_groups(df, keys, limit))
+def test_scd2_in_any_order(spark, seed):
     changes = feed(seed)
     shuffled = changes + changes[::3]  # duplicated rows
     random.Random(seed + 10).shuffle(shuffled)
@@ -133,3 +131,12 @@ def test_audit_trail_kinds(spark):
     assert rows(cdc.audit_trail(df, "id", [F.col("at")], ["s"], ["at"]), "at", "change_kind") == [
         (1, "Initial"), (2, "Unchanged"), (3, "Changed")
     ]
+
+
+def test_scd2_apply_with_several_updates_of_one_key(spark):
+    target = spark.createDataFrame([(1, "a", True, "2024-01-01", None)], "id int, s string, is_current boolean, start_date string, end_date string")
+    updates = spark.createDataFrame([(1, "b", 1), (1, "c", 2)], "id int, s string, seq int")
+    got = cdc.scd2_apply(target, updates, ["id"], ["s"], F.lit("2024-02-01"), seq="seq")
+    assert rows(got, "s", "is_current") == [("a", False), ("c", True)]
+    with pytest.raises(Exception, match="more than one source row"):
+        cdc.scd2_apply(target, updates.drop("seq"), ["id"], ["s"], F.lit("2024-02-01")).collect()

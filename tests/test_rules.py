@@ -170,3 +170,12 @@ def test_distinct_dimension_is_not_latest(spark):
     silver = spark.createDataFrame([(1, "old", 1), (1, "new", 2)], "restaurant_id int, name string, at int")
     assert plans.distinct_dimension(silver, "restaurant_id").count() == 2
     assert rows(plans.latest_dimension(silver, "restaurant_id", [F.col("at")]), "name") == [("new",)]
+
+
+def test_general_figures_keep_all_digits(spark):
+    fractions = spark.createDataFrame([(10.0, 0.4), (20.0, 0.6), (None, 5.0)], "v double, w double")
+    assert abs(fractions.agg(aggs.weighted_mean("v", "w")).first()[0] - 16.0) < 1e-9
+    fine = spark.createDataFrame([(1.0004,), (2.0046,), (3.0049,)], "v double")
+    assert abs(aggs.describe(fine, ["v"]).first()["mean_value"] - 2.0033) < 1e-9
+    huge = spark.createDataFrame([(1e17,), (3e17,)], "v double")
+    assert aggs.describe(huge, ["v"]).first()["mean_value"] == 2e17

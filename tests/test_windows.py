@@ -47,12 +47,9 @@ def test_framed_equals_lag_and_lead(skewed, keys, block):
     assert rows(got) == rows(want)
 
 
-def test_groups_are_measured(skewed):
-    assert win.small_groups(skewed, ["k"]) and win.small_groups(skewed, [])
-    assert not win.small_groups(skewed, ["k"], limit=50)  # "hot" holds more than a fourth of the rows
-    assert win.small_groups(skewed, ["id"], limit=1)
-    assert not win.small_groups(skewed, [], limit=299)
-    assert not win.small_groups(win.ordered(skewed, ["k"], ORDER), ["k"])
+def test_bounded_groups_take_the_plain_window(skewed):
+    counts = {"n": ("count", "x")}
+    assert rows(win.running(skewed, ["id"], ORDER, counts, bounded=True)) == rows(win.running(skewed, ["id"], ORDER, counts))
 
 
 def test_a_hot_key_is_spread_over_slices(spark):
@@ -114,8 +111,6 @@ def test_top_ranked(skewed, method):
     w = W.partitionBy("k").orderBy(F.col("v").desc_nulls_last())
     want = skewed.withColumn("rank", function.over(w).cast("bigint")).filter("rank <= 3")
     assert rows(win.top_ranked(skewed, ["k"], "v", 3, method), "id", "rank") == rows(want, "id", "rank")
-    single = win.top_ranked(skewed, ["k"], "v", 3, method, few_ties=True)
-    assert rows(single, "id", "rank") == rows(want, "id", "rank") and "WindowGroupLimit" in plan(single)
 
 
 def test_top_rows_limits_before_the_shuffle(skewed):
@@ -180,3 +175,12 @@ def test_pivot_leaves_empty_cells_null(spark):
 def test_null_profile_counts_nan(spark):
     df = spark.createDataFrame([(1.0, None), (float("nan"), "a")], "d double, s string")
     assert rows(aggs.null_profile(df)) == [("d", 2, 1, 50.0), ("s", 2, 1, 50.0)]
+
+
+def test_no_task_holds_a_hot_key(spark):
+    df = spark.range(4000).select(F.when(F.col("id") % 3 == 0, F.col("id")).otherwise(F.lit(-1)).alias("k"), "id")
+    held = win.ordered(df, ["k"], [F.col("id")], parts=8).filter("k = -1").groupBy(F.shiftright("_pos", win.SLICE_BITS)).count()
+    assert held.agg(F.max("count")).first()[0] < 1000 and held.count() > 4
+    assert rows(win.number_rows(df, ["k"], [F.col("id")]), "id", "row_number") == rows(
+        df.withColumn("row_number", F.row_number().over(W.partitionBy("k").orderBy("id")).cast("bigint")), "id", "row_number"
+    )

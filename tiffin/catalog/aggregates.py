@@ -226,16 +226,22 @@ def a17(t):
 
 
 @query("a18_weighted_mean", """
-SELECT p_type, CAST(sum(CAST(p_retailprice AS DECIMAL(18,2)) * p_size) AS DOUBLE) / CAST(sum(p_size) AS DOUBLE) AS weighted
-FROM part GROUP BY p_type""")
+SELECT p_type, round(sum(p_retailprice * p_size) / sum(p_size), 6) AS weighted FROM part GROUP BY p_type""")
 def a18(t):
-    return t.part.groupBy("p_type").agg(aggs.weighted_mean("p_retailprice", "p_size").alias("weighted"))
+    return t.part.groupBy("p_type").agg(F.round(aggs.weighted_mean("p_retailprice", "p_size"), 6).alias("weighted"))
+
+
+@query("a18_fractional_weights", """
+SELECT l_returnflag, round(sum(l_quantity * l_discount) / sum(l_discount), 6) AS weighted FROM lineitem GROUP BY l_returnflag""")
+def a18_fractional(t):
+    return t.lineitem.groupBy("l_returnflag").agg(F.round(aggs.weighted_mean("l_quantity", "l_discount"), 6).alias("weighted"))
 
 
 @query("a19_two_phase", """
 SELECT event_type, count(*) AS row_count, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total FROM events GROUP BY event_type""")
 def a19(t):
-    return aggs.two_phase(t.events.select("event_id", "event_type", "value"), ["event_type"], {"total": "value"})
+    cents = t.events.select("event_id", "event_type", c.money("value").alias("value"))
+    return aggs.two_phase(cents, ["event_type"], {"total": "value"}).withColumn("total", F.col("total").cast("double"))
 
 
 @query("a20_distinct", "SELECT DISTINCT p_type, p_brand FROM part")
@@ -264,13 +270,21 @@ def a22(t):
 
 
 @query("a23_describe", " UNION ALL ".join(
-    f"SELECT '{x}' AS column_name, count({x}) AS value_count, round(CAST(sum(CAST({x} AS DECIMAL(18,2))) AS DOUBLE) / count({x}), 6) AS mean_value, "
+    f"SELECT '{x}' AS column_name, count({x}) AS value_count, round(avg({x}), 6) AS mean_value, "
     f"round(stddev_samp({x}), 4) AS stddev_value, CAST(min({x}) AS DOUBLE) AS min_value, CAST(max({x}) AS DOUBLE) AS max_value FROM lineitem"
     for x in ("l_quantity", "l_extendedprice", "l_discount")))
 def a23(t):
     return aggs.describe(t.lineitem, ["l_quantity", "l_extendedprice", "l_discount"])
 
 
+@query("a23_describe_quotient", """
+WITH x AS (SELECT l_extendedprice / l_quantity / 7 AS unit_price FROM lineitem)
+SELECT 'unit_price' AS column_name, count(unit_price) AS value_count, round(avg(unit_price), 6) AS mean_value,
+       round(stddev_samp(unit_price), 4) AS stddev_value, min(unit_price) AS min_value, max(unit_price) AS max_value FROM x""")
+def a23_quotient(t):
+    return aggs.describe(t.lineitem.select((F.col("l_extendedprice") / F.col("l_quantity") / 7).alias("unit_price")), ["unit_price"])
+
+
 @query("a24_histogram", """
 SELECT CAST(floor(o_totalprice / 50000) AS BIGINT) AS bucket, o_orderstatus, count(*) AS n FROM orders GROUP BY 1, 2""")
 def a24(t):

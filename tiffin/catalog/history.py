@@ -298,7 +298,7 @@ def c06(t):
 
 
 @query("c18_outliers", """
-WITH s AS (SELECT event_type AS k, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS m, stddev_samp(value) AS s FROM events GROUP BY 1 HAVING count(*) > 2)
+WITH s AS (SELECT event_type AS k, avg(value) AS m, stddev_samp(value) AS s FROM events GROUP BY 1 HAVING count(*) > 2)
 SELECT event_id, event_type, value, round((value - m) / s, 5) AS z_score FROM events JOIN s ON k = event_type WHERE abs((value - m) / s) > 2""")
 def c18(t):
     rows = t.events.select("event_id", "event_type", "value")

@@ -675,7 +675,7 @@ def e20(t):
 
 @query("e20_city_match", f"""
 SELECT c_nationkey AS city, count(DISTINCT c_custkey) AS left_count, count(DISTINCT s_suppkey) AS right_count,
-  {r.rounded('count(DISTINCT s_suppkey)', 'count(DISTINCT c_custkey)')} AS right_per_left, {r.mean_sql(r.cash('s_acctbal'))} AS mean_value
+  {r.rounded('count(DISTINCT s_suppkey)', 'count(DISTINCT c_custkey)')} AS right_per_left, round(avg(s_acctbal), 2) AS mean_value
 FROM customer JOIN supplier ON c_nationkey = s_nationkey GROUP BY 1""")
 def e20_match(t):
     users, shops = people(t)

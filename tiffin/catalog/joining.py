@@ -6,6 +6,7 @@ from tiffin.catalog import roles as r
 from tiffin.catalog.registry import query
 from tiffin.functions import columns as c
 from tiffin.operators import aggs, joins, windows as win
+from tiffin.session import durable
 
 BASE = r.with_ctes(r.RESTAURANTS, r.SALES, r.DRIVERS)
 
@@ -20,7 +21,7 @@ def flagship(t):
         F.count(F.lit(1)).alias("order_count"), F.countDistinct("user_id").alias("customers"),
         F.sum(c.money("amount")).alias("revenue_d"),
     )
-    top = win.top_ranked(brands, ["cuisine"], "revenue_d", 3, "dense_rank", out="sales_rank", few_ties=True)
+    top = win.top_ranked(durable(brands, "brands"), ["cuisine"], "revenue_d", 3, "dense_rank", out="sales_rank")
     return top.select("cuisine", "city", "order_count", "customers", F.col("revenue_d").cast("double").alias("revenue"), "sales_rank")
 
 
@@ -300,7 +301,7 @@ JOIN (SELECT s_nationkey AS k, {r.mean_sql(r.cash('s_acctbal'))} AS avg_balance
 GROUP BY c_nationkey, avg_balance""")
 def j25(t):
     matched = joins.city_match(
-        t.customer.withColumnRenamed("c_nationkey", "nation"), t.supplier.withColumnRenamed("s_nationkey", "nation"),
+        t.customer.withColumnRenamed("c_nationkey", "nation"), t.supplier.withColumnRenamed("s_nationkey", "nation").withColumn("s_acctbal", c.money("s_acctbal")),
         "nation", "c_custkey", "s_suppkey", "s_acctbal",
     )
     return matched.withColumnsRenamed({

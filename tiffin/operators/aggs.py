@@ -7,7 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tiffin.functions.columns import money, percent
+from tiffin.functions.columns import percent
 from tiffin.operators.windows import join_beside, number_rows, running
 
 
@@ -24,9 +24,9 @@ def summarise(
 
 
 def weighted_mean(value: str, weight: str) -> Column:
-    """``sum(value * weight) / sum(weight)`` from exact sums."""
-    product = F.sum(money(value) * F.col(weight).cast("decimal(10,0)"))
-    return product.cast("double") / F.sum(weight).cast("double")
+    """``sum(value * weight) / sum(weight)`` over the rows that have both; NULL where the weights add up to zero."""
+    both = F.when(F.col(value).isNotNull(), F.col(weight)).cast("double")
+    return F.sum(F.col(value).cast("double") * both) / F.nullif(F.sum(both), F.lit(0.0))
 
 
 def share_of_total(counts: DataFrame, count: str, out: str = "percentage", digits: int = 2) -> DataFrame:
@@ -35,13 +35,13 @@ def share_of_total(counts: DataFrame, count: str, out: str = "percentage", digit
 
 
 def two_phase(df: DataFrame, keys: Sequence[str], sums: dict[str, str], salts: int = 16) -> DataFrame:
-    """Count and sums in two steps, by key and salt and then by key.
+    """Count and sums in two steps, by key and salt and then by key. Sums are those of the columns as they are.
 
     Spark's own map-side step already covers plain sums; the explicit form also spreads aggregates without one.
     """
     salted = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(salts)))
     first = salted.groupBy(*keys, "_salt").agg(
-        F.count(F.lit(1)).alias("_n"), *[F.sum(money(c)).alias(f"_{o}") for o, c in sums.items()]
+        F.count(F.lit(1)).alias("_n"), *[F.sum(c).alias(f"_{o}") for o, c in sums.items()]
     )
     return first.groupBy(*keys).agg(
         F.sum("_n").alias("row_count"), *[F.sum(f"_{o}").cast("double").alias(o) for o in sums]
@@ -99,7 +99,7 @@ def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
             F.struct(
                 F.lit(c).alias("column_name"),
                 F.count(c).alias("value_count"),
-                F.round(F.sum(money(c)).cast("double") / F.count(c), 6).alias("mean_value"),
+                F.round(F.avg(c).cast("double"), 6).alias("mean_value"),
                 F.round(F.stddev_samp(c), 4).alias("stddev_value"),
                 F.min(c).cast("double").alias("min_value"),
                 F.max(c).cast("double").alias("max_value"),

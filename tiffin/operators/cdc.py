@@ -8,7 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tiffin.functions.columns import percent, row_hash
-from tiffin.operators.windows import framed, latest_per_key, ordered, running, small_groups
+from tiffin.operators.keys import unique_source
+from tiffin.operators.windows import framed, latest_per_key, ordered, running
 
 OPERATIONS = {"c": "INSERT", "r": "INSERT", "u": "UPDATE", "d": "DELETE"}  # fixed values of the envelope
 
@@ -89,14 +90,13 @@ def scd2(
         marked.select(*keys, seq, *values, "_gone", "_hash"), [*keys, seq], [F.col("_gone"), F.col("_hash")]
     ).withColumn("_tracked", row_hash(*track))
     single = single.drop("_hash")
-    plain = small_groups(changes, keys)
-    rows = single if plain else ordered(single, keys, [seq])
+    rows = ordered(single, keys, [seq])
     lagged = framed(
-        rows, keys, [seq], lambda w: {"_was_gone": F.lag("_gone").over(w), "_was": F.lag("_tracked").over(w)}, before=1, plain=plain
+        rows, keys, [seq], lambda w: {"_was_gone": F.lag("_gone").over(w), "_was": F.lag("_tracked").over(w)}, before=1
     )
     begins = ~F.col("_gone") & (F.coalesce(F.col("_was_gone"), F.lit(True)) | (F.col("_was") != F.col("_tracked")))
     numbered = running(
-        lagged.withColumn("_begins", F.when(begins, 1).otherwise(0)), keys, [seq], {"_version": ("sum", "_begins")}, plain=plain
+        lagged.withColumn("_begins", F.when(begins, 1).otherwise(0)), keys, [seq], {"_version": ("sum", "_begins")}
     )
     # The first row of a version also tells the version before it where it ends, so one grouping is enough.
     spread = numbered.select(
@@ -168,11 +168,14 @@ def scd2_apply(
     current: str = "is_current",
     start: str = "start_date",
     end: str = "end_date",
+    seq: str | None = None,
 ) -> DataFrame:
     """Apply one batch of updates to a type-2 table: close changed current rows, insert their new versions and new keys.
 
-    One full join of the current rows and the updates; each pair gives the rows it leaves behind.
+    One full join of the current rows and the updates; each pair gives the rows it leaves behind. Of several updates with one key the one with
+    the highest ``seq`` counts; without ``seq`` they fail the job, as there may be one current version only.
     """
+    updates = latest_per_key(updates, keys, [F.col(seq)]).drop(seq) if seq else unique_source(updates, keys)
     payload = [c for c in target.columns if c not in {*keys, current, start, end}]
     t, u = target.filter(F.col(current)).alias("t"), updates.alias("u")
     matched = t.join(u, reduce(lambda a, b: a & b, [F.col(f"t.{k}") == F.col(f"u.{k}") for k in keys]), "full")

@@ -5,18 +5,25 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
-from tiffin.functions.columns import money, ratio
+from tiffin.functions.columns import ratio
 from tiffin.operators.windows import join_beside, latest_per_key, running
 
 MICROS = 1_000_000
 
 
-def hot_keys(df: DataFrame, key: str, share: float = 0.01) -> DataFrame:
-    """Keys that hold more than ``share`` of all rows: fewer than ``1 / share`` rows, whatever the table."""
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    return counts.filter(F.col("_n") > counts.agg(F.sum("_n")).scalar() * F.lit(share)).select(key)
+MOST_HOT = 1000  # hot keys a salted join takes
+
+
+def hot_keys(df: DataFrame, key: str, share: float = 0.01) -> list:
+    """Keys that hold more than ``share`` of all rows: fewer than ``1 / share``, whatever the table. One pass over the key column."""
+    if share * MOST_HOT < 1:
+        raise ValueError(f"a share below {1 / MOST_HOT} allows more than {MOST_HOT} keys")
+    seen = Observation()
+    counts = df.select(key).observe(seen, F.count(F.lit(1)).alias("rows")).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    top = counts.orderBy(F.desc("_n")).limit(int(1 / share)).collect()
+    return [r[key] for r in top if r["_n"] > share * seen.get["rows"] and r[key] is not None]
 
 
 def salted_join(
@@ -31,29 +38,20 @@ def salted_join(
 ) -> DataFrame:
     """Inner or left join on ``key`` with the hot keys of ``left`` spread over ``salts`` tasks.
 
-    Hot keys are given, or found as those above ``share`` of the rows (at most ``1 / share`` keys, hence the
-    broadcast). The salt is a hash of row content, so a repeated task gives the same rows; ``right`` rows of hot keys
-    are copied once per salt. Cold rows take the plain join.
+    Hot keys are given (at most ``MOST_HOT``), or counted: those above ``share`` of the rows. One join on (key, salt): the salt of a hot row is a
+    hash of its content, so a repeated task gives the same rows, and 0 for the others; ``right`` rows of hot keys are copied once per salt.
     """
     if how not in ("inner", "left"):
         raise ValueError("how is inner or left: only the left side is salted")
-    spark = left.sparkSession
-    if hot is None:
-        keys = hot_keys(left, key, share)
-    else:
-        keys = spark.createDataFrame([(h,) for h in hot], left.select(key).schema)
-    keys = F.broadcast(keys.withColumnRenamed(key, "_hot").distinct())
+    hot = hot_keys(left, key, share) if hot is None else list(dict.fromkeys(hot))
+    if len(hot) > MOST_HOT:
+        raise ValueError(f"{len(hot)} hot keys; a salted join takes {MOST_HOT}")
     by = salt_by or [c for c in left.columns if c != key]
-    salt = F.pmod(F.xxhash64(*by), F.lit(salts)).cast("int")
-
-    hot_left = left.join(keys, F.col(key) == F.col("_hot"), "left_semi").withColumn("_salt", salt)
-    hot_right = right.join(keys, F.col(key) == F.col("_hot"), "left_semi").withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
-    )
-    cold_left = left.join(keys, F.col(key) == F.col("_hot"), "left_anti")
-    cold_right = right.join(keys, F.col(key) == F.col("_hot"), "left_anti")
-    hot_rows = hot_left.join(hot_right, [key, "_salt"], how).drop("_salt")
-    return hot_rows.unionByName(cold_left.join(cold_right, key, how))
+    is_hot = F.coalesce(F.col(key).isin(hot), F.lit(False)) if hot else F.lit(False)
+    salt = F.when(is_hot, F.pmod(F.xxhash64(*by), F.lit(salts)).cast("int")).otherwise(F.lit(0))
+    copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    salted = right.withColumn("_salt", F.explode(copies))
+    return left.withColumn("_salt", salt).join(salted, [key, "_salt"], how).drop("_salt")
 
 
 def interval_join(
@@ -141,15 +139,14 @@ def city_match(left: DataFrame, right: DataFrame, city: str, left_id: str, right
     a = left.groupBy(city).agg(F.countDistinct(left_id).alias("left_count"))
     b = right.groupBy(city).agg(
         F.countDistinct(right_id).alias("right_count"),
-        F.sum(money(value)).alias("_sum"),
-        F.count(value).alias("_n"),
+        F.avg(value).alias("_mean"),
     )
     return a.join(b, city).select(
         city,
         "left_count",
         "right_count",
         ratio(F.col("right_count"), F.col("left_count")).alias("right_per_left"),
-        ratio(F.col("_sum"), F.col("_n")).alias("mean_value"),
+        F.round("_mean", 2).cast("double").alias("mean_value"),
     )
 
 
@@ -173,7 +170,7 @@ def partners_beyond(df: DataFrame, keys: Sequence[str], by: str, gap: int) -> Da
             )
         ).alias("_e"),
     ).select(*keys, "_value", "_e.*")
-    run = running(events, keys, [F.col("at"), F.col("kind"), F.col("_value")], {"_upto": ("sum", "n")}, plain=False)
+    run = running(events, keys, [F.col("at"), F.col("kind"), F.col("_value")], {"_upto": ("sum", "n")})
     per_value = run.groupBy(*keys, "_value").agg(
         F.max(F.when(F.col("kind") == 0, F.col("_upto"))).alias("partners_below"),
         F.max(F.when(F.col("kind") == 2, F.col("_upto"))).alias("_not_above"),

@@ -8,7 +8,6 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, functions as F, types as T
 
-from tiffin.functions.columns import money
 from tiffin.operators.windows import beside, framed, join_beside, percentiles
 from tiffin.session import durable
 
@@ -105,7 +104,7 @@ def outliers(df: DataFrame, keys: Sequence[str], value: str, limit: float = 2, l
     """Rows further than ``limit`` standard deviations from the mean of their group; small groups are left out."""
     stats = beside(
         df, keys,
-        group_mean=F.sum(money(value)).cast("double") / F.count(value),
+        group_mean=F.avg(value),
         _sd=F.stddev_samp(value),
         _n=F.count(F.lit(1)),
     )

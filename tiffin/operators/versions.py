@@ -12,6 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F, types as T
 
 from tiffin.functions.columns import row_hash
+from tiffin.operators.keys import unique_source
 from tiffin.operators.quality import FAIL, QualityError, Rule, broken_rows, expect
 from tiffin.session import scratch_path
 
@@ -38,17 +39,6 @@ def insert_rows(df: DataFrame, rows: DataFrame) -> DataFrame:
     return df.unionByName(rows, allowMissingColumns=True)
 
 
-def unique_source(source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """``source`` with a check inside the job that no key comes twice."""
-    rest = [c for c in source.columns if c not in keys]
-    grouped = source.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_n"), F.max_by(F.struct(*rest), F.lit(1)).alias("_row")
-    )
-    twice = F.raise_error(F.lit("a source key matches more than one source row")).cast("boolean")
-    checked = grouped.filter(F.when(F.col("_n") == 1, F.lit(True)).otherwise(twice))
-    return checked.select(*[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in source.columns])
-
-
 def upsert(
     target: DataFrame,
     source: DataFrame,

@@ -1,9 +1,9 @@
 """Window functions that do not gather a large key in one task.
 
 A plain ``Window.partitionBy(key)`` sends all rows of a key to one task, and a window without key sends the whole
-table there. The functions here count the rows per key first. Where the largest group is small, one shuffle and the
-plain window do. Otherwise they split the sorted rows by range, work on each piece and pass on what crosses the borders.
-Both ways give the same rows.
+table there. The functions here split the sorted rows by range, work on each piece and pass on what crosses the borders, whatever the
+sizes. ``bounded=True`` is for callers whose groups have a fixed bound by contract, such as n rows per key after a limit: it takes the plain
+window. Nothing is measured to choose between the two.
 """
 
 from __future__ import annotations
@@ -19,7 +19,6 @@ SLICE_BITS = 33  # monotonically_increasing_id keeps the row within the partitio
 MERGE = {"sum": lambda a, b: a + b, "count": lambda a, b: a + b, "max": F.greatest, "min": F.least}
 AGGREGATE = {"sum": F.sum, "count": F.count, "max": F.max, "min": F.min}
 BLOCK_ROWS = 200_000
-GROUP_LIMIT = 1_000_000  # rows one task may hold for one key
 LAST_STEP = {"sum": F.sum, "count": F.sum, "max": F.max, "min": F.min}
 
 
@@ -34,20 +33,6 @@ def join_beside(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str
     return left.join(renamed, condition, how).drop(*[f"__r_{k}" for k in keys])
 
 
-def small_groups(df: DataFrame, keys: Sequence[str], limit: int = GROUP_LIMIT) -> bool:
-    """Whether every key has at most ``limit`` rows, or no more than a task gets on average anyway.
-
-    One job over the key columns with a map-side step; only two numbers come back. Without keys the table is the group.
-    """
-    if "_pos" in df.columns:
-        return False  # sorted over many partitions already
-    if not keys:
-        return df.count() <= limit
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("most"), F.sum("n").alias("all")).first()
-    share = (sizes["all"] or 0) / int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return (sizes["most"] or 0) <= max(limit, share)
-
-
 def ordered(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], parts: int | None = None) -> DataFrame:
     """Rows sorted by ``keys`` and ``order`` over many partitions, with ``_pos`` growing in that order.
 
@@ -57,9 +42,9 @@ def ordered(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], p
     """
     if "_pos" in df.columns:
         return df  # comes from an ordered table already
-    n = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     columns = [*[F.col(k) for k in keys], *order]
-    split = df.repartitionByRange(n, *columns).sortWithinPartitions(*columns)
+    # Without a number, adaptive execution joins small neighbouring ranges.
+    split = (df.repartitionByRange(parts, *columns) if parts else df.repartitionByRange(*columns)).sortWithinPartitions(*columns)
     return durable(split.withColumn("_pos", F.monotonically_increasing_id()), "ordered")
 
 
@@ -69,17 +54,14 @@ def running(
     order: Sequence[Column | str],
     aggregates: dict[str, tuple[str, str]],
     parts: int | None = None,
-    plain: bool | None = None,
+    bounded: bool = False,
 ) -> DataFrame:
     """Running aggregates, ``ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW``.
 
     ``aggregates`` maps an output column to (sum | count | min | max, input column); sums want decimals or integers.
-    ``plain`` says whether one task may hold a whole key; by default the groups are measured. Say False for the result
-    of a costly step: measuring would repeat it, the sorted copy does not.
+    ``bounded`` states that a key's rows fit one task by contract, whatever the table. ``order`` has to be total either way.
     """
-    if plain is None:
-        plain = parts is None and small_groups(df, keys)
-    if plain:
+    if bounded:
         frame = W.partitionBy(*keys).orderBy(*order).rowsBetween(W.unboundedPreceding, W.currentRow)
         return df.select("*", *[AGGREGATE[kind](column).over(frame).alias(out) for out, (kind, column) in aggregates.items()])
     rows = ordered(df, keys, order, parts).withColumn("_slice", F.shiftright("_pos", SLICE_BITS))
@@ -205,17 +187,15 @@ def framed(
     before: int = 0,
     after: int = 0,
     block: int | None = None,
-    plain: bool | None = None,
+    bounded: bool = False,
 ) -> DataFrame:
     """Columns that look at most ``before`` rows back and ``after`` rows ahead: lag, lead, moving averages.
 
-    Small groups take one plain window; ``plain`` decides it without measuring. Otherwise sorted rows are cut into blocks of ``block`` rows; the rows near a border are copied to the neighbour,
-    so a window never holds more than ``block + before + after`` rows whatever the key.
-    ``columns`` gets the window specification (partitioned and ordered) and returns the new columns.
+    Sorted rows are cut into blocks of ``block`` rows; the rows near a border are copied to the neighbour, so a window never holds more than ``block + before + after`` rows whatever the key.
+    ``bounded`` states that a key's rows fit one task by contract. ``columns`` gets the window specification (partitioned and ordered) and
+    returns the new columns.
     """
-    if plain is None:
-        plain = block is None and small_groups(df, keys)
-    if plain:
+    if bounded:
         window = W.partitionBy(*keys).orderBy(*order)
         return df.select("*", *[c.alias(n) for n, c in columns(window).items()])
     block = block or BLOCK_ROWS
@@ -268,7 +248,7 @@ def running_with_ties(
 ) -> DataFrame:
     """Running sum with the default RANGE frame: rows with an equal ``by`` share the sum."""
     sums = df.groupBy(*keys, by).agg(F.sum(value).alias("_v"))
-    run = running(sums, keys, [sorting(by, descending)], {out: ("sum", "_v")}, plain=False).drop("_v")
+    run = running(sums, keys, [sorting(by, descending)], {out: ("sum", "_v")}).drop("_v")
     return join_beside(df, run, [*keys, by])
 
 
@@ -286,17 +266,13 @@ def top_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str],
 
 def top_ranked(
     df: DataFrame, keys: Sequence[str], by: str, n: int, method: str = "rank", descending: bool = True, out: str = "rank",
-    few_ties: bool = False,
 ) -> DataFrame:
     """Rows whose rank or dense_rank by one column is at most ``n``.
 
-    Ranks come from the first ``n`` distinct values per key, so a large tie does not reach one task. For sums and other
-    values that hardly repeat, ``few_ties`` takes a single window, which Spark limits before the shuffle.
+    Ranks come from the first ``n`` distinct values per key, so a large tie does not reach one task. ``df`` is read twice: write the result of a
+    costly step first.
     """
     order = sorting(by, descending)
-    if few_ties:
-        rank = F.rank() if method == "rank" else F.dense_rank()
-        return df.withColumn(out, rank.over(W.partitionBy(*keys).orderBy(order)).cast("bigint")).filter(F.col(out) <= n)
     counts = df.groupBy(*keys, by).agg(F.count(F.lit(1)).alias("_n"))
     first = top_rows(counts, keys, [order], n, "_dense")
     if method == "rank":

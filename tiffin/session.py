@@ -36,9 +36,6 @@ def prepare(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to a session somebody else has built."""
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
-    context = spark.sparkContext
-    if context.master.startswith("local") and spark.conf.get("spark.sql.shuffle.partitions") == "200":
-        spark.conf.set("spark.sql.shuffle.partitions", str(context.defaultParallelism))
     return spark
 
 
