@@ -45,32 +45,31 @@ def test_change_feed_and_merge_on_read(spark, states):
     assert rows(v.read_merged(old, gone, added, ["id"])) == rows(new)
 
 
-def test_snapshots(spark, states, tmp_path):
+def test_dated_loads(spark, states, tmp_path):
     old, new = states
-    base = v.create_dataset(spark, str(tmp_path / "t"))
-    v.commit_snapshot(old, base, "APPEND", "2024-01-01 00:00:00")
-    first = v.read_as_of(spark, base, version=1)
-    assert v.commit_snapshot(new, base, "MERGE", "2024-01-02 00:00:00") == 2
-    assert rows(first) == rows(old)  # a fixed version does not see later loads
-    assert rows(v.read_as_of(spark, base, ts="2024-01-01 10:00:00")) == rows(old)
-    with pytest.raises(ValueError):
-        v.read_as_of(spark, base, ts="2023-01-01 00:00:00")
-    assert v.restore(spark, base, 1, "2024-01-03 00:00:00") == 3
-    assert rows(v.read_as_of(spark, base)) == rows(old)
-    log = v.read_log(spark, base)
-    assert rows(v.log_evolution(log), "snapshot_id", "row_change") == [(1, 3), (2, 0), (3, 0)]
-    assert rows(v.expired(log, 1, "2024-01-02 12:00:00"), "snapshot_id") == [(1,), (2,)]
+    base = v.add_load(old, str(tmp_path / "t"), 1, "2024-01-01 00:00:00", "APPEND")
+    v.add_load(new, base, 2, "2024-01-02 00:00:00", "MERGE")
+    loads = v.read_loads(spark, base)
+    assert rows(v.one_load(loads, snapshot_id=1)) == rows(old) == rows(v.one_load(loads, ts="2024-01-01 10:00:00"))
+    assert v.one_load(loads, ts="2023-01-01 00:00:00").count() == 0
+    assert "PartitionFilters: [isnotnull(snapshot_id" in plan(v.one_load(loads, snapshot_id=1))
+    v.add_load(v.one_load(loads, snapshot_id=1), base, 3, "2024-01-03 00:00:00", "RESTORE")
+    counts = v.load_counts(v.read_loads(spark, base))
+    assert rows(v.one_load(v.read_loads(spark, base))) == rows(old)
+    assert rows(v.log_evolution(counts), "snapshot_id", "row_change") == [(1, 3), (2, 0), (3, 0)]
+    assert rows(v.expired(counts, 1, "2024-01-02 12:00:00"), "snapshot_id") == [(1,), (2,)]
 
 
 def test_write_audit_publish(spark, states, tmp_path):
     old, new = states
-    base = v.create_dataset(spark, str(tmp_path / "w"))
-    v.commit_snapshot(old, base, "APPEND", "2024-01-01 00:00:00")
+    base = v.write_audit_publish(old, [], str(tmp_path / "w"), 1)
+    before = sorted(str(p) for p in (tmp_path / "w").rglob("*.parquet"))
     with pytest.raises(QualityError):
-        v.write_audit_publish(new, [Rule("known", "s IS NOT NULL", FAIL)], base, "2024-01-02 00:00:00")
-    assert v.last_version(spark, base) == 1
-    v.write_audit_publish(new, [Rule("known", "s IS NOT NULL")], base, "2024-01-02 00:00:00")
-    assert rows(v.read_as_of(spark, base), "id") == [(1,), (2,), (2,), (3,), (4,)]
+        v.write_audit_publish(new, [Rule("known", "s IS NOT NULL", FAIL)], base, 2)
+    assert sorted(str(p) for p in (tmp_path / "w").rglob("*.parquet")) == before
+    v.write_audit_publish(new, [Rule("known", "s IS NOT NULL")], base, 2)
+    assert set(before) < {str(p) for p in (tmp_path / "w").rglob("*.parquet")}
+    assert rows(spark.read.parquet(base), "id") == [(1,), (2,), (2,), (3,), (4,)]
 
 
 def test_evolve_and_fit_schema(spark, states):

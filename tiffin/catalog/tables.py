@@ -14,15 +14,19 @@ STATES = r.with_ctes(SNAPSHOTS)
 
 
 def three_loads(t):
-    """A snapshot dataset with three loads of the customers."""
-    base = v.create_dataset(t.spark, scratch_path(t.spark, "customers"))
+    """Three deliveries of the customers in one partitioned folder."""
+    base = scratch_path(t.spark, "customers")
     old, new = snapshots(t)
-    v.commit_snapshot(old, base, "APPEND", "2024-01-01 00:00:00")
-    v.commit_snapshot(new, base, "MERGE", "2024-01-02 00:00:00")
-    v.commit_snapshot(v.delete_where(new, F.col("balance") < 0), base, "DELETE", "2024-01-03 00:00:00")
+    v.add_load(old, base, 1, "2024-01-01 00:00:00", "APPEND")
+    v.add_load(new, base, 2, "2024-01-02 00:00:00", "MERGE")
+    v.add_load(v.delete_where(new, F.col("balance") < 0), base, 3, "2024-01-03 00:00:00", "DELETE")
     return base
 
 
+def loads(t):
+    return v.read_loads(t.spark, three_loads(t))
+
+
 @query("v01_update_where", """
 SELECT c_custkey, CASE WHEN c_acctbal < 0 THEN 'DEBT' ELSE c_mktsegment END AS c_mktsegment,
   CASE WHEN c_acctbal < 0 THEN c_acctbal * 2 ELSE c_acctbal END AS c_acctbal FROM customer""")
@@ -64,12 +68,12 @@ def v04(t):
 
 @query("v05_read_version", STATES + "SELECT * FROM old_s")
 def v05(t):
-    return v.read_as_of(t.spark, three_loads(t), version=1)
+    return v.one_load(loads(t), snapshot_id=1)
 
 
 @query("v05_read_timestamp", STATES + "SELECT * FROM new_s")
 def v05_ts(t):
-    return v.read_as_of(t.spark, three_loads(t), ts="2024-01-02 12:00:00")
+    return v.one_load(loads(t), ts="2024-01-02 12:00:00")
 
 
 LOG = STATES + """, log AS (SELECT CAST(1 AS BIGINT) AS snapshot_id, TIMESTAMP '2024-01-01' AS ts, 'APPEND' AS operation, (SELECT count(*) FROM old_s) AS rows
@@ -80,30 +84,29 @@ UNION ALL SELECT 3, TIMESTAMP '2024-01-03', 'DELETE', (SELECT count(*) FROM new_
 
 @query("v06_history", LOG + "SELECT *, CAST(rows - lag(rows, 1, 0) OVER (ORDER BY snapshot_id) AS BIGINT) AS row_change FROM log")
 def v06(t):
-    return v.log_evolution(v.read_log(t.spark, three_loads(t)))
+    return v.log_evolution(v.load_counts(loads(t)))
 
 
 @query("v06_operations", LOG + "SELECT operation, count(*) AS snapshots, min(ts) AS first_ts, max(ts) AS last_ts, max(rows) AS most_rows FROM log GROUP BY 1")
 def v06_operations(t):
-    return v.operation_summary(v.read_log(t.spark, three_loads(t)))
+    return v.operation_summary(v.load_counts(loads(t)))
 
 
 @query("j28_log_join", LOG + """
 SELECT id, segment, s.snapshot_id, operation FROM (SELECT *, 1 AS snapshot_id FROM old_s UNION ALL SELECT *, 2 FROM new_s
   UNION ALL SELECT *, 3 FROM new_s WHERE balance >= 0) s JOIN log ON log.snapshot_id = s.snapshot_id""")
 def j28(t):
-    base = three_loads(t)
-    rows = t.spark.read.option("basePath", f"{base}/data").parquet(f"{base}/data")
-    return rows.withColumn("snapshot_id", F.col("snapshot_id").cast("bigint")).join(
-        v.read_log(t.spark, base), "snapshot_id"
-    ).select("id", "segment", "snapshot_id", "operation")
+    rows = loads(t)
+    return rows.drop("operation").join(v.load_counts(rows).select("snapshot_id", "operation"), "snapshot_id").select(
+        "id", "segment", "snapshot_id", "operation"
+    )
 
 
 @query("v07_restore", STATES + "SELECT * FROM old_s")
 def v07(t):
     base = three_loads(t)
-    v.restore(t.spark, base, 1, "2024-01-04 00:00:00")
-    return v.read_as_of(t.spark, base)
+    v.add_load(v.one_load(v.read_loads(t.spark, base), snapshot_id=1), base, 4, "2024-01-04 00:00:00", "RESTORE")
+    return v.one_load(v.read_loads(t.spark, base))
 
 
 @query("v08_compare", STATES + """
@@ -111,8 +114,7 @@ SELECT 'old' AS measure, count(*) AS row_count FROM old_s UNION ALL SELECT 'new'
 UNION ALL SELECT 'only in new', count(*) FROM (SELECT * FROM new_s EXCEPT ALL SELECT * FROM old_s)
 UNION ALL SELECT 'only in old', count(*) FROM (SELECT * FROM old_s EXCEPT ALL SELECT * FROM new_s)""")
 def v08(t):
-    base = three_loads(t)
-    return v.compare_versions(v.read_as_of(t.spark, base, 1), v.read_as_of(t.spark, base, 2))
+    return v.compare_versions(*snapshots(t))
 
 
 FEED_SQL = STATES + """, j AS (SELECT o.id AS oid, n.id AS nid, (o.segment IS DISTINCT FROM n.segment OR o.balance IS DISTINCT FROM n.balance) AS diff
@@ -141,12 +143,12 @@ def v10(t):
 
 @query("v11_write_audit_publish", STATES + "SELECT * FROM old_s UNION ALL SELECT id + 1000000, segment, balance, nation FROM new_s WHERE balance >= 0")
 def v11(t):
-    base = v.create_dataset(t.spark, scratch_path(t.spark, "published"))
+    base = scratch_path(t.spark, "published")
     old, new = snapshots(t)
-    v.commit_snapshot(old, base, "APPEND", "2024-01-01 00:00:00")
+    v.write_audit_publish(old, [], base, 1)
     rules = [q.Rule("has_id", "id IS NOT NULL", q.FAIL), q.Rule("no_debt", "balance >= 0")]
-    v.write_audit_publish(new.withColumn("id", F.col("id") + 1000000), rules, base, "2024-01-02 00:00:00")
-    return v.read_as_of(t.spark, base)
+    v.write_audit_publish(new.withColumn("id", F.col("id") + 1000000), rules, base, 2)
+    return t.spark.read.parquet(base).drop("snapshot_id")
 
 
 @query("v12_evolve", """
@@ -296,7 +298,7 @@ def v26(t):
 
 @query("v27_expired", LOG + "SELECT * FROM log WHERE snapshot_id <= 2 AND ts < TIMESTAMP '2024-01-02'")
 def v27(t):
-    return v.expired(v.read_log(t.spark, three_loads(t)), keep=1, older_than="2024-01-02 00:00:00")
+    return v.expired(v.load_counts(loads(t)), keep=1, older_than="2024-01-02 00:00:00")
 
 
 @query("v28_convert", ORDERS_SQL)

@@ -1,8 +1,4 @@
-"""Row changes, snapshot datasets and file layout for ordinary partitioned tables.
-
-A snapshot dataset is a folder with one ``data/snapshot_id=N`` partition per load and a small ``log`` table. A snapshot
-is never changed after its log row is written; one writer at a time is assumed.
-"""
+"""Row changes, dated loads and file layout for ordinary partitioned tables."""
 
 from __future__ import annotations
 
@@ -16,8 +12,6 @@ from tiffin.operators.keys import unique_source
 from tiffin.operators.quality import FAIL, QualityError, Rule, broken_rows, expect
 from tiffin.session import scratch_path
 
-LOG_SCHEMA = "snapshot_id BIGINT, ts TIMESTAMP, operation STRING, rows BIGINT"
-
 
 # ---------------------------------------------------------------- row changes
 
@@ -139,56 +133,36 @@ def business_view(df: DataFrame, names: dict[str, str]) -> DataFrame:
     return df.select(*[F.col(old).alias(new) for old, new in names.items()])
 
 
-# ---------------------------------------------------------------- snapshot datasets
+# ---------------------------------------------------------------- dated loads
 
 
-def read_log(spark: SparkSession, base: str) -> DataFrame:
-    return spark.read.schema(LOG_SCHEMA).parquet(f"{base}/log")
+LOAD = ["snapshot_id", "ts", "operation"]
 
 
-def create_dataset(spark: SparkSession, base: str) -> str:
-    """A snapshot dataset without snapshots. Refuses a place that has a log already."""
-    spark.createDataFrame([], LOG_SCHEMA).write.parquet(f"{base}/log")
+def add_load(df: DataFrame, base: str, snapshot_id: int, ts: str, operation: str) -> str:
+    """Append a delivery to a folder partitioned by its number, which the caller gives; its rows carry time and kind. Nothing older is touched."""
+    stamped = df.withColumns({"snapshot_id": F.lit(snapshot_id).cast("bigint"), "ts": F.lit(ts).cast("timestamp"), "operation": F.lit(operation)})
+    stamped.write.mode("append").partitionBy("snapshot_id").parquet(base)
     return base
 
 
-def last_version(spark: SparkSession, base: str) -> int:
-    """Highest snapshot number, 0 before the first load."""
-    return read_log(spark, base).agg(F.max("snapshot_id")).first()[0] or 0
-
-
-def commit_snapshot(df: DataFrame, base: str, operation: str, ts: str) -> int:
-    """Write a state as the next snapshot, then its log row. Returns the snapshot number."""
-    spark = df.sparkSession
-    version = last_version(spark, base) + 1
-    path = f"{base}/data/snapshot_id={version}"
-    df.write.mode("overwrite").parquet(path)  # a crash before the log row leaves a folder nobody reads
-    log = spark.read.schema(df.schema).parquet(path).agg(F.count(F.lit(1)).alias("rows"))
-    log.select(
-        F.lit(version).cast("bigint").alias("snapshot_id"), F.lit(ts).cast("timestamp").alias("ts"),
-        F.lit(operation).alias("operation"), "rows",
-    ).coalesce(1).write.mode("append").parquet(f"{base}/log")
-    return version
-
+def read_loads(spark: SparkSession, base: str) -> DataFrame:
+    return spark.read.parquet(base).withColumn("snapshot_id", F.col("snapshot_id").cast("bigint"))
 
-def version_at(spark: SparkSession, base: str, ts: str) -> int:
-    """The snapshot that was newest at a time."""
-    found = read_log(spark, base).filter(F.col("ts") <= F.lit(ts).cast("timestamp")).agg(F.max("snapshot_id")).first()[0]
-    if found is None:
-        raise ValueError(f"no snapshot at {ts}")
-    return found
 
+def one_load(loads: DataFrame, snapshot_id: int | None = None, ts: str | None = None) -> DataFrame:
+    """The rows of one delivery: by number (only its partition is read), the newest at a time, or the newest."""
+    if snapshot_id is not None:
+        found = loads.filter(F.col("snapshot_id") == snapshot_id)
+    else:
+        known = loads if ts is None else loads.filter(F.col("ts") <= F.lit(ts).cast("timestamp"))
+        found = loads.filter(F.col("snapshot_id") == known.agg(F.max("snapshot_id")).scalar())
+    return found.drop(*LOAD)
 
-def read_as_of(spark: SparkSession, base: str, version: int | None = None, ts: str | None = None) -> DataFrame:
-    """One snapshot by number, by time, or the newest. Later loads do not change what a fixed number reads."""
-    if version is None:
-        version = version_at(spark, base, ts) if ts else last_version(spark, base)
-    return spark.read.parquet(f"{base}/data/snapshot_id={version}")
 
-
-def restore(spark: SparkSession, base: str, version: int, ts: str) -> int:
-    """An old snapshot once more as the newest."""
-    return commit_snapshot(read_as_of(spark, base, version), base, "RESTORE", ts)
+def load_counts(loads: DataFrame) -> DataFrame:
+    """One row per delivery with its number of rows."""
+    return loads.groupBy(*LOAD).agg(F.count(F.lit(1)).alias("rows"))
 
 
 def compare_versions(old: DataFrame, new: DataFrame) -> DataFrame:
@@ -220,11 +194,10 @@ def expired(log: DataFrame, keep: int, older_than: str) -> DataFrame:
     return log.filter((F.col("snapshot_id") <= newest - keep) & (F.col("ts") < F.lit(older_than).cast("timestamp")))
 
 
-def write_audit_publish(df: DataFrame, rules: Sequence[Rule], base: str, ts: str, append: bool = True) -> int:
-    """Stage rows, audit them, publish only a clean stage as the next snapshot.
+def write_audit_publish(df: DataFrame, rules: Sequence[Rule], base: str, snapshot_id: int) -> str:
+    """Stage rows, audit them, append only a clean stage to the published folder, as a partition of its own.
 
-    FAIL rules stop the publication, DROP rules leave their rows out. The published state holds the former rows once
-    and the staged rows once.
+    FAIL rules stop the publication, DROP rules leave their rows out. What was published before is not written again.
     """
     spark = df.sparkSession
     stage = scratch_path(spark, "staged")
@@ -234,9 +207,8 @@ def write_audit_publish(df: DataFrame, rules: Sequence[Rule], base: str, ts: str
     if failing and broken_rows(staged, failing).limit(1).count():
         raise QualityError(f"staged rows break one of {[rule.name for rule in failing]}")
     clean = expect(staged, [rule for rule in rules if rule.action != FAIL])
-    version = last_version(spark, base)
-    state = read_as_of(spark, base, version).unionByName(clean) if append and version else clean
-    return commit_snapshot(state, base, "PUBLISH", ts)
+    clean.withColumn("snapshot_id", F.lit(snapshot_id).cast("bigint")).write.mode("append").partitionBy("snapshot_id").parquet(base)
+    return base
 
 
 # ---------------------------------------------------------------- layout
