@@ -195,9 +195,9 @@ def c13(t):
 
 @query("c13_timeline", """
 SELECT CAST(ts AS DATE) AS snapshot_date, count(DISTINCT ts) AS snapshot_count, count(DISTINCT user_id) AS unique_users, count(*) AS total_records,
-  min(ts) AS earliest, max(ts) AS latest FROM events WHERE ts >= TIMESTAMP '2024-01-10' GROUP BY 1""")
+  min(ts) AS earliest, max(ts) AS latest FROM events GROUP BY 1""")
 def c13_timeline(t):
-    return cdc.snapshot_timeline(t.events, "user_id", "ts", F.lit("2024-01-10").cast("timestamp"))
+    return cdc.snapshot_timeline(t.events, "user_id", "ts")
 
 
 @query("c13_activity", r.with_ctes(HISTORY3) + """

@@ -96,16 +96,15 @@ def p08_groups(t):
 
 
 @query("p09_is_null", """
-SELECT c_custkey, o_orderkey IS NULL AS without_order, count(o_orderkey) AS orders
-FROM customer LEFT JOIN orders ON c_custkey = o_custkey AND o_totalprice > 450000
+SELECT c_custkey, event_id IS NULL AS without_order, count(event_id) AS orders
+FROM customer LEFT JOIN events ON c_custkey = user_id
 WHERE c_name IS NOT NULL GROUP BY 1, 2""")
 def p09(t):
-    big = t.orders.filter(F.col("o_totalprice") > 450000).select("o_orderkey", "o_custkey")
     people = t.customer.filter(F.col("c_name").isNotNull())
     return (
-        people.join(big, F.col("c_custkey") == F.col("o_custkey"), "left")
-        .groupBy("c_custkey", F.col("o_orderkey").isNull().alias("without_order"))
-        .agg(F.count("o_orderkey").alias("orders"))
+        people.join(t.events.select("event_id", "user_id"), F.col("c_custkey") == F.col("user_id"), "left")
+        .groupBy("c_custkey", F.col("event_id").isNull().alias("without_order"))
+        .agg(F.count("event_id").alias("orders"))
     )
 
 
