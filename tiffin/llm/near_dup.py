@@ -141,7 +141,7 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
-    """``rep, set`` of the documents with the wanted ids."""
+    """``rep, set`` of the documents with the wanted ids, whose number grows with the input: the texts are shuffled for it at every size."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in text.slices(batches, "body"):
@@ -149,7 +149,7 @@ def full_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
             values, ends = joined(shingle_sets(text.Words(lowered(data), offsets), size))
             yield pa.RecordBatch.from_arrays([part.column("id"), text.binary(values, ends * 8)], ["rep", "set"])
 
-    return docs.join(wanted.toDF("id"), "id", "left_semi").mapInArrow(cut, "rep bigint, set binary")
+    return docs.join(wanted.toDF("id").hint("merge"), "id", "left_semi").mapInArrow(cut, "rep bigint, set binary")
 
 
 def shared_counts(values: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
