@@ -80,12 +80,18 @@ def a06(t):
     )
 
 
-@query("a06_approx_values")
+@query("a06_approx_values", "SELECT l_suppkey, true AS orders_close, true AS restaurants_close FROM lineitem GROUP BY l_suppkey")
 def a06_values(t):
-    return t.lineitem.groupBy("l_suppkey").agg(
-        F.approx_count_distinct("l_orderkey", 0.02).alias("orders_served"),
-        F.approx_count_distinct("l_partkey", 0.02).alias("restaurants_served"),
+    served = t.lineitem.groupBy("l_suppkey").agg(
+        F.approx_count_distinct("l_orderkey", 0.02).alias("orders_served"), F.approx_count_distinct("l_partkey", 0.02).alias("restaurants_served"),
     )
+    # Distinct pairs first: one exact count per column without an expanded copy of the lines.
+    exact = {
+        c: t.lineitem.select("l_suppkey", c).distinct().groupBy("l_suppkey").agg(F.count(F.lit(1)).alias(f"n_{c}")) for c in ("l_orderkey", "l_partkey")
+    }
+    joined = served.join(exact["l_orderkey"], "l_suppkey").join(exact["l_partkey"], "l_suppkey")
+    near = lambda a, e: F.abs(F.col(a) - F.col(e)) <= F.greatest(F.col(e) * 0.1, F.lit(2))
+    return joined.select("l_suppkey", near("orders_served", "n_l_orderkey").alias("orders_close"), near("restaurants_served", "n_l_partkey").alias("restaurants_close"))
 
 
 @query("a07_conditional", REST + f"""

@@ -327,10 +327,15 @@ def c20(t):
     )
 
 
-@query("c21_row_tracking", "SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F' AND o_totalprice > 100000")
+@query("c21_row_tracking", """
+SELECT 'orders_in' AS step, count(*) AS rows FROM orders UNION ALL SELECT 'orders_finished', count(*) FROM orders WHERE o_orderstatus = 'F'
+UNION ALL SELECT 'orders_large', count(*) FROM orders WHERE o_orderstatus = 'F' AND o_totalprice > 100000""")
 def c21(t):
-    first, _ = q.count_rows(t.orders, "orders_in")
-    finished, _ = q.count_rows(first.filter(F.col("o_orderstatus") == "F"), "orders_finished")
-    return finished.filter(F.col("o_totalprice") > 100000).select("o_orderkey")
+    first, came_in = q.count_rows(t.orders, "orders_in")
+    finished, done = q.count_rows(first.filter(F.col("o_orderstatus") == "F"), "orders_finished")
+    large, kept = q.count_rows(finished.filter(F.col("o_totalprice") > 100000), "orders_large")
+    large.select("o_orderkey").write.parquet(scratch_path(t.spark, "tracked"))  # the one action that counts all three
+    counts = [(name, seen.get["rows"]) for name, seen in (("orders_in", came_in), ("orders_finished", done), ("orders_large", kept))]
+    return t.spark.createDataFrame(counts, "step string, rows bigint")
 
 

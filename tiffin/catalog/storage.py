@@ -147,12 +147,13 @@ def k02(t):
     return files.read_table(t.spark, path)
 
 
-@query("k03_compression", "SELECT x AS codec, p_partkey FROM part, (VALUES ('gzip'), ('snappy'), ('zstd'), ('none')) c(x)")
+@query("k03_compression", "SELECT x AS codec, y AS file_codec, p_partkey FROM part, (VALUES ('gzip', 'gz'), ('snappy', 'snappy'), ('zstd', 'zstd'), ('none', '')) c(x, y)")
 def k03(t):
     parts = []
     for codec in ("gzip", "snappy", "zstd", "none"):
         path = sinks.write_table(t.part, scratch_path(t.spark, codec), compression=codec)
-        parts.append(files.read_table(t.spark, path).select(F.lit(codec).alias("codec"), "p_partkey"))
+        named = F.regexp_extract(F.col("_metadata.file_name"), r"\.(\w+)\.parquet$", 1)
+        parts.append(files.read_table(t.spark, path).select(F.lit(codec).alias("codec"), named.alias("file_codec"), "p_partkey"))
     return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
 
 
@@ -215,11 +216,16 @@ def k10(t):
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
-@query("k11_statistics", "SELECT o_orderpriority, count(*) AS n FROM orders GROUP BY 1")
+@query("k11_statistics", """
+SELECT 'min' AS info_name, min(o_totalprice) AS info_value FROM orders UNION ALL SELECT 'max', max(o_totalprice) FROM orders
+UNION ALL SELECT 'num_nulls', CAST(count(*) - count(o_totalprice) AS DOUBLE) FROM orders UNION ALL SELECT 'rows', CAST(count(*) AS DOUBLE) FROM orders""")
 def k11(t):
     name = sinks.save_table(t.orders, table_name("stats"), scratch_path(t.spark, "stats"))
     sinks.analyze(t.spark, name, ["o_orderpriority", "o_totalprice"])
-    return t.spark.table(name).groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("n"))
+    column = t.spark.sql(f"DESCRIBE EXTENDED {name} o_totalprice").filter(F.col("info_name").isin("min", "max", "num_nulls"))
+    table = t.spark.sql(f"DESCRIBE EXTENDED {name}").filter("col_name = 'Statistics'")
+    rows = table.select(F.lit("rows").alias("info_name"), F.regexp_extract("data_type", r"(\d+) rows", 1).alias("info_value"))
+    return column.select("info_name", "info_value").unionByName(rows).withColumn("info_value", F.col("info_value").cast("double"))
 
 
 @query("k12_bi_view", r.with_ctes(r.RESTAURANTS, r.TIMED_SALES) + f"""

@@ -217,11 +217,21 @@ def v18(t):
     return t.spark.read.parquet(v.compact(t.spark, many, few, 4))
 
 
-@query("v19_zorder", ORDERS_SQL)
+@query("v19_zorder", "SELECT count(*) AS row_count, true AS narrower_o_custkey, true AS narrower_o_totalprice FROM orders")
 def v19(t):
-    path = scratch_path(t.spark, "zorder")
-    v.zorder(short_orders(t), ["o_custkey", "o_totalprice"], 8).write.parquet(path)
-    return t.spark.read.parquet(path)
+    """Rows after clustering, and whether the files' ranges got narrower in both columns than without it."""
+    columns = ["o_custkey", "o_totalprice"]
+    plain, clustered = scratch_path(t.spark, "plain"), scratch_path(t.spark, "zorder")
+    short_orders(t).repartition(8).write.parquet(plain)
+    v.zorder(short_orders(t), columns, 8).write.parquet(clustered)
+
+    def widths(path):
+        ranges = v.file_ranges(t.spark.read.parquet(path), columns)
+        return ranges.agg(*[F.avg(F.col(f"max_{c}") - F.col(f"min_{c}")).alias(c) for c in columns], F.lit(1).alias("one"))
+
+    both = widths(plain).toDF(*[f"plain_{c}" for c in columns], "one").join(widths(clustered), "one")
+    total = t.spark.read.parquet(clustered).agg(F.count(F.lit(1)).alias("row_count"), F.max(F.lit(1)).alias("one"))
+    return total.join(both, "one").select("row_count", *[(F.col(c) < F.col(f"plain_{c}")).alias(f"narrower_{c}") for c in columns])
 
 
 @query("v20_partition_transforms", """

@@ -1,11 +1,12 @@
 """Window and ordering queries (W*, O*)."""
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from tiffin.catalog import roles as r
 from tiffin.catalog.registry import query
 from tiffin.functions import columns as c
 from tiffin.operators import aggs, windows as win
+from tiffin.session import durable
 
 LINE = "o_orderkey, o_custkey, o_totalprice"
 
@@ -272,13 +273,19 @@ def o04(t):
     return t.orders.select("o_orderkey", "o_totalprice").orderBy(F.col("o_totalprice").desc(), "o_orderkey").limit(20)
 
 
-@query("o05_sort_within_partitions", """
-SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate FROM lineitem""")
+@query("o05_sort_within_partitions", "SELECT count(*) AS row_count, 0 AS out_of_order FROM lineitem")
 def o05(t):
     rows = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate")
-    return rows.repartitionByRange("l_suppkey", "l_shipdate").sortWithinPartitions("l_suppkey", "l_shipdate")
+    placed = rows.repartitionByRange("l_suppkey", "l_shipdate").sortWithinPartitions("l_suppkey", "l_shipdate")
+    numbered = durable(placed.withColumn("at", F.monotonically_increasing_id()), "sorted")
+    here = F.struct("l_suppkey", "l_shipdate")
+    slice_no = F.shiftright("at", win.SLICE_BITS)
+    follow = numbered.withColumn("before", F.lag(here).over(Window.partitionBy(slice_no).orderBy("at")))  # one slice of the sort at a time
+    return follow.agg(F.count(F.lit(1)).alias("row_count"), F.count_if(F.col("before") > here).cast("int").alias("out_of_order"))
 
 
-@query("o06_head")
+@query("o06_head", "SELECT least(count(*), 5) AS row_count, true AS all_in_table FROM orders")
 def o06(t):
-    return t.orders.limit(5)
+    head = t.orders.limit(5)
+    known = head.join(t.orders.select("o_orderkey", F.lit(True).alias("known")), "o_orderkey", "left")
+    return known.agg(F.count(F.lit(1)).alias("row_count"), F.min(F.coalesce("known", F.lit(False))).alias("all_in_table"))
