@@ -33,12 +33,12 @@ def label_by_floor(floors: Floors, otherwise: str, missing: str = "Unknown") ->
 
 
 def label_udf(floors: Floors, otherwise: str):
-    return F.udf(label_by_floor(floors, otherwise), T.StringType())
+    return F.udf(label_by_floor(floors, otherwise), T.StringType(), useArrow=True)
 
 
 def register_label(spark: SparkSession, name: str, floors: Floors, otherwise: str) -> None:
     """The same function for SQL text."""
-    spark.udf.register(name, label_by_floor(floors, otherwise), T.StringType())
+    spark.udf.register(name, label_udf(floors, otherwise))
 
 
 @F.pandas_udf(T.DoubleType())

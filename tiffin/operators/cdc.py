@@ -7,7 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tiffin.functions.columns import percent, row_hash
+from tiffin.functions.columns import percent
 from tiffin.operators.keys import unique_source
 from tiffin.operators.windows import framed, latest_per_key, ordered, running
 
@@ -46,14 +46,14 @@ def scd1(
 ) -> DataFrame:
     """Current state from a change feed in any order.
 
-    The row with the highest ``seq`` wins; at an equal ``seq`` a delete wins, then the greater row hash. Deleted keys
+    The row with the highest ``seq`` wins; at an equal ``seq`` a delete wins, then the greater values in the order of their columns. Deleted keys
     disappear. With ``ignore_nulls`` a NULL does not overwrite an older value, unless a delete lies between.
     One aggregate with a map-side step.
     """
     values = [c for c in changes.columns if c not in {*keys, seq, *exclude}]
     gone = F.coalesce(delete_when, F.lit(False))
-    marked = changes.withColumn("_gone", gone).withColumn("_hash", row_hash(*values))
-    order = F.struct(seq, "_gone", "_hash")
+    marked = changes.withColumn("_gone", gone)
+    order = F.struct(seq, "_gone", *values)
     if ignore_nulls:
         latest = [
             F.max_by(
@@ -85,16 +85,14 @@ def scd2(
     Same-``seq`` duplicates are settled as in ``scd1``. A key with many changes is spread over tasks.
     """
     values = [c for c in changes.columns if c not in {*keys, seq, *exclude}]
-    marked = changes.withColumn("_gone", F.coalesce(delete_when, F.lit(False))).withColumn("_hash", row_hash(*values))
-    single = latest_per_key(
-        marked.select(*keys, seq, *values, "_gone", "_hash"), [*keys, seq], [F.col("_gone"), F.col("_hash")]
-    ).withColumn("_tracked", row_hash(*track))
-    single = single.drop("_hash")
+    marked = changes.withColumn("_gone", F.coalesce(delete_when, F.lit(False)))
+    single = latest_per_key(marked.select(*keys, seq, *values, "_gone"), [*keys, seq], [F.col(c) for c in ("_gone", *values)])
+    single = single.withColumn("_tracked", F.struct(*track))
     rows = ordered(single, keys, [seq])
     lagged = framed(
         rows, keys, [seq], lambda w: {"_was_gone": F.lag("_gone").over(w), "_was": F.lag("_tracked").over(w)}, before=1
     )
-    begins = ~F.col("_gone") & (F.coalesce(F.col("_was_gone"), F.lit(True)) | (F.col("_was") != F.col("_tracked")))
+    begins = ~F.col("_gone") & (F.coalesce(F.col("_was_gone"), F.lit(True)) | ~F.col("_was").eqNullSafe(F.col("_tracked")))
     numbered = running(
         lagged.withColumn("_begins", F.when(begins, 1).otherwise(0)), keys, [seq], {"_version": ("sum", "_begins")}
     )

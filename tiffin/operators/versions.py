@@ -7,7 +7,6 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F, types as T
 
-from tiffin.functions.columns import row_hash
 from tiffin.operators.keys import unique_source
 from tiffin.operators.quality import FAIL, QualityError, Rule, broken_rows, expect
 from tiffin.session import scratch_path
@@ -68,17 +67,17 @@ def upsert(
 def change_feed(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Changes from one state to the next: insert, delete, update_preimage and update_postimage rows."""
     values = list(old.columns)
-    o = old.withColumn("_hash", row_hash(*values)).alias("o")
-    n = new.select(*values).withColumn("_hash", row_hash(*values)).alias("n")
+    o = old.withColumn("_here", F.lit(True)).alias("o")
+    n = new.select(*values).withColumn("_here", F.lit(True)).alias("n")
     joined = o.join(n, reduce(lambda a, b: a & b, [F.col(f"o.{k}") == F.col(f"n.{k}") for k in keys]), "full")
     before = F.struct(*[F.col(f"o.{c}").alias(c) for c in values])
     after = F.struct(*[F.col(f"n.{c}").alias(c) for c in values])
     entry = lambda row, kind: F.struct(row.alias("row"), F.lit(kind).alias("kind"))
-    had, has = F.col("o._hash").isNotNull(), F.col("n._hash").isNotNull()
+    had, has = F.col("o._here").isNotNull(), F.col("n._here").isNotNull()
     entries = (
         F.when(~had, F.array(entry(after, "insert")))
         .when(~has, F.array(entry(before, "delete")))
-        .when(F.col("o._hash") != F.col("n._hash"), F.array(entry(before, "update_preimage"), entry(after, "update_postimage")))
+        .when(~before.eqNullSafe(after), F.array(entry(before, "update_preimage"), entry(after, "update_postimage")))
     )
     return joined.select(F.explode(entries).alias("_e")).select("_e.row.*", F.col("_e.kind").alias("change_type"))
 

@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tiffin.functions.columns import row_hash
 from tiffin.operators.joins import interval_join
 
 
@@ -84,7 +83,7 @@ def compact_groups(spark: SparkSession, path: str, target: str, keys: Sequence[s
 def newest_change(rows: DataFrame, keys: Sequence[str], seq: str) -> DataFrame:
     """The winning change per key: highest ``seq``, then a delete, then the greater row hash."""
     rest = [c for c in rows.columns if c not in keys]
-    order = F.struct(seq, "_gone", row_hash(*[c for c in rest if c != "_gone"]))
+    order = F.struct(seq, "_gone", *[c for c in rest if c != "_gone"])
     newest = rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), order).alias("_row"))
     return newest.select(*keys, "_row.*")
 
