@@ -101,7 +101,7 @@ def probes(source: DataFrame, size: int, buckets: int) -> DataFrame:
     block = (size + 1) // 2
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in text.slices(batches, "body"):
+        for part in text.slices(batches, "body", text.LARGE_SLICE):
             words = text.Words(*text.raw(part.column("body")))
             at, owner = text.window_starts(words.docs, block)
             long_enough = words.counts[owner] >= size
@@ -164,7 +164,7 @@ def windows(marked: DataFrame, size: int, buckets: int) -> DataFrame:
     block = (size + 1) // 2
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in text.slices(batches, "body"):
+        for part in text.slices(batches, "body", text.LARGE_SLICE):
             words = text.Words(*text.raw(part.column("body")))
             own = words.hashes()
             low = text.window_hashes(own, block) & LOW

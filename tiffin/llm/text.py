@@ -6,11 +6,15 @@ A batch of texts is one byte array plus offsets, as Arrow holds it, so that no P
 
 from __future__ import annotations
 
+import shutil
+import tempfile
 import uuid
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+from pyspark import SparkFiles
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,12 +24,24 @@ __all__ = ["Words", "durable", "prepared", "shared_dir", "slices", "raw", "binar
 
 SPACES = np.zeros(256, dtype=bool)
 SPACES[[0x20, 9, 10, 11, 12, 13]] = True
-SLICE_BYTES = 4 << 20  # of text worked on at a time; a longer text is a slice of its own
+SLICE_BYTES = 1 << 20  # of text worked on at a time; a longer text is a slice of its own
+LARGE_SLICE = 4 << 20  # where equal words or passages of one slice are brought together
+
+
+SHIPPED: set[str] = set()  # applications whose executors have the package
 
 
 def prepared(spark: SparkSession) -> None:
-    """Arrow batches of few rows, so that a batch with long texts stays small in the JVM and the worker."""
+    """Arrow batches of few rows, so that a batch with long texts stays small in the JVM and the worker; the package for the workers.
+
+    The package goes along as ``--py-files`` would send it, once per application, as the executors may not have it installed.
+    """
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    context = spark.sparkContext
+    if context.applicationId not in SHIPPED:
+        SHIPPED.add(context.applicationId)
+        folder = tempfile.mkdtemp(dir=SparkFiles.getRootDirectory())
+        context.addPyFile(shutil.make_archive(f"{folder}/tiffin-code", "zip", Path(__file__).resolve().parents[2], "tiffin"))
 
 
 def new_name(*taken: DataFrame, stem: str = "tmp") -> str:

@@ -127,7 +127,7 @@ def token_counts(
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = transducer(path)
-        for part in text.slices(batches, "body"):
+        for part in text.slices(batches, "body", text.LARGE_SLICE):
             data, offsets = text.raw(part.column("body"))
             tokens = piece_counts(data, offsets, machine, marker)
             yield pa.RecordBatch.from_arrays(
