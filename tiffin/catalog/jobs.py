@@ -323,23 +323,50 @@ def e07_city_deliveries(t):
 # ---------------------------------------------------------------- E8 layered lake
 
 
+EVENT_SALES = """event_sales AS (SELECT event_id AS order_id, user_id AS restaurant_id, user_id AS driver_id, ts AS order_date, value AS amount,
+  CAST(value AS DECIMAL(18,2)) AS amount_d FROM events)"""
+LAKE = r.with_ctes(r.RESTAURANTS, r.DRIVERS, EVENT_SALES)
+
+
 def built_lake(t):
+    """Events as sales, which have a time of day; most restaurants and some drivers have none."""
     base = scratch_path(t.spark, "lake")
-    lake.build_lake(r.restaurants(t), r.drivers(t), r.timed_sales(t).drop("user_id"), base, PRICE_TIERS)
+    sales = t.events.select(
+        F.col("event_id").alias("order_id"), F.col("user_id").alias("restaurant_id"), F.col("user_id").alias("driver_id"),
+        F.col("ts").alias("order_date"), F.col("value").alias("amount"),
+    )
+    lake.build_lake(r.restaurants(t), r.drivers(t), sales, base, PRICE_TIERS)
     return base
 
 
-@query("e08_lake_restaurants", BASE + f"""
+@query("e08_lake_restaurants", LAKE + f"""
 SELECT r.restaurant_id, name, cuisine, city, rating, {TIER_SQL.format('rating')} AS rating_category, count(order_id) AS order_count,
-  CAST(sum(amount_d) AS DOUBLE) AS total_revenue, {r.mean_sql('amount_d')} AS avg_order_value
-FROM restaurants r LEFT JOIN sales USING (restaurant_id) GROUP BY 1, 2, 3, 4, 5, 6""")
+  CAST(sum(amount_d) AS DOUBLE) AS total_revenue, CASE WHEN count(order_id) > 0 THEN {r.mean_sql('amount_d')} END AS avg_order_value
+FROM restaurants r LEFT JOIN event_sales USING (restaurant_id) GROUP BY 1, 2, 3, 4, 5, 6""")
 def e08_restaurants(t):
     return read_table(t.spark, f"{built_lake(t)}/gold/restaurant_performance")
 
 
-@query("e08_lake_time", TIMED + f"""
-SELECT CAST(year(order_date) AS INT) AS year, CAST(month(order_date) AS INT) AS month, substr(dayname(order_date), 1, 3) AS day_of_week, 0 AS hour,
-  count(*) AS order_count, CAST(sum(amount_d) AS DOUBLE) AS total_revenue, {r.mean_sql('amount_d')} AS avg_order_value FROM timed_sales GROUP BY 1, 2, 3""")
+@query("e08_lake_cuisines", LAKE + f"""
+SELECT cuisine, count(*) AS restaurant_count, {r.mean_sql('rating_d')} AS avg_rating, CAST(sum(n) AS BIGINT) AS total_orders, CAST(sum(s) AS DOUBLE) AS total_revenue
+FROM (SELECT r.restaurant_id, cuisine, rating_d, count(order_id) AS n, sum(amount_d) AS s FROM restaurants r LEFT JOIN event_sales USING (restaurant_id) GROUP BY 1, 2, 3)
+GROUP BY cuisine""")
+def e08_cuisines(t):
+    return read_table(t.spark, f"{built_lake(t)}/gold/cuisine_performance")
+
+
+@query("e08_lake_drivers", LAKE + f"""
+SELECT driver_id, driver_name, city, vehicle, count(order_id) AS delivery_count, CAST(sum(amount_d) AS DOUBLE) AS total_revenue,
+  CASE WHEN count(order_id) > 0 THEN {r.mean_sql('amount_d')} END AS avg_revenue
+FROM drivers LEFT JOIN event_sales USING (driver_id) GROUP BY 1, 2, 3, 4""")
+def e08_drivers(t):
+    return read_table(t.spark, f"{built_lake(t)}/gold/driver_performance")
+
+
+@query("e08_lake_time", LAKE + f"""
+SELECT CAST(year(order_date) AS INT) AS year, CAST(month(order_date) AS INT) AS month, substr(dayname(order_date), 1, 3) AS day_of_week,
+  CAST(hour(order_date) AS INT) AS hour, count(*) AS order_count, CAST(sum(amount_d) AS DOUBLE) AS total_revenue, {r.mean_sql('amount_d')} AS avg_order_value
+FROM event_sales GROUP BY 1, 2, 3, 4""")
 def e08_time(t):
     return read_table(t.spark, f"{built_lake(t)}/gold/time_analytics")
 
@@ -644,11 +671,47 @@ def e18(t):
     return shown[0].unionByName(shown[1]).unionByName(shown[2])
 
 
-@query("e19_relational_drivers", BASE + """
+@query("e19_relational_drivers", r.with_ctes(r.DRIVERS, """sold AS (SELECT l_suppkey AS driver_id, l_orderkey AS order_id,
+  CAST(CASE WHEN l_quantity != 7 THEN l_extendedprice END AS DECIMAL(18,2)) AS amount_d FROM lineitem)""") + """
 SELECT driver_id, driver_name, vehicle, city, count(order_id) AS delivery_count, CAST(sum(amount_d) AS DOUBLE) AS total_delivery_value
-FROM drivers LEFT JOIN sales USING (driver_id) GROUP BY 1, 2, 3, 4""")
+FROM drivers LEFT JOIN sold USING (driver_id) GROUP BY 1, 2, 3, 4""")
 def e19(t):
-    return lake.relational_tables(r.restaurants(t), r.drivers(t), r.sales(t))["driver_analytics"]
+    return relational(t)["driver_analytics"]
+
+
+def relational(t):
+    """The five tables of the relational job, with gaps: events as sales, no rating for one part type."""
+    rated = r.restaurants(t).withColumn("rating", F.when(F.col("cuisine") != "PROMO", F.col("rating")))
+    return lake.relational_tables(rated, r.drivers(t), r.sales(t).withColumn("amount", F.when(F.col("quantity") != 7, F.col("amount"))))
+
+
+RELATIONAL = r.with_ctes(
+    r.RESTAURANTS, r.DRIVERS, "kept AS (SELECT * EXCLUDE (rating_d) FROM restaurants WHERE cuisine != 'PROMO')",
+    """sold AS (SELECT l_orderkey AS order_id, l_partkey AS restaurant_id, l_suppkey AS driver_id, CASE WHEN l_quantity != 7 THEN l_extendedprice END AS amount,
+  CAST(CASE WHEN l_quantity != 7 THEN l_extendedprice END AS DECIMAL(18,2)) AS amount_d, l_quantity AS quantity FROM lineitem)""",
+)
+
+
+@query("e19_relational_restaurants", RELATIONAL + "SELECT * FROM kept")
+def e19_restaurants(t):
+    return relational(t)["restaurants_raw"]
+
+
+@query("e19_relational_drivers_raw", RELATIONAL + "SELECT * FROM drivers")
+def e19_drivers_raw(t):
+    return relational(t)["drivers_raw"]
+
+
+@query("e19_relational_orders", RELATIONAL + "SELECT * EXCLUDE (amount_d) FROM sold WHERE amount IS NOT NULL")
+def e19_orders(t):
+    return relational(t)["orders_raw"]
+
+
+@query("e19_relational_analytics", RELATIONAL + """
+SELECT k.*, count(order_id) AS order_count, CAST(sum(amount_d) AS DOUBLE) AS total_revenue
+FROM kept k LEFT JOIN (SELECT * FROM sold WHERE amount IS NOT NULL) s ON k.restaurant_id = s.restaurant_id GROUP BY ALL""")
+def e19_analytics(t):
+    return relational(t)["restaurant_analytics"]
 
 
 def people(t):
