@@ -159,11 +159,12 @@ def test_weighted_mean_forms_agree(spark):
 
 def test_city_summary_weighting(spark):
     dim = spark.createDataFrame([(1, "x"), (2, "x")], "restaurant_id int, city string")
-    ratings = spark.createDataFrame([(1, 4.0), (1, 2.0)], "restaurant_id int, rating double")
+    ratings = spark.createDataFrame([(1, 4.0, 7), (1, 2.0, 8), (1, 2.0, 8)], "restaurant_id int, rating double, rating_id int")
     stock = spark.createDataFrame([(1, 10.0), (2, 40.0)], "restaurant_id int, v double").withColumn("inventory_value", c.money("v"))
     written = plans.city_summary(dim, ratings, stock).first()
     once = plans.city_summary(dim, ratings, stock, pre_aggregate=True).first()
-    assert (written.avg_inventory_value, once.avg_inventory_value) == (20.0, 25.0)
+    assert (written.avg_inventory_value, once.avg_inventory_value) == (17.5, 25.0)  # (3 * 10 + 40) / 4, (10 + 40) / 2
+    assert written.total_ratings == once.total_ratings == 2
 
 
 def test_distinct_dimension_is_not_latest(spark):

@@ -102,15 +102,18 @@ def city_summary(dim: DataFrame, ratings: DataFrame, inventory: DataFrame, pre_a
     """Restaurants, ratings and stock value per city.
 
     The plain form repeats a restaurant's stock for each of its ratings, so the average is weighted by ratings;
-    ``pre_aggregate`` counts each restaurant once. Both come from per-restaurant sums, not from the multiplied rows.
+    ``pre_aggregate`` counts each restaurant once. Both come from per-restaurant sums, not from the multiplied rows. ``total_ratings`` counts each
+    ``rating_id``, which belongs to one restaurant, once, however often it was delivered.
     """
-    rated = ratings.groupBy("restaurant_id").agg(F.count("rating").alias("_n"), F.sum(money("rating")).alias("_sum"))
+    rated = ratings.groupBy("restaurant_id").agg(
+        F.count("rating").alias("_n"), F.sum(money("rating")).alias("_sum"), F.countDistinct("rating_id").alias("_ids")
+    )
     stock = inventory.groupBy("restaurant_id").agg(F.sum("inventory_value").alias("_value"))
-    joined = dim.join(rated, "restaurant_id", "left").join(stock, "restaurant_id", "left").fillna(0, ["_n"])
+    joined = dim.join(rated, "restaurant_id", "left").join(stock, "restaurant_id", "left").fillna(0, ["_n", "_ids"])
     weight = F.lit(1) if pre_aggregate else F.greatest("_n", F.lit(1))
     known = F.when(F.col("_value").isNotNull(), weight)
     return joined.groupBy("city").agg(
-        F.countDistinct("restaurant_id").alias("restaurant_count"), F.sum("_n").alias("total_ratings"),
+        F.countDistinct("restaurant_id").alias("restaurant_count"), F.sum("_ids").alias("total_ratings"),
         ratio(F.sum("_sum"), F.sum("_n")).alias("avg_rating"),
         ratio(F.sum(F.col("_value") * known), F.sum(known)).alias("avg_inventory_value"),
     )
