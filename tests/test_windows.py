@@ -184,3 +184,14 @@ def test_no_task_holds_a_hot_key(spark):
     assert rows(win.number_rows(df, ["k"], [F.col("id")]), "id", "row_number") == rows(
         df.withColumn("row_number", F.row_number().over(W.partitionBy("k").orderBy("id")).cast("bigint")), "id", "row_number"
     )
+
+
+def test_ranks_many_equal_single_ranks(skewed):
+    specs = [
+        (["k"], "v", {"a": "rank", "b": "percent_rank"}, True), ([], "x", {"c": "dense_rank", "d": "cume_dist"}, False),
+        (["k"], "v", {"e": "max_rank", "f": "average_rank"}, False),
+    ]
+    got, want = win.ranks_many(skewed, specs), skewed
+    for keys, by, outputs, down in specs:
+        want = win.ranks(want, keys, by, outputs, down)
+    assert rows(got, "id", *"abcdef") == rows(want, "id", *"abcdef")

@@ -122,21 +122,56 @@ def ranks(
     return join_beside(df, values.select(*keys, by, *outputs), [*keys, by])
 
 
-def ranks_many(df: DataFrame, specs: Sequence[tuple[Sequence[str], str, dict[str, str]]], descending: bool = True) -> DataFrame:
-    """Several ranks of one table: (keys, column, outputs) each, as in ``ranks``.
+def ranks_many(df: DataFrame, specs: Sequence[tuple], descending: bool = True) -> DataFrame:
+    """Several ranks of one table: (keys, column, outputs) each, as in ``ranks``, with a direction of its own as a fourth entry where needed.
 
-    The table is written once first. All value counts then read that copy instead of repeating the work behind it, and
-    no rank waits for another.
+    The table is written once. The counts of all columns' values are then stacked, sorted and numbered together, in one sorted copy whatever the
+    number of ranks; each rank joins back from there.
     """
     base = durable(df, "ranked")
+    specs = [(*spec, descending)[:4] for spec in specs]
+    keys = list(dict.fromkeys(k for spec in specs for k in spec[0]))
+    values = list(dict.fromkeys((by, down) for _, by, _, down in specs))
+    types = {f.name: f.dataType for f in df.schema.fields}
+    name = {v: f"_v{n}" for n, v in enumerate(values)}
+    parts = []
+    for number, (own, by, _, down) in enumerate(specs):
+        counts = base.groupBy(*own, by).agg(F.count(F.lit(1)).alias("_n"))
+        parts.append(counts.select(
+            F.lit(number).alias("_spec"), *[(F.col(k) if k in own else F.lit(None).cast(types[k])).alias(f"_k{n}") for n, k in enumerate(keys)],
+            *[(F.col(by) if v == (by, down) else F.lit(None).cast(types[v[0]])).alias(name[v]) for v in values], "_n",
+        ))
+    stacked = reduce(DataFrame.unionByName, parts).withColumn("_one", F.lit(1).cast("bigint"))
+    group, order = ["_spec", *[f"_k{n}" for n in range(len(keys))]], [sorting(name[v], v[1]) for v in values]
+    placed = ordered(stacked, group, order)
+    run = running(placed, group, order, {"_upto": ("sum", "_n"), "_dense": ("sum", "_one")})
+    if {"percent_rank", "cume_dist"} & {kind for spec in specs for kind in spec[2].values()}:
+        run = beside_total(run, placed, group)
+    run = durable(run.drop("_pos"), "ranks")
     result = base
-    for keys, by, outputs in specs:
-        counts = base.groupBy(*keys, by).agg(F.count(F.lit(1)).alias("_n"))
-        values = value_ranks(counts, keys, by, outputs, descending)
-        result = join_beside(result, values.select(*keys, by, *outputs), [*keys, by])
+    for number, (own, by, outputs, down) in enumerate(specs):
+        forms, mine = rank_forms(name[by, down]), run.filter(F.col("_spec") == number)
+        found = mine.select(
+            *[F.col(f"_k{n}").alias(k) for n, k in enumerate(keys) if k in own], F.col(name[by, down]).alias(by),
+            *[forms[kind]().alias(out) for out, kind in outputs.items()],
+        )
+        result = join_beside(result, found, [*own, by])
     return result
 
 
+def rank_forms(by: str) -> dict[str, Callable[[], Column]]:
+    """Rank columns from the running count ``_upto`` of rows, ``_dense`` of values, the value's rows ``_n`` and the key's rows ``_total``."""
+    rank = F.col("_upto") - F.col("_n") + 1
+    return {
+        "rank": lambda: rank,
+        "dense_rank": lambda: F.col("_dense"),
+        "max_rank": lambda: F.col("_upto"),
+        "average_rank": lambda: F.when(F.col(by).isNotNull(), rank + (F.col("_n") - 1) / F.lit(2.0)),
+        "percent_rank": lambda: F.when(F.col("_total") > 1, (rank - 1) / (F.col("_total") - 1)).otherwise(F.lit(0.0)),
+        "cume_dist": lambda: F.col("_upto") / F.col("_total"),
+    }
+
+
 def pandas_rank(
     df: DataFrame, keys: Sequence[str], by: str, outputs: dict[str, str], ascending: bool = True
 ) -> DataFrame:
@@ -167,15 +202,7 @@ def value_ranks(
     run = running(placed, keys, [direction], {"_upto": ("sum", "_n"), "_dense": ("sum", "_one")})
     if {"percent_rank", "cume_dist"} & set(outputs.values()):
         run = beside_total(run, placed, keys)
-    rank = F.col("_upto") - F.col("_n") + 1
-    forms = {
-        "rank": lambda: rank,
-        "dense_rank": lambda: F.col("_dense"),
-        "max_rank": lambda: F.col("_upto"),
-        "average_rank": lambda: F.when(F.col(by).isNotNull(), rank + (F.col("_n") - 1) / F.lit(2.0)),
-        "percent_rank": lambda: F.when(F.col("_total") > 1, (rank - 1) / (F.col("_total") - 1)).otherwise(F.lit(0.0)),
-        "cume_dist": lambda: F.col("_upto") / F.col("_total"),
-    }
+    forms = rank_forms(by)
     return run.withColumns({out: forms[kind]() for out, kind in outputs.items()}).drop("_one", "_dense", "_pos")
 
 

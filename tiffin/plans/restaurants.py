@@ -230,9 +230,8 @@ def analytics_mart(restaurants: DataFrame, sales: DataFrame, year: int) -> DataF
         count_where(hour.between(11, 14)).alias("lunch_orders"), count_where(hour.between(18, 21)).alias("dinner_orders"),
     )
     counts = ["order_count", "active_months", "orders_year", "lunch_orders", "dinner_orders"]
-    mart = restaurants.join(facts, "restaurant_id", "left").fillna(0, [*counts, "revenue_year"])
-    mart = ranks(mart, ["cuisine"], "rating", {"_place": "percent_rank"})
-    mart = ranks(mart, ["city"], "rating", {"rank_in_city": "dense_rank"}, descending=True)
+    placed = ranks_many(restaurants, [(["cuisine"], "rating", {"_place": "percent_rank"}, False), (["city"], "rating", {"rank_in_city": "dense_rank"}, True)])
+    mart = placed.join(facts, "restaurant_id", "left").fillna(0, [*counts, "revenue_year"])
     place = tier("_place", [(0.8, "Top 20%"), (0.5, "Above Average"), (0.2, "Below Average")], "Bottom 20%")
     return mart.select(
         *restaurants.columns, *counts, F.col("revenue_d").cast("double").alias("total_revenue"), "revenue_year",
