@@ -255,3 +255,15 @@ def test_staged_refresh_stops_on_a_short_load(spark, monkeypatch):
     assert not statements
     assert jdbc.staged_refresh(Frame(3), "jdbc:x", "orders", statements.extend) == 3
     assert [s.split()[0] for s in statements] == ["DROP", "ALTER", "ALTER", "DROP"]
+
+
+def test_scratch_tables_go_when_asked(spark, tmp_path, monkeypatch):
+    from pathlib import Path
+
+    from tiffin import session
+
+    monkeypatch.setattr(session, "shared_dir", lambda _: str(tmp_path))
+    kept = session.durable(spark.range(5), "numbers")
+    assert kept.count() == 5 and Path(session.scratch_root(spark)).exists()
+    session.clear_scratch(spark)
+    assert not Path(session.scratch_root(spark)).exists()

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tiffin.functions.columns import percent
-from tiffin.operators.windows import join_beside, number_rows, running
+from tiffin.operators.windows import number_rows, running
 
 
 def summarise(
@@ -51,10 +51,7 @@ def two_phase(df: DataFrame, keys: Sequence[str], sums: dict[str, str], salts: i
 def most_frequent(df: DataFrame, keys: Sequence[str], column: str, out: str) -> DataFrame:
     """Most frequent value per group; the smallest wins a tie. Only counts reach the group, not its rows."""
     counts = df.filter(F.col(column).isNotNull()).groupBy(*keys, column).agg(F.count(F.lit(1)).alias("_n"))
-    top = counts.groupBy(*keys).agg(F.max("_n").alias("_n"))
-    return join_beside(counts, top.select(*keys, F.col("_n").alias("_top")), keys).filter(
-        F.col("_n") == F.col("_top")
-    ).groupBy(*keys).agg(F.min(column).alias(out))
+    return counts.groupBy(*keys).agg(F.min_by(column, F.struct(-F.col("_n"), column)).alias(out))
 
 
 def collect_chunks(

@@ -55,9 +55,20 @@ def shared_dir(spark: SparkSession) -> str:
     return LOCAL_FOLDERS[context.applicationId]
 
 
+def scratch_root(spark: SparkSession) -> str:
+    """Where this application keeps its intermediate tables."""
+    return f"{shared_dir(spark)}/tiffin/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new path in the shared folder; nothing is ever written there twice."""
-    return f"{shared_dir(spark)}/tiffin/{label}-{uuid.uuid4().hex}"
+    """A new path below the application's root; nothing is ever written there twice."""
+    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove the application's intermediate tables. For the end of a job: results that still read them are lost."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
+    root.getFileSystem(spark._jsc.hadoopConfiguration()).delete(root, True)
 
 
 def durable(df: DataFrame, label: str = "stage") -> DataFrame:
