@@ -286,7 +286,7 @@ def distribute(df: DataFrame, mode: str, columns: Sequence[str], files: int) ->
     if mode == "none":
         return df
     if mode == "hash":
-        return df.repartition(files, *columns)
+        return df.hint("rebalance", files, *columns)  # by hash, but a hot value is split over several files
     if mode == "range":
         return df.repartitionByRange(files, *columns)
     raise ValueError("mode is none, hash or range")

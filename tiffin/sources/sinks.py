@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
 def target_partitions(rows: int, row_bytes: int, part_mb: int = 128, least: int = 1, most: int | None = None) -> int:
@@ -84,10 +84,10 @@ def save_table(
 def save_bucketed(df: DataFrame, name: str, path: str, buckets: int, keys: Sequence[str], mode: str = "overwrite") -> str:
     """Bucketed and sorted table. Two tables with the same buckets join on the keys without a shuffle.
 
-    The rows are first arranged by bucket, so each task writes one file per bucket it holds. A key that holds a large
-    share of the rows makes one large bucket; join such a table with ``salted_join`` instead.
+    Rows of a key come together first, so that a task writes few buckets; a key that holds a large share of the rows is split over several tasks
+    and files of its bucket. Its join is still one bucket's: use ``salted_join`` there.
     """
-    df.repartition(buckets, *keys).write.mode(mode).option("path", path).bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(name)
+    df.hint("rebalance", buckets, *[F.col(k) for k in keys]).write.mode(mode).option("path", path).bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(name)
     return name
 
 
