@@ -225,13 +225,11 @@ def v19(t):
     short_orders(t).repartition(8).write.parquet(plain)
     v.zorder(short_orders(t), columns, 8).write.parquet(clustered)
 
-    def widths(path):
-        ranges = v.file_ranges(t.spark.read.parquet(path), columns)
-        return ranges.agg(*[F.avg(F.col(f"max_{c}") - F.col(f"min_{c}")).alias(c) for c in columns], F.lit(1).alias("one"))
+    def width(path, column):
+        return v.file_ranges(t.spark.read.parquet(path), [column]).agg(F.avg(F.col(f"max_{column}") - F.col(f"min_{column}"))).scalar()
 
-    both = widths(plain).toDF(*[f"plain_{c}" for c in columns], "one").join(widths(clustered), "one")
-    total = t.spark.read.parquet(clustered).agg(F.count(F.lit(1)).alias("row_count"), F.max(F.lit(1)).alias("one"))
-    return total.join(both, "one").select("row_count", *[(F.col(c) < F.col(f"plain_{c}")).alias(f"narrower_{c}") for c in columns])
+    total = t.spark.read.parquet(clustered).agg(F.count(F.lit(1)).alias("row_count"))
+    return total.select("row_count", *[(width(clustered, c) < width(plain, c)).alias(f"narrower_{c}") for c in columns])
 
 
 @query("v20_partition_transforms", """
