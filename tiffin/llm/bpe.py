@@ -112,7 +112,7 @@ def word_counts(docs: DataFrame, text_column: str) -> DataFrame:
             short = pa.array(np.diff(np.frombuffer(coded.dictionary.buffers()[1], np.int32)[: len(coded.dictionary) + 1]) <= LONGEST)
             yield pa.RecordBatch.from_arrays([coded.dictionary.filter(short).cast(pa.string()), pa.array(often).filter(short)], ["word", "n"])
 
-    text.prepared(docs.sparkSession)
+    text.prepared(docs.sparkSession, 1000)
     each = docs.select(text.utf8(text_column).alias("body")).mapInArrow(count, "word string, n bigint")
     return each.groupBy("word").agg(F.sum("n").alias("n"))
 
@@ -234,12 +234,12 @@ def encode(docs: DataFrame, path: str, known: int = KNOWN, output: str = "ids",
     spark = docs.sparkSession
     docs = docs.drop(output)
     shared = spark.sparkContext.broadcast(known_words(docs, rank_lookup(path), known, text_column))
-    body, names, name = text.new_name(docs, stem="body"), docs.columns, uuid.uuid4().hex
+    names, name = docs.columns, uuid.uuid4().hex
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = known_here(name, shared.value, path)
-        for part in text.slices(batches, body, text.LARGE_SLICE // 2):
-            data, offsets = text.raw(part.column(body))
+        for part in text.slices(batches, text_column, text.LARGE_SLICE // 2):
+            data, offsets = text.raw(part.column(text_column))
             bounds, first = splitting.split(data, offsets, splitting.by_rule, None)
             coded = text.binary(data, bounds).dictionary_encode()
             every = words.shown(coded.dictionary.to_pylist())[coded.indices.to_numpy()].tolist() if len(data) else []
@@ -247,7 +247,7 @@ def encode(docs: DataFrame, path: str, known: int = KNOWN, output: str = "ids",
             yield pa.RecordBatch.from_arrays([*(part.column(c) for c in names), pa.array(ids, pa.string())], [*names, output])
 
     schema = T.StructType([*docs.schema.fields, T.StructField(output, T.StringType())])
-    return docs.withColumn(body, text.utf8(text_column)).mapInArrow(cut, schema)
+    return docs.mapInArrow(cut, schema)
 
 
 def decode(coded: DataFrame, path: str, ids: str = "ids", output: str = "decoded") -> DataFrame:

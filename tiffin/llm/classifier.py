@@ -130,7 +130,7 @@ def fit(docs: DataFrame, labels: DataFrame, training: Column, sample: int = 2000
     never their texts, come to the driver.
     """
     spark = docs.sparkSession
-    text.prepared(spark)
+    text.prepared(spark, 500)
     one = labels.where(training).select(F.col(f"`{id_column}`").alias("id"), F.col(f"`{label_column}`").alias("label")).where("id IS NOT NULL AND label IS NOT NULL")
     voted = one.groupBy("id").agg((F.avg("label") >= 0.5).cast("int").alias("label"))
     drawn = None
@@ -168,21 +168,17 @@ def fit(docs: DataFrame, labels: DataFrame, training: Column, sample: int = 2000
 def score(docs: DataFrame, model: Model, output: str = "score", text_column: str = "text") -> DataFrame:
     """All columns of ``docs`` and the probability of class 1. A null or empty text, having no features, gets that of the bias."""
     spark = docs.sparkSession
-    text.prepared(spark)
+    text.prepared(spark, 500)
     shared = spark.sparkContext.broadcast((model.folded(), float(model.bias[1] - model.bias[0])))  # 2 << BITS numbers, whatever the input
-    body = text.new_name(docs, stem="body")
 
     def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, bias = shared.value
-        for part in text.slices(batches, body):
-            data, offsets = text.raw(part.column(body))
-            odds = log_odds(data, offsets, table, bias)
-            columns = [part.column(c) for c in part.schema.names if c != body]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(1 / (1 + np.exp(-odds)))], [*(c for c in part.schema.names if c != body), output])
+        for part in text.slices(batches, text_column):
+            odds = log_odds(*text.raw(part.column(text_column)), table, bias)
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(1 / (1 + np.exp(-odds)))], [*part.schema.names, output])
 
-    source = docs.withColumn(body, text.utf8(text_column))
     schema = T.StructType([*docs.schema.fields, T.StructField(output, T.DoubleType())])
-    return source.mapInArrow(rate, schema)
+    return docs.mapInArrow(rate, schema)
 
 
 def held_out(id_column: str = "doc_id", folds: int = 5) -> Column:

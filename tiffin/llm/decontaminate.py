@@ -148,7 +148,7 @@ def leaks(
     whatever their names. An empty table on either side gives an empty result.
     """
     spark = docs.sparkSession
-    text.prepared(spark)
+    text.prepared(spark, 500)
     source = docs.select(F.col(f"`{id_column}`").alias("id"), text.utf8(text_column).alias("body"))
     doc_kind, item_kind = source.schema["id"].dataType, benchmark.schema[item_column].dataType
     schema = f"doc_id {doc_kind.simpleString()}, item_id {item_kind.simpleString()}, start_word bigint, n_words bigint, n_equal bigint"
@@ -176,20 +176,18 @@ def leaks(
 def clean(docs: DataFrame, benchmark: DataFrame, least: int = 12, share: float = 0.8, text_column: str = "text", item_column: str = "item_id", item_text: str = "text") -> DataFrame:
     """The rows of ``docs``, with all their columns, that hold no passage of the benchmark; decided where a row lies, without a shuffle."""
     spark = docs.sparkSession
-    text.prepared(spark)
-    body = text.new_name(docs, stem="body")
+    text.prepared(spark, 500)
     out = docs
     for index in indexes(benchmark, item_column, item_text):
         shared = spark.sparkContext.broadcast(index)
 
         def keep(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            for part in text.slices(batches, body):
-                data, offsets = text.raw(part.column(body))
+            for part in text.slices(batches, text_column):
+                data, offsets = text.raw(part.column(text_column))
                 words = text.Words(lowered(data), offsets)
                 good = np.ones(part.num_rows, bool)
                 good[[x[0] for x in hits(words.hashes(), words.docs, shared.value, least, share)]] = False
-                kept = part.filter(pa.array(good))
-                yield kept.select([c for c in kept.schema.names if c != body])
+                yield part.filter(pa.array(good))
 
-        out = out.withColumn(body, text.utf8(text_column)).mapInArrow(keep, docs.schema)
+        out = out.mapInArrow(keep, docs.schema)
     return out

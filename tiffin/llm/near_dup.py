@@ -246,7 +246,7 @@ def near_duplicates(
     meant for 80 and more: the chances above are for that.
     """
     spark = docs.sparkSession
-    text.prepared(spark)
+    text.prepared(spark, 500)
     source = docs.select(F.col(f"`{id_column}`").cast("bigint").alias("id"), text.utf8(text_column).alias("body"))
     rows = durable(sketches(source, size, k), "sketches")
     filled = rows.where("n_shingles > 0 AND id IS NOT NULL")

@@ -31,12 +31,12 @@ LARGE_SLICE = 4 << 20  # where equal words or passages of one slice are brought
 SHIPPED: set[str] = set()  # applications whose executors have the package
 
 
-def prepared(spark: SparkSession) -> None:
+def prepared(spark: SparkSession, rows: int = 2000) -> None:
     """Arrow batches of few rows, so that a batch with long texts stays small in the JVM and the worker; the package for the workers.
 
     The package goes along as ``--py-files`` would send it, once per application, as the executors may not have it installed.
     """
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
     context = spark.sparkContext
     if context.applicationId not in SHIPPED:
         SHIPPED.add(context.applicationId)
@@ -59,7 +59,7 @@ def utf8(column: str | Column) -> Column:
 
 
 def raw(array: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Bytes and offsets of a binary array without nulls; the offsets start at 0."""
+    """Bytes and offsets of a binary or text array; the offsets start at 0. A null, as Spark hands it over, has no bytes."""
     offsets = np.frombuffer(array.buffers()[1], dtype=np.int32)[array.offset : array.offset + len(array) + 1].astype(np.int64)
     data = array.buffers()[2]
     whole = np.frombuffer(data, dtype=np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)
