@@ -557,7 +557,7 @@ def e13_distribution(t):
 
 @query("e13_dashboard_cuisine", REST + f"""
 SELECT cuisine, count(*) AS restaurant_count, {r.mean_sql('rating_d')} AS avg_rating, CAST(sum(reviews) AS BIGINT) AS total_reviews,
-  CAST(sum(rating_d * reviews) AS DOUBLE) / CAST(sum(reviews) AS DOUBLE) AS weighted_rating FROM restaurants GROUP BY 1 HAVING count(*) > 1""")
+  round(sum(rating * reviews) / sum(reviews), 6) AS weighted_rating FROM restaurants GROUP BY 1 HAVING count(*) > 1""")
 def e13_dashboard(t):
     return rest_plan.rating_dashboard(r.restaurants(t))["cuisine"]
 

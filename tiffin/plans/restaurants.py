@@ -286,7 +286,7 @@ def rating_dashboard(restaurants: DataFrame, scale: int = 1000) -> dict[str, Dat
     return {
         "cuisine": restaurants.groupBy("cuisine").agg(
             F.count(F.lit(1)).alias("restaurant_count"), mean("rating").alias("avg_rating"), F.sum("reviews").alias("total_reviews"),
-            weighted_mean("rating", "reviews").alias("weighted_rating"),
+            F.round(weighted_mean("rating", "reviews"), 6).alias("weighted_rating"),
         ).filter(F.col("restaurant_count") > 1),
         "city": restaurants.groupBy("city").agg(
             F.count(F.lit(1)).alias("restaurant_count"), mean("rating").alias("avg_rating"), mean("reviews", 0).alias("avg_reviews"),
