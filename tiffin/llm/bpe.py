@@ -28,6 +28,7 @@ from pyspark.sql import types as T
 
 from tiffin.llm import pieces as splitting
 from tiffin.llm import text
+from tiffin.session import durable
 
 KNOWN = 1 << 17
 SHORT = 64  # bytes of a word folded in step with others
@@ -46,10 +47,10 @@ def read_ranks(path: str) -> dict[bytes, int]:
 
 
 class Lookup:
-    """A fixed map from strings to values as a literal: an array of maps, one per value of the hash's last bits."""
+    """A fixed map from strings to values as a literal: an array of maps of some eight entries, one per value of the hash's last bits."""
 
     def __init__(self, items: dict, kind: str):
-        self.kind, self.slots = kind, 1 << max(1, (len(items) - 1).bit_length())
+        self.kind, self.slots = kind, 1 << max(1, (len(items) - 1).bit_length() - 3)
         self.maps: list[dict] = [{} for _ in range(self.slots)]
         for key, value in items.items():
             self.maps[xxhash.xxh64_intdigest(key.encode(), seed=42) & (self.slots - 1)][key] = value
@@ -120,8 +121,8 @@ def word_counts(docs: DataFrame, text_column: str) -> DataFrame:
 def known_words(docs: DataFrame, ranks: Lookup, known: int, text_column: str) -> pa.Table:
     """``word, ids`` of the most frequent words; ties by the word. At most ``known`` rows of bounded words come to the driver."""
     spark = docs.sparkSession
-    top = word_counts(docs, text_column).orderBy(F.desc("n"), "word").limit(known)
-    spread = top.select("word").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "word")
+    top = durable(word_counts(docs, text_column).orderBy(F.desc("n"), "word").limit(known).select("word"), "words")
+    spread = top.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "word")
     return spread.select(F.col("word").cast("binary").alias("word"), let(ranks.literal(), lambda table: folded(F.hex("word"), ranks, table)).alias("ids")).toArrow()
 
 

@@ -159,10 +159,11 @@ def fit(docs: DataFrame, labels: DataFrame, training: Column, sample: int = 2000
             )
 
     kind = source.schema["id"].dataType.simpleString()
-    rows = source.mapInArrow(count, f"id {kind}, label int, grams binary, share binary").collect()
-    rows = sorted({r.id: r for r in sorted(rows, key=lambda r: bytes(r.grams), reverse=True)}.values(), key=lambda r: str(r.id))
-    features = [(np.frombuffer(r.grams, "<i4"), np.frombuffer(r.share, "<f4")) for r in rows]
-    return train(features, np.array([r.label for r in rows], dtype=int))
+    found = source.mapInArrow(count, f"id {kind}, label int, grams binary, share binary").toArrow()
+    rows = zip(*(found.column(c).to_pylist() for c in ("id", "label", "grams", "share")))
+    first = sorted({r[0]: r for r in sorted(rows, key=lambda r: r[2], reverse=True)}.values(), key=lambda r: str(r[0]))
+    features = [(np.frombuffer(r[2], "<i4"), np.frombuffer(r[3], "<f4")) for r in first]
+    return train(features, np.array([r[1] for r in first], dtype=int))
 
 
 def score(docs: DataFrame, model: Model, output: str = "score", text_column: str = "text") -> DataFrame:
