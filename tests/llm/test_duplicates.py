@@ -1,7 +1,10 @@
 """Near duplicates, repeated passages and benchmark leaks against plain Python."""
 
+import itertools
 import random
+from fractions import Fraction
 
+import numpy as np
 import pytest
 from tests.llm import models
 from tiffin.llm import components, decontaminate, near_dup, substring_dedup
@@ -129,6 +132,30 @@ def test_leaks_survive_substitutions(spark):
     assert sorted(r.doc_id for r in kept.collect()) == [4, 5, 7, 8, 9, 11, 13]
 
 
+def most_equal(same, share):
+    """Most equal words of any stretch with the share, trying all."""
+    sums = [0, *itertools.accumulate(same)]
+    return max((sums[b] - sums[a] for a in range(len(same)) for b in range(a + 1, len(same) + 1) if sums[b] - sums[a] >= Fraction(share) * (b - a)), default=0)
+
+
+def test_any_stretch_that_meets_the_rule_counts(spark):
+    for size in range(15, 21):
+        for gone in itertools.chain.from_iterable(itertools.combinations(range(size), n) for n in (0, 1, 2, 3)):
+            same = np.ones(size, bool)
+            same[list(gone)] = False
+            text = np.where(same, np.arange(size), 99)
+            start, length, equal = decontaminate.overlap(text, np.arange(size), 0, 0.8)
+            assert equal == most_equal(same.tolist(), "0.8") == same[start : start + length].sum() and 5 * equal >= 4 * length, (size, gone)
+    items = {1: passage(15, 1), 2: passage(20, 2)}
+    fifteen, twenty = list(items[1]), list(items[2])
+    fifteen[11] = "other"
+    twenty[9] = twenty[10] = twenty[11] = "other"
+    benchmark = spark.createDataFrame([(k, " ".join(w)) for k, w in items.items()], "item_id long, text string")
+    docs = models.table(spark, [(1, " ".join(passage(6, 97) + fifteen)), (2, " ".join(twenty + passage(6, 98)))])
+    assert sorted(tuple(r) for r in decontaminate.leaks(docs, benchmark).collect()) == [(1, 1, 6, 15, 14), (2, 2, 0, 20, 17)]
+    assert decontaminate.clean(docs, benchmark).count() == 0
+
+
 def test_leaks_of_empty_tables_and_large_benchmarks(spark, monkeypatch):
     empty = spark.createDataFrame([], "item_id long, text string")
     docs = models.table(spark, [(1, " ".join(passage(30, 1))), (2, " ".join(passage(30, 2)))])

@@ -2,8 +2,8 @@
 
 Every window of 13 words of a benchmark item and of a document is hashed under six fixed masks. A mask ignores some places of the window, so
 that windows which differ there still have equal hashes: three masks ignore each third word, three ignore five neighbouring words. Equal
-hashes are hits. Around a hit the item is laid along the document and the stretch with the best balance of equal and differing words is taken:
-it is a leak if it has at least ``least`` equal words (or, for a shorter item, all of it) and a share of equal words of ``share`` or more.
+hashes are hits. Around a hit the item is laid along the document: it is a leak if any stretch there has at least ``least`` equal words (or, for a
+shorter item, all of it) and a share of equal words of ``share`` or more. Of such stretches the one with the most equal words is given.
 
 The index of the benchmark is held by every task; that is bounded, as it is built for at most ``INDEX_WORDS`` words at a time. A larger
 benchmark is worked through in such slices, one pass over the documents for each. No text of a document is shuffled.
@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from fractions import Fraction
 from functools import reduce
 
 import numpy as np
@@ -82,18 +83,24 @@ def build(rows: list[tuple]) -> Index:
     return Index(joined[order], np.concatenate(items)[order], np.concatenate(places)[order], words, ids, present, short)
 
 
-def overlap(mine: np.ndarray, item: np.ndarray, diagonal: int) -> tuple[int, int, int]:
+def overlap(mine: np.ndarray, item: np.ndarray, diagonal: int, share: float) -> tuple[int, int, int]:
     """Best stretch of an item laid along a text from ``diagonal`` on: start in the text, length, equal words.
 
-    An equal word counts 1, a differing one -3; the stretch with the highest sum is taken, the first one of equals.
+    Of all stretches with a share of equal words of ``share`` or more the one with the most equal words, the first one of equals. It begins and
+    ends with an equal word.
     """
     first, last = max(0, -diagonal), min(len(item), len(mine) - diagonal)
-    same = mine[diagonal + first : diagonal + last] == item[first:last]
-    total = np.concatenate([[0], np.cumsum(np.where(same, 1, -3))])
-    lowest = np.minimum.accumulate(total)
-    end = int(np.argmax(total - lowest))
-    begin = int(np.argmin(total[: end + 1]))
-    return diagonal + first + begin, end - begin, int(same[begin:end].sum())
+    at = np.flatnonzero(mine[diagonal + first : diagonal + last] == item[first:last])
+    if not len(at):
+        return diagonal + first, 0, 0
+    part = Fraction(str(share))
+    # From equal word i to j the share is reached where balance[j] >= balance[i] - (denominator - numerator).
+    balance = part.denominator * np.arange(len(at)) - part.numerator * at
+    later = np.maximum.accumulate(balance[::-1])[::-1]
+    ends = np.searchsorted(-later, part.denominator - part.numerator - balance, side="right") - 1
+    begin = int(np.argmax(ends - np.arange(len(at))))
+    end = int(ends[begin])
+    return int(diagonal + first + at[begin]), int(at[end] - at[begin] + 1), end - begin + 1
 
 
 def hits(own: np.ndarray, docs: np.ndarray, index: Index, least: int, share: float) -> list[tuple[int, int, int, int, int]]:
@@ -111,8 +118,8 @@ def hits(own: np.ndarray, docs: np.ndarray, index: Index, least: int, share: flo
                 lines.update((text_, int(i), place - int(docs[text_]) - int(p)) for i, p in zip(index.items[a:b], index.places[a:b]))
     best: dict[tuple[int, int], tuple[int, int, int]] = {}
     for text_, item, diagonal in sorted(lines):
-        start, length, equal = overlap(own[docs[text_] : docs[text_ + 1]], index.words[item], diagonal)
-        if equal >= min(least, len(index.words[item])) and equal >= share * length and equal > best.get((text_, item), (0, 0, 0))[2]:
+        start, length, equal = overlap(own[docs[text_] : docs[text_ + 1]], index.words[item], diagonal, share)
+        if equal >= min(least, len(index.words[item])) and equal > best.get((text_, item), (0, 0, 0))[2]:
             best[text_, item] = start, length, equal
     for size, wanted in index.short.items():
         found = text.window_hashes(own, size)
