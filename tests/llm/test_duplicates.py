@@ -134,8 +134,8 @@ def test_leaks_survive_substitutions(spark):
 
 def most_equal(same, share):
     """Most equal words of any stretch with the share, trying all."""
-    sums = [0, *itertools.accumulate(same)]
-    return max((sums[b] - sums[a] for a in range(len(same)) for b in range(a + 1, len(same) + 1) if sums[b] - sums[a] >= Fraction(share) * (b - a)), default=0)
+    sums, up, down = [0, *itertools.accumulate(same)], *Fraction(share).as_integer_ratio()
+    return max((sums[b] - sums[a] for a in range(len(same)) for b in range(a + 1, len(same) + 1) if down * (sums[b] - sums[a]) >= up * (b - a)), default=0)
 
 
 def test_any_stretch_that_meets_the_rule_counts(spark):
@@ -156,6 +156,40 @@ def test_any_stretch_that_meets_the_rule_counts(spark):
     assert decontaminate.clean(docs, benchmark).count() == 0
 
 
+def smallest_patterns(least, share):
+    """Ways to replace words within passages that meet the rule and cannot be made shorter; ends are equal words."""
+    for equal in range(least, 2 * least):
+        for others in range(int(equal * (1 - Fraction(share)) / Fraction(share)) + 1):
+            if equal > least and equal - 1 >= Fraction(share) * (equal - 1 + others):
+                continue  # without its last word it meets the rule
+            for gone in itertools.combinations(range(1, equal + others - 1), others):
+                same = [k not in gone for k in range(equal + others)]
+                if max(most_equal(same[1:], share), most_equal(same[:-1], share)) < least:
+                    yield same
+
+
+@pytest.mark.parametrize("least, share", [(12, "0.8"), (12, "0.9"), (6, "0.7")])
+def test_seeds_meet_every_passage(least, share):
+    masks, seen = decontaminate.seeds(least, float(share)), 0
+    for same in smallest_patterns(least, share):
+        assert any(all(same[at + k] for k, x in enumerate(m) if x == "1") for m in masks for at in range(len(same) - len(m) + 1)), same
+        seen += 1
+    assert seen > 4
+
+
+def test_leaks_with_many_substitutions_and_at_borders(spark):
+    items = {k: passage(n, 200 + k) for k, n in enumerate((20, 25, 30, 50, 100, 15, 15, 12, 30, 10, 12))}
+    changed = {k: [w if n % 5 != 4 else "other" for n, w in enumerate(items[k])] for k in range(5)}
+    changed |= {k: [w if n not in gone else "other" for n, w in enumerate(items[k])] for k, gone in ((5, (3, 7, 11)), (6, (4, 9)))}
+    docs = [(k, " ".join(passage(9, 300 + k) + own + passage(9, 400 + k))) for k, own in changed.items()]
+    docs += [(7, " ".join(items[7])), (8, " ".join(passage(20, 308) + items[8][:12])), (9, " ".join(items[9])), (10, " ".join(items[10][:11] + ["other"]))]
+    benchmark = spark.createDataFrame([(k, " ".join(w)) for k, w in items.items()], "item_id long, text string")
+    found = decontaminate.leaks(models.table(spark, docs), benchmark).collect()
+    assert sorted((r.doc_id, r.item_id) for r in found) == [(k, k) for k in range(10)]
+    assert {r.doc_id: r.n_equal for r in found} == {0: 16, 1: 20, 2: 24, 3: 40, 4: 80, 5: 12, 6: 13, 7: 12, 8: 12, 9: 10}
+    assert [r.doc_id for r in decontaminate.clean(models.table(spark, docs), benchmark).collect()] == [10]
+
+
 def test_leaks_of_empty_tables_and_large_benchmarks(spark, monkeypatch):
     empty = spark.createDataFrame([], "item_id long, text string")
     docs = models.table(spark, [(1, " ".join(passage(30, 1))), (2, " ".join(passage(30, 2)))])

@@ -1,9 +1,13 @@
 """Benchmark decontamination by spaced seeds.
 
-Every window of 13 words of a benchmark item and of a document is hashed under six fixed masks. A mask ignores some places of the window, so
-that windows which differ there still have equal hashes: three masks ignore each third word, three ignore five neighbouring words. Equal
-hashes are hits. Around a hit the item is laid along the document: it is a leak if any stretch there has at least ``least`` equal words (or, for a
-shorter item, all of it) and a share of equal words of ``share`` or more. Of such stretches the one with the most equal words is given.
+A passage leaks if, laid along a benchmark item, it has at least ``least`` equal words and a share of equal words of ``share`` or more. Words are
+hashed under masks that take seven words of a window of 8 to 15 and ignore the others; equal hashes are hits. The six masks miss nothing: each
+way to replace words that the rule with 12 words and 80 % (or a stricter one) accepts leaves all words of some mask equal. A passage need only be
+followed until it cannot be cut into two that pass, so this is a finite number of ways, and a test goes through all of them. A looser rule is
+searched by the run of equal words that it cannot do without. Around a hit the item is laid along the document, and of all stretches that
+meet the rule the one with the most equal words is given.
+
+An item of fewer than ``least`` words has to occur whole and unchanged; one of fewer than ``SHORTEST`` words is no evidence and is not searched.
 
 The index of the benchmark is held by every task; that is bounded, as it is built for at most ``INDEX_WORDS`` words at a time. A larger
 benchmark is worked through in such slices, one pass over the documents for each. No text of a document is shuffled.
@@ -23,12 +27,11 @@ from pyspark.sql import functions as F
 
 from tiffin.llm import text
 
-SPAN = 13
-IGNORED = [*(range(k, SPAN, 3) for k in range(3)), range(0, 5), range(4, 9), range(8, 13)]
-MASKS = [[k for k in range(SPAN) if k not in gone] for gone in IGNORED]
-SHORTEST = 8  # words of an item that still count as evidence; those below SPAN words have to occur whole and unchanged
+MASKS = ["11111011", "10101001111", "111000000100111", "11100101011", "1001101000111", "11011111"]
+COVERED = 12, 0.8  # least and share of the loosest rule that the masks cover
+SHORTEST = 8  # words of an item that still count as evidence
 INDEX_WORDS = 250_000
-KEYS = text.mixed(np.arange(7, 7 + SPAN, dtype=np.uint64)) | np.uint64(1)
+KEYS = text.mixed(np.arange(7, 7 + max(map(len, MASKS)), dtype=np.uint64)) | np.uint64(1)
 
 
 def lowered(data: np.ndarray) -> np.ndarray:
@@ -36,15 +39,25 @@ def lowered(data: np.ndarray) -> np.ndarray:
     return np.where((data >= 65) & (data <= 90), data + np.uint8(32), data)
 
 
-def masked(words: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    """Per mask the hash of the window at each position."""
-    n = len(words) - SPAN + 1
-    if n < 1:
-        return
-    terms = [words[k : k + n] * KEYS[k] for k in range(SPAN)]
-    whole = reduce(np.add, terms)
-    for number, gone in enumerate(IGNORED):
-        yield number, text.mixed(whole - reduce(np.add, [terms[k] for k in gone]) + np.uint64(number))
+def seeds(least: int, share: float) -> list[str]:
+    """Masks of which one at least is equal in every passage that meets the rule: ``1`` for a word that counts, other places are ignored."""
+    if least >= COVERED[0] and share >= COVERED[1]:
+        return MASKS
+    if share <= 0:
+        return ["1"]
+    # A passage of 2 x least equal words or more can be cut into two, one of which meets the rule; e equal words with d others leave a run of e / (d + 1).
+    part = Fraction(str(share))
+    others = lambda e: e * (part.denominator - part.numerator) // part.numerator
+    return ["1" * min(-(-e // (others(e) + 1)) for e in range(max(1, least), 2 * max(1, least)))]
+
+
+def masked(words: np.ndarray, masks: list[str]) -> Iterator[tuple[int, np.ndarray]]:
+    """Per mask its length and the hash of the window at each position."""
+    keys = KEYS if max(map(len, masks)) <= len(KEYS) else text.mixed(np.arange(7, 7 + max(map(len, masks)), dtype=np.uint64)) | np.uint64(1)
+    for number, mask in enumerate(masks):
+        n = len(words) - len(mask) + 1
+        if n > 0:
+            yield len(mask), text.mixed(reduce(np.add, [words[k : k + n] * keys[k] for k, x in enumerate(mask) if x == "1"]) + np.uint64(number))
 
 
 @dataclass
@@ -58,29 +71,31 @@ class Index:
     ids: list
     present: np.ndarray  # by the leading bits of a hash
     short: dict[int, dict[int, list[int]]]  # length: hash of the whole item: items
+    masks: list[str]
 
 
-def build(rows: list[tuple]) -> Index:
-    """Index of (id, text) rows; items of fewer than ``SHORTEST`` words are left out."""
-    hashes, items, places, words, ids, short = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [], [], {}
+def build(rows: list[tuple], least: int, share: float) -> Index:
+    """Index of (id, text) rows; items of fewer words than ``SHORTEST`` and ``least`` are left out."""
+    hashes, items, places, words, ids, short = [np.zeros(0, np.uint64)], [np.zeros(0, np.int32)], [np.zeros(0, np.int32)], [], [], {}
+    masks = seeds(least, share)
     for name, body in rows:
         data, offsets = text.raw(pa.array([(body or "").encode()], pa.binary()))
         own = text.Words(lowered(data), offsets).hashes()
         number = len(ids)
         ids.append(name)
         words.append(own)
-        if SHORTEST <= len(own) < SPAN:
+        if SHORTEST <= len(own) < least:
             short.setdefault(len(own), {}).setdefault(int(text.window_hashes(own, len(own))[0]), []).append(number)
-        for _, found in masked(own):
+        for _, found in masked(own, masks) if len(own) >= least else ():
             hashes.append(found)
-            items.append(np.full(len(found), number))
-            places.append(np.arange(len(found)))
+            items.append(np.full(len(found), number, np.int32))
+            places.append(np.arange(len(found), dtype=np.int32))
     joined = np.concatenate(hashes)
     order = np.argsort(joined, kind="stable")
     bits = max(10, min(26, int(32 * max(1, len(joined))).bit_length()))
     present = np.zeros(1 << bits, bool)
     present[(joined >> np.uint64(64 - bits)).astype(np.int64)] = True
-    return Index(joined[order], np.concatenate(items)[order], np.concatenate(places)[order], words, ids, present, short)
+    return Index(joined[order], np.concatenate(items)[order], np.concatenate(places)[order], words, ids, present, short, masks)
 
 
 def overlap(mine: np.ndarray, item: np.ndarray, diagonal: int, share: float) -> tuple[int, int, int]:
@@ -108,18 +123,18 @@ def hits(own: np.ndarray, docs: np.ndarray, index: Index, least: int, share: flo
     lines: set[tuple[int, int, int]] = set()  # text, item, diagonal
     bits = np.uint64(64 - (len(index.present).bit_length() - 1))
     if len(index.hashes):
-        for _, found in masked(own):
+        for span, found in masked(own, index.masks):
             at = np.flatnonzero(index.present[(found >> bits).astype(np.int64)])
             low, high = (np.searchsorted(index.hashes, found[at], side=s) for s in ("left", "right"))
             at, low, high = (x[low < high] for x in (at, low, high))
             owner = np.searchsorted(docs, at, side="right") - 1
-            inside = at + SPAN <= docs[owner + 1]
+            inside = at + span <= docs[owner + 1]
             for place, text_, a, b in zip(at[inside].tolist(), owner[inside].tolist(), low[inside].tolist(), high[inside].tolist()):
                 lines.update((text_, int(i), place - int(docs[text_]) - int(p)) for i, p in zip(index.items[a:b], index.places[a:b]))
     best: dict[tuple[int, int], tuple[int, int, int]] = {}
     for text_, item, diagonal in sorted(lines):
         start, length, equal = overlap(own[docs[text_] : docs[text_ + 1]], index.words[item], diagonal, share)
-        if equal >= min(least, len(index.words[item])) and equal > best.get((text_, item), (0, 0, 0))[2]:
+        if equal >= least and equal > best.get((text_, item), (0, 0, 0))[2]:
             best[text_, item] = start, length, equal
     for size, wanted in index.short.items():
         found = text.window_hashes(own, size)
@@ -132,17 +147,17 @@ def hits(own: np.ndarray, docs: np.ndarray, index: Index, least: int, share: flo
     return [(t, i, *x) for (t, i), x in sorted(best.items())]
 
 
-def indexes(benchmark: DataFrame, item_column: str, text_column: str) -> Iterator[Index]:
+def indexes(benchmark: DataFrame, item_column: str, text_column: str, least: int, share: float) -> Iterator[Index]:
     """Indexes of bounded size that together hold all items; nulls count as empty texts."""
     held, size = [], 0
     for row in benchmark.select(F.col(f"`{item_column}`"), F.col(f"`{text_column}`")).toLocalIterator():
         words = len((row[1] or "").encode().split())
         if held and size + words > INDEX_WORDS:
-            yield build(held)
+            yield build(held, least, share)
             held, size = [], 0
         held.append((row[0], row[1]))
         size += words
-    yield build(held)
+    yield build(held, least, share)
 
 
 def leaks(
@@ -177,7 +192,7 @@ def leaks(
 
         return source.mapInArrow(search, schema)
 
-    return reduce(DataFrame.unionAll, [one(index) for index in indexes(benchmark, item_column, item_text)])
+    return reduce(DataFrame.unionAll, [one(index) for index in indexes(benchmark, item_column, item_text, least, share)])
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, least: int = 12, share: float = 0.8, text_column: str = "text", item_column: str = "item_id", item_text: str = "text") -> DataFrame:
@@ -185,7 +200,7 @@ def clean(docs: DataFrame, benchmark: DataFrame, least: int = 12, share: float =
     spark = docs.sparkSession
     text.prepared(spark, 500)
     out = docs
-    for index in indexes(benchmark, item_column, item_text):
+    for index in indexes(benchmark, item_column, item_text, least, share):
         shared = spark.sparkContext.broadcast(index)
 
         def keep(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
