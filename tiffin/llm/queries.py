@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tiffin.llm import bpe, chat, classifier, decontaminate, near_dup, quality_rules, substring_dedup, token_counts, token_files, url_filter
+from tiffin.llm import bpe, chat, classifier, decontaminate, merkle, near_dup, quality_rules, substring_dedup, token_counts, token_files, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -84,3 +84,8 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
 @query("op5_byte_bpe")
 def op5(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.round_trip(documents(spark, folder), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+
+
+@query("op11_merkle_manifest")
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    return merkle.manifest(documents(spark, folder))

@@ -25,18 +25,20 @@ __all__ = ["Words", "durable", "prepared", "shared_dir", "slices", "raw", "binar
 SPACES = np.zeros(256, dtype=bool)
 SPACES[[0x20, 9, 10, 11, 12, 13]] = True
 SLICE_BYTES = 1 << 20  # of text worked on at a time; a longer text is a slice of its own
+BATCH_BYTES = 2 << 20  # of an Arrow batch; a longer row is a batch of its own
 LARGE_SLICE = 4 << 20  # where equal words or passages of one slice are brought together
 
 
 SHIPPED: set[str] = set()  # applications whose executors have the package
 
 
-def prepared(spark: SparkSession, rows: int = 2000) -> None:
-    """Arrow batches of few rows, so that a batch with long texts stays small in the JVM and the worker; the package for the workers.
+def prepared(spark: SparkSession) -> None:
+    """Arrow batches of few bytes, so that a batch with long texts stays small in the JVM and the worker; the package for the workers.
 
-    The package goes along as ``--py-files`` would send it, once per application, as the executors may not have it installed.
+    The bounds are the same for every operator, so a frame returned earlier keeps them whatever is called next. The package goes along as ``--py-files`` would send it, once per application, as the executors may not have it installed.
     """
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    for side in ("maxBytesPerBatch", "maxBytesPerOutputBatch"):
+        spark.conf.set(f"spark.sql.execution.arrow.{side}", str(BATCH_BYTES))
     context = spark.sparkContext
     if context.applicationId not in SHIPPED:
         SHIPPED.add(context.applicationId)
