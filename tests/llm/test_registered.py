@@ -15,7 +15,7 @@ from tokenizers import Tokenizer
 
 NAMES = [
     "op1_token_counts", "op2_quality_rules", "op3_token_files", "op4_near_duplicates", "op5_byte_bpe", "op6_chat_format", "op7_url_filter",
-    "op8_quality_classifier", "op9_decontaminate", "op10_substring_dedup", "op11_merkle_manifest", "op12_conversation_repair",
+    "op8_quality_classifier", "op9_decontaminate", "op10_substring_dedup", "op11_merkle_manifest", "op12_conversation_repair", "op13_language_id",
 ]
 
 

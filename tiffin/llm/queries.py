@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tiffin.llm import bpe, chat, classifier, conversation_repair, decontaminate, merkle, near_dup, quality_rules, substring_dedup, token_counts, token_files, url_filter
+from tiffin.llm import bpe, chat, classifier, conversation_repair, decontaminate, language_id, merkle, near_dup, quality_rules, substring_dedup, token_counts, token_files, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -94,3 +94,8 @@ def op11(spark: SparkSession, folder: str) -> DataFrame:
 @query("op12_conversation_repair")
 def op12(spark: SparkSession, folder: str) -> DataFrame:
     return conversation_repair.repaired(table(spark, folder, "conversations", "conv_id BIGINT, turn BIGINT, role STRING, text STRING"))
+
+
+@query("op13_language_id")
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    return language_id.identify(documents(spark, folder))
