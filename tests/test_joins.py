@@ -32,15 +32,16 @@ def test_hot_keys_are_found_by_share(spark):
     assert joins.hot_keys(df, "k", 0.5) == ["h"]
 
 
+@pytest.mark.parametrize("parts", [1, 4, 7])
 @pytest.mark.parametrize("how", ["inner", "left"])
-def test_interval_join_equals_brute_force(spark, how):
+def test_interval_join_equals_brute_force(spark, how, parts):
     rng = random.Random(3)
     base = 1_700_000_000
     left = [(i, rng.randint(0, 2), base + rng.randint(-400, 400)) for i in range(40)]
     right = [(i, rng.randint(0, 2), base + rng.randint(-400, 400)) for i in range(60)] + [(99, 0, left[0][2])]
     a = spark.createDataFrame(left, "id int, k int, s bigint").select("id", "k", F.timestamp_seconds("s").alias("t"))
     b = spark.createDataFrame(right, "rid int, rk int, rs bigint").select("rid", "rk", F.timestamp_seconds("rs").alias("rt"))
-    got = rows(joins.interval_join(a, b, ("k", "rk"), ("t", "rt"), 60, how), "id", "rid")
+    got = rows(joins.interval_join(a, b, ("k", "rk"), ("t", "rt"), 60, how, parts), "id", "rid")
     want = []
     for i, k, s in left:
         hits = [(i, j) for j, rk, rs in right if rk == k and s <= rs <= s + 60]
@@ -48,6 +49,20 @@ def test_interval_join_equals_brute_force(spark, how):
     assert got == sorted(want, key=lambda r: (r[0], r[1] is not None, r[1] or 0))
 
 
+def test_sub_buckets_spread_a_hot_key(spark):
+    """A key with a third of the rows, all within one interval: more parts cut its largest bucket."""
+    times = F.timestamp_seconds(F.lit(1_700_000_000) + F.col("id") % 7000)
+    rows_ = spark.range(30_000).select("id", F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"), times.alias("t"))
+    a, b = rows_, rows_.select(F.col("id").alias("rid"), F.col("k").alias("rk"), F.col("t").alias("rt")).where("rid % 10 = 0")
+    largest, counts = [], set()
+    for parts in (1, 4):
+        joined = joins.interval_join(a, b, ("k", "rk"), ("t", "rt"), 7200, "left", parts)
+        counts.add(joined.count())
+        width = -(-7200 * 1_000_000 // parts)
+        largest.append(a.groupBy("k", F.floor(F.unix_micros("t") / width)).count().agg(F.max("count")).first()[0])
+    assert len(counts) == 1 and largest[1] < largest[0] / 2
+
+
 def test_interval_join_before_the_epoch(spark):
     a = spark.createDataFrame([(1, 1, -90), (2, 1, -10)], "id int, k int, s bigint").select("id", "k", F.timestamp_seconds("s").alias("t"))
     b = spark.createDataFrame([(1, -30), (1, 20)], "rk int, rs bigint").select("rk", F.col("rs").alias("r"), F.timestamp_seconds("rs").alias("rt"))

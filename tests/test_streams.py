@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tests.conftest import rows
 from tiffin.operators.joins import interval_join
 from tiffin.sources.files import stream_files
-from tiffin.streaming import streams as st
+from tiffin.streaming import folders, streams as st
 
 DDL = "id int, k string, ts timestamp"
 
@@ -37,8 +37,8 @@ def test_late_rows_are_dropped_and_open_windows_wait(spark, tmp_path):
     assert run() == [("a", at(0), 2), ("a", at(50), 2)]
 
 
-@pytest.mark.parametrize("how", ["inner", "left"])
-def test_stream_join_equals_batch_join(spark, tmp_path, how):
+@pytest.mark.parametrize("how, parts", [("inner", 1), ("left", 1), ("left", 4)])
+def test_stream_join_equals_batch_join(spark, tmp_path, how, parts):
     left, right, sink, checkpoint = (str(tmp_path / n) for n in ("l", "r", "out", "cp"))
     orders = [(i, "hot" if i % 2 else "b", at(i * 7)) for i in range(30)]
     status = [(100 + i, "hot" if i % 3 else "b", at(i * 11 + 5)) for i in range(30)]
@@ -47,7 +47,7 @@ def test_stream_join_equals_batch_join(spark, tmp_path, how):
     def run():
         a = stream_files(spark, left, DDL)
         b = stream_files(spark, right, DDL).select(F.col("id").alias("rid"), F.col("k").alias("rk"), F.col("ts").alias("rts"))
-        st.append_files(st.stream_interval_join(a, b, ("k", "rk"), ("ts", "rts"), 1800, "10 minutes", how), sink, checkpoint)
+        st.append_files(st.stream_interval_join(a, b, ("k", "rk"), ("ts", "rts"), 1800, "10 minutes", how, parts), sink, checkpoint)
 
     for half in (slice(0, 15), slice(15, 30)):  # each step brings newer rows only
         arrive(spark, left, orders[half])
@@ -78,11 +78,9 @@ def test_running_totals_over_batches(spark, tmp_path):
         totals = stream_files(spark, source, DDL).groupBy("k").agg(F.count("*").alias("n"))
         st.update_files(totals, sink, checkpoint)
     assert rows(st.latest_groups(spark, sink, ["k"])) == [("a", 2), ("b", 1)]
-    compacted = st.compact_groups(spark, sink, str(tmp_path / "compact"), ["k"])
     arrive(spark, source, [(4, "b", at(2))])
-    totals = stream_files(spark, source, DDL).groupBy("k").agg(F.count("*").alias("n"))
-    st.update_files(totals, compacted, checkpoint)
-    assert rows(st.latest_groups(spark, compacted, ["k"])) == [("a", 2), ("b", 2)]
+    st.update_files(totals, sink, checkpoint, ["k"], settle_every=1)
+    assert rows(st.latest_groups(spark, sink, ["k"])) == [("a", 2), ("b", 2)]
 
 
 def test_state_ignores_late_older_changes(spark, tmp_path):
@@ -94,8 +92,74 @@ def test_state_ignores_late_older_changes(spark, tmp_path):
         st.merge_state(stream_files(spark, source, ddl), sink, checkpoint, ["k"], "seq", F.col("op") == "D")
     want = [("a", 60), ("c", 10)]
     assert rows(st.current_state(spark, sink, ["k"], "seq"), "k", "v") == want
-    compacted = st.compact_state(spark, sink, str(tmp_path / "compact"), ["k"], "seq")
-    assert rows(st.current_state(spark, compacted, ["k"], "seq"), "k", "v") == want
+
+
+def test_folders_stay_few_and_a_kill_between_write_and_switch_changes_nothing(spark, tmp_path):
+    """Twenty batches settled by threes; the generation of a killed run has no ``_SUCCESS`` yet."""
+    import shutil
+
+    sink, totals = str(tmp_path / "out"), {}
+    newest = lambda r: st.newest_groups(r, ["k"])
+    for batch in range(20):
+        changed = {f"k{batch % 4}": batch, f"k{batch}": batch}
+        totals.update(changed)
+        data = spark.createDataFrame(list(changed.items()), "k string, n int")
+        for _ in range(2 if batch % 5 == 0 else 1):  # some batches run again
+            data.coalesce(1).write.mode("overwrite").parquet(folders.batch_folder(sink, batch))
+        folders.settle_now_and_then(spark, sink, batch, 3, newest)
+        assert rows(st.latest_groups(spark, sink, ["k"])) == sorted(totals.items())
+        assert len(folders.numbered_folders(spark, sink, "batch_id")) <= 6 and len(folders.numbered_folders(spark, f"{sink}/_settled", "upto")) <= 2
+    folders.settle(spark, sink, 19, newest)
+    before = rows(st.latest_groups(spark, sink, ["k"]))
+    # A run that ends before its job's last step leaves the folder without the mark; the same settling runs again later.
+    (tmp_path / "out/_settled/upto=19/_SUCCESS").unlink()
+    shutil.copytree(tmp_path / "out/batch_id=19", tmp_path / "out/batch_id=20")
+    assert folders.numbered_folders(spark, f"{sink}/_settled", "upto", finished=True) == [17]
+    assert rows(st.latest_groups(spark, sink, ["k"])) == before
+    folders.settle(spark, sink, 20, newest)
+    assert rows(st.latest_groups(spark, sink, ["k"])) == before
+    assert folders.written(spark, str(tmp_path / "nothing")) is None
+
+
+def test_late_changes_open_and_split_versions(spark, tmp_path):
+    """Versions kept over batches in any order equal the batch form over all changes so far."""
+    import random
+
+    from tiffin.operators.cdc import scd2
+    from tiffin.streaming.history import keep_versions, versions
+
+    rng, ddl = random.Random(8), "k string, seq int, op string, v int, w int"
+    source, sink, checkpoint = (str(tmp_path / n) for n in ("in", "out", "cp"))
+    changes = [(rng.choice(["hot", "hot", "a", "b", None]), i, rng.choice(["U", "U", "U", "D"]), rng.choice([1, 2, None]), i) for i in range(60)]
+    changes += [("gone", 100, "U", 1, 1), ("split", 10, "U", 1, 1), ("split", 30, "U", 1, 3)]
+    rng.shuffle(changes)
+    batches = [changes[:25], changes[25:60], [*changes[60:], ("gone", 100, "D", None, 2)], [("split", 20, "U", 2, 2), changes[0]]]
+    seen = []
+    for data in batches:
+        arrive(spark, source, data, ddl)
+        seen += data
+        keep_versions(stream_files(spark, source, ddl), sink, checkpoint, ["k"], "seq", ["v"], F.col("op") == "D", ["op"], buckets=4, settle_every=2)
+        want = scd2(spark.createDataFrame(seen, ddl), ["k"], "seq", ["v"], F.col("op") == "D", ["op"])
+        columns = ["k", "v", "w", "__START_AT", "__END_AT"]
+        assert rows(versions(spark, sink, ["k"]), *columns) == rows(want, *columns)
+    final = rows(versions(spark, sink, ["k"]).where("k = 'split'"), "v", "__START_AT", "__END_AT")
+    assert final == [(1, 10, 20), (1, 30, None), (2, 20, 30)]
+    assert versions(spark, sink, ["k"]).where("k = 'gone'").count() == 0
+    assert versions(spark, str(tmp_path / "empty"), ["k"]) is None
+
+
+def test_sketches_of_windows_add_up(spark):
+    from tiffin.operators.aggs import estimates, rolled_up, sketched
+
+    data = spark.range(20_000).select((F.col("id") % 7).alias("k"), (F.col("id") % 5000).alias("v"), (F.col("id") % 48).alias("hour"))
+    hours = sketched(data, ["k", "hour"], {"n": "v"})
+    days = estimates(rolled_up(hours, ["k"], ["n"]), ["n"])
+    direct = estimates(rolled_up(sketched(data, ["k"], {"n": "v"}), ["k"], ["n"]), ["n"])
+    assert all(abs(a[1] - b[1]) <= 0.02 * b[1] for a, b in zip(rows(days), rows(direct), strict=True))
+    exact = dict(rows(data.groupBy("k").agg(F.countDistinct("v"))))
+    assert all(abs(n - exact[k]) <= 0.08 * exact[k] for k, n in rows(days))
+
+
 
 
 def test_sliding_windows(spark):
@@ -150,7 +214,9 @@ def test_realtime_delivery_job(spark, tmp_path):
     buckets = st.latest_groups(spark, paths["time_distribution"], ["time_bucket"])
     assert rows(buckets, "time_bucket", "order_count") == [("Fast (15-30min)", 1), ("Slow (>45min)", 2), ("Very Fast (<15min)", 2)]
     health = spark.read.parquet(paths["system_health"])
-    assert rows(health.filter(F.col("window_start") == at(0)), "order_count", "delayed_orders", "active_restaurants") == [(4, 3, 1)]
+    assert rows(health.filter(F.col("window_start") == at(0)), "order_count", "delayed_orders", "active_restaurants", "active_drivers") == [(4, 3, 1, 1)]
+    daily = realtime.rolled_gold(health, "day", ["active_drivers"])
+    assert rows(daily.filter(F.col("window_start") == at(0)), "order_count", "active_drivers") == [(5, 2)]
 
 
 def test_silver_rules_work_on_a_stream(spark, tmp_path):
@@ -171,7 +237,7 @@ def test_change_feeds_into_current_state_and_history(spark, tmp_path):
     arrive(spark, one, [("a", 1, "INSERT", "x"), ("b", 2, "INSERT", "y")], first)
     arrive(spark, two, [("a", 3, "UPDATE", "cook")], second)
     run = lambda: users.run_feeds(
-        stream_files(spark, one, first), stream_files(spark, two, second), base, "cpf", "seq", "operation"
+        stream_files(spark, one, first), stream_files(spark, two, second), base, "cpf", "seq", "operation", ["city", "job"], settle_every=2
     )
     paths = run()
     current = lambda: rows(st.current_state(spark, paths["current"], ["cpf"], "seq"), "cpf", "city", "job")
@@ -183,3 +249,6 @@ def test_change_feeds_into_current_state_and_history(spark, tmp_path):
     assert staged.count() == 5
     history = users.user_history(staged, "cpf", "seq", "operation", ["city", "job"])
     assert rows(history, "cpf", "__START_AT", "__END_AT") == [("a", 1, 3), ("a", 3, 4), ("a", 4, None), ("b", 2, 5)]
+    from tiffin.streaming.history import versions
+
+    assert rows(versions(spark, paths["history"], ["cpf"]), *history.columns) == rows(history)

@@ -45,19 +45,16 @@ def test_change_feed_and_merge_on_read(spark, states):
     assert rows(v.read_merged(old, gone, added, ["id"])) == rows(new)
 
 
-def test_dated_loads(spark, states, tmp_path):
-    old, new = states
-    base = v.add_load(old, str(tmp_path / "t"), 1, "2024-01-01 00:00:00", "APPEND")
-    v.add_load(new, base, 2, "2024-01-02 00:00:00", "MERGE")
-    loads = v.read_loads(spark, base)
-    assert rows(v.one_load(loads, snapshot_id=1)) == rows(old) == rows(v.one_load(loads, ts="2024-01-01 10:00:00"))
-    assert v.one_load(loads, ts="2023-01-01 00:00:00").count() == 0
-    assert "PartitionFilters: [isnotnull(snapshot_id" in plan(v.one_load(loads, snapshot_id=1))
-    v.add_load(v.one_load(loads, snapshot_id=1), base, 3, "2024-01-03 00:00:00", "RESTORE")
-    counts = v.load_counts(v.read_loads(spark, base))
-    assert rows(v.one_load(v.read_loads(spark, base))) == rows(old)
-    assert rows(v.log_evolution(counts), "snapshot_id", "row_change") == [(1, 3), (2, 0), (3, 0)]
-    assert rows(v.expired(counts, 1, "2024-01-02 12:00:00"), "snapshot_id") == [(1,), (2,)]
+def test_deliveries_dated_by_the_data(spark, tmp_path):
+    days = spark.createDataFrame([(1, "2024-01-05"), (2, "2024-01-31"), (3, "2024-02-01"), (4, None)], "id int, d string").withColumn("d", F.to_timestamp("d"))
+    base = v.append_by_month(days, str(tmp_path / "t"), "d")
+    v.append_by_month(spark.createDataFrame([(5, "2024-03-01"), (6, "2024-01-07")], "id int, d string").withColumn("d", F.to_timestamp("d")), base, "d")
+    loads = v.read_deliveries(spark, base)
+    assert rows(v.delivered(loads, only="2024-01"), "id") == [(1,), (2,), (6,)] and rows(v.delivered(loads, until="2024-02"), "id") == [(1,), (2,), (3,), (6,)]
+    assert "PartitionFilters: [isnotnull(delivery" in plan(v.delivered(loads, only="2024-01"))
+    counts = v.delivery_counts(loads, "d")
+    assert rows(v.delivery_evolution(counts), "delivery", "rows", "row_change") == [("2024-01", 3, 3), ("2024-02", 1, -2), ("2024-03", 1, 0)]
+    assert rows(v.beyond_retention(counts, 1, "2024-03"), "delivery") == [("2024-01",), ("2024-02",)]
 
 
 def test_write_audit_publish(spark, states, tmp_path):
@@ -162,18 +159,33 @@ def test_hinted_and_rescued(spark, tmp_path):
 
 
 def test_generators(spark):
-    a, b = (generators.gen_orders(spark, 2000, seed=3) for _ in range(2))
-    assert rows(a) == rows(b)
-    hot = a.filter(F.col("restaurant_key").isin("REST0", "REST1", "REST2")).count()
-    assert 1700 < hot < 1900
+    orders = spark.range(700).select(F.col("id").alias("n"), (F.col("id") * 2).alias("v"))
+    made = generators.skewed_orders(orders, "n", 3)
+    assert rows(made.groupBy("n", "v").count(), "n", "v", "count") == [(i, 2 * i, 3) for i in range(700)]
+    assert made.select("order_id").distinct().count() == 2100
+    hot = made.filter(F.col("restaurant_key").isin("REST0", "REST1", "REST2")).count()
+    assert hot == 1890 and made.select("restaurant_key").distinct().count() > 60
     assert rows(generators.recursive_numbers(spark, 4)) == [(1,), (2,), (3,), (4,)]
 
 
-def test_target_partitions():
-    assert sinks.target_partitions(0, 100) == 1
-    assert sinks.target_partitions(10_000_000, 1000, part_mb=128) == 75
-    assert sinks.target_partitions(10**12, 100, part_mb=128) == 745_059  # no cap unless asked for
-    assert sinks.target_partitions(10**12, 100, most=200) == 200
+def test_sized_write_counts_nothing(spark, tmp_path):
+    df = spark.range(200_000).select("id", F.xxhash64("id").alias("h"))
+    spark.conf.set(sinks.ADVISORY, "64m")
+    sizes = sinks.write_sized(df, str(tmp_path / "s"), 300_000)
+    assert max(sizes) < 600_000 and 3 < len(sizes) < 40 and sum(sizes) > 1_000_000
+    assert spark.conf.get(sinks.ADVISORY) == "64m" and spark.read.parquet(str(tmp_path / "s")).count() == 200_000
+    spark.conf.unset(sinks.ADVISORY)
+    assert len(sinks.write_sized(df, str(tmp_path / "one"))) == 1
+
+
+def test_bloom_filter_spares_rows(spark, tmp_path):
+    df = spark.range(20_000).select(F.pmod(F.xxhash64("id"), F.lit(1 << 40)).alias("k"), "id").repartition(16, "id")
+    path = v.write_with_bloom(df, str(tmp_path / "b"), "k")
+    plain = str(tmp_path / "p")
+    df.write.option("parquet.enable.dictionary", "false").parquet(plain)
+    wanted = df.filter("id = 77").first().k
+    with_filter, without = (v.rows_and_scanned(spark.read.parquet(p).filter(F.col("k") == wanted)) for p in (path, plain))
+    assert with_filter[0] == without[0] == 1 and with_filter[1] < without[1] / 4
 
 
 class FakeReader:

@@ -7,6 +7,8 @@ from tiffin.catalog.projections import ENRICHED_SQL, deliveries
 from tiffin.catalog.registry import query
 from tiffin.functions import columns as c
 from tiffin.operators import aggs, windows as win
+from tiffin.operators.aggs import distinct_counts, estimates, rolled_up, sketched
+from tiffin.session import durable
 from tiffin.streaming.delivery import commission, time_bucket
 
 REST = r.with_ctes(r.RESTAURANTS)
@@ -57,9 +59,8 @@ def a04(t):
 SELECT l_returnflag, count(DISTINCT l_partkey) AS parts, count(DISTINCT l_suppkey) AS suppliers,
   count(DISTINCT CASE WHEN l_quantity > 40 THEN l_partkey END) AS bulk_parts FROM lineitem GROUP BY l_returnflag""")
 def a05(t):
-    return t.lineitem.groupBy("l_returnflag").agg(
-        F.countDistinct("l_partkey").alias("parts"), F.countDistinct("l_suppkey").alias("suppliers"),
-        F.countDistinct(F.when(F.col("l_quantity") > 40, F.col("l_partkey"))).alias("bulk_parts"),
+    return distinct_counts(
+        t.lineitem, ["l_returnflag"], {"parts": "l_partkey", "suppliers": "l_suppkey", "bulk_parts": ("l_partkey", F.col("l_quantity") > 40)}
     )
 
 
@@ -69,10 +70,10 @@ FROM lineitem GROUP BY l_returnflag""")
 def a06(t):
     # The estimate itself differs between engines; what has to hold is its distance from the exact count.
     rsd = 0.02
-    counts = t.lineitem.groupBy("l_returnflag").agg(
-        F.approx_count_distinct("l_orderkey", rsd).alias("a1"), F.countDistinct("l_orderkey").alias("e1"),
-        F.approx_count_distinct("l_partkey", rsd).alias("a2"), F.countDistinct("l_partkey").alias("e2"),
+    near = t.lineitem.groupBy("l_returnflag").agg(
+        F.approx_count_distinct("l_orderkey", rsd).alias("a1"), F.approx_count_distinct("l_partkey", rsd).alias("a2")
     )
+    counts = near.join(distinct_counts(t.lineitem, ["l_returnflag"], {"e1": "l_orderkey", "e2": "l_partkey"}), "l_returnflag")
     close = lambda a, e: F.abs(F.col(a) - F.col(e)) <= F.col(e) * (5 * rsd)
     return counts.select(
         "l_returnflag", F.col("e1").alias("orders"), F.col("e2").alias("parts"),
@@ -80,6 +81,24 @@ def a06(t):
     )
 
 
+@query("a06_rolled_sketches", """
+SELECT event_type, date_trunc('day', ts) AS day, count(DISTINCT user_id) AS users, true AS as_from_rows, true AS close FROM events GROUP BY 1, 2""")
+def a06_rolled(t):
+    """Sketches stored per ten minutes, rolled up to hours and from there to days, beside the sketch over a day's rows and the exact count."""
+    windows = durable(sketched(t.events, ["event_type", F.window("ts", "10 minutes")["start"].alias("start")], {"users": "user_id"}), "sketches")
+    hours = rolled_up(windows, ["event_type", F.date_trunc("hour", "start").alias("hour")], ["users"])
+    days = estimates(rolled_up(hours, ["event_type", F.date_trunc("day", "hour").alias("day")], ["users"]), ["users"])
+    day = F.date_trunc("day", "ts").alias("day")
+    # A sketch that was united estimates in another way than a fresh one, so the one over the rows is united with itself; what remains lies within the deviation of a sketch.
+    whole = estimates(rolled_up(sketched(t.events, ["event_type", day], {"direct": "user_id"}), ["event_type", "day"], ["direct"]), ["direct"])
+    exact = distinct_counts(t.events.withColumn("day", day), ["event_type", "day"], {"exact": "user_id"})
+    both = days.join(whole, ["event_type", "day"]).join(exact, ["event_type", "day"])
+    return both.select(
+        "event_type", "day", F.col("exact").alias("users"), (F.abs(F.col("users") - F.col("direct")) <= F.greatest(0.02 * F.col("direct"), F.lit(1))).alias("as_from_rows"),
+        (F.abs(F.col("users") - F.col("exact")) <= F.greatest(0.08 * F.col("exact"), F.lit(1))).alias("close"),
+    )
+
+
 @query("a06_approx_values", "SELECT l_suppkey, true AS orders_close, true AS restaurants_close FROM lineitem GROUP BY l_suppkey")
 def a06_values(t):
     served = t.lineitem.groupBy("l_suppkey").agg(

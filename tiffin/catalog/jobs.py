@@ -10,9 +10,11 @@ from tiffin.catalog.projections import PRICE_TIERS
 from tiffin.catalog.registry import SCHEMAS, query
 from tiffin.functions import columns as c
 from tiffin.operators import cdc, joins
+from tiffin.operators.aggs import distinct_counts
 from tiffin.plans import lake, orders as orders_plan, restaurants as rest_plan, users as users_plan
-from tiffin.session import scratch_path
+from tiffin.session import durable, scratch_path
 from tiffin.sources.files import read_table, stream_files
+from tiffin.streaming.history import versions
 from tiffin.streaming.streams import current_state
 
 BASE = r.with_ctes(r.RESTAURANTS, r.SALES, r.DRIVERS)
@@ -185,7 +187,7 @@ def unified(t):
 SELECT g.*, top_category, CASE WHEN filled_pct >= 90 THEN 'Excellent' WHEN filled_pct >= 75 THEN 'Good' WHEN filled_pct >= 50 THEN 'Fair' ELSE 'Poor' END AS grade
 FROM g LEFT JOIN best USING (country)""")
 def e05(t):
-    users = unified(t)
+    users = durable(unified(t), "users")  # read by three history loads and the report
     day = lambda d: F.lit(d).cast("date")
     history = cdc.stamp_snapshot(users, day("2024-01-01"))
     history = cdc.append_snapshot(history, users.filter(F.col("status") == "F"), day("2024-01-08"))
@@ -250,20 +252,47 @@ def e06_plain(t):
 @query("e06_stream_current", r.with_ctes(FEEDS_SQL) + "SELECT user_id, city, amount, props FROM f JOIN d USING (user_id) WHERE seq = last_seq AND NOT del")
 def e06_stream(t):
     stream = stream_files(t.spark, t.folder, SCHEMAS["events"], pattern="events.parquet")
-    paths = users_plan.run_feeds(*change_feeds(stream), scratch_path(t.spark, "feeds"), "user_id", "seq", "operation")
+    paths = users_plan.run_feeds(*change_feeds(stream), scratch_path(t.spark, "feeds"), "user_id", "seq", "operation", ["city", "props"])
     return current_state(t.spark, paths["current"], ["user_id"], "seq").select("user_id", "city", "amount", "props")
 
 
-@query("e06_history", r.with_ctes(FEEDS_SQL, """l AS (SELECT *, lag(seq) OVER w AS ps, lag(del) OVER w AS pd, lag(city) OVER w AS pc, lag(props) OVER w AS pp FROM f
+def late_feeds(t):
+    """The feeds run twice: the newer half of the events arrives first, the older half is late."""
+    folder, base = scratch_path(t.spark, "arriving"), scratch_path(t.spark, "feeds")
+    middle = t.events.agg(F.max("event_id") / 2).scalar()
+    for rows in (t.events.filter(F.col("event_id") > middle), t.events.filter(F.col("event_id") <= middle)):
+        rows.write.mode("append").parquet(folder)
+        feeds = change_feeds(stream_files(t.spark, folder, SCHEMAS["events"]))
+        paths = users_plan.run_feeds(*feeds, base, "user_id", "seq", "operation", ["city", "props"], settle_every=2)
+    return paths
+
+
+@query("e06_stream_demographics", r.with_ctes(FEEDS_SQL, "now AS (SELECT user_id, city, amount, props FROM f JOIN d USING (user_id) WHERE seq = last_seq AND NOT del)") + """
+SELECT city, count(DISTINCT user_id) AS total_users, count(DISTINCT CASE WHEN amount IS NOT NULL THEN user_id END) AS users_with_amount,
+  count(DISTINCT CASE WHEN props IS NOT NULL THEN user_id END) AS users_with_props FROM now GROUP BY city""")
+def e06_stream_demographics(t):
+    return users_plan.demographics(current_state(t.spark, late_feeds(t)["current"], ["user_id"], "seq"), "city", "user_id", ["amount", "props"])
+
+
+FEED_HISTORY_SQL = r.with_ctes(FEEDS_SQL, """l AS (SELECT *, lag(seq) OVER w AS ps, lag(del) OVER w AS pd, lag(city) OVER w AS pc, lag(props) OVER w AS pp FROM f
   WINDOW w AS (PARTITION BY user_id ORDER BY seq))""", """v AS (SELECT *, sum(CASE WHEN NOT del AND (ps IS NULL OR pd OR city IS DISTINCT FROM pc OR props IS DISTINCT FROM pp) THEN 1 ELSE 0 END)
   OVER (PARTITION BY user_id ORDER BY seq) AS ver FROM l)""", """g AS (SELECT user_id, ver, min(seq) FILTER (NOT del) AS __START_AT, min(seq) FILTER (del) AS del_at, max(seq) FILTER (NOT del) AS last_at
   FROM v WHERE ver > 0 GROUP BY 1, 2)""") + """
 SELECT g.user_id, f.city, f.amount, f.props, __START_AT, coalesce(del_at, lead(__START_AT) OVER (PARTITION BY g.user_id ORDER BY ver)) AS __END_AT
-FROM g JOIN f ON f.user_id = g.user_id AND f.seq = last_at""")
+FROM g JOIN f ON f.user_id = g.user_id AND f.seq = last_at"""
+
+
+@query("e06_history", FEED_HISTORY_SQL)
 def e06_history(t):
     return users_plan.user_history(merged_feeds(t), "user_id", "seq", "operation", ["city", "props"])
 
 
+@query("e06_stream_history", FEED_HISTORY_SQL)
+def e06_stream_history(t):
+    """The versions that the stream keeps, after late changes opened and split some of them."""
+    return versions(t.spark, late_feeds(t)["history"], ["user_id"]).select("user_id", "city", "amount", "props", "__START_AT", "__END_AT")
+
+
 # ---------------------------------------------------------------- E7 SQL script reports
 
 AMOUNTS = "count(*) AS order_count, " + r.mean_sql(DEC.format("o_totalprice")) + " AS avg_order_amount"
@@ -316,10 +345,14 @@ SELECT r.city, count(order_id) AS order_count, count(DISTINCT driver_id) AS uniq
 FROM timed_sales JOIN restaurants r USING (restaurant_id) GROUP BY 1""")
 def e07_city_deliveries(t):
     joined = r.sales(t).join(r.restaurants(t).select("restaurant_id", "city"), "restaurant_id")
-    return joined.groupBy("city").agg(
-        F.count("order_id").alias("order_count"), F.countDistinct("driver_id").alias("unique_drivers"),
-        F.countDistinct("restaurant_id").alias("unique_restaurants"), c.mean("amount").alias("avg_order_amount"),
-        c.total("amount").alias("total_revenue"),
+    rows = durable(joined.select("city", "order_id", "driver_id", "restaurant_id", "amount"), "city-sales")
+    counts = distinct_counts(
+        rows, ["city"], {"unique_drivers": "driver_id", "unique_restaurants": "restaurant_id"},
+        {"order_count": ("count", F.col("order_id")), "_sum": ("sum", c.money("amount")), "_n": ("count", F.col("amount"))},
+    )
+    return counts.select(
+        "city", "order_count", "unique_drivers", "unique_restaurants", c.ratio(F.col("_sum"), F.col("_n")).alias("avg_order_amount"),
+        F.col("_sum").cast("double").alias("total_revenue"),
     )
 
 
@@ -618,10 +651,14 @@ def e16_orders(t):
     lines, rest, users = local_orders(t)
     joined = lines.join(users, "user_id").join(rest, "restaurant_id")
     near = F.col("city") == F.col("user_city")
-    return joined.groupBy(F.when(near, F.col("cuisine")).alias("cuisine")).agg(
-        F.countDistinct("restaurant_id").alias("restaurant_count"), F.countDistinct("user_id").alias("user_count"),
-        F.countDistinct("order_id").alias("order_count"), c.mean("amount").alias("avg_order_amount"),
-        c.ratio(F.sum(F.when(near, c.money("rating"))), F.count(F.when(near, F.col("rating")))).alias("avg_restaurant_rating"),
+    rows = durable(joined.select(F.when(near, F.col("cuisine")).alias("cuisine"), "restaurant_id", "user_id", "order_id", "amount", F.when(near, F.col("rating")).alias("rating")), "local-orders")
+    counts = distinct_counts(
+        rows, ["cuisine"], {"restaurant_count": "restaurant_id", "user_count": "user_id", "order_count": "order_id"},
+        {"_sum": ("sum", c.money("amount")), "_n": ("count", F.col("amount")), "_rated": ("sum", c.money("rating")), "_ratings": ("count", F.col("rating"))},
+    )
+    return counts.select(
+        "cuisine", "restaurant_count", "user_count", "order_count", c.ratio(F.col("_sum"), F.col("_n")).alias("avg_order_amount"),
+        c.ratio(F.col("_rated"), F.col("_ratings")).alias("avg_restaurant_rating"),
     )
 
 

@@ -99,17 +99,12 @@ def s15(t):
 
 
 @query("s16_generated_orders", """
-SELECT count(*) AS row_count, count(*) AS order_ids, true AS amounts_in_range, true AS days_in_range, true AS hot_share_holds FROM orders""")
+SELECT id AS order_id, 'REST' || CASE WHEN id % 10 < 5 THEN (id // 10) % 3 ELSE 3 + (id // 10) % 497 END AS restaurant_key, o_custkey, o_totalprice
+FROM (SELECT *, unnest([o_orderkey * 3, o_orderkey * 3 + 1, o_orderkey * 3 + 2]) AS id FROM orders)""")
 def s16(t):
-    # As many synthetic orders as there are real ones; half of the rows fall on three restaurants.
-    made = generators.gen_orders(t.spark, t.orders.count(), hot_share=0.5)
-    hot = F.avg(F.col("restaurant_key").isin("REST0", "REST1", "REST2").cast("double"))
-    return made.agg(
-        F.count(F.lit(1)).alias("row_count"), F.countDistinct("order_id").alias("order_ids"),
-        F.min(F.col("total_amount").between(15, 95)).alias("amounts_in_range"),
-        F.min(F.col("order_date").between(F.lit("2024-01-01").cast("date"), F.lit("2024-12-31").cast("date"))).alias("days_in_range"),
-        hot.between(0.45, 0.55).alias("hot_share_holds"),
-    )
+    """The orders three times as many, half of them on three restaurants."""
+    made = generators.skewed_orders(t.orders, "o_orderkey", 3, hot_tenths=5)
+    return made.select("order_id", "restaurant_key", "o_custkey", "o_totalprice")
 
 
 @query("s17_number_sequence", "SELECT p_partkey, unnest(range(1, p_size + 1)) AS n FROM part")
@@ -253,12 +248,15 @@ def k18(t):
     return to_messages(alerts, "order_id", ["order_id", "current_status", "status_id"])
 
 
-@query("k19_sized_write", "SELECT l_orderkey, l_partkey FROM lineitem")
+@query("k19_sized_write", "SELECT count(*) AS row_count, true AS within_bounds, true AS few_files FROM lineitem")
 def k19(t):
-    rows = t.lineitem.select("l_orderkey", "l_partkey")
-    parts = sinks.target_partitions(rows.count(), row_bytes=16, part_mb=1)
-    path = sinks.write_table(rows, scratch_path(t.spark, "sized"), files=parts)
-    return files.read_table(t.spark, path)
+    """Files of a wanted size without counting rows first: as many as the bytes written ask for, none much beyond the size."""
+    rows = t.lineitem.select("l_orderkey", "l_partkey", "l_extendedprice")
+    path, size = scratch_path(t.spark, "sized"), 256 << 10
+    sizes = sinks.write_sized(rows, path, size)
+    few = len(sizes) <= 2 + 4 * sum(sizes) // size
+    counted = files.read_table(t.spark, path).agg(F.count(F.lit(1)).alias("row_count"))
+    return counted.withColumns({"within_bounds": F.lit(max(sizes) <= 2 * size), "few_files": F.lit(few)})
 
 
 @query("k20_overwrite_directory", "SELECT p_partkey, p_name FROM part")

@@ -7,16 +7,18 @@ closes a window, two sentinel rows one day after the last event are streamed alo
 from pyspark.sql import functions as F
 
 from tiffin.catalog import roles as r
-from tiffin.catalog.history import feed
+from tiffin.catalog.history import DELETES, SCD2_SQL, feed
 from tiffin.catalog.joining import BUYS, VIEWS
 from tiffin.catalog.projections import ENRICHED_SQL, deliveries
 from tiffin.catalog.registry import SCHEMAS, query
 from tiffin.functions import columns as c
-from tiffin.operators.aggs import share_of_total
+from tiffin.operators.aggs import distinct_counts, share_of_total
+from tiffin.plans import realtime
 from tiffin.session import scratch_path
 from tiffin.sources.files import add_lineage, stream_files
 from tiffin.streaming import streams as st
 from tiffin.streaming.delivery import actionable_alerts, delay_message, delivery_measures, enrich_delivery, time_bucket, to_messages
+from tiffin.streaming.history import keep_versions, versions
 
 SENTINEL_USER = -1
 
@@ -106,7 +108,7 @@ def j23(t):
     views, buys = views_and_buys(event_stream(t))
     joined = st.stream_interval_join(
         views, buys.filter(F.col("current_status") == "purchase"), ("user_id", "status_user"),
-        ("order_event_time", "status_event_time"), 7200,
+        ("order_event_time", "status_event_time"), 7200, parts=4,
     )
     return run_append(t, joined.select("order_id", "user_id", "status_id"), "inner")
 
@@ -180,7 +182,7 @@ def x05(t):
 def x06(t):
     path, checkpoint = sink(t, "running")
     totals = event_stream(t).groupBy("user_id").agg(*[m.alias(n) for n, m in measures().items()])
-    st.update_files(totals, path, checkpoint)
+    st.update_files(totals, path, checkpoint, ["user_id"], settle_every=1)
     return st.latest_groups(t.spark, path, ["user_id"])
 
 
@@ -244,9 +246,21 @@ def c01_stream(t):
     for rows in (feed(t).filter(F.col("seq") > middle), feed(t).filter(F.col("seq") <= middle)):
         rows.write.mode("append").parquet(source)
         changes = stream_files(t.spark, source, ddl)
-        st.merge_state(changes, path, checkpoint, ["user_id"], "seq", F.col("event_type") == "error")
-    compacted = st.compact_state(t.spark, path, scratch_path(t.spark, "state-compacted"), ["user_id"], "seq")
-    return st.current_state(t.spark, compacted, ["user_id"], "seq")
+        st.merge_state(changes, path, checkpoint, ["user_id"], "seq", F.col("event_type") == "error", settle_every=2)
+    return st.current_state(t.spark, path, ["user_id"], "seq")
+
+
+@query("c02_scd2_stream", r.with_ctes(SCD2_SQL) + "SELECT * FROM h")
+def c02_stream(t):
+    """Versions kept by a stream in three batches, the oldest changes last: closed versions open again and are split."""
+    source, (path, checkpoint) = scratch_path(t.spark, "changes"), sink(t, "versions")
+    third = t.events.agg(F.max("event_id") / 3).scalar()
+    seq, ddl = F.col("seq"), "user_id BIGINT, seq BIGINT, event_type STRING, value DOUBLE"
+    for part in ((seq > third) & (seq <= 2 * third), seq > 2 * third, seq <= third):
+        feed(t).filter(part).write.mode("append").parquet(source)
+        changes = stream_files(t.spark, source, ddl)
+        keep_versions(changes, path, checkpoint, ["user_id"], "seq", ["event_type"], F.expr(DELETES), start="start_at", end="end_at", settle_every=2)
+    return versions(t.spark, path, ["user_id"], "start_at")
 
 
 GOLD_SQL = f"""count(*) AS order_count, CAST(sum(CAST(total_amount AS DECIMAL(18,2))) AS DOUBLE) AS total_revenue,
@@ -298,3 +312,118 @@ def e03_alerts(t):
     alerts = actionable_alerts(streamed_deliveries(t, "inner"), 45, 20, 180, ["click"])
     return to_messages(alerts, "order_id", ["order_id", F.lit("DELIVERY_DELAY").alias("alert_type"), "current_status",
                                           delay_message(driver="user_id").alias("message")])
+
+
+# ---------------------------------------------------------------- E3 the whole real-time job
+
+STAMP = "yyyy-MM-dd HH:mm:ss.SSSSSS"
+JOBS: dict[tuple[str, str], dict[str, str]] = {}  # by application and folder: the job's tables are read by several queries
+
+
+def delivery_files(events):
+    """Views as order messages, purchases and clicks as status messages; a user's number is the order's."""
+    stamp, number = F.date_format("ts", STAMP), F.col("user_id").cast("string")
+    orders = events.filter(F.col("event_type") == "view").select(
+        number.alias("order_id"), number.alias("user_key"), F.concat(F.lit("r"), F.col("user_id") % 10).alias("restaurant_key"),
+        F.concat(F.lit("d"), F.col("event_id") % 7).alias("driver_key"), stamp.alias("order_date"), F.col("value").alias("total_amount"), stamp.alias("dt_current_timestamp"),
+    )
+    name = F.when(F.col("event_type") == "purchase", "Delivered").otherwise("In Transit").alias("status_name")
+    status = events.filter(F.col("event_type").isin("purchase", "click")).select(
+        F.col("event_id").alias("status_id"), number.alias("order_identifier"),
+        F.struct(name, (F.unix_micros("ts") / 1000).alias("timestamp")).alias("status"), stamp.alias("dt_current_timestamp"),
+    )
+    return orders, status
+
+
+def realtime_job(t):
+    """The tables of the job after three runs, with files added between them.
+
+    The first two bring the halves of the events; the second and the third also an order without status each, days after the last event, whose
+    times let the joins and the windows before them close.
+    """
+    mark = (t.spark.sparkContext.applicationId, t.folder)
+    if mark not in JOBS:
+        orders, status, base = (scratch_path(t.spark, n) for n in ("order-files", "status-files", "realtime"))
+        turn = F.lit("2024-01-16").cast("timestamp")
+        last = t.events.agg(F.max("ts").alias("ts"))
+
+        def closing(days):
+            kinds = F.explode(F.array(*[F.struct(F.lit(k).alias("event_type"), F.lit(-u * days).alias("user_id")) for k, u in (("view", 1), ("click", 10))]))
+            rows = last.select((F.col("ts") + F.make_interval(days=F.lit(days))).alias("ts"), kinds.alias("k"))
+            return rows.select(F.lit(-1).cast("bigint").alias("event_id"), "ts", F.col("k.user_id").cast("bigint").alias("user_id"), "k.event_type", F.lit(1.0).alias("value"), F.lit("{}").alias("props"))
+
+        older, newer = (t.events.filter(c) for c in (F.col("ts") < turn, F.col("ts") >= turn))
+        for rows in (older, newer.unionByName(closing(1)), closing(4)):
+            for part, folder in zip(delivery_files(rows), (orders, status)):
+                part.write.mode("append").json(folder)
+            JOBS[mark] = realtime.run(t.spark, orders, status, base, settle_every=2)
+    return JOBS[mark]
+
+
+JOB_SQL = r.with_ctes(ENRICHED_SQL) + """, sold AS (SELECT *, 'r' || (user_id % 10) AS restaurant_key, 'd' || (order_id % 7) AS driver_key,
+  coalesce(delivery_time_minutes > 15, false) AS is_delayed, current_status = 'purchase' AS is_delivered
+  FROM deliveries WHERE CAST(total_amount AS DECIMAL(10,2)) > 0)
+"""
+JOB_WINDOW = "time_bucket(INTERVAL '10 minutes', order_event_time) AS window_start"
+
+
+def close_to_exact(t, gold, keys, names):
+    """Flags that the estimates of distinct counts lie within 8 % (five times the sketch's deviation) of the exact ones, or one off."""
+    rows = t.spark.read.parquet(realtime_job(t)["order_status"]).withColumn("window_start", F.window("order_event_time", "10 minutes")["start"])
+    exact = distinct_counts(rows, ["window_start", *keys], {f"exact_{n}": column for n, column in names.items()})
+    near = [(F.abs(F.col(n) - F.col(f"exact_{n}")) <= F.greatest(0.08 * F.col(f"exact_{n}"), F.lit(1))).alias(f"{n}_close") for n in names]
+    return gold.join(exact, ["window_start", *keys]).select(*keys, "window_start", *delivery_measures(), *near)
+
+
+def of_the_events(t, gold):
+    return gold.filter(F.col("window_start") <= t.events.agg(F.max("ts")).scalar())
+
+
+@query("e03_job_restaurant_performance", JOB_SQL + f"""
+SELECT restaurant_key, {JOB_WINDOW}, {GOLD_SQL}, true AS unique_customers_close, true AS unique_drivers_close FROM sold GROUP BY 1, 2""")
+def e03_job_restaurants(t):
+    gold = of_the_events(t, t.spark.read.parquet(realtime_job(t)["restaurant_performance"]))
+    return close_to_exact(t, gold, ["restaurant_key"], {"unique_customers": "customer_key", "unique_drivers": "driver_key"})
+
+
+@query("e03_job_system_health", JOB_SQL + f"""
+SELECT {JOB_WINDOW}, {GOLD_SQL}, true AS active_restaurants_close, true AS active_drivers_close, true AS active_customers_close FROM sold GROUP BY 1""")
+def e03_job_health(t):
+    gold = of_the_events(t, t.spark.read.parquet(realtime_job(t)["system_health"]))
+    return close_to_exact(t, gold, [], {"active_restaurants": "restaurant_key", "active_drivers": "driver_key", "active_customers": "customer_key"})
+
+
+@query("e03_job_daily_customers", JOB_SQL + """
+SELECT date_trunc('day', order_event_time) AS window_start, count(*) AS order_count, count(DISTINCT user_id) AS customers, true AS close FROM sold GROUP BY 1""")
+def e03_job_daily(t):
+    """Distinct customers per day from the windows' sketches; the orders are not read again for them."""
+    days = realtime.rolled_gold(of_the_events(t, t.spark.read.parquet(realtime_job(t)["system_health"])), "day", ["active_customers"])
+    rows = t.spark.read.parquet(realtime_job(t)["order_status"]).withColumn("window_start", F.date_trunc("day", "order_event_time"))
+    exact = distinct_counts(rows, ["window_start"], {"customers": "customer_key"})
+    near = F.abs(F.col("active_customers") - F.col("customers")) <= F.greatest(0.08 * F.col("customers"), F.lit(1))
+    return days.join(exact, "window_start").select("window_start", "order_count", "customers", near.alias("close"))
+
+
+@query("e03_job_driver_performance", JOB_SQL + f"""
+SELECT driver_key, {GOLD_SQL}, count(DISTINCT restaurant_key) > 0 AS served FROM sold GROUP BY 1""")
+def e03_job_drivers(t):
+    gold = st.latest_groups(t.spark, realtime_job(t)["driver_performance"], ["driver_key"]).filter(F.col("driver_key") != "d-1")
+    return gold.select("driver_key", *delivery_measures(), (F.col("restaurants_served") > 0).alias("served"))
+
+
+@query("e03_job_time_distribution", JOB_SQL + f"""
+SELECT CASE WHEN delivery_time_minutes < 15 THEN 'Very Fast (<15min)' WHEN delivery_time_minutes < 30 THEN 'Fast (15-30min)'
+  WHEN delivery_time_minutes < 45 THEN 'Normal (30-45min)' ELSE 'Slow (>45min)' END AS time_bucket, {GOLD_SQL}
+FROM sold WHERE delivery_time_minutes IS NOT NULL GROUP BY 1""")
+def e03_job_distribution(t):
+    return st.latest_groups(t.spark, realtime_job(t)["time_distribution"], ["time_bucket"])
+
+
+@query("e03_job_published_alerts", JOB_SQL + """
+SELECT CAST(user_id AS VARCHAR) AS key, 'DELIVERY_DELAY' AS alert_type, driver_key,
+  'Order ' || user_id || ' is delayed (' || round(delivery_time_minutes, 2) || ' minutes). Driver: ' || driver_key AS message, count(*) AS n
+FROM sold WHERE delivery_time_minutes > 45 AND NOT is_delivered AND total_amount >= 20 AND delivery_time_minutes < 180 AND current_status = 'click' GROUP BY ALL""")
+def e03_job_alerts(t):
+    sent = t.spark.read.parquet(realtime_job(t)["alerts_published"])
+    value = F.from_json("value", "alert_type STRING, driver_key STRING, message STRING")
+    return sent.select("key", value.alias("v")).groupBy("key", "v.alert_type", "v.driver_key", "v.message").agg(F.count(F.lit(1)).alias("n"))

@@ -13,18 +13,16 @@ from tiffin.sources import sinks
 STATES = r.with_ctes(SNAPSHOTS)
 
 
-def three_loads(t):
-    """Three deliveries of the customers in one partitioned folder."""
-    base = scratch_path(t.spark, "customers")
-    old, new = snapshots(t)
-    v.add_load(old, base, 1, "2024-01-01 00:00:00", "APPEND")
-    v.add_load(new, base, 2, "2024-01-02 00:00:00", "MERGE")
-    v.add_load(v.delete_where(new, F.col("balance") < 0), base, 3, "2024-01-03 00:00:00", "DELETE")
+def orders_by_month(t):
+    """Orders in one folder, appended as they come: first the older ones, then those from 1996 on."""
+    base, late = scratch_path(t.spark, "orders"), F.col("o_orderdate") >= F.lit("1996-01-01").cast("timestamp")
+    for part in (~late, late):
+        v.append_by_month(t.orders.filter(part).select("o_orderkey", "o_orderpriority", "o_totalprice", "o_orderdate"), base, "o_orderdate")
     return base
 
 
-def loads(t):
-    return v.read_loads(t.spark, three_loads(t))
+def deliveries(t):
+    return v.read_deliveries(t.spark, orders_by_month(t))
 
 
 @query("v01_update_where", """
@@ -66,47 +64,50 @@ def v04(t):
     return v.insert_rows(snapshots(t)[0], rows)
 
 
-@query("v05_read_version", STATES + "SELECT * FROM old_s")
-def v05(t):
-    return v.one_load(loads(t), snapshot_id=1)
+MONTHS = r.with_ctes("""d AS (SELECT o_orderkey, o_orderpriority, o_totalprice, o_orderdate, strftime(o_orderdate, '%Y-%m') AS delivery FROM orders)""",
+    "log AS (SELECT delivery, count(*) AS rows, min(o_orderdate) AS first_ts, max(o_orderdate) AS last_ts FROM d GROUP BY 1)")
 
 
-@query("v05_read_timestamp", STATES + "SELECT * FROM new_s")
-def v05_ts(t):
-    return v.one_load(loads(t), ts="2024-01-02 12:00:00")
+@query("v05_read_version", MONTHS + "SELECT * FROM d WHERE delivery = '1995-03'")
+def v05(t):
+    return v.delivered(deliveries(t), only="1995-03")
 
 
-LOG = STATES + """, log AS (SELECT CAST(1 AS BIGINT) AS snapshot_id, TIMESTAMP '2024-01-01' AS ts, 'APPEND' AS operation, (SELECT count(*) FROM old_s) AS rows
-UNION ALL SELECT 2, TIMESTAMP '2024-01-02', 'MERGE', (SELECT count(*) FROM new_s)
-UNION ALL SELECT 3, TIMESTAMP '2024-01-03', 'DELETE', (SELECT count(*) FROM new_s WHERE balance >= 0))
-"""
+@query("v05_read_timestamp", MONTHS + "SELECT * FROM d WHERE delivery <= '1996-06'")
+def v05_ts(t):
+    return v.delivered(deliveries(t), until="1996-06")
 
 
-@query("v06_history", LOG + "SELECT *, CAST(rows - lag(rows, 1, 0) OVER (ORDER BY snapshot_id) AS BIGINT) AS row_change FROM log")
+@query("v06_history", MONTHS + "SELECT *, CAST(rows - lag(rows, 1, 0) OVER (ORDER BY delivery) AS BIGINT) AS row_change FROM log")
 def v06(t):
-    return v.log_evolution(v.load_counts(loads(t)))
+    return v.delivery_evolution(v.delivery_counts(deliveries(t), "o_orderdate"))
 
 
-@query("v06_operations", LOG + "SELECT operation, count(*) AS snapshots, min(ts) AS first_ts, max(ts) AS last_ts, max(rows) AS most_rows FROM log GROUP BY 1")
+@query("v06_operations", MONTHS + """
+SELECT delivery[:4] AS year, count(*) AS deliveries, min(first_ts) AS first_ts, max(last_ts) AS last_ts, max(rows) AS most_rows FROM log GROUP BY 1""")
 def v06_operations(t):
-    return v.operation_summary(v.load_counts(loads(t)))
+    return v.delivery_counts(deliveries(t), "o_orderdate").groupBy(F.substring("delivery", 1, 4).alias("year")).agg(
+        F.count(F.lit(1)).alias("deliveries"), F.min("first_ts").alias("first_ts"), F.max("last_ts").alias("last_ts"), F.max("rows").alias("most_rows")
+    )
 
 
-@query("j28_log_join", LOG + """
-SELECT id, segment, s.snapshot_id, operation FROM (SELECT *, 1 AS snapshot_id FROM old_s UNION ALL SELECT *, 2 FROM new_s
-  UNION ALL SELECT *, 3 FROM new_s WHERE balance >= 0) s JOIN log ON log.snapshot_id = s.snapshot_id""")
+@query("j28_log_join", MONTHS + "SELECT o_orderkey, delivery, rows, last_ts FROM d JOIN log USING (delivery) WHERE o_totalprice > 100000")
 def j28(t):
-    rows = loads(t)
-    return rows.drop("operation").join(v.load_counts(rows).select("snapshot_id", "operation"), "snapshot_id").select(
-        "id", "segment", "snapshot_id", "operation"
-    )
+    rows = deliveries(t)
+    log = v.delivery_counts(rows, "o_orderdate").select("delivery", "rows", "last_ts")
+    return rows.filter(F.col("o_totalprice") > 100000).join(log, "delivery").select("o_orderkey", "delivery", "rows", "last_ts")
 
 
-@query("v07_restore", STATES + "SELECT * FROM old_s")
+@query("v07_restore", MONTHS + "SELECT * FROM d")
 def v07(t):
-    base = three_loads(t)
-    v.add_load(v.one_load(v.read_loads(t.spark, base), snapshot_id=1), base, 4, "2024-01-04 00:00:00", "RESTORE")
-    return v.one_load(v.read_loads(t.spark, base))
+    """One delivery came with doubled prices; it is put right from the orders, and nothing else is written again."""
+    base = orders_by_month(t)
+    rows = v.read_deliveries(t.spark, base)
+    wrong = v.delivered(rows, only="1995-03").withColumn("o_totalprice", F.col("o_totalprice") * 2)
+    sinks.overwrite_partitions(wrong, base, ["delivery"])
+    right = t.orders.withColumn("delivery", F.date_format("o_orderdate", "yyyy-MM")).filter(F.col("delivery") == "1995-03")
+    sinks.overwrite_partitions(right.select(*rows.columns), base, ["delivery"])
+    return v.read_deliveries(t.spark, base)
 
 
 @query("v08_compare", STATES + """
@@ -302,16 +303,27 @@ def v25(t):
     )
 
 
-@query("v26_bloom_write", "SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate FROM orders WHERE o_custkey = 11")
+@query("v26_bloom_write", """
+SELECT o_custkey, count(*) AS orders, true AS fewer_rows_read FROM orders
+WHERE o_custkey = (SELECT max(o_custkey) FROM orders WHERE o_custkey <= (SELECT max(o_custkey) / 2 FROM orders)) GROUP BY 1""")
 def v26(t):
-    path = scratch_path(t.spark, "bloom")
-    v.write_with_bloom(short_orders(t), path, "o_custkey")
-    return t.spark.read.parquet(path).filter(F.col("o_custkey") == 11)
-
-
-@query("v27_expired", LOG + "SELECT * FROM log WHERE snapshot_id <= 2 AND ts < TIMESTAMP '2024-01-02'")
+    """Orders of one customer, and whether the filter on the customer spared rows of other files: customers lie all over, so ranges skip nothing."""
+    half = t.orders.agg(F.max("o_custkey") / 2).scalar()
+    wanted = t.orders.filter(F.col("o_custkey") <= half).agg(F.max("o_custkey")).first()[0]  # in the middle of every file's range
+    scanned = []
+    for bloom in (False, True):
+        path = scratch_path(t.spark, "bloom" if bloom else "plain")
+        rows = short_orders(t).repartition(32, "o_orderkey")
+        v.write_with_bloom(rows, path, "o_custkey") if bloom else rows.write.option("parquet.enable.dictionary", "false").parquet(path)
+        found = t.spark.read.parquet(path).filter(F.col("o_custkey") == wanted)
+        scanned.append(v.rows_and_scanned(found)[1])
+    return found.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("orders")).withColumn("fewer_rows_read", F.lit(scanned[1] < scanned[0]))
+
+
+@query("v27_expired", MONTHS + """
+SELECT * FROM log WHERE delivery < '1997-01' AND delivery NOT IN (SELECT delivery FROM log ORDER BY delivery DESC LIMIT 12)""")
 def v27(t):
-    return v.expired(v.load_counts(loads(t)), keep=1, older_than="2024-01-02 00:00:00")
+    return v.beyond_retention(v.delivery_counts(deliveries(t), "o_orderdate"), keep=12, before="1997-01")
 
 
 @query("v28_convert", ORDERS_SQL)

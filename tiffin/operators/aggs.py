@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tiffin.functions.columns import percent
-from tiffin.operators.windows import number_rows, running
+from tiffin.operators.windows import join_beside, number_rows, running
 
 
 def summarise(
@@ -121,10 +121,59 @@ def layer_counts(layers: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, counts)
 
 
+def distinct_counts(
+    df: DataFrame, keys: Sequence[str], counted: dict[str, str | tuple[str, Column]], measures: dict[str, tuple[str, Column]] | None = None
+) -> DataFrame:
+    """Several exact distinct counts per group, and further measures, without a copy of the rows per count.
+
+    ``counted`` maps an output to a column, or to a column and a condition on its rows; ``measures`` to (sum | count | min | max, column).
+    Rows are grouped by key and value first, with a flag per condition, and these groups are counted. So values are distinct before they meet their
+    group, and a group with most rows stays spread over its values. Counts of one column share the steps; each further column reads its own two columns
+    again, so ``df`` should be a table or written out. NULL is no value.
+    """
+    plain = {out: (spec, None) if isinstance(spec, str) else spec for out, spec in counted.items()}
+    parts = []
+    for member in dict.fromkeys(m for m, _ in plain.values()):
+        flags = {out: condition for out, (m, condition) in plain.items() if m == member}
+        carried = (measures or {}) if not parts else {}
+        first = df.groupBy(*keys, F.col(member).alias("_member")).agg(
+            F.count(F.lit(1)).alias("_rows"), *[F.max(F.when(c, 1)).alias(f"_f_{out}") for out, c in flags.items() if c is not None],
+            *[STEPS[kind][0](column).alias(f"_m_{out}") for out, (kind, column) in carried.items()],
+        )
+        known = F.col("_member").isNotNull()
+        parts.append(first.groupBy(*keys).agg(
+            *[F.count(F.when(known if c is None else known & (F.col(f"_f_{out}") == 1), 1)).alias(out) for out, c in flags.items()],
+            *[STEPS[kind][1](f"_m_{out}").alias(out) for out, (kind, _) in carried.items()],
+        ))
+    whole = reduce(lambda a, b: join_beside(a, b, keys), parts)
+    return whole.select(*keys, *counted, *(measures or {}))
+
+
+STEPS = {"sum": (F.sum, F.sum), "count": (F.count, F.sum), "min": (F.min, F.min), "max": (F.max, F.max)}
+
+
+def sketched(df: DataFrame, keys: Sequence[str], columns: dict[str, str], precision: int = 12) -> DataFrame:
+    """A mergeable sketch of the distinct values of each column per group (``output: column``), to be stored and rolled up later.
+
+    The estimate from a sketch is within about ``1.04 / sqrt(2**precision)`` of the exact count in two of three cases.
+    """
+    return df.groupBy(*keys).agg(*[F.hll_sketch_agg(column, precision).alias(out) for out, column in columns.items()])
+
+
+def rolled_up(sketches: DataFrame, keys: Sequence[str | Column], columns: Sequence[str]) -> DataFrame:
+    """Stored sketches united per coarser group; the rows behind them are not read again."""
+    return sketches.groupBy(*keys).agg(*[F.hll_union_agg(c).alias(c) for c in columns])
+
+
+def estimates(sketches: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Distinct counts in place of the sketches."""
+    return sketches.withColumns({c: F.hll_sketch_estimate(c) for c in columns})
+
+
 def completeness(df: DataFrame, keys: Sequence[str], member: str, fields: Sequence[str]) -> DataFrame:
     """Distinct members per group, those with each field, the percentage filled and a grade."""
-    known = [F.countDistinct(F.when(F.col(f).isNotNull(), F.col(member))).alias(f"with_{f}") for f in fields]
-    counts = df.groupBy(*keys).agg(F.countDistinct(member).alias("members"), *known)
+    known = {f"with_{f}": (member, F.col(f).isNotNull()) for f in fields}
+    counts = distinct_counts(df, keys, {"members": member, **known})
     filled = reduce(lambda a, b: a + b, [F.col(f"with_{f}") for f in fields])
     scored = counts.withColumn("filled_pct", percent(filled, F.col("members") * len(fields), 1))
     pct = F.col("filled_pct")

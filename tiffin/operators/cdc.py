@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tiffin.functions.columns import percent
+from tiffin.operators.aggs import distinct_counts
 from tiffin.operators.keys import unique_source
 from tiffin.operators.windows import framed, latest_per_key, ordered, running
 
@@ -269,15 +270,15 @@ def reconcile(type1: DataFrame, type2: DataFrame, key: str, fields: Sequence[str
 
 
 def reconcile_counts(type1: DataFrame, type2: DataFrame, key: str, moment: str = "start_date") -> DataFrame:
-    """Members in the current table, in the latest snapshot and over all snapshots."""
-    newest = type2.agg(F.max(moment)).scalar()
-    parts = [
-        type1.agg(F.countDistinct(key).alias("user_count")).withColumn("table_name", F.lit("type 1 current")),
-        type2.filter(F.col(moment) == newest).agg(F.countDistinct(key).alias("user_count"))
-        .withColumn("table_name", F.lit("type 2 latest snapshot")),
-        type2.agg(F.count(F.lit(1)).alias("user_count")).withColumn("table_name", F.lit("type 2 all snapshots")),
-    ]
-    return reduce(DataFrame.unionByName, parts).select("table_name", "user_count")
+    """Members in the current table, in the latest snapshot and over all snapshots. Each table is read once."""
+    members = type2.groupBy(moment, key).agg(F.count(F.lit(1)).alias("_rows"))
+    dated = members.groupBy(moment).agg(F.count(key).alias("_members"), F.sum("_rows").alias("_rows"))  # one row per snapshot
+    name = lambda label, column: F.struct(F.lit(label).alias("table_name"), F.coalesce(column, F.lit(0)).alias("user_count"))
+    later = dated.agg(F.max_by("_members", moment).alias("newest"), F.sum("_rows").alias("every")).select(
+        F.inline(F.array(name("type 2 latest snapshot", F.col("newest")), name("type 2 all snapshots", F.col("every"))))
+    )
+    current = type1.agg(F.countDistinct(key).alias("user_count")).select(F.lit("type 1 current").alias("table_name"), "user_count")
+    return current.unionByName(later)
 
 
 def snapshot_frequency(history: DataFrame, key: str, moment: str = "start_date", least: int = 2) -> DataFrame:
@@ -293,9 +294,9 @@ def snapshot_frequency(history: DataFrame, key: str, moment: str = "start_date",
 def snapshot_timeline(history: DataFrame, key: str, moment: str = "start_date", since: Column | None = None) -> DataFrame:
     """Records, keys and snapshots per day."""
     rows = history if since is None else history.filter(F.col(moment) >= since)
-    return rows.groupBy(F.to_date(moment).alias("snapshot_date")).agg(
-        F.countDistinct(moment).alias("snapshot_count"), F.countDistinct(key).alias("unique_users"),
-        F.count(F.lit(1)).alias("total_records"), F.min(moment).alias("earliest"), F.max(moment).alias("latest"),
+    return distinct_counts(
+        rows.withColumn("snapshot_date", F.to_date(moment)), ["snapshot_date"], {"snapshot_count": moment, "unique_users": key},
+        {"total_records": ("count", F.lit(1)), "earliest": ("min", F.col(moment)), "latest": ("max", F.col(moment))},
     )
 
 
@@ -303,9 +304,8 @@ def activity_flags(
     history: DataFrame, key: str, fields: Sequence[str], moment: str = "start_date", limit: int = 3, least: int = 2
 ) -> DataFrame:
     """Distinct values per key and field, and the first field above ``limit`` as a flag."""
-    counts = history.groupBy(key).agg(
-        F.count(F.lit(1)).alias("appearances"), *[F.countDistinct(f).alias(f"{f}_variations") for f in fields]
-    )
+    counts = distinct_counts(history, [key], {f"{f}_variations": f for f in fields}, {"appearances": ("count", F.lit(1))})
+    counts = counts.select(key, "appearances", *[f"{f}_variations" for f in fields])
     flag = reduce(lambda acc, f: acc.when(F.col(f"{f}_variations") > limit, f"High {f} changes"), fields, F)
     return counts.filter(F.col("appearances") >= least).withColumn("activity_flag", flag.otherwise("Normal"))
 

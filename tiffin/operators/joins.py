@@ -55,18 +55,19 @@ def salted_join(
 
 
 def interval_join(
-    left: DataFrame, right: DataFrame, keys: tuple[str, str], times: tuple[str, str], seconds: int, how: str = "inner"
+    left: DataFrame, right: DataFrame, keys: tuple[str, str], times: tuple[str, str], seconds: int, how: str = "inner", parts: int = 1
 ) -> DataFrame:
     """Join on equal keys and ``left time <= right time <= left time + seconds``; inner or left.
 
-    Both sides also carry a time bucket as wide as the interval, so a hot key is spread over its buckets and a row meets
-    two buckets instead of the whole history of its key. A left row lies in one bucket; a right row is copied to its own
-    and the one before. So every pair, and every left row without a pair, comes out once. Works on watermarked streams.
+    Both sides also carry a time bucket, a ``parts``-th of the interval wide, so a hot key is spread over its buckets and a row meets
+    ``parts + 1`` buckets instead of the whole history of its key. A left row lies in one bucket; a right row is copied to its own
+    and the ``parts`` before. So every pair, and every left row without a pair, comes out once, whatever ``parts``: more of them cut a hot key's tasks and
+    stream state finer, for as many copies of the right side. Works on watermarked streams.
     """
-    width = seconds * MICROS
+    width = -(-seconds * MICROS // parts)
     bucket = lambda c: F.floor(F.unix_micros(c) / F.lit(width))
     lefts = left.withColumn("_bucket", bucket(times[0]))
-    rights = right.withColumn("_right_bucket", F.explode(F.array(bucket(times[1]), bucket(times[1]) - 1)))
+    rights = right.withColumn("_right_bucket", F.explode(F.array(*[bucket(times[1]) - k for k in range(parts + 1)])))
     condition = (
         (F.col(keys[0]) == F.col(keys[1]))
         & (F.col("_bucket") == F.col("_right_bucket"))

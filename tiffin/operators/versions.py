@@ -1,11 +1,11 @@
-"""Row changes, dated loads and file layout for ordinary partitioned tables."""
+"""Row changes, dated deliveries and file layout for ordinary partitioned tables."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window as W, functions as F, types as T
 
 from tiffin.operators.keys import unique_source
 from tiffin.operators.quality import FAIL, QualityError, Rule, broken_rows, expect
@@ -132,65 +132,56 @@ def business_view(df: DataFrame, names: dict[str, str]) -> DataFrame:
     return df.select(*[F.col(old).alias(new) for old, new in names.items()])
 
 
-# ---------------------------------------------------------------- dated loads
+# ---------------------------------------------------------------- deliveries dated by the data
 
 
-LOAD = ["snapshot_id", "ts", "operation"]
-
-
-def add_load(df: DataFrame, base: str, snapshot_id: int, ts: str, operation: str) -> str:
-    """Append a delivery to a folder partitioned by its number, which the caller gives; its rows carry time and kind. Nothing older is touched."""
-    stamped = df.withColumns({"snapshot_id": F.lit(snapshot_id).cast("bigint"), "ts": F.lit(ts).cast("timestamp"), "operation": F.lit(operation)})
-    stamped.write.mode("append").partitionBy("snapshot_id").parquet(base)
+def append_by_month(df: DataFrame, base: str, moment: str) -> str:
+    """Append rows to a folder partitioned by the month of a time that they carry. Nothing older is touched; rows without the time are left out."""
+    dated = df.filter(F.col(moment).isNotNull()).withColumn("delivery", F.date_format(moment, "yyyy-MM"))
+    dated.hint("rebalance", "delivery").write.mode("append").partitionBy("delivery").parquet(base)
     return base
 
 
-def read_loads(spark: SparkSession, base: str) -> DataFrame:
-    return spark.read.parquet(base).withColumn("snapshot_id", F.col("snapshot_id").cast("bigint"))
-
+def read_deliveries(spark: SparkSession, base: str) -> DataFrame:
+    return spark.read.option("partitionColumnTypeInference", "false").parquet(base).withColumn("delivery", F.col("delivery").cast("string"))
 
-def one_load(loads: DataFrame, snapshot_id: int | None = None, ts: str | None = None) -> DataFrame:
-    """The rows of one delivery: by number (only its partition is read), the newest at a time, or the newest."""
-    if snapshot_id is not None:
-        found = loads.filter(F.col("snapshot_id") == snapshot_id)
-    else:
-        known = loads if ts is None else loads.filter(F.col("ts") <= F.lit(ts).cast("timestamp"))
-        found = loads.filter(F.col("snapshot_id") == known.agg(F.max("snapshot_id")).scalar())
-    return found.drop(*LOAD)
 
+def delivered(rows: DataFrame, only: str | None = None, until: str | None = None) -> DataFrame:
+    """Rows of one delivery, or of all up to one; only their partitions are read."""
+    if only is not None:
+        rows = rows.filter(F.col("delivery") == only)
+    return rows if until is None else rows.filter(F.col("delivery") <= until)
 
-def load_counts(loads: DataFrame) -> DataFrame:
-    """One row per delivery with its number of rows."""
-    return loads.groupBy(*LOAD).agg(F.count(F.lit(1)).alias("rows"))
 
+def delivery_counts(rows: DataFrame, moment: str) -> DataFrame:
+    """One row per delivery: its rows, first and last time."""
+    return rows.groupBy("delivery").agg(F.count(F.lit(1)).alias("rows"), F.min(moment).alias("first_ts"), F.max(moment).alias("last_ts"))
 
-def compare_versions(old: DataFrame, new: DataFrame) -> DataFrame:
-    """Rows in both states and rows found in only one of them, counted with duplicates."""
-    def count(df: DataFrame, name: str) -> DataFrame:
-        return df.agg(F.count(F.lit(1)).alias("row_count")).withColumn("measure", F.lit(name))
 
-    parts = [
-        count(old, "old"), count(new, "new"), count(new.exceptAll(old), "only in new"), count(old.exceptAll(new), "only in old")
-    ]
-    return reduce(DataFrame.unionByName, parts).select("measure", "row_count")
+def delivery_evolution(counts: DataFrame) -> DataFrame:
+    """Rows of each delivery and the difference to the one before. One row per delivery comes in."""
+    return counts.withColumn("row_change", F.col("rows") - F.lag("rows", 1, 0).over(W.orderBy("delivery")))
 
 
-def operation_summary(log: DataFrame) -> DataFrame:
-    return log.groupBy("operation").agg(
-        F.count(F.lit(1)).alias("snapshots"), F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"), F.max("rows").alias("most_rows")
-    )
+def beyond_retention(counts: DataFrame, keep: int, before: str) -> DataFrame:
+    """Deliveries before a month that are not among the last ``keep``. One row per delivery comes in; deleting them is up to the caller."""
+    place = F.row_number().over(W.orderBy(F.col("delivery").desc()))
+    return counts.withColumn("_place", place).filter((F.col("_place") > keep) & (F.col("delivery") < before)).drop("_place")
 
 
-def log_evolution(log: DataFrame) -> DataFrame:
-    """Row count of each snapshot and the difference to the one before. The log has one row per load."""
-    by_version = W.orderBy("snapshot_id")
-    return log.withColumn("row_change", F.col("rows") - F.lag("rows", 1, 0).over(by_version))
-
+def compare_versions(old: DataFrame, new: DataFrame) -> DataFrame:
+    """Rows of both states and rows found in only one of them, counted with duplicates.
 
-def expired(log: DataFrame, keep: int, older_than: str) -> DataFrame:
-    """Snapshots that are older than a time and not among the last ``keep``. Deleting them is up to the caller."""
-    newest = log.agg(F.max("snapshot_id")).scalar()
-    return log.filter((F.col("snapshot_id") <= newest - keep) & (F.col("ts") < F.lit(older_than).cast("timestamp")))
+    One signed multiset: each row counts for its side, equal rows are grouped once, and what one side has more of is only there. Each state is read once.
+    """
+    both = old.withColumns({"_old": F.lit(1), "_new": F.lit(0)}).unionByName(new.withColumns({"_old": F.lit(0), "_new": F.lit(1)}))
+    rows = both.groupBy(*old.columns).agg(F.sum("_old").alias("_old"), F.sum("_new").alias("_new"))
+    more = F.col("_new") - F.col("_old")
+    sums = {
+        "old": F.sum("_old"), "new": F.sum("_new"), "only in new": F.sum(F.greatest(more, F.lit(0))), "only in old": F.sum(F.greatest(-more, F.lit(0))),
+    }
+    total = rows.agg(*[F.coalesce(s, F.lit(0)).alias(name) for name, s in sums.items()])
+    return total.unpivot([], list(sums), "measure", "row_count")
 
 
 def write_audit_publish(df: DataFrame, rules: Sequence[Rule], base: str, snapshot_id: int) -> str:
@@ -328,12 +319,23 @@ def write_with_bloom(df: DataFrame, path: str, column: str, distinct: int | None
     return path
 
 
+def rows_and_scanned(df: DataFrame) -> tuple[int, int]:
+    """Rows of the result, and rows that the scans handed on after leaving out row groups, from the metrics of the plan that ran."""
+    execution = df._jdf.queryExecution()
+    rows = execution.toRdd().count()
+    ran = execution.executedPlan()
+    ran = ran.finalPhysicalPlan() if ran.nodeName() == "AdaptiveSparkPlan" else ran
+    leaves = ran.collectLeaves()
+    return rows, sum(leaves.apply(k).metrics().apply("numOutputRows").value() for k in range(leaves.size()))
+
+
 def convert(spark: SparkSession, source: str, source_format: str, target: str, target_format: str, schema=None) -> int:
-    """Copy a dataset into another format and compare the row counts."""
+    """Copy a dataset into another format and compare the row counts; the source is read once."""
     reader = spark.read.format(source_format)
     df = reader.schema(schema).load(source) if schema else reader.load(source)
-    df.write.format(target_format).save(target)
+    seen = Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.format(target_format).save(target)
     written = spark.read.format(target_format).schema(df.schema).load(target).count()
-    if written != df.count():
-        raise QualityError(f"{written} rows written, source has another count")
+    if written != seen.get["rows"]:
+        raise QualityError(f"{written} rows written, {seen.get['rows']} read")
     return written

@@ -7,10 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tiffin.functions.columns import age_years, count_where, percent, ratio
-from tiffin.operators.aggs import completeness, most_frequent, share_of_total
+from tiffin.operators.aggs import completeness, distinct_counts, most_frequent, share_of_total
 from tiffin.operators.cdc import scd1, scd2
 from tiffin.operators.windows import join_beside
 from tiffin.sources.files import stream_files
+from tiffin.streaming.history import keep_versions
 from tiffin.streaming.streams import append_files, merge_state
 
 # Age groups of the user report.
@@ -70,24 +71,27 @@ def user_history(changes: DataFrame, key: str, seq: str, operation: str, track:
     return scd2(changes, [key], seq, track, F.col(operation) == "DELETE", exclude=[operation])
 
 
-def run_feeds(first: DataFrame, second: DataFrame, base: str, key: str, seq: str, operation: str) -> dict[str, str]:
-    """Two change streams into one staging table and, from there, the current state per key.
+def run_feeds(
+    first: DataFrame, second: DataFrame, base: str, key: str, seq: str, operation: str, track: Sequence[str], settle_every: int | None = 10
+) -> dict[str, str]:
+    """Two change streams into one staging table and, from there, the current state and the versions per key, all as streams.
 
-    ``user_history`` over the staging table gives the versions. Running it again takes up new changes.
+    Running it again takes up new changes, late ones too. ``current_state`` and ``versions`` read the tables.
     """
-    paths = {name: f"{base}/{name}" for name in ("staging", "current")}
+    paths = {name: f"{base}/{name}" for name in ("staging", "current", "history")}
     marks = {name: f"{base}/checkpoints/{name}" for name in paths}
-    changes = merge_feeds(first, second)
+    changes, gone = merge_feeds(first, second), F.col(operation) == "DELETE"
     append_files(changes, paths["staging"], marks["staging"])
     staged = stream_files(changes.sparkSession, paths["staging"], changes.schema)
-    merge_state(staged, paths["current"], marks["current"], [key], seq, F.col(operation) == "DELETE")
+    merge_state(staged, paths["current"], marks["current"], [key], seq, gone, settle_every)
+    keep_versions(staged, paths["history"], marks["history"], [key], seq, track, gone, [operation], settle_every=settle_every)
     return paths
 
 
 def demographics(current: DataFrame, group: str, key: str, fields: Sequence[str]) -> DataFrame:
-    """Users per group and those with each field."""
-    known = [F.countDistinct(F.when(F.col(f).isNotNull(), F.col(key))).alias(f"users_with_{f}") for f in fields]
-    return current.groupBy(group).agg(F.countDistinct(key).alias("total_users"), *known)
+    """Users per group and those with each field. Counted in two steps, by user and by group, so that each row is read once for all counts."""
+    known = {f"users_with_{f}": (key, F.col(f).isNotNull()) for f in fields}
+    return distinct_counts(current, [group], {"total_users": key, **known})
 
 
 def city_distribution(users: DataFrame, city: str) -> DataFrame:

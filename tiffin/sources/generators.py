@@ -6,21 +6,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-# Lists the synthetic orders choose from.
-STATUSES = ["placed", "confirmed", "preparing", "out_for_delivery", "delivered"]
-CITIES = ["São Paulo", "Rio de Janeiro", "Belo Horizonte", "Salvador", "Brasília"]
-CUISINES = ["Italian", "Brazilian", "Japanese", "Mexican", "Chinese", "American", "Indian"]
-
-
 def unit(seed: int, *columns: str) -> Column:
     """A number in [0, 1) that follows the given columns, not the place of the row: a repeated task gives the same."""
     return F.pmod(F.xxhash64(*[F.col(c) for c in columns], F.lit(seed)), F.lit(1_000_000)) / F.lit(1_000_000.0)
 
 
-def pick(values: Sequence[str], share: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (F.floor(share * len(values)) + 1).cast("int"))
-
-
 def number_sequence(df: DataFrame, first: str, last: str, out: str = "n") -> DataFrame:
     """Every row repeated with the numbers from one column to another."""
     return df.withColumn(out, F.explode(F.sequence(F.col(first).cast("bigint"), F.col(last).cast("bigint"))))
@@ -38,30 +28,15 @@ def rows_from(spark: SparkSession, rows: Sequence[tuple], ddl: str) -> DataFrame
     return spark.createDataFrame(list(rows), ddl)
 
 
-def gen_orders(spark: SparkSession, n: int, seed: int = 7, hot_share: float = 0.9, hot_keys: int = 3, keys: int = 500) -> DataFrame:
-    """``n`` synthetic orders; ``hot_share`` of them fall on the first ``hot_keys`` restaurants."""
-    chance = lambda k: unit(seed + k, "id")
-    restaurant = F.when(chance(0) < hot_share, F.floor(chance(1) * hot_keys)).otherwise(hot_keys + F.floor(chance(2) * (keys - hot_keys)))
-    amount = lambda share, low, high: F.round(share * (high - low) + low, 2).cast("decimal(10,2)")
-    text, day = F.col("id").cast("string"), F.date_add(F.lit("2024-01-01").cast("date"), F.floor(chance(10) * 365).cast("int"))
-    return spark.range(n).select(
-        F.concat(F.lit("ORD"), F.lpad(text, 12, "0")).alias("order_id"),
-        F.concat(F.lit("USER"), F.floor(chance(3) * 10_000).cast("string")).alias("user_key"),
-        F.concat(F.lit("REST"), restaurant.cast("string")).alias("restaurant_key"),
-        F.concat(F.lit("DRIVER"), F.floor(chance(4) * 2_000).cast("string")).alias("driver_key"),
-        amount(chance(5), 15, 95).alias("total_amount"),
-        amount(chance(6), 2, 10).alias("delivery_fee"),
-        amount(chance(7), 1, 6).alias("service_fee"),
-        day.alias("order_date"),
-        pick(STATUSES, chance(8)).alias("status"),
-        pick(CITIES, chance(9)).alias("city"),
-        pick(CUISINES, chance(11)).alias("cuisine_type"),
-        F.concat(F.lit("EMAIL"), text, F.lit("@domain"), F.floor(chance(12) * 10).cast("string"), F.lit(".com")).alias("customer_email"),
-        F.concat(F.lit("PHONE"), F.lpad(text, 12, "0")).alias("phone_number"),
-        F.date_format(day, "yyyy").alias("year"),
-        F.date_format(day, "MM").alias("month"),
-        F.date_format(day, "yyyy-MM").alias("year_month"),
-    )
+def skewed_orders(orders: DataFrame, number: str, copies: int, hot_tenths: int = 9, hot_keys: int = 3, keys: int = 500) -> DataFrame:
+    """Given orders enlarged for tests of skew: each one ``copies`` times, ``hot_tenths`` of ten on the first ``hot_keys`` restaurants.
+
+    New numbers and restaurants follow from the order's number alone, so a repeated task gives the same rows. Other columns stay.
+    """
+    each = orders.withColumn("order_id", F.explode(F.sequence(F.col(number) * copies, F.col(number) * copies + copies - 1)))
+    cold = hot_keys + F.pmod(F.floor(F.col("order_id") / 10), F.lit(keys - hot_keys))
+    place = F.when(F.pmod("order_id", F.lit(10)) < hot_tenths, F.pmod(F.floor(F.col("order_id") / 10), F.lit(hot_keys))).otherwise(cold)
+    return each.withColumn("restaurant_key", F.concat(F.lit("REST"), place.cast("string")))
 
 
 def gen_shifts(drivers: DataFrame, driver: str, last_day: Column, seed: int = 7) -> DataFrame:

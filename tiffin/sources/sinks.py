@@ -2,16 +2,40 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
-def target_partitions(rows: int, row_bytes: int, part_mb: int = 128, least: int = 1, most: int | None = None) -> int:
-    """Files or tasks for a data size. ``most`` is off by default: a cap makes the parts larger than memory at scale."""
-    wanted = max(least, math.ceil(rows * row_bytes / (part_mb * 1024 * 1024)))
-    return min(wanted, most) if most else wanted
+ADVISORY = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+PARALLEL = "spark.sql.adaptive.coalescePartitions.parallelismFirst"
+LEAST = "spark.sql.adaptive.coalescePartitions.minPartitionSize"
+
+
+def write_sized(df: DataFrame, path: str, size: int = 128 << 20, file_format: str = "parquet") -> list[int]:
+    """Write files of about ``size`` bytes and give back their sizes.
+
+    The rows are dealt out anew and adaptive execution forms the parts from the bytes that it sees in the shuffle, so nothing is counted or guessed
+    beforehand. Columnar files are smaller than the shuffled rows; ``size`` is what a file stays below, give or take a part's rounding.
+    """
+    spark = df.sparkSession
+    wanted = {ADVISORY: str(size), PARALLEL: "false", LEAST: str(min(size, 1 << 20))}
+    before = {key: spark.conf.get(key, None) for key in wanted}
+    for key, value in wanted.items():
+        spark.conf.set(key, value)
+    try:
+        df.hint("rebalance").write.format(file_format).save(path)
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value) if value is not None else spark.conf.unset(key)
+    return written_sizes(spark, path)
+
+
+def written_sizes(spark: SparkSession, path: str) -> list[int]:
+    """Bytes of each data file of a folder, from its listing."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)
+    return [f.getLen() for f in found if not f.getPath().getName().startswith(("_", "."))]
 
 
 def spread_for_write(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:

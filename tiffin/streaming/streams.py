@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tiffin.operators.joins import interval_join
+from tiffin.operators.windows import join_beside
+from tiffin.streaming import folders
 
 
 def stream_interval_join(
@@ -18,13 +20,14 @@ def stream_interval_join(
     seconds: int,
     delay: str = "10 minutes",
     how: str = "inner",
+    parts: int = 1,
 ) -> DataFrame:
     """``interval_join`` of two streams.
 
-    Watermarks on both sides and the time bound let Spark drop old state; the time buckets spread the state of a hot key.
+    Watermarks on both sides and the time bound let Spark drop old state; the time buckets spread the state of a hot key, ``parts`` times as fine as the interval.
     With ``how="left"`` a row without match comes out once the watermark has passed its interval.
     """
-    return interval_join(left.withWatermark(times[0], delay), right.withWatermark(times[1], delay), keys, times, seconds, how)
+    return interval_join(left.withWatermark(times[0], delay), right.withWatermark(times[1], delay), keys, times, seconds, how, parts)
 
 
 def windowed(
@@ -53,67 +56,61 @@ def append_files(df: DataFrame, path: str, checkpoint: str, file_format: str = "
     return finish(writer.outputMode("append").trigger(availableNow=True).start())
 
 
-def update_files(df: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+def update_files(df: DataFrame, path: str, checkpoint: str, keys: Sequence[str] = (), settle_every: int | None = None) -> StreamingQuery:
     """Write the changed groups of a running aggregate, one folder per batch.
 
-    A repeated batch overwrites its own folder, so a restart adds nothing twice. ``latest_groups`` reads the result.
+    A repeated batch overwrites its own folder, so a restart adds nothing twice. With ``settle_every`` the folders become one of the newest row per group
+    (``keys``) after so many batches, inside the stream. ``latest_groups`` reads the result.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        batch.write.mode("overwrite").parquet(folders.batch_folder(path, batch_id))
+        folders.settle_now_and_then(batch.sparkSession, path, batch_id, settle_every, lambda rows: newest_groups(rows, keys))
 
     writer = df.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return finish(writer.outputMode("update").trigger(availableNow=True).start())
 
 
-def latest_groups(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
-    """The newest row of each group from ``update_files``."""
-    rows = spark.read.option("basePath", path).parquet(path)
-    rest = [c for c in rows.columns if c not in {*keys, "batch_id"}]
-    newest = rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), "batch_id").alias("_row"))
-    return newest.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in rest])
+def newest_groups(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The row of each group from the last batch that changed it: a batch has one row per group."""
+    last = rows.groupBy(*keys).agg(F.max("batch_id").alias("_last"))
+    return join_beside(rows, last, keys).where(F.col("batch_id") == F.col("_last")).drop("_last")
 
 
-def compact_groups(spark: SparkSession, path: str, target: str, keys: Sequence[str]) -> str:
-    """All batch folders of ``update_files`` as one folder at a new place; the stream goes on there."""
-    latest_groups(spark, path, keys).write.parquet(f"{target}/batch_id=-1")
-    return target
+def latest_groups(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
+    """The newest row of each group from ``update_files``."""
+    return newest_groups(folders.written(spark, path), keys).drop("batch_id")
 
 
 def newest_change(rows: DataFrame, keys: Sequence[str], seq: str) -> DataFrame:
-    """The winning change per key: highest ``seq``, then a delete, then the greater row hash."""
+    """The winning change per key: highest ``seq``, then a delete, then the greater values in the order of their columns."""
     rest = [c for c in rows.columns if c not in keys]
     order = F.struct(seq, "_gone", *[c for c in rest if c != "_gone"])
     newest = rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), order).alias("_row"))
     return newest.select(*keys, "_row.*")
 
 
-def merge_state(changes: DataFrame, path: str, checkpoint: str, keys: Sequence[str], seq: str, delete_when: Column) -> StreamingQuery:
+def merge_state(
+    changes: DataFrame, path: str, checkpoint: str, keys: Sequence[str], seq: str, delete_when: Column, settle_every: int | None = 10
+) -> StreamingQuery:
     """Current state per key from a stream of changes in any order.
 
     Every batch writes only its own winning change per key, as one folder that a repeated batch overwrites; the reader
-    settles the folders. Deletes stay as tombstones, so that a late older change does not revive a key.
+    settles the folders, and so does the stream itself after every ``settle_every`` batches. Deletes stay as tombstones, so that a late older change
+    does not revive a key.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         rows = batch.withColumn("_gone", F.coalesce(delete_when, F.lit(False)))
-        newest_change(rows, keys, seq).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        newest_change(rows, keys, seq).write.mode("overwrite").parquet(folders.batch_folder(path, batch_id))
+        fold = lambda r: newest_change(r.drop("batch_id"), keys, seq).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+        folders.settle_now_and_then(batch.sparkSession, path, batch_id, settle_every, fold)
 
     writer = changes.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return finish(writer.trigger(availableNow=True).start())
 
 
-def settled_state(spark: SparkSession, path: str, keys: Sequence[str], seq: str) -> DataFrame:
-    rows = spark.read.option("basePath", path).parquet(path).drop("batch_id")
-    return newest_change(rows, keys, seq)
-
-
 def current_state(spark: SparkSession, path: str, keys: Sequence[str], seq: str) -> DataFrame:
     """Living keys over all batches."""
-    return settled_state(spark, path, keys, seq).filter(~F.col("_gone")).drop("_gone")
-
-
-def compact_state(spark: SparkSession, path: str, target: str, keys: Sequence[str], seq: str) -> str:
-    """All batch folders settled into one folder at a new place, tombstones included; the stream goes on there."""
-    settled_state(spark, path, keys, seq).write.parquet(f"{target}/batch_id=-1")
-    return target
+    rows = newest_change(folders.written(spark, path).drop("batch_id"), keys, seq)
+    return rows.filter(~F.col("_gone")).drop("_gone")
