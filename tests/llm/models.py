@@ -5,6 +5,9 @@ import itertools
 import random
 import re
 from collections import Counter, defaultdict
+from fractions import Fraction
+
+import numpy as np
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 # Column names that operators use inside.
@@ -79,6 +82,40 @@ def without_repeats(docs, size):
     return out
 
 
+def most_equal(same, share):
+    """Most equal words of any stretch with the share, trying all."""
+    sums, up, down = [0, *itertools.accumulate(same)], *Fraction(share).as_integer_ratio()
+    return max((sums[b] - sums[a] for a in range(len(same)) for b in range(a + 1, len(same) + 1) if down * (sums[b] - sums[a]) >= up * (b - a)), default=0)
+
+
+def leaking(docs, items, least=12, share="0.8"):
+    """Documents and items that share a passage, and its equal words, by laying every item along every document everywhere."""
+    numbers, part = {}, Fraction(share)
+
+    def coded(text):
+        return np.array([numbers.setdefault(w, len(numbers)) for w in words_of("".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or ""))], dtype=int)
+
+    texts, out = [(i, coded(t)) for i, t in docs], {}
+    for item, words in ((i, coded(t)) for i, t in items):
+        n = len(words)
+        wanted = least if n >= least else max(1, part * n)
+        for i, own in texts if n else ():
+            equal = np.zeros(len(own) + n, int)  # by diagonal + n
+            for k, word in enumerate(words):
+                equal[n - k : n - k + len(own)] += own == word
+            best = 0
+            for d in np.flatnonzero(equal >= wanted) - n:
+                first, last = max(0, -d), min(n, len(own) - d)
+                same = (own[d + first : d + last] == words[first:last]).tolist()
+                if n >= least:
+                    best = max(best, most_equal(same, share))
+                elif len(same) == n and sum(same) >= part * n:
+                    best = max(best, sum(same))
+            if best >= wanted:
+                out[i, item] = best
+    return out
+
+
 def figures(text):
     text = text or ""
     words = re.findall(r"[^\x20\x09-\x0D]+", text)
@@ -88,6 +125,29 @@ def figures(text):
     return len(words), sum(map(len, words)), sum(text.count(c) for c in "#*$%&|<>"), len(lines) - len(set(lines)), len(covered)
 
 
+def kept_by_rules(rows):
+    """Whether each (text, lang, source) is kept: fixed rules, then limits from the exact deciles of its group."""
+    measured = []
+    for text, *_ in rows:
+        n, chars, symbols, lines, repeats = figures(text)
+        all_lines = sum(bool(re.search(r"[^\x20\x09-\x0D]", x)) for x in (text or "").split("\n"))
+        capitals = len(re.findall("[A-Z]", text or ""))
+        failed = n < 10 or 100 * repeats > 20 * n
+        measured.append((failed, symbols / chars if chars else 0, capitals / chars if chars else 0, lines / all_lines if all_lines else 0, chars / n if n else 0))
+    good = [(*row[1:], m[1:]) for row, m in zip(rows, measured) if not m[0]]
+    out = []
+    for (_, lang, source), m in zip(rows, measured):
+        groups = ([g for *key, g in good if key == [lang, source]], [g for key, _, g in good if key == lang], [g for *_, g in good])
+        own = next((g for g in groups[:2] if len(g) >= 100), groups[2])
+        ok = not m[0]
+        for k, fixed in enumerate((0.05, 0.3, 0.6, 4.0)) if ok else ():
+            low, high = np.quantile([g[k] for g in own], [0.1, 0.9], method="inverted_cdf")
+            above, below = (5.0 * (high - low), 2.0 * (high - low)) if high > low else (fixed, fixed)
+            ok = ok and m[k + 1] <= high + above and (k < 3 or m[k + 1] >= low - below)
+        out.append(ok)
+    return out
+
+
 def sha(value):
     return hashlib.sha256(value if isinstance(value, bytes) else value.encode()).hexdigest()
 

@@ -105,6 +105,23 @@ def test_repeated_passages_of_awkward_rows(spark):
     assert substring_dedup.without_repeats(models.table(spark, [])).count() == 0
 
 
+def test_rows_of_one_id_lose_only_their_own_passages(spark):
+    a, b = (" ".join(f"{x}{k}" for k in range(80)) for x in "ab")
+    got = substring_dedup.without_repeats(models.table(spark, [(1, a), (2, a), (2, b), (3, b), (3, "none of it")])).collect()
+    assert sorted((r.doc_id, r.n_words, r.n_removed) for r in got) == [(1, 80, 0), (2, 80, 0), (2, 80, 80), (3, 3, 0), (3, 80, 80)]
+
+
+def test_passages_of_a_text_longer_than_a_slice(spark):
+    rng = random.Random(8)
+    long = " ".join(f"w{rng.randrange(10**7)}" for _ in range(600_000))  # beyond five megabytes
+    words = long.split()
+    docs = [(1, " ".join(words[1000:1080])), (2, long), (3, " ".join(words[-70:] + ["end"] * 20)), (4, " ".join(words[300_000:300_049]))]
+    got = substring_dedup.without_repeats(models.table(spark, docs)).collect()
+    assert sorted((r.doc_id, r.n_words, r.n_removed) for r in got) == [(1, 80, 0), (2, 600_000, 80), (3, 90, 70), (4, 49, 0)]
+    near = near_dup.near_duplicates(models.table(spark, [(1, long), (2, " ".join(words[30_000:])), (3, "short")])).collect()
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in near) == [(1, 599_996, 1), (2, 569_996, 1), (3, 1, 3)]
+
+
 def passage(n, seed):
     rng = random.Random(seed)
     return [f"v{rng.randrange(5000)}" for _ in range(n)]
@@ -124,18 +141,12 @@ def test_leaks_survive_substitutions(spark):
         (12, " ".join(items[0][:20])), (13, " ".join(items[0][20:])),
     ]
     found = decontaminate.leaks(models.clashing(spark, docs), benchmark).collect()
-    assert sorted(((r.doc_id, r.item_id) for r in found), key=str) == sorted([(0, 0), (1, 1), (2, 2), (3, 3), (6, 6), (10, 5), (None, 0), (12, 0)], key=str)
+    assert sorted(((r.doc_id, r.item_id) for r in found), key=str) == sorted([(0, 0), (1, 1), (2, 2), (3, 3), (6, 6), (7, 7), (10, 5), (None, 0), (12, 0)], key=str)
     assert [(r.start_word, r.n_words, r.n_equal) for r in found if r.doc_id == 0] == [(80, 30, 30)]
     assert [(r.n_words, r.n_equal) for r in found if r.doc_id == 1] == [(30, 27)]
     kept = decontaminate.clean(models.clashing(spark, docs), benchmark)
     assert kept.columns == models.clashing(spark, []).columns
-    assert sorted(r.doc_id for r in kept.collect()) == [4, 5, 7, 8, 9, 11, 13]
-
-
-def most_equal(same, share):
-    """Most equal words of any stretch with the share, trying all."""
-    sums, up, down = [0, *itertools.accumulate(same)], *Fraction(share).as_integer_ratio()
-    return max((sums[b] - sums[a] for a in range(len(same)) for b in range(a + 1, len(same) + 1) if down * (sums[b] - sums[a]) >= up * (b - a)), default=0)
+    assert sorted(r.doc_id for r in kept.collect()) == [4, 5, 8, 9, 11, 13]
 
 
 def test_any_stretch_that_meets_the_rule_counts(spark):
@@ -145,7 +156,7 @@ def test_any_stretch_that_meets_the_rule_counts(spark):
             same[list(gone)] = False
             text = np.where(same, np.arange(size), 99)
             start, length, equal = decontaminate.overlap(text, np.arange(size), 0, 0.8)
-            assert equal == most_equal(same.tolist(), "0.8") == same[start : start + length].sum() and 5 * equal >= 4 * length, (size, gone)
+            assert equal == models.most_equal(same.tolist(), "0.8") == same[start : start + length].sum() and 5 * equal >= 4 * length, (size, gone)
     items = {1: passage(15, 1), 2: passage(20, 2)}
     fifteen, twenty = list(items[1]), list(items[2])
     fifteen[11] = "other"
@@ -164,7 +175,7 @@ def smallest_patterns(least, share):
                 continue  # without its last word it meets the rule
             for gone in itertools.combinations(range(1, equal + others - 1), others):
                 same = [k not in gone for k in range(equal + others)]
-                if max(most_equal(same[1:], share), most_equal(same[:-1], share)) < least:
+                if max(models.most_equal(same[1:], share), models.most_equal(same[:-1], share)) < least:
                     yield same
 
 
@@ -196,6 +207,37 @@ def test_leaks_of_empty_tables_and_large_benchmarks(spark, monkeypatch):
     assert decontaminate.leaks(docs, empty).count() == 0 and decontaminate.clean(docs, empty).count() == 2
     many = spark.createDataFrame([(k, " ".join(passage(30, k))) for k in range(5)], "item_id long, text string")
     assert decontaminate.leaks(models.table(spark, []), many).count() == 0
-    monkeypatch.setattr(decontaminate, "INDEX_WORDS", 60)
+    monkeypatch.setattr(decontaminate, "FILTER_BITS", 4)  # a benchmark that fills the bitmap
     assert sorted((r.doc_id, r.item_id) for r in decontaminate.leaks(docs, many).collect()) == [(1, 1), (2, 2)]
     assert decontaminate.clean(docs, many).count() == 0
+
+
+@pytest.mark.parametrize("share", ["0.8", "0.7", "1.0"])
+def test_items_of_every_length(spark, share):
+    rng, items, docs = random.Random(11), [], [(900, None), (901, ""), (902, "w1")]
+    for n in range(1, 15):
+        for k in range(3):
+            items.append((100 * n + k, [f"{rng.choice('xyz')}{rng.randrange(30)}" for _ in range(n)]))
+    for item, words in items:
+        for copy in range(2):
+            own = list(words)
+            for _ in range(rng.randint(0, 3)):
+                own[rng.randrange(len(own))] = "other"
+            lead = [f"l{rng.randrange(9)}" for _ in range(rng.randint(0, 3))]
+            docs.append((10 * item + copy, " ".join([*lead, *own, *lead[::-1]])))
+    texts = [(i, " ".join(w)) for i, w in items] + [(1, None), (2, " ")]
+    benchmark = spark.createDataFrame(texts, "item_id long, text string")
+    df = models.table(spark, docs)
+    found = decontaminate.leaks(df, benchmark, share=float(share)).collect()
+    want = models.leaking(docs, texts, share=share)
+    assert {(r.doc_id, r.item_id): r.n_equal for r in found} == want and len(found) == len(want) > 30
+    left = {r.doc_id for r in decontaminate.clean(df, benchmark, share=float(share)).collect()}
+    assert left == {i for i, _ in docs} - {i for i, _ in want}
+
+
+def test_a_passage_in_a_text_longer_than_a_slice(spark):
+    long = " ".join(f"w{k}" for k in range(700_000))  # beyond five megabytes
+    benchmark = spark.createDataFrame([(1, " ".join(f"w{k}" for k in range(650_000, 650_030)))], "item_id long, text string")
+    docs = models.table(spark, [(1, long), (1, "w650000 another text of one id"), (2, "clean")])
+    assert [tuple(r) for r in decontaminate.leaks(docs, benchmark).collect()] == [(1, 1, 650_000, 30, 30)]
+    assert sorted(r.text[:9] for r in decontaminate.clean(docs, benchmark).collect()) == ["clean", "w650000 a"]

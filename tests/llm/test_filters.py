@@ -25,6 +25,62 @@ def test_quality_figures(spark):
     assert quality_rules.quality_rules(models.table(spark, [])).count() == 0
 
 
+def test_kept_by_exact_deciles(spark):
+    """All texts of a table against the rules by plain Python: sketches of few texts are exact."""
+    folder = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    rows = docs.select("doc_id", "text", "lang", "source").collect()
+    got = {r.doc_id: r.kept for r in quality_rules.quality_rules(docs).collect()}
+    want = models.kept_by_rules([(r.text, r.lang, r.source) for r in rows])
+    assert {r.doc_id for r, k in zip(rows, want) if k != got[r.doc_id]} == set()
+
+
+def test_limits_move_with_the_spread(spark):
+    """Of two sources with word lengths apart by a factor of two, the wider one's limits are wider; so are most limits those of the sketches."""
+    rng = random.Random(4)
+
+    def prose(width, n=80):
+        return " ".join("".join(rng.choice("abcdefgh") for _ in range(5 + rng.randint(-1, 1) * (1 + rng.randrange(width)))) + rng.choice(["", "", "X"]) for _ in range(n))
+
+    docs = [(i, prose(1), "en", "narrow") for i in range(200)] + [(1000 + i, prose(3), "en", "wide") for i in range(200)]
+    docs += [(5000, " ".join(rng.choice("abcdefgh") for _ in range(200)), "en", "narrow"), (5001, " ".join(rng.choice("abcdefgh") for _ in range(200)), "en", None)]
+    docs += [(i, "long " * 3 + " ".join("abcdefghijkl"[: rng.randint(8, 12)] + str(k) for k in range(60)), "en", s) for i, s in ((5002, "narrow"),)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, lang string, source string")
+    kept = {r.doc_id: r.kept for r in quality_rules.quality_rules(df).collect()}
+    assert [kept[i] for i in (5000, 5001, 5002)] == [False] * 3 and sum(kept[i] for i in range(200)) > 195 and sum(kept[1000 + i] for i in range(200)) > 195
+    figures = quality_rules.measured(df).withColumn("base_failed", F.lit(False)).withColumns(quality_rules.shares())
+    fences = {r.source: r.fence for r in quality_rules.limits(figures).collect()}
+    wide, narrow = ({s: f[s]["high"] - f[s]["low"] for s in quality_rules.SHARES} for f in (fences["wide"], fences["narrow"]))
+    assert wide["mean_word"] > 1.5 * narrow["mean_word"]
+    moved = [abs(fences[k][s]["high"] - fences[k][s]["low"] - 2 * fixed) > 1e-9 for k in ("wide", "narrow") for s, fixed in quality_rules.SHARES.items()]
+    assert sum(moved) >= len(moved) / 2
+
+
+def test_domains_under_suffixes_of_two_labels(spark):
+    hosts = ["a.shop.co.uk", "shop.co.uk", "co.uk", "x.example.com", "localhost", "", "me.github.io", "deep.me.github.io"]
+    df = spark.createDataFrame([(h,) for h in hosts], "host string")
+    got = df.select(url_filter.domain_of(F.col("host")), url_filter.suffix_of(F.col("host"))).collect()
+    assert [tuple(r) for r in got] == [
+        ("shop.co.uk", "co.uk"), ("shop.co.uk", "co.uk"), ("co.uk", "co.uk"), ("example.com", "com"), ("localhost", "localhost"), ("", ""),
+        ("me.github.io", "github.io"), ("me.github.io", "github.io"),
+    ]
+    # Sites under one suffix of two labels do not share a domain's prior: a bad site leaves its neighbour alone.
+    pages = [(i, f"http://bad.co.uk/{i}") for i in range(40)] + [(100 + i, f"http://good.co.uk/{i}") for i in range(40)] + [(200, "http://new.bad.co.uk/x")]
+    outcomes = [(i, 1) for i in range(40)] + [(100 + i, 0) for i in range(40)]
+    judged = url_filter.judge(spark.createDataFrame(pages, "page_id long, url string"), spark.createDataFrame(outcomes, "page_id long, bad int"), rules=[])
+    shares = {r.host: r.bad_share for r in judged.collect()}
+    assert shares["bad.co.uk"] > 0.9 and shares["good.co.uk"] < 0.1 and shares["new.bad.co.uk"] > 0.5
+
+
+def test_ngrams_are_of_code_points():
+    body = "aé日𝄞 b".encode()
+    data, offsets = np.frombuffer(body + "zß".encode(), np.uint8), np.array([0, len(body), len(body) + 3])
+    points, ends = classifier.code_points(data, offsets)
+    assert points.tolist() == [ord(c) for c in "aé日𝄞 bzß"] and ends.tolist() == [0, 6, 8]
+    same = [b[0][: 2].tolist() for b in classifier.buckets(data, offsets) if b[3] == 1]
+    assert len(same) == len(classifier.GRAMS)
+
+
 def test_limits_follow_the_group(spark):
     rng = random.Random(2)
 

@@ -62,24 +62,9 @@ def test_duplicates_and_passages(spark, docs):
     }
 
 
-def leaking(docs, items, n=12):
-    """Documents and items that share ``n`` consecutive words."""
-    grams = {}
-    for item, text in items:
-        words = models.words_of(text.lower())
-        for k in range(len(words) - n + 1):
-            grams.setdefault(tuple(words[k : k + n]), set()).add(item)
-    out = set()
-    for i, text in docs:
-        words = models.words_of((text or "").lower())
-        for k in range(len(words) - n + 1):
-            out |= {(i, item) for item in grams.get(tuple(words[k : k + n]), ())}
-    return out
-
-
 def test_leaks(spark, docs):
     items = [tuple(r) for r in spark.read.parquet(f"{SMALL}/benchmark.parquet").select("item_id", "text").collect()]
-    assert {(r.doc_id, r.item_id) for r in run(spark, "op9_decontaminate")} == leaking(docs, items)
+    assert {(r.doc_id, r.item_id) for r in run(spark, "op9_decontaminate")} == set(models.leaking(docs, items))
 
 
 def test_quality(spark, docs):
@@ -111,7 +96,7 @@ def test_pipeline_stage_by_stage(spark, docs, tmp_path):
             wanted = {i: cut[i][2].decode() if cut[i][1] else t for i, t in texts.items()}
         elif name == "decontamination":
             items = [tuple(r) for r in spark.read.parquet(f"{SMALL}/benchmark.parquet").select("item_id", "text").collect()]
-            bad = {i for i, _ in leaking(list(texts.items()), items)}
+            bad = {i for i, _ in models.leaking(list(texts.items()), items)}
             wanted = {i: t for i, t in texts.items() if i not in bad}
         else:
             wanted = texts

@@ -114,15 +114,22 @@ def word_counts(docs: DataFrame, text_column: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([coded.dictionary.filter(short).cast(pa.string()), pa.array(often).filter(short)], ["word", "n"])
 
     text.prepared(docs.sparkSession)
-    each = docs.select(text.utf8(text_column).alias("body")).mapInArrow(count, "word string, n bigint")
+    each = docs.select(text.utf8(text_column).alias("body")).mapInArrow(text.tidy(count), "word string, n bigint")
     return each.groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def known_words(docs: DataFrame, ranks: Lookup, known: int, text_column: str) -> pa.Table:
-    """``word, ids`` of the most frequent words; ties by the word. At most ``known`` rows of bounded words come to the driver."""
+    """``word, ids`` of the most frequent words. At most ``known`` rows of bounded words come to the driver.
+
+    The words that are more frequent than the one behind the bound, so that no ties have to be settled: how many words have each count tells which. A count is
+    one row then, so what one task gets for it does not grow with the number of words or tasks.
+    """
     spark = docs.sparkSession
-    top = durable(word_counts(docs, text_column).orderBy(F.desc("n"), "word").limit(known).select("word"), "words")
-    spread = top.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "word")
+    counts = durable(word_counts(docs, text_column), "words")
+    often = counts.groupBy("n").agg(F.count(F.lit(1)).alias("words")).orderBy(F.desc("n")).limit(known + 1).collect()  # each count has a word at least
+    upto = list(itertools.accumulate(r.words for r in often))
+    beyond = next((r.n for r, words in zip(often, upto) if words > known), 0)
+    spread = counts.where(F.col("n") > beyond).select("word").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "word")
     return spread.select(F.col("word").cast("binary").alias("word"), let(ranks.literal(), lambda table: folded(F.hex("word"), ranks, table)).alias("ids")).toArrow()
 
 
@@ -235,6 +242,7 @@ def encode(docs: DataFrame, path: str, known: int = KNOWN, output: str = "ids",
     spark = docs.sparkSession
     docs = docs.drop(output)
     shared = spark.sparkContext.broadcast(known_words(docs, rank_lookup(path), known, text_column))
+    text.released()
     names, name = docs.columns, uuid.uuid4().hex
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -248,11 +256,14 @@ def encode(docs: DataFrame, path: str, known: int = KNOWN, output: str = "ids",
             yield pa.RecordBatch.from_arrays([*(part.column(c) for c in names), pa.array(ids, pa.string())], [*names, output])
 
     schema = T.StructType([*docs.schema.fields, T.StructField(output, T.StringType())])
-    return docs.mapInArrow(cut, schema)
+    return docs.mapInArrow(text.tidy(cut), schema)
 
 
 def decode(coded: DataFrame, path: str, ids: str = "ids", output: str = "decoded") -> DataFrame:
-    """All columns and the bytes of the ids (text with commas; null and empty give no bytes)."""
+    """All columns and the bytes of the ids (text with commas, of any length; null and empty give no bytes).
+
+    Equal rows stay; a column named like ``output`` is replaced. An empty table gives an empty result.
+    """
     ranks = read_ranks(path)
     size = max(ranks.values(), default=-1) + 1
     words: list[bytes] = [b""] * size
@@ -278,7 +289,11 @@ def decode(coded: DataFrame, path: str, ids: str = "ids", output: str = "decoded
 
 
 def round_trip(docs: DataFrame, path: str, known: int = KNOWN) -> DataFrame:
-    """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of every document."""
+    """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of every row.
+
+    A null or empty text has no ids; null ids and equal rows stay; a text of any length is encoded whole. Other columns are left out, whatever their names. An
+    empty table gives an empty result.
+    """
     back = decode(encode(docs.select("doc_id", "text"), path, known).drop("text"), path)
     count = F.when(F.col("ids") == "", F.lit(0)).otherwise(F.length("ids") - F.length(F.replace("ids", F.lit(","), F.lit(""))) + 1)
     return back.select("doc_id", count.cast("bigint").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))

@@ -43,16 +43,18 @@ def format_conversations(
         F.col(f"`{order}`").alias("turn"), F.coalesce(F.col(f"`{role}`"), F.lit("")).alias("role"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text")
     )
     collected = turns.groupBy(F.col(f"`{conversation}`").alias("id")).agg(F.sort_array(F.collect_list(own)).alias("turns"))
-    empty = F.array().cast("array<struct<role:string,texts:array<string>>>")
+    # A message starts where the role differs from the turn before; it goes up to the next start. One pass over the turns, one over the starts.
+    starts = F.filter(
+        F.transform("turns", lambda t, i: F.when((i == 0) | (t["role"] != F.get("turns", i - 1)["role"]), i)), lambda i: i.isNotNull()
+    )
+    begun = collected.select("id", "turns", starts.alias("starts"))
 
-    def merge(done: Column, turn: Column) -> Column:
-        last = F.try_element_at(done, F.lit(-1))
-        longer = F.struct(last["role"].alias("role"), F.concat(last["texts"], F.array(turn["text"])).alias("texts"))
-        fresh = F.struct(turn["role"].alias("role"), F.array(turn["text"]).alias("texts"))
-        same = F.coalesce(last["role"] == turn["role"], F.lit(False))
-        return F.when(same, F.concat(F.slice(done, F.lit(1), F.size(done) - 1), F.array(longer))).otherwise(F.concat(done, F.array(fresh)))
+    def message(start: Column, number: Column) -> Column:
+        end = F.coalesce(F.get("starts", number + 1), F.size("turns"))
+        texts = F.transform(F.slice("turns", start + 1, end - start), lambda t: t["text"])
+        return F.struct(F.get("turns", start)["role"].alias("role"), texts.alias("texts"))
 
-    messages = collected.select("id", F.aggregate("turns", empty, merge).alias("messages"))
+    messages = begun.select("id", F.transform("starts", message).alias("messages"))
     shown = F.transform(
         "messages", lambda m: F.concat(F.lit(OPEN), escaped_role(m["role"]), F.lit("\n"), F.array_join(F.transform(m["texts"], escaped), NEXT), F.lit(CLOSE))
     )
@@ -65,7 +67,11 @@ def literal(mark: str) -> str:
 
 
 def read_back(formatted: DataFrame) -> DataFrame:
-    """Adds ``turns`` (array of role and text), read from the column ``formatted`` alone."""
+    """Adds ``turns`` (array of role and text), read from the column ``formatted`` alone.
+
+    Gives back every turn exactly, empty and very long texts and texts that hold marks included; an empty ``formatted`` has no turns. Equal rows stay, and so do
+    all other columns; one named ``turns`` is replaced. An empty table gives an empty result.
+    """
     parts = F.filter(F.split("formatted", literal(OPEN)), lambda p: p != "")
 
     def turns(part: Column) -> Column:
@@ -93,7 +99,11 @@ def with_planted(conversations: DataFrame) -> DataFrame:
 
 
 def digests(conversations: DataFrame) -> DataFrame:
-    """``conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars``, read back from the formatted text."""
+    """``conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars``, read back from the formatted text.
+
+    Null turns, roles and texts are as ``format_conversations`` has them, a null conversation is one too, equal rows are turns of their own, texts of any length
+    count whole. Other columns are left out, whatever their names. An empty table leaves the planted conversation.
+    """
     back = read_back(format_conversations(with_planted(conversations)))
     told = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     loss = back.withColumn("told", told).withColumn("loss", trained_on())

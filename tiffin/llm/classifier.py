@@ -1,7 +1,7 @@
 """Quality classifier on learned subword embeddings.
 
 A document is the sum of two averages of learned vectors: over its words (with marks for a word that repeats one of the four before it) and over
-its byte n-grams, all hashed into fixed tables. A softmax layer on top gives the classes. Vectors and layer are trained together by stochastic
+its character n-grams (of code points), all hashed into fixed tables. A softmax layer on top gives the classes. Vectors and layer are trained together by stochastic
 gradient descent in numpy, on a sample of labelled rows of at most ``sample`` per class, chosen by a hash of the id: that is the only bound, and
 it concerns the training only. Every document is scored over its whole text, in its own task, without a shuffle.
 
@@ -52,17 +52,34 @@ def buckets(data: np.ndarray, offsets: np.ndarray) -> list[tuple[np.ndarray, np.
         same = np.zeros(len(own), np.int32)  # bucket 0: no repetition
         same[back:] = np.where(own[back:] == own[:-back], back, 0)
         out.append((same, np.minimum(words.docs[:-1] + back, words.docs[1:]), words.docs[1:], 0))
-    plain = np.where(text.SPACES[data], np.uint8(0x20), data).astype(np.uint32)
+    letters, ends = code_points(np.where(text.SPACES[data], np.uint8(0x20), data), offsets)
     for size in GRAMS:
-        n = max(0, len(plain) - size + 1)
+        n = max(0, len(letters) - size + 1)
         key = np.full(n, size, dtype=np.uint32)
         for k in range(size):
-            key ^= plain[k : k + n] << np.uint32(8 * k)
-        key = (key * np.uint32(0x9E3779B1)) >> np.uint32(32 - BITS)
-        out.append((key.astype(np.int32) + (1 << BITS), np.minimum(offsets[:-1], n), np.minimum(np.maximum(offsets[:-1], offsets[1:] - size + 1), n), 1))
+            key = (key ^ letters[k : k + n]) * np.uint32(0x9E3779B1)
+            key ^= key >> np.uint32(15)
+        key >>= np.uint32(32 - BITS)
+        out.append((key.astype(np.int32) + (1 << BITS), np.minimum(ends[:-1], n), np.minimum(np.maximum(ends[:-1], ends[1:] - size + 1), n), 1))
     return out
 
 
+def code_points(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The code points of UTF-8 bytes, and the texts' offsets in them."""
+    starts = np.flatnonzero((data & 0xC0) != 0x80)
+    points = data[starts].astype(np.uint32)
+    ends = np.searchsorted(starts, offsets)
+    several = np.flatnonzero(points >= 0x80)
+    if len(several):
+        at, lead = starts[several], points[several]
+        tail = [(data[np.minimum(at + k, len(data) - 1)] & 0x3F).astype(np.uint32) for k in (1, 2, 3)]
+        two = (lead & 0x1F) << 6 | tail[0]
+        three = (lead & 0x0F) << 12 | tail[0] << 6 | tail[1]
+        four = (lead & 0x07) << 18 | tail[0] << 12 | tail[1] << 6 | tail[2]
+        points[several] = np.where(lead < 0xE0, two, np.where(lead < 0xF0, three, four))
+    return points, ends
+
+
 def counts(parts, k: int) -> list[int]:
     """Places of the words and of the n-grams of text ``k``."""
     total = [0, 0]
@@ -159,11 +176,19 @@ def fit(docs: DataFrame, labels: DataFrame, training: Column, sample: int = 2000
             )
 
     kind = source.schema["id"].dataType.simpleString()
-    found = source.mapInArrow(count, f"id {kind}, label int, grams binary, share binary").toArrow()
-    rows = zip(*(found.column(c).to_pylist() for c in ("id", "label", "grams", "share")))
-    first = sorted({r[0]: r for r in sorted(rows, key=lambda r: r[2], reverse=True)}.values(), key=lambda r: str(r[0]))
-    features = [(np.frombuffer(r[2], "<i4"), np.frombuffer(r[3], "<f4")) for r in first]
-    return train(features, np.array([r[1] for r in first], dtype=int))
+    found = source.mapInArrow(text.tidy(count), f"id {kind}, label int, grams binary, share binary").toArrow()
+    ids, classes = found.column("id").to_pylist(), found.column("label").to_pylist()
+    grams, weights = ([x.as_buffer() for x in found.column(c)] for c in ("grams", "share"))  # no copies
+    chosen: dict = {}
+    for k, key in enumerate(ids):
+        if key not in chosen or grams[k].to_pybytes() < grams[chosen[key]].to_pybytes():
+            chosen[key] = k
+    order = [chosen[key] for key in sorted(chosen, key=str)]
+    features = [(np.frombuffer(grams[k], "<i4"), np.frombuffer(weights[k], "<f4")) for k in order]
+    model = train(features, np.array([classes[k] for k in order], dtype=int))
+    del found, grams, weights, features
+    text.released()
+    return model
 
 
 def score(docs: DataFrame, model: Model, output: str = "score", text_column: str = "text") -> DataFrame:
@@ -179,7 +204,7 @@ def score(docs: DataFrame, model: Model, output: str = "score", text_column: str
             yield pa.RecordBatch.from_arrays([*part.columns, pa.array(1 / (1 + np.exp(-odds)))], [*part.schema.names, output])
 
     schema = T.StructType([*docs.schema.fields, T.StructField(output, T.DoubleType())])
-    return docs.mapInArrow(rate, schema)
+    return docs.mapInArrow(text.tidy(rate), schema)
 
 
 def held_out(id_column: str = "doc_id", folds: int = 5) -> Column:
@@ -188,7 +213,11 @@ def held_out(id_column: str = "doc_id", folds: int = 5) -> Column:
 
 
 def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, sample: int = 2000) -> DataFrame:
-    """``doc_id, held_out, score, predicted`` of every document; an empty table gives an empty result."""
+    """``doc_id, held_out, score, predicted`` of every row.
+
+    Null and empty texts get the score of the bias, texts of any length are scored whole; null ids and equal rows stay, each scored by its own text. Other columns
+    are left out, whatever their names. An empty table gives an empty result.
+    """
     model = fit(docs, labels, ~held_out(), sample)
     scored = score(docs.select("doc_id", "text"), model)
     return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))

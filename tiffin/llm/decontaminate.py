@@ -1,24 +1,25 @@
 """Benchmark decontamination by spaced seeds.
 
-A passage leaks if, laid along a benchmark item, it has at least ``least`` equal words and a share of equal words of ``share`` or more. Words are
-hashed under masks that take seven words of a window of 8 to 15 and ignore the others; equal hashes are hits. The six masks miss nothing: each
-way to replace words that the rule with 12 words and 80 % (or a stricter one) accepts leaves all words of some mask equal. A passage need only be
-followed until it cannot be cut into two that pass, so this is a finite number of ways, and a test goes through all of them. A looser rule is
-searched by the run of equal words that it cannot do without. Around a hit the item is laid along the document, and of all stretches that
-meet the rule the one with the most equal words is given.
-
-An item of fewer than ``least`` words has to occur whole and unchanged; one of fewer than ``SHORTEST`` words is no evidence and is not searched.
-
-The index of the benchmark is held by every task; that is bounded, as it is built for at most ``INDEX_WORDS`` words at a time. A larger
-benchmark is worked through in such slices, one pass over the documents for each. No text of a document is shuffled.
+A passage leaks if, laid along a benchmark item, it has at least ``least`` equal words and a share of equal words of ``share`` or more; an item
+of fewer than ``least`` words has to be laid along whole, with the same share. Words are hashed under masks that take some words of a window and
+ignore the others; equal hashes are hits. The masks miss nothing: each way to replace words that the rule with 12 words and 80 % (or a stricter one)
+accepts leaves all words of some mask of ``MASKS`` equal. A passage need only be followed until it cannot be cut into two that pass, so
+this is a finite number of ways, and a test goes through all of them. A looser rule is searched by the run of equal words that it cannot do without. A
+short item is searched by masks over its whole length that leave out as many of its parts as words may differ. Around a hit the item is laid
+along the document, and of all stretches that meet the rule the one with the most equal words is given.
+
+Masked hashes of the benchmark are a table, as are those of the documents, and the two are joined. Before they are shuffled, the documents' hashes pass a bitmap of
+the benchmark's leading hash bits, which has at most ``1 << FILTER_BITS`` bits whatever the benchmark; where a benchmark fills it, more hashes go to
+the join, with the same result. Hits are counted once per document, item and offset; only the stretch of the document that an item covers meets the item's words.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
 from fractions import Fraction
 from functools import reduce
+from itertools import combinations
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -29,9 +30,10 @@ from tiffin.llm import text
 
 MASKS = ["11111011", "10101001111", "111000000100111", "11100101011", "1001101000111", "11011111"]
 COVERED = 12, 0.8  # least and share of the loosest rule that the masks cover
-SHORTEST = 8  # words of an item that still count as evidence
-INDEX_WORDS = 250_000
-KEYS = text.mixed(np.arange(7, 7 + max(map(len, MASKS)), dtype=np.uint64)) | np.uint64(1)
+FILTER_BITS = 26  # eight megabytes
+BITS_OF_A_ROW = 1 << 15  # of Spark's bitmaps
+PARTS = 64  # a document's items are handled in so many parts at most
+KEYS = text.mixed(np.arange(7, 7 + 64, dtype=np.uint64)) | np.uint64(1)
 
 
 def lowered(data: np.ndarray) -> np.ndarray:
@@ -51,51 +53,35 @@ def seeds(least: int, share: float) -> list[str]:
     return ["1" * min(-(-e // (others(e) + 1)) for e in range(max(1, least), 2 * max(1, least)))]
 
 
-def masked(words: np.ndarray, masks: list[str]) -> Iterator[tuple[int, np.ndarray]]:
-    """Per mask its length and the hash of the window at each position."""
-    keys = KEYS if max(map(len, masks)) <= len(KEYS) else text.mixed(np.arange(7, 7 + max(map(len, masks)), dtype=np.uint64)) | np.uint64(1)
-    for number, mask in enumerate(masks):
+def needed(words: int, share: float) -> int:
+    """Equal words that an item of so many words needs when it is laid along whole."""
+    part = Fraction(str(share))
+    return -(-words * part.numerator // part.denominator)
+
+
+def short_seeds(words: int, share: float) -> list[str]:
+    """Masks for items of so many words that are laid along whole: one at least is equal wherever the share is reached."""
+    equal = max(1, needed(words, share))
+    others = words - equal
+    if others > 2:
+        return ["1" * -(-equal // (others + 1))]  # the run that is left at least
+    # Words that differ touch as many parts at most, so some choice of that many parts to ignore leaves equal words only.
+    parts = min(words, others + 2)
+    edges = [words * k // parts for k in range(parts + 1)]
+    masks = []
+    for ignored in combinations(range(parts), others):
+        masks.append("".join(("0" if k in ignored else "1") * (edges[k + 1] - edges[k]) for k in range(parts)))
+    return sorted({m for m in masks if "1" in m})
+
+
+def masked(words: np.ndarray, masks: list[str]) -> Iterator[tuple[str, np.ndarray]]:
+    """Per mask the hash of the window at each position."""
+    longest = max(map(len, masks), default=0)
+    keys = KEYS if longest <= len(KEYS) else text.mixed(np.arange(7, 7 + longest, dtype=np.uint64)) | np.uint64(1)
+    for mask in masks:
         n = len(words) - len(mask) + 1
         if n > 0:
-            yield len(mask), text.mixed(reduce(np.add, [words[k : k + n] * keys[k] for k, x in enumerate(mask) if x == "1"]) + np.uint64(number))
-
-
-@dataclass
-class Index:
-    """Hashes of the windows of some benchmark items, sorted, with item and place, and the items' word hashes."""
-
-    hashes: np.ndarray
-    items: np.ndarray
-    places: np.ndarray
-    words: list[np.ndarray]
-    ids: list
-    present: np.ndarray  # by the leading bits of a hash
-    short: dict[int, dict[int, list[int]]]  # length: hash of the whole item: items
-    masks: list[str]
-
-
-def build(rows: list[tuple], least: int, share: float) -> Index:
-    """Index of (id, text) rows; items of fewer words than ``SHORTEST`` and ``least`` are left out."""
-    hashes, items, places, words, ids, short = [np.zeros(0, np.uint64)], [np.zeros(0, np.int32)], [np.zeros(0, np.int32)], [], [], {}
-    masks = seeds(least, share)
-    for name, body in rows:
-        data, offsets = text.raw(pa.array([(body or "").encode()], pa.binary()))
-        own = text.Words(lowered(data), offsets).hashes()
-        number = len(ids)
-        ids.append(name)
-        words.append(own)
-        if SHORTEST <= len(own) < least:
-            short.setdefault(len(own), {}).setdefault(int(text.window_hashes(own, len(own))[0]), []).append(number)
-        for _, found in masked(own, masks) if len(own) >= least else ():
-            hashes.append(found)
-            items.append(np.full(len(found), number, np.int32))
-            places.append(np.arange(len(found), dtype=np.int32))
-    joined = np.concatenate(hashes)
-    order = np.argsort(joined, kind="stable")
-    bits = max(10, min(26, int(32 * max(1, len(joined))).bit_length()))
-    present = np.zeros(1 << bits, bool)
-    present[(joined >> np.uint64(64 - bits)).astype(np.int64)] = True
-    return Index(joined[order], np.concatenate(items)[order], np.concatenate(places)[order], words, ids, present, short, masks)
+            yield mask, text.mixed(reduce(np.add, [words[k : k + n] * keys[k] for k, x in enumerate(mask) if x == "1"]) + np.uint64(crc32(mask.encode())))
 
 
 def overlap(mine: np.ndarray, item: np.ndarray, diagonal: int, share: float) -> tuple[int, int, int]:
@@ -105,6 +91,8 @@ def overlap(mine: np.ndarray, item: np.ndarray, diagonal: int, share: float) ->
     ends with an equal word.
     """
     first, last = max(0, -diagonal), min(len(item), len(mine) - diagonal)
+    if last <= first:
+        return diagonal + first, 0, 0
     at = np.flatnonzero(mine[diagonal + first : diagonal + last] == item[first:last])
     if not len(at):
         return diagonal + first, 0, 0
@@ -118,46 +106,154 @@ def overlap(mine: np.ndarray, item: np.ndarray, diagonal: int, share: float) ->
     return int(diagonal + first + at[begin]), int(at[end] - at[begin] + 1), end - begin + 1
 
 
-def hits(own: np.ndarray, docs: np.ndarray, index: Index, least: int, share: float) -> list[tuple[int, int, int, int, int]]:
-    """Leaks in a batch: text, item, start, length, equal words; the best of each text and item."""
-    lines: set[tuple[int, int, int]] = set()  # text, item, diagonal
-    bits = np.uint64(64 - (len(index.present).bit_length() - 1))
-    if len(index.hashes):
-        for span, found in masked(own, index.masks):
-            at = np.flatnonzero(index.present[(found >> bits).astype(np.int64)])
-            low, high = (np.searchsorted(index.hashes, found[at], side=s) for s in ("left", "right"))
-            at, low, high = (x[low < high] for x in (at, low, high))
-            owner = np.searchsorted(docs, at, side="right") - 1
-            inside = at + span <= docs[owner + 1]
-            for place, text_, a, b in zip(at[inside].tolist(), owner[inside].tolist(), low[inside].tolist(), high[inside].tolist()):
-                lines.update((text_, int(i), place - int(docs[text_]) - int(p)) for i, p in zip(index.items[a:b], index.places[a:b]))
-    best: dict[tuple[int, int], tuple[int, int, int]] = {}
-    for text_, item, diagonal in sorted(lines):
-        start, length, equal = overlap(own[docs[text_] : docs[text_ + 1]], index.words[item], diagonal, share)
-        if equal >= least and equal > best.get((text_, item), (0, 0, 0))[2]:
-            best[text_, item] = start, length, equal
-    for size, wanted in index.short.items():
-        found = text.window_hashes(own, size)
-        at = np.flatnonzero(np.isin(found, np.fromiter(wanted, dtype=np.uint64, count=len(wanted))))
-        owner = np.searchsorted(docs, at, side="right") - 1
-        for place, text_ in zip(at.tolist(), owner.tolist()):
-            if place + size <= docs[text_ + 1]:
-                for item in wanted[int(found[place])]:
-                    best.setdefault((text_, item), (place - int(docs[text_]), size, size))
-    return [(t, i, *x) for (t, i), x in sorted(best.items())]
-
-
-def indexes(benchmark: DataFrame, item_column: str, text_column: str, least: int, share: float) -> Iterator[Index]:
-    """Indexes of bounded size that together hold all items; nulls count as empty texts."""
-    held, size = [], 0
-    for row in benchmark.select(F.col(f"`{item_column}`"), F.col(f"`{text_column}`")).toLocalIterator():
-        words = len((row[1] or "").encode().split())
-        if held and size + words > INDEX_WORDS:
-            yield build(held, least, share)
-            held, size = [], 0
-        held.append((row[0], row[1]))
-        size += words
-    yield build(held, least, share)
+def words_of(benchmark: DataFrame, item_column: str, text_column: str) -> DataFrame:
+    """``item, item_id, words, n``: the word hashes of every item, numbered, written once."""
+    source = benchmark.select(F.col(f"`{item_column}`").alias("item_id"), text.utf8(text_column).alias("body"))
+
+    def hash_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in text.slices(batches, "body"):
+            data, offsets = text.raw(part.column("body"))
+            words = text.Words(lowered(data), offsets)
+            yield pa.RecordBatch.from_arrays([part.column("item_id"), text.binary(words.hashes(), words.docs * 8), pa.array(words.counts, pa.int64())], ["item_id", "words", "n"])
+
+    kind = source.schema["item_id"].dataType.simpleString()
+    items = source.mapInArrow(text.tidy(hash_words), f"item_id {kind}, words binary, n bigint")
+    return text.durable(items.where("n > 0").withColumn("item", F.monotonically_increasing_id()), "items")
+
+
+def seeds_of(items: DataFrame, least: int, share: float) -> tuple[DataFrame, list[str]]:
+    """``hash, item, at, n``: the masked hashes of all items, and the masks in use."""
+    usual = seeds(least, share)
+    sizes = sorted(r.n for r in items.where(F.col("n") < least).select("n").distinct().collect())  # fewer than least
+    short = {n: short_seeds(n, share) for n in sizes}
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for item, words, n in zip(batch.column("item").to_pylist(), batch.column("words"), batch.column("n").to_pylist()):
+                own = np.frombuffer(words.as_buffer(), "<u8")
+                for _, found in masked(own, usual if n >= least else short[n]):
+                    size = len(found)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(found.view(np.int64)), pa.array(np.full(size, item)), pa.array(np.arange(size, dtype=np.int64)), pa.array(np.full(size, n))],
+                        ["hash", "item", "at", "n"],
+                    )
+
+    found = items.select("item", "words", "n").mapInArrow(text.tidy(cut), "hash bigint, item bigint, at bigint, n bigint")
+    masks = list(dict.fromkeys([*usual, *(m for n in sizes for m in short[n])]))
+    return text.durable(found, "seeds"), masks
+
+
+def leading_bits(found: DataFrame, bits: int) -> np.ndarray:
+    """Which leading bits some hash has, as a table of ``1 << bits`` flags packed in bytes. The rows that come to the driver are as many as fill the table."""
+    lead = F.shiftrightunsigned("hash", 64 - bits)
+    rows = found.select(F.bitmap_bucket_number(lead + 1).alias("bucket"), F.bitmap_bit_position(lead + 1).alias("bit"))
+    maps = rows.groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("flags")).collect()
+    table = np.zeros((1 << bits) // 8 + BITS_OF_A_ROW // 8, np.uint8)
+    for r in maps:
+        at = (r.bucket - 1) * (BITS_OF_A_ROW // 8)
+        table[at : at + len(r.flags)] = np.frombuffer(bytes(r.flags), np.uint8)
+    return table
+
+
+def met(docs: DataFrame, masks: list[str], table: np.ndarray, bits: int) -> DataFrame:
+    """``id, print, words, hashes, places`` of the rows of ``id, body`` with a hash that the bitmap knows, written once with a row number."""
+    shared = docs.sparkSession.sparkContext.broadcast(table)  # 1 << bits bits
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        flags, shift = shared.value, np.uint64(64 - bits)
+        for part in text.slices(batches, "body"):
+            data, offsets = text.raw(part.column("body"))
+            words = text.Words(lowered(data), offsets)
+            own, places, found = words.hashes(), [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+            for mask, hashes in masked(own, masks):
+                lead = (hashes >> shift).astype(np.int64)
+                at = np.flatnonzero((flags[lead >> 3] >> (lead & 7).astype(np.uint8)) & 1)
+                owner = np.searchsorted(words.docs, at, side="right") - 1
+                at = at[at + len(mask) <= words.docs[owner + 1]]
+                places.append(at)
+                found.append(hashes[at])
+            at, hashes = np.concatenate(places), np.concatenate(found)
+            order = np.argsort(at, kind="stable")
+            at, hashes = at[order], hashes[order]
+            ends = np.searchsorted(at, words.docs)
+            rows = np.flatnonzero(np.diff(ends))
+            owner = np.searchsorted(words.docs, at, side="right") - 1
+            within = (at - words.docs[owner]).astype("<i4")
+            kept = pa.array(rows)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    part.column("id").take(kept), part.column("print").take(kept),
+                    pa.array([own[words.docs[k] : words.docs[k + 1]].tobytes() for k in rows], pa.binary()),
+                    pa.array([hashes[ends[k] : ends[k + 1]].tobytes() for k in rows], pa.binary()), pa.array([within[ends[k] : ends[k + 1]].tobytes() for k in rows], pa.binary()),
+                ],
+                ["id", "print", "words", "hashes", "places"],
+            )
+
+    kind = docs.schema["id"].dataType.simpleString()
+    found = docs.mapInArrow(text.tidy(search), f"id {kind}, print bigint, words binary, hashes binary, places binary")
+    return text.durable(found.withColumn("row", F.monotonically_increasing_id()), "met")
+
+
+def hits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``row, place, hash`` of every hash that passed the bitmap."""
+    for batch in batches:
+        for row, hashes, places in zip(batch.column("row").to_pylist(), batch.column("hashes"), batch.column("places")):
+            own = np.frombuffer(hashes.as_buffer(), "<i8")
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(own), row)), pa.array(np.frombuffer(places.as_buffer(), "<i4").astype(np.int64)), pa.array(own)], ["row", "place", "hash"])
+
+
+STRETCH = "row bigint, item bigint, begin bigint, diagonal bigint, stretch binary"
+
+
+def stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The words of a document that each item covers, laid along from each diagonal."""
+    for batch in batches:
+        for row, words, pairs in zip(batch.column("row").to_pylist(), batch.column("words"), batch.column("pairs").to_pylist()):
+            own, out = np.frombuffer(words.as_buffer(), "<u8"), []
+            for p in pairs:
+                begin = max(0, p["diagonal"])
+                out.append((p["item"], begin, p["diagonal"], own[begin : max(begin, p["diagonal"] + p["n"])].tobytes()))
+            columns = [pa.array(c, k) for c, k in zip(zip(*out), (pa.int64(), pa.int64(), pa.int64(), pa.binary()))]
+            yield pa.RecordBatch.from_arrays([pa.array([row] * len(out), pa.int64()), *columns], ["row", "item", "begin", "diagonal", "stretch"])
+
+
+def passages(docs: DataFrame, items: DataFrame, least: int, share: float) -> tuple[DataFrame, DataFrame]:
+    """``row, item, start, length, equal``: the best passage of each document row and item, and the rows (``row, id, print``)."""
+    found, masks = seeds_of(items, least, share)
+    size = found.count()
+    bits = min(FILTER_BITS, max(16, int(64 * size).bit_length()))
+    rows = met(docs, masks, leading_bits(found, bits), bits)
+    met_hashes = rows.select("row", "hashes", "places").mapInArrow(hits, "row bigint, place bigint, hash bigint")
+    lines = met_hashes.join(found, "hash").select("row", "item", "n", (F.col("place") - F.col("at")).alias("diagonal")).distinct()
+    pairs = lines.groupBy("row", F.pmod(F.xxhash64("item"), F.lit(PARTS)).alias("part")).agg(F.collect_list(F.struct("item", "n", "diagonal")).alias("pairs"))
+    laid = rows.select("row", "words").join(pairs, "row").select("row", "words", "pairs").mapInArrow(stretches, STRETCH)
+    both = laid.join(items.select("item", F.col("words").alias("wanted")), "item").select("row", "item", "begin", "diagonal", "stretch", "wanted")
+
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for row, item, begin, diagonal, stretch, wanted in zip(*(batch.column(c).to_pylist() for c in batch.schema.names)):
+                mine, words = np.frombuffer(stretch, "<u8"), np.frombuffer(wanted, "<u8")
+                if len(words) >= least:
+                    start, length, equal = overlap(mine, words, diagonal - begin, share)
+                    good = equal >= least
+                else:
+                    start, length = 0, len(words)
+                    equal = int((mine == words).sum()) if len(mine) == len(words) and diagonal >= 0 else 0
+                    good = equal >= max(1, needed(len(words), share))
+                if good:
+                    out.append((row, item, begin + start, length, equal))
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (list(zip(*out)) or [[]] * 5)], ["row", "item", "start", "length", "equal"])
+
+    good = both.mapInArrow(verify, "row bigint, item bigint, start bigint, length bigint, equal bigint")
+    best = good.groupBy("row", "item").agg(F.min(F.struct((-F.col("equal")).alias("less"), "start", "length")).alias("best"))
+    return best.select("row", "item", "best.start", "best.length", (-F.col("best.less")).alias("equal")), rows.select("row", "id", "print")
+
+
+def keyed(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
+    """``id, print, body`` of documents; the print tells rows of one id apart."""
+    body = text.utf8(text_column)
+    return docs.select(F.col(f"`{id_column}`").alias("id"), F.xxhash64(body).alias("print"), body.alias("body"))
 
 
 def leaks(
@@ -166,50 +262,29 @@ def leaks(
 ) -> DataFrame:
     """``doc_id, item_id, start_word, n_words, n_equal``: one row for each document and item it holds a passage of, the best passage.
 
-    Null and empty texts, on either side, have no leaks. Equal rows of documents or items give rows of their own. Other columns are left out,
-    whatever their names. An empty table on either side gives an empty result.
+    Items of any length are searched; one without words leaks nowhere. Null and empty texts, on either side, have no leaks. Equal rows of documents or
+    items give rows of their own, null ids too. Other columns are left out, whatever their names. An empty table on either side gives an empty result.
+    """
+    text.prepared(docs.sparkSession)
+    items = words_of(benchmark, item_column, item_text)
+    found, rows = passages(keyed(docs, id_column, text_column), items, least, share)
+    named = found.join(rows.select("row", "id"), "row").join(items.select("item", "item_id"), "item")
+    return named.select(F.col("id").alias("doc_id"), "item_id", F.col("start").alias("start_word"), F.col("length").alias("n_words"), F.col("equal").alias("n_equal"))
+
+
+def clean(
+    docs: DataFrame, benchmark: DataFrame, least: int = 12, share: float = 0.8, id_column: str = "doc_id", text_column: str = "text",
+    item_column: str = "item_id", item_text: str = "text",
+) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that hold no passage of the benchmark, as ``leaks`` finds them.
+
+    Rows of one id are judged each by its own text; null and empty texts stay, as do null ids without a leak. An empty benchmark changes nothing, an empty
+    table gives an empty result.
     """
-    spark = docs.sparkSession
-    text.prepared(spark)
-    source = docs.select(F.col(f"`{id_column}`").alias("id"), text.utf8(text_column).alias("body"))
-    doc_kind, item_kind = source.schema["id"].dataType, benchmark.schema[item_column].dataType
-    schema = f"doc_id {doc_kind.simpleString()}, item_id {item_kind.simpleString()}, start_word bigint, n_words bigint, n_equal bigint"
-
-    def one(index: Index) -> DataFrame:
-        shared = spark.sparkContext.broadcast(index)
-
-        def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            own = shared.value
-            for part in text.slices(batches, "body"):
-                data, offsets = text.raw(part.column("body"))
-                words = text.Words(lowered(data), offsets)
-                found = hits(words.hashes(), words.docs, own, least, share)
-                rows = pa.array([x[0] for x in found], pa.int64())
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("id").take(rows), pa.array([own.ids[x[1]] for x in found]), *(pa.array([x[k] for x in found], pa.int64()) for k in (2, 3, 4))],
-                    ["doc_id", "item_id", "start_word", "n_words", "n_equal"],
-                ) if found else pa.RecordBatch.from_arrays([part.column("id").slice(0, 0), *(pa.array([], pa.int64()) for _ in range(4))], ["doc_id", "item_id", "start_word", "n_words", "n_equal"])
-
-        return source.mapInArrow(search, schema)
-
-    return reduce(DataFrame.unionAll, [one(index) for index in indexes(benchmark, item_column, item_text, least, share)])
-
-
-def clean(docs: DataFrame, benchmark: DataFrame, least: int = 12, share: float = 0.8, text_column: str = "text", item_column: str = "item_id", item_text: str = "text") -> DataFrame:
-    """The rows of ``docs``, with all their columns, that hold no passage of the benchmark; decided where a row lies, without a shuffle."""
-    spark = docs.sparkSession
-    text.prepared(spark)
-    out = docs
-    for index in indexes(benchmark, item_column, item_text, least, share):
-        shared = spark.sparkContext.broadcast(index)
-
-        def keep(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            for part in text.slices(batches, text_column):
-                data, offsets = text.raw(part.column(text_column))
-                words = text.Words(lowered(data), offsets)
-                good = np.ones(part.num_rows, bool)
-                good[[x[0] for x in hits(words.hashes(), words.docs, shared.value, least, share)]] = False
-                yield part.filter(pa.array(good))
-
-        out = out.mapInArrow(keep, docs.schema)
-    return out
+    text.prepared(docs.sparkSession)
+    items = words_of(benchmark, item_column, item_text)
+    found, rows = passages(keyed(docs, id_column, text_column), items, least, share)
+    own, key, mark = text.new_name(docs, stem="own"), text.new_name(docs, stem="key"), text.new_name(docs, stem="print")
+    bad = text.durable(found.select("row").distinct().join(rows, "row").select(F.col("id").alias(key), F.col("print").alias(mark)).distinct(), "leaks")
+    marked = docs.withColumn(own, F.xxhash64(text.utf8(text_column)))
+    return marked.join(bad, F.col(own).eqNullSafe(F.col(mark)) & F.col(f"`{id_column}`").eqNullSafe(F.col(key)), "left_anti").drop(own)

@@ -19,7 +19,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tiffin.llm import text
-from tiffin.operators import windows
 
 LENGTH = 96  # bytes of a segment
 PAD = 256  # behind the end of a text: leaves the state as it is
@@ -229,7 +228,8 @@ def fit(
     sizes = known.groupBy("label").agg(F.count(F.lit(1)).alias("size"))
     # Twice the sample by the hash alone, so that the exact choice sees few rows whatever the number of partitions.
     draw = F.pmod(F.xxhash64("id"), F.lit(1 << 30)) / F.lit(1 << 30)
-    drawn = windows.join_beside(known, sizes, ["label"]).where(draw * F.col("size") < 2 * sample).select("id", "label", F.col("body").cast("binary").alias("body"))
+    # One row per language, as many as the network gets outputs.
+    drawn = known.join(F.broadcast(sizes), "label").where(draw * F.col("size") < 2 * sample).select("id", "label", F.col("body").cast("binary").alias("body"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in text.slices(batches, "body"):
@@ -242,13 +242,15 @@ def fit(
             yield pa.RecordBatch.from_arrays([part.column("id"), part.column("label"), pa.array(found, pa.list_(pa.binary()))], ["id", "label", "segments"])
 
     kinds = {f.name: f.dataType.simpleString() for f in drawn.schema.fields}
-    rows = drawn.mapInArrow(cut, f"id {kinds['id']}, label {kinds['label']}, segments array<binary>")
+    rows = drawn.mapInArrow(text.tidy(cut), f"id {kinds['id']}, label {kinds['label']}, segments array<binary>")
     first = Window.partitionBy("label").orderBy(F.xxhash64("id"), "id", "segments")
     chosen = rows.withColumn("number", F.row_number().over(first)).where(F.col("number") <= sample).select("label", F.explode("segments").alias("segment"))
     found = sorted((r.label, bytes(r.segment)) for r in chosen.toLocalIterator())
     languages = sorted({label for label, _ in found})
     numbers = {label: k for k, label in enumerate(languages)}
-    return train([s for _, s in found], np.array([numbers[label] for label, _ in found], dtype=int), languages)
+    model = train([s for _, s in found], np.array([numbers[label] for label, _ in found], dtype=int), languages)
+    text.released()
+    return model
 
 
 def label(docs: DataFrame, model: Model, text_column: str = "text", language: str = "lang_pred", score: str = "score") -> DataFrame:
@@ -276,7 +278,7 @@ def label(docs: DataFrame, model: Model, text_column: str = "text", language: st
     assert isinstance(kind, T.StringType)
     schema = T.StructType([*docs.schema.fields, T.StructField(language, T.StringType()), T.StructField(score, T.DoubleType())])
     told = has_letter(text_column)
-    return docs.mapInArrow(rate, schema).withColumns({
+    return docs.mapInArrow(text.tidy(rate), schema).withColumns({
         language: F.when(told, F.col(language)).otherwise(F.lit(UNDETERMINED)), score: F.when(told, F.col(score)).otherwise(F.lit(0.0)),
     })
 

@@ -83,7 +83,7 @@ def sketches(docs: DataFrame, size: int, k: int) -> DataFrame:
                 ["id", "n_shingles", "digest", "sketch"],
             )
 
-    return docs.mapInArrow(cut, "id bigint, n_shingles bigint, digest binary, sketch binary")
+    return docs.mapInArrow(text.tidy(cut), "id bigint, n_shingles bigint, digest binary, sketch binary")
 
 
 def list_entries(classes: DataFrame) -> DataFrame:
@@ -103,7 +103,7 @@ def list_entries(classes: DataFrame) -> DataFrame:
                 keys = text.window_hashes(own, length)[at] + np.uint64(length)
                 yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(reps[owner])], ["key", "rep"])
 
-    return classes.where("n > 3").select("rep", "n", "sketch").mapInArrow(runs, "key bigint, rep bigint")
+    return classes.where("n > 3").select("rep", "n", "sketch").mapInArrow(text.tidy(runs), "key bigint, rep bigint")
 
 
 def with_sketches(pairs: DataFrame, classes: DataFrame, *keep: str) -> DataFrame:
@@ -149,7 +149,7 @@ def full_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
             values, ends = joined(shingle_sets(text.Words(lowered(data), offsets), size))
             yield pa.RecordBatch.from_arrays([part.column("id"), text.binary(values, ends * 8)], ["rep", "set"])
 
-    return docs.join(wanted.toDF("id").hint("merge"), "id", "left_semi").mapInArrow(cut, "rep bigint, set binary")
+    return docs.join(wanted.toDF("id").hint("merge"), "id", "left_semi").mapInArrow(text.tidy(cut), "rep bigint, set binary")
 
 
 def shared_counts(values: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -189,7 +189,7 @@ def in_blocks(members: DataFrame, values: str, schema: str, work) -> DataFrame:
 
     n = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = members.select(*GROUP, "block", "rep", "component", "n", values).repartition(n, *GROUP).sortWithinPartitions(*GROUP)
-    return dealt.mapInArrow(each, schema)
+    return dealt.mapInArrow(text.tidy(each), schema)
 
 
 def promising(members: DataFrame, percent: int) -> DataFrame:

@@ -2,8 +2,9 @@
 
 Each text is measured once, in its own task; only the figures are written and go on. Shares of symbols, capitals and repeated lines and the mean word
 length are summed up in quantile sketches (KLL) per language and source. Sketches merge: sources into languages, languages into one. A group with
-enough texts has limits of its own, a smaller one those of its language, a small language those of all. A limit is the upper quartile and a
-multiple of the distance between the quartiles, or of a least distance where texts hardly differ. The limits are joined to the figures.
+enough texts has limits of its own, a smaller one those of its language, a small language those of all. A limit lies beyond the upper decile by a
+multiple of the distance between the deciles, as the sketches give them; only where both deciles are equal does a fixed distance take its place. The
+limits are joined to the figures.
 
 Fixed rules stay beside them: too few words, and too many words in repeated five-word windows.
 """
@@ -21,9 +22,11 @@ BLANK = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
 CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 WINDOW = 5
-# Share, least distance of the limit from the upper quartile; the mean word length has a lower limit too.
+# Share, distance of the limit from the decile where the deciles are equal; the mean word length has a lower limit too.
 SHARES = {"symbol_share": 0.05, "capital_share": 0.3, "dup_line_share": 0.6, "mean_word": 4.0}
-SPREAD = 5.0  # times the distance between the quartiles
+LOW, HIGH = 0.1, 0.9
+SPREAD = 5.0  # times the distance between the deciles above the upper one
+BELOW = 2.0  # times below the lower one: word lengths are skewed
 ENOUGH = 100  # texts a group needs for limits of its own
 KEPT = 4096  # of the sketch; its rank error is below 0.1 %
 
@@ -98,10 +101,10 @@ def limits(rows: DataFrame) -> DataFrame:
 
     def fences(sketches: DataFrame, *keys: str) -> DataFrame:
         found = []
-        for share, least in SHARES.items():
-            low, high = (F.kll_sketch_get_quantile_double(share, F.lit(q)) for q in (0.25, 0.75))
-            reach = F.greatest(SPREAD * (high - low), F.lit(least))
-            found.append(F.struct((low - reach).alias("low"), (high + reach).alias("high")).alias(share))
+        for share, fixed in SHARES.items():
+            low, high = (F.kll_sketch_get_quantile_double(share, F.lit(q)) for q in (LOW, HIGH))
+            reach = lambda times: F.when(high > low, times * (high - low)).otherwise(F.lit(fixed))  # noqa: B023, E731
+            found.append(F.struct((low - reach(BELOW)).alias("low"), (high + reach(SPREAD)).alias("high")).alias(share))
         return sketches.where("n > 0").select(*keys, "n", F.struct(*found).alias("fence"))
 
     groups, langs = fences(own, "lang", "source"), fences(lang, "lang").withColumnRenamed("n", "n_lang").withColumnRenamed("fence", "fence_lang")

@@ -6,6 +6,7 @@ probes the index. A hit marks the place of a possible repeat in both documents.
 smallest document they start in; overlapping windows that an earlier document has join up to the maximal repeats, whose words go.
 
 What is shuffled: per probe five bytes, packed into one row per slice of input and bucket of hashes; texts once, by id; and windows around hits.
+Buckets are sized by the input, have a partition each, and are brought together a part of the hashes at a time.
 A slice settles what it can itself: a block that eight of its documents share is a hit without asking, and goes on as one probe; of a window
 that several of its documents have, only the smallest one's goes on. So a passage that a third of all documents share stays spread.
 """
@@ -24,6 +25,9 @@ from tiffin.llm import text
 
 SHARED = 8  # documents of one slice that make a block a hit at once
 LOW = np.uint64((1 << 40) - 1)
+NAME_BITS = np.uint64((1 << 31) - 1)
+PARTS = 8  # of a bucket's hashes, one in memory at a time
+BUCKET_MB = 32  # of input
 PACKED = "bucket int, ids binary, counts binary, low binary, high binary, refs binary"
 
 
@@ -51,12 +55,15 @@ def packed(bucket: np.ndarray, ids: np.ndarray, hashes: np.ndarray, refs: np.nda
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], ["bucket", "ids", "counts", "low", "high", "refs"])
 
 
-def unpacked(table: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray | None]]:
-    """Ids, hashes and reference flags of each packed row."""
+def unpacked(table: pa.Table, part: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray | None]]:
+    """Ids, hashes and reference flags of the hashes of one part, row by row."""
     for ids, counts, low, high, refs in zip(*(table.column(c) for c in ("ids", "counts", "low", "high", "refs"))):
-        hashes = np.frombuffer(low.as_buffer(), "<u4") | (np.frombuffer(high.as_buffer(), np.uint8).astype(np.uint64) << np.uint64(32))
-        owner = np.repeat(np.frombuffer(ids.as_buffer(), "<i8"), np.frombuffer(counts.as_buffer(), "<i4"))
-        yield owner, hashes, np.unpackbits(np.frombuffer(refs.as_buffer(), np.uint8), count=len(hashes)).astype(bool) if refs.is_valid else None
+        top = np.frombuffer(high.as_buffer(), np.uint8)
+        mine = np.flatnonzero(top % PARTS == part)
+        hashes = np.frombuffer(low.as_buffer(), "<u4")[mine] | (top[mine].astype(np.uint64) << np.uint64(32))
+        ends = np.cumsum(np.frombuffer(counts.as_buffer(), "<i4"))
+        owner = np.frombuffer(ids.as_buffer(), "<i8")[np.searchsorted(ends, mine, side="right")]
+        yield owner, hashes, np.unpackbits(np.frombuffer(refs.as_buffer(), np.uint8), count=len(top))[mine].astype(bool) if refs.is_valid else None
 
 
 def by_id(ids: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -85,7 +92,7 @@ def handed_on(ids: np.ndarray, values: np.ndarray, parts: int) -> pa.Table:
     return pa.table([pa.array(c, k) for c, k in zip(columns, kinds)], ["part", "ids", "counts", "found"])
 
 
-def gathered(found: DataFrame, name: str, kind: str) -> DataFrame:
+def gathered(found: DataFrame, name: str, kind: str, parts: int) -> DataFrame:
     """``id`` and all that was found for it, as bytes: one row per id."""
 
     def gather(table: pa.Table) -> pa.Table:
@@ -93,7 +100,7 @@ def gathered(found: DataFrame, name: str, kind: str) -> DataFrame:
         own, values, ends = by_id(np.concatenate(ids), np.concatenate([np.frombuffer(f.as_buffer(), kind) for f in table.column("found")]))
         return pa.table({"id": pa.array(own), name: text.binary(values, ends * values.dtype.itemsize)})
 
-    return found.groupBy("part").applyInArrow(gather, f"id bigint, {name} binary")
+    return found.repartitionById(parts, "part").groupBy("part").applyInArrow(gather, f"id bigint, {name} binary")
 
 
 def probes(source: DataFrame, size: int, buckets: int) -> DataFrame:
@@ -126,23 +133,26 @@ def probes(source: DataFrame, size: int, buckets: int) -> DataFrame:
             if common.any():
                 yield from packed((ids[common] % buckets).astype(np.int32), ids[common], hashes[common], None)
 
-    return source.mapInArrow(cut, PACKED)
+    return source.mapInArrow(text.tidy(cut), PACKED)
 
 
 def anchors(probed: DataFrame, parts: int) -> DataFrame:
     """``id, hits``: the blocks (lower 40 bits of the hash) of each document that are reference blocks somewhere and lie in another document too."""
 
     def meet(table: pa.Table) -> pa.Table:
-        ids, hashes, refs, sure_ids, sure = [], [], [], [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
-        for owner, own, ref in unpacked(table):
-            if ref is None:
-                sure_ids.append(owner)
-                sure.append(own)
-            else:
-                ids.append(owner)
-                hashes.append(own)
-                refs.append(ref)
-        if ids:
+        sure_ids, sure = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+        for part in range(PARTS):
+            ids, hashes, refs = [], [], []
+            for owner, own, ref in unpacked(table, part):
+                if ref is None:
+                    sure_ids.append(owner)
+                    sure.append(own)
+                else:
+                    ids.append(owner)
+                    hashes.append(own)
+                    refs.append(ref)
+            if not sum(map(len, ids)):
+                continue
             ids, hashes, refs = np.concatenate(ids), np.concatenate(hashes), np.concatenate(refs)
             order = np.argsort(hashes, kind="stable")
             ids, hashes, refs = ids[order], hashes[order], refs[order]
@@ -153,7 +163,12 @@ def anchors(probed: DataFrame, parts: int) -> DataFrame:
             sure.append(hashes[hit])
         return handed_on(np.concatenate(sure_ids), np.concatenate(sure).astype("<u8"), parts)
 
-    return gathered(probed.groupBy("bucket").applyInArrow(meet, FOUND), "hits", "<u8")
+    return gathered(probed.repartitionById(parts, "bucket").groupBy("bucket").applyInArrow(meet, FOUND), "hits", "<u8", parts)
+
+
+def named(places: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Places with 31 bits of the windows' hashes, by which a row sees whether a place is its own or that of another row with its id."""
+    return (places.astype(np.int64) | ((hashes & NAME_BITS).astype(np.int64) << 32)).astype("<i8")
 
 
 WINDOWS = "bucket int, ids binary, hashes binary, places binary"
@@ -186,7 +201,7 @@ def windows(marked: DataFrame, size: int, buckets: int) -> DataFrame:
             firsts = runs(hashes)
             smallest = np.repeat(np.minimum.reduceat(ids, firsts), np.diff(np.append(firsts, len(hashes))))
             later = ids > smallest
-            own, sure, ends = by_id(ids[later], places[later].astype("<i4"))
+            own, sure, ends = by_id(ids[later], named(places[later], hashes[later]))
             rows = [(int(i) % buckets, np.array([i]).tobytes(), None, sure[a:b].tobytes()) for i, a, b in zip(own.tolist(), ends[:-1], ends[1:])]
             bucket = ((hashes >> np.uint64(40)) % np.uint64(buckets)).astype(np.int32)
             asked = np.flatnonzero(~later)
@@ -198,23 +213,23 @@ def windows(marked: DataFrame, size: int, buckets: int) -> DataFrame:
             kinds = (pa.int32(), pa.binary(), pa.binary(), pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], ["bucket", "ids", "hashes", "places"])
 
-    return marked.mapInArrow(cut, WINDOWS)
+    return marked.mapInArrow(text.tidy(cut), WINDOWS)
 
 
 def repeats(found: DataFrame, parts: int) -> DataFrame:
     """``id, places``: where windows start that a smaller id has too."""
 
     def meet(table: pa.Table) -> pa.Table:
-        ids, hashes, places, sure_ids, sure = [], [], [], [np.zeros(0, np.int64)], [np.zeros(0, "<i4")]
+        ids, hashes, places, sure_ids, sure = [], [], [], [np.zeros(0, np.int64)], [np.zeros(0, "<i8")]
         for own, own_hashes, own_places in zip(*(table.column(c) for c in ("ids", "hashes", "places"))):
-            at, who = np.frombuffer(own_places.as_buffer(), "<i4"), np.frombuffer(own.as_buffer(), "<i8")
+            who = np.frombuffer(own.as_buffer(), "<i8")
             if own_hashes.is_valid:
                 ids.append(who)
                 hashes.append(np.frombuffer(own_hashes.as_buffer(), "<u8"))
-                places.append(at)
+                places.append(np.frombuffer(own_places.as_buffer(), "<i4"))
             else:
-                sure_ids.append(np.repeat(who, len(at)))
-                sure.append(at)
+                sure.append(np.frombuffer(own_places.as_buffer(), "<i8"))
+                sure_ids.append(np.repeat(who, len(sure[-1])))
         if ids:
             ids, hashes, places = np.concatenate(ids), np.concatenate(hashes), np.concatenate(places)
             order = np.argsort(hashes, kind="stable")
@@ -222,10 +237,19 @@ def repeats(found: DataFrame, parts: int) -> DataFrame:
             firsts = runs(hashes)
             later = ids > np.repeat(np.minimum.reduceat(ids, firsts), np.diff(np.append(firsts, len(hashes))))
             sure_ids.append(ids[later])
-            sure.append(places[later])
-        return handed_on(np.concatenate(sure_ids), np.concatenate(sure).astype("<i4"), parts)
+            sure.append(named(places[later], hashes[later]))
+        return handed_on(np.concatenate(sure_ids), np.concatenate(sure), parts)
+
+    return gathered(found.repartitionById(parts, "bucket").groupBy("bucket").applyInArrow(meet, FOUND), "places", "<i8", parts)
+
 
-    return gathered(found.groupBy("bucket").applyInArrow(meet, FOUND), "places", "<i4")
+def own_starts(body: bytes, found: np.ndarray, size: int) -> np.ndarray:
+    """The places at which this text has the windows they were found for."""
+    words = text.Words(np.frombuffer(body, np.uint8), np.array([0, len(body)]))
+    hashes = text.window_hashes(words.hashes(), size)
+    places = found & ((1 << 32) - 1)
+    inside = places < len(hashes)
+    return np.unique(places[inside][(hashes[places[inside]] & NAME_BITS).astype(np.int64) == found[inside] >> 32])
 
 
 def without_repeats(docs: DataFrame, size: int = 50, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -233,14 +257,14 @@ def without_repeats(docs: DataFrame, size: int = 50, id_column: str = "doc_id",
 
     Words are ``[^\\x20\\x09-\\x0D]+``, unchanged. A word goes if a window of ``size`` words that covers it also starts in a document
     with a smaller id; windows are judged on the input. A null or empty text has no words. A row whose id is null is neither searched nor
-    changed; rows with one id never take words from each other, but lose together what a smaller id has at the same places. An empty
+    changed; rows with one id never take words from each other, and each loses what a smaller id has of its own text. An empty
     table gives an empty result. New columns that clash with columns of ``docs`` take their place.
     """
     spark = docs.sparkSession
     text.prepared(spark)
     docs = docs.drop("kept", "n_words", "n_removed")
     body, key, places, hits = (text.new_name(docs, stem=s) for s in ("body", "key", "places", "hits"))
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = text.parts_for(docs, BUCKET_MB)
     own_id, others = F.col(f"`{id_column}`").cast("bigint"), [c for c in docs.columns if c not in (id_column, text_column)]
     # Both joins take all columns of these rows, so that one shuffle of the texts serves both.
     known = docs.where(own_id.isNotNull())
@@ -262,8 +286,7 @@ def without_repeats(docs: DataFrame, size: int = 50, id_column: str = "doc_id",
                 words = own.split()
                 counts.append(len(words))
                 if lost.is_valid:
-                    starts = np.unique(np.frombuffer(lost.as_buffer(), "<i4"))
-                    starts = starts[starts + size <= len(words)]
+                    starts = own_starts(own, np.frombuffer(lost.as_buffer(), "<i8"), size)
                     change = np.zeros(len(words) + 1, np.int64)
                     np.add.at(change, starts, 1)
                     np.add.at(change, starts + size, -1)
@@ -275,4 +298,4 @@ def without_repeats(docs: DataFrame, size: int = 50, id_column: str = "doc_id",
             yield pa.RecordBatch.from_arrays([*(part.column(c) for c in kept_names), *new], [*kept_names, "kept", "n_words", "n_removed"])
 
     schema = T.StructType([*docs.schema.fields, T.StructField("kept", T.BinaryType()), T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType())])
-    return every.select(*(F.col(f"`{c}`") for c in kept_names), body, places).mapInArrow(cut, schema)
+    return every.select(*(F.col(f"`{c}`") for c in kept_names), body, places).mapInArrow(text.tidy(cut), schema)

@@ -6,10 +6,12 @@ A batch of texts is one byte array plus offsets, as Arrow holds it, so that no P
 
 from __future__ import annotations
 
+import ctypes
 import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator
+from functools import wraps
 from pathlib import Path
 
 import numpy as np
@@ -26,9 +28,11 @@ SPACES = np.zeros(256, dtype=bool)
 SPACES[[0x20, 9, 10, 11, 12, 13]] = True
 SLICE_BYTES = 1 << 20  # of text worked on at a time; a longer text is a slice of its own
 BATCH_BYTES = 2 << 20  # of an Arrow batch; a longer row is a batch of its own
+HASHED_BYTES = 1 << 16  # hashed at a time; no more than there are place keys
 LARGE_SLICE = 4 << 20  # where equal words or passages of one slice are brought together
 
 
+UNKNOWN_SIZE = 1 << 52  # what Spark takes for a plan without statistics is beyond this
 SHIPPED: set[str] = set()  # applications whose executors have the package
 
 
@@ -37,8 +41,7 @@ def prepared(spark: SparkSession) -> None:
 
     The bounds are the same for every operator, so a frame returned earlier keeps them whatever is called next. The package goes along as ``--py-files`` would send it, once per application, as the executors may not have it installed.
     """
-    for side in ("maxBytesPerBatch", "maxBytesPerOutputBatch"):
-        spark.conf.set(f"spark.sql.execution.arrow.{side}", str(BATCH_BYTES))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     context = spark.sparkContext
     if context.applicationId not in SHIPPED:
         SHIPPED.add(context.applicationId)
@@ -46,6 +49,33 @@ def prepared(spark: SparkSession) -> None:
         context.addPyFile(shutil.make_archive(f"{folder}/tiffin-code", "zip", Path(__file__).resolve().parents[2], "tiffin"))
 
 
+def tidy(work):
+    """A function for ``mapInArrow`` that hands freed memory back at the end of a partition, as workers are used again."""
+
+    @wraps(work)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from work(batches)
+        released()
+
+    return run
+
+
+def released() -> None:
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim:
+        trim(0)
+
+
+def parts_for(df: DataFrame, megabytes: int = 64) -> int:
+    """Number of partitions for work on the data of ``df``: at least the shuffle partitions, more where the input is so large that a part would pass
+    the given size. The size is that of the files that the plan reads; where Spark does not know it, the setting alone counts."""
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    size = sum(int(str(leaves.apply(k).stats().sizeInBytes())) for k in range(leaves.size()))
+    return max(parts, -(-(size >> 20) // megabytes)) if size < UNKNOWN_SIZE else parts
+
+
 def new_name(*taken: DataFrame, stem: str = "tmp") -> str:
     """A column name that none of the given tables has."""
     name, used = stem, {c.lower() for df in taken for c in df.columns}
@@ -107,6 +137,18 @@ BASE = np.uint64(0x9E3779B97F4A7C15)
 INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
 
+def long_sum(letters: np.ndarray) -> np.uint64:
+    """Sum of byte keys times place keys of one word of any length."""
+    sums = [np.uint64(0)]
+    for block, at in enumerate(range(0, len(letters), len(PLACE_KEYS))):
+        own = letters[at : at + len(PLACE_KEYS)]
+        values = BYTE_KEYS[own] * PLACE_KEYS[: len(own)]
+        if len(letters) > len(PLACE_KEYS):
+            values *= mixed(np.array([block])) | np.uint64(1)
+        sums.append(values.sum(dtype=np.uint64))
+    return np.array(sums).sum(dtype=np.uint64)
+
+
 class Words:
     """The words of a batch of texts: byte ranges ``starts``/``ends`` and ``docs``, the offsets of each text's words."""
 
@@ -134,16 +176,24 @@ class Words:
         return np.diff(self.docs)
 
     def hashes(self) -> np.ndarray:
-        """64-bit hash of each word: sum of byte keys times place keys, mixed."""
-        if not len(self):
-            return np.zeros(0, np.uint64)
+        """64-bit hash of each word: sum of byte keys times place keys, mixed. Some words at a time, as every byte takes several numbers."""
+        out = np.zeros(len(self), np.uint64)
         sizes = self.ends - self.starts
-        begins = np.cumsum(sizes) - sizes
-        places = np.arange(int(sizes.sum()), dtype=np.int64) - np.repeat(begins, sizes)
-        values = BYTE_KEYS[self.data[self.inside]] * PLACE_KEYS[places & 0xFFFF]
-        if sizes.max() > len(PLACE_KEYS):
-            values *= mixed(places >> 16) | np.uint64(1)
-        return mixed(np.add.reduceat(values, begins) + sizes.astype(np.uint64) * BASE)
+        letters = self.data[self.inside]
+        ends = np.cumsum(sizes)
+        at = 0
+        while at < len(self):
+            begin = int(ends[at] - sizes[at])
+            upto = max(at + 1, int(np.searchsorted(ends, begin + HASHED_BYTES, side="right")))
+            if upto == at + 1:
+                out[at] = long_sum(letters[begin : ends[at]])
+            else:
+                own = sizes[at:upto]
+                firsts = ends[at:upto] - own - begin
+                places = np.arange(int(own.sum()), dtype=np.int32) - np.repeat(firsts.astype(np.int32), own)
+                out[at:upto] = np.add.reduceat(BYTE_KEYS[letters[begin : ends[upto - 1]]] * PLACE_KEYS[places], firsts)
+            at = upto
+        return mixed(out + sizes.astype(np.uint64) * BASE)
 
     def texts(self, keep: np.ndarray) -> list[bytes]:
         """Of each text the kept words, joined by one space."""

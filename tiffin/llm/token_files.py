@@ -3,7 +3,8 @@
 Files (Parquet, below one folder): ``blocks`` holds the raw little-endian ids of consecutive documents, about four megabytes of text each, in
 ascending order of shard, block and key; ``index`` holds, for each hash bucket of keys, a minimal perfect hash function, one fingerprint per
 key, and where the key's documents lie. A lookup hashes the key to its bucket, runs through the levels of the function (1.6 on average),
-compares the fingerprint and reads one range of one block, however many documents there are.
+compares the fingerprint and reads one range of one block, however many documents there are. Documents without a key lie behind all others;
+``keyless`` lists their places.
 
 The function is built in levels: keys that are alone on their bit of a level keep it, the others go on to the next. A key's slot is the number
 of set bits before its own.
@@ -168,16 +169,15 @@ def write_ids(
     docs: DataFrame, folder: str, path: str, end_id: int = 2, id_column: str = "doc_id", text_column: str = "text",
     special: str | None = "<|endoftext|>", width: int = 4, shards: int | None = None,
 ) -> None:
-    """Encode whole texts and write ``folder/blocks`` and ``folder/index``.
+    """Encode whole texts and write ``folder/blocks``, ``folder/index`` and ``folder/keyless``.
 
     ``width`` is the number of bytes of an id in the files, 2 or 4 (2 needs a vocabulary below 65,536). Documents lie in ascending order of key;
-    equal keys in an order set by their text; equal rows are all kept. A null text is a document of the end id only. Keys are whole numbers;
-    a row with a null key is left out, as nothing could look it up. Other columns are left out, whatever their names. An empty table gives
-    empty files. Texts are shuffled once, by ranges of (key, hash of the text), so that even one repeated key spreads.
+    equal keys in an order set by their text, null keys last; equal rows are all kept. A null text is a document of the end id only. Keys are whole
+    numbers. Other columns are left out, whatever their names. An empty table gives empty files. Shards are sized by the input. Texts are shuffled once, by ranges of (key, hash of the text), so that even one repeated key spreads.
     """
     spark = docs.sparkSession
     text.prepared(spark)
-    shards = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    shards = shards or text.parts_for(docs)
     kind = np.dtype(f"<u{width}")
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -191,17 +191,17 @@ def write_ids(
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([shard], pa.int32()), pa.array([number], pa.int32()), pa.array([len(out)], pa.int64()),
-                    text.lists(part.column("id").to_numpy(), np.array([0, part.num_rows])), text.lists(sizes, np.array([0, len(sizes)])),
+                    pa.ListArray.from_arrays(pa.array([0, part.num_rows], pa.int32()), part.column("id")), text.lists(sizes, np.array([0, len(sizes)])),
                     pa.array([out.tobytes()], pa.binary()),
                 ],
                 ["shard", "block", "tokens", "keys", "counts", "ids"],
             )
 
-    source = docs.select(F.col(f"`{id_column}`").cast("bigint").alias("id"), text.utf8(text_column).alias("body")).where("id IS NOT NULL")
-    order = [F.col("id"), F.xxhash64("body")]
+    source = docs.select(F.col(f"`{id_column}`").cast("bigint").alias("id"), text.utf8(text_column).alias("body"))
+    order = [F.col("id").asc_nulls_last(), F.xxhash64("body")]
     ranged = source.repartitionByRange(shards, *order).sortWithinPartitions(*order)
     schema = "shard int, block int, tokens bigint, keys array<bigint>, counts array<bigint>, ids binary"
-    ranged.mapInArrow(blocks, schema).write.option("compression", "zstd").parquet(f"{folder}/blocks")
+    ranged.mapInArrow(text.tidy(blocks), schema).write.option("compression", "zstd").parquet(f"{folder}/blocks")
 
     written = spark.read.schema(schema).parquet(f"{folder}/blocks")
     # One row per shard comes back, as many as the shuffle has partitions.
@@ -222,29 +222,32 @@ def write_ids(
                 n = len(sizes)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(np.asarray(keys.values)), pa.array(np.full(n, shard, np.int32)), pa.array(np.full(n, block, np.int32)),
+                        keys.values, pa.array(np.full(n, shard, np.int32)), pa.array(np.full(n, block, np.int32)),
                         pa.array(ends - sizes), pa.array(sizes), pa.array(ends - sizes + first),
                     ],
                     ["doc_key", "shard", "block", "at", "tokens", "start"],
                 )
 
-    located = (
+    places = (
         written.select("shard", "block", "keys", "counts").join(starts, ["shard", "block"])
         .mapInArrow(entries, "doc_key bigint, shard int, block int, at bigint, tokens bigint, start bigint")
-        .withColumn("bucket", bucket_of("doc_key", buckets))
     )
+    places.where("doc_key IS NULL").write.parquet(f"{folder}/keyless")
+    located = places.where("doc_key IS NOT NULL").withColumn("bucket", bucket_of("doc_key", buckets))
     located.groupBy("bucket").applyInPandas(build_bucket, INDEX_SCHEMA).withColumn("buckets", F.lit(buckets)).write.parquet(f"{folder}/index")
 
 
 def read_ids(spark: SparkSession, folder: str, keys: DataFrame, width: int = 4) -> DataFrame:
     """``doc_key, start, ids`` (binary) of the documents with the given keys (one column), found by the index; unknown keys give no row.
 
-    Each key's bucket of the index is read once; the ranges then meet their blocks by one join on (shard, block).
+    Each key's bucket of the index is read once; the ranges then meet their blocks by one join on (shard, block). A null among the keys asks for
+    the documents without a key, which come from their list. No keys give no rows.
     """
     index = spark.read.parquet(f"{folder}/index")
     some = index.select("buckets").limit(1).collect()
     buckets = some[0].buckets if some else 1
-    wanted = keys.toDF("doc_key").where("doc_key IS NOT NULL").distinct().withColumn("bucket", bucket_of("doc_key", buckets))
+    asked = keys.toDF("doc_key")
+    wanted = asked.where("doc_key IS NOT NULL").distinct().withColumn("bucket", bucket_of("doc_key", buckets))
 
     def look(asked: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
         if asked.empty or rows.empty:
@@ -256,9 +259,13 @@ def read_ids(spark: SparkSession, folder: str, keys: DataFrame, width: int = 4)
     places = wanted.groupBy("bucket").cogroup(index.drop("buckets").groupBy("bucket")).applyInPandas(
         look, "doc_key bigint, shard int, block int, at bigint, tokens bigint, start bigint"
     )
+    one_null = asked.where("doc_key IS NULL").limit(1).select(F.lit(1).alias("_null"))  # one row at most
+    keyless = spark.read.schema("doc_key bigint, shard int, block int, at bigint, tokens bigint, start bigint").parquet(f"{folder}/keyless")
+    places = places.unionByName(keyless.withColumn("_null", F.lit(1)).join(F.broadcast(one_null), "_null", "left_semi").drop("_null"))
     # One list per block: as many entries as the block has documents.
     ranges = places.groupBy("shard", "block").agg(F.collect_list(F.struct("doc_key", "at", "tokens", "start")).alias("ranges"))
-    payload = spark.read.parquet(f"{folder}/blocks").select("shard", "block", "ids")
+    # A few blocks a task: blocks are some megabytes each, and hashing deals them unevenly.
+    payload = spark.read.parquet(f"{folder}/blocks").select("shard", "block", "ids").repartition(4 * text.parts_for(keys), "shard", "block")
     both = payload.join(ranges, ["shard", "block"]).select("ids", "ranges")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -273,7 +280,7 @@ def read_ids(spark: SparkSession, folder: str, keys: DataFrame, width: int = 4)
 
 
 def digests(found: DataFrame, width: int = 4) -> DataFrame:
-    """``doc_id, start, n_tokens, ids_crc32``: checksum of the ids as unsigned 32-bit little-endian numbers."""
+    """``doc_id, start, n_tokens, ids_crc32``: checksum of the ids as unsigned 32-bit little-endian numbers. No rows give no rows."""
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -289,7 +296,11 @@ def digests(found: DataFrame, width: int = 4) -> DataFrame:
 
 
 def token_files(docs: DataFrame, path: str, end_id: int = 2, width: int = 2) -> DataFrame:
-    """Write the ids of all documents to a new folder and read every document back by its key."""
+    """``doc_id, start, n_tokens, ids_crc32`` of every row: its ids written to a new folder and read back by its key, null keys included.
+
+    A null or empty text has the end id only; equal rows and rows of one key are documents of their own, of any length. Other columns are left out,
+    whatever their names. An empty table gives an empty result.
+    """
     spark = docs.sparkSession
     folder = scratch_path(spark, "token-files")
     write_ids(docs, folder, path, end_id, width=width)

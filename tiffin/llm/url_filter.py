@@ -1,7 +1,8 @@
 """URL filters by rules and by host reputation.
 
 Reputation is empirical Bayes on labelled pages: the share of bad pages of a suffix is drawn towards that of all pages, a registered domain's
-towards its suffix's, a host's towards its domain's. At each level the parent's mean is the mean of a beta prior, whose strength is estimated
+towards its suffix's, a host's towards its domain's. A suffix is the last label of a host, or its last two where these are in a table of such suffixes; a domain has one
+label more. At each level the parent's mean is the mean of a beta prior, whose strength is estimated
 from how much the children's shares differ beyond chance (method of moments over all of them). A url that no rule decides is blocked when
 the lower bound of its host's posterior share of bad pages exceeds a limit.
 
@@ -10,12 +11,20 @@ Counts per host are summed on the map side before anything is shuffled, and ever
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tiffin.session import durable
 
 RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
+# Suffixes of two labels under which independent sites register.
+SUFFIXES = (
+    "ac.uk", "co.uk", "gov.uk", "org.uk", "com.au", "net.au", "org.au", "com.br", "org.br", "com.cn", "co.id", "co.il", "co.in", "co.jp", "or.jp",
+    "co.kr", "com.mx", "co.nz", "com.sg", "com.tr", "com.tw", "com.ua", "co.za", "com.ar", "com.co", "blogspot.com", "github.io", "gitlab.io",
+    "herokuapp.com", "netlify.app", "pages.dev", "readthedocs.io", "tumblr.com", "vercel.app", "wordpress.com",
+)
 LETTERS = ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
@@ -35,9 +44,19 @@ def path_of(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(after_scheme(url), r"(?s)^[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
-def domain_of(host: Column, labels: int = 2) -> Column:
-    """The last labels of a host: its registered domain where suffixes have one label."""
-    return F.array_join(F.slice(F.split(host, r"\."), F.greatest(F.size(F.split(host, r"\.")) - labels + 1, F.lit(1)), F.lit(labels)), ".")
+def last_labels(host: Column, labels: int) -> Column:
+    parts = F.split(host, r"\.")
+    return F.array_join(F.slice(parts, F.greatest(F.size(parts) - labels + 1, F.lit(1)), F.lit(labels)), ".")
+
+
+def suffix_of(host: Column, suffixes: Sequence[str] = SUFFIXES) -> Column:
+    """The last two labels of a host where these are a known suffix, else the last one."""
+    return F.when(last_labels(host, 2).isin(*suffixes), last_labels(host, 2)).otherwise(last_labels(host, 1))
+
+
+def domain_of(host: Column, suffixes: Sequence[str] = SUFFIXES) -> Column:
+    """The registered domain: one label more than the suffix, where the host has one."""
+    return F.when(last_labels(host, 2).isin(*suffixes), last_labels(host, 3)).otherwise(last_labels(host, 2))
 
 
 def rule_of(host: Column, path: Column, rules: list[tuple[str, str, str]]) -> tuple[Column, Column]:
@@ -68,18 +87,18 @@ def shrunk(joined: DataFrame, key: str, least: float = 2.0, most: float = 1000.0
     return joined.withColumn("strength", strength).select(key, ((F.col("bad") + F.col("strength") * F.col("prior")) / total).alias("mean"), total.alias("weight"))
 
 
-def reputation(outcomes: DataFrame) -> DataFrame:
+def reputation(outcomes: DataFrame, suffixes: Sequence[str] = SUFFIXES) -> DataFrame:
     """``host, mean, weight`` for the hosts of ``outcomes`` (host, bad: 0, 1 or null for an unlabelled page).
 
     Three levels, host, domain and suffix, each shrunk to the one above and the suffixes to the mean of all (0.5 where nothing is labelled).
     The counts of hosts and domains are written once, as every level needs them.
     """
     hosts = outcomes.groupBy("host").agg(F.count("bad").cast("double").alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).cast("double").alias("bad"))
-    hosts = durable(hosts.withColumn("domain", domain_of(F.col("host"))).withColumn("suffix", domain_of(F.col("host"), 1)), "hosts")
+    hosts = durable(hosts.withColumn("domain", domain_of(F.col("host"), suffixes)).withColumn("suffix", suffix_of(F.col("host"), suffixes)), "hosts")
     domains = durable(hosts.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")), "domains")
-    suffixes = durable(domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")), "suffixes")
-    every = suffixes.agg(F.coalesce((F.sum("bad") + 0.5) / (F.sum("n") + 1), F.lit(0.5)).alias("mean")).scalar()
-    top = shrunk(suffixes.withColumn("prior", every), "suffix")
+    ends = durable(domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")), "suffixes")
+    every = ends.agg(F.coalesce((F.sum("bad") + 0.5) / (F.sum("n") + 1), F.lit(0.5)).alias("mean")).scalar()
+    top = shrunk(ends.withColumn("prior", every), "suffix")
     middle = durable(shrunk(domains.join(top.select("suffix", F.col("mean").alias("prior")), "suffix"), "domain"), "means")
     return shrunk(hosts.join(middle.select("domain", F.col("mean").alias("prior")), "domain"), "host")
 
@@ -90,7 +109,7 @@ def lower_bound(mean: Column, weight: Column, z: float) -> Column:
 
 
 def judge(
-    pages: DataFrame, outcomes: DataFrame, rules: list[tuple[str, str, str]] = RULES, limit: float = 0.5, z: float = 1.64,
+    pages: DataFrame, outcomes: DataFrame, rules: list[tuple[str, str, str]] = RULES, limit: float = 0.5, z: float = 1.64, suffixes: Sequence[str] = SUFFIXES,
     id_column: str = "page_id", url_column: str = "url",
 ) -> DataFrame:
     """``page_id, host, path, rule, verdict, bad_share, bound`` of every page.
@@ -103,7 +122,7 @@ def judge(
     url = F.col(f"`{url_column}`")
     parsed = pages.select(F.col(f"`{id_column}`").alias("page_id"), host_of(url).alias("host"), path_of(url).alias("path"))
     judged = outcomes.groupBy("page_id").agg(F.round(F.avg("bad")).alias("bad"))
-    known = reputation(parsed.select("page_id", "host").join(judged, "page_id", "left").select("host", "bad"))
+    known = reputation(parsed.select("page_id", "host").join(judged, "page_id", "left").select("host", "bad"), suffixes)
     rule, verdict = rule_of(F.col("host"), F.col("path"), rules)
     bound = lower_bound(F.col("mean"), F.col("weight"), z)
     rated = parsed.join(known, "host", "left")
@@ -133,9 +152,10 @@ WITH parsed AS (
   FROM (SELECT page_id, try_cast(regexp_extract(path, '/([0-9]{1,18})(?:\\.html)?/?$', 1) AS BIGINT) AS doc_id FROM parsed WHERE page_id IS NOT NULL)
   JOIN marks USING (doc_id) GROUP BY page_id
 ), hosts AS (
-  SELECT host, count(bad)::DOUBLE AS n, coalesce(sum(bad), 0)::DOUBLE AS bad, array_to_string(string_split(host, '.')[-2:], '.') AS domain,
-         string_split(host, '.')[-1] AS suffix
-  FROM parsed LEFT JOIN judged USING (page_id) GROUP BY host
+  SELECT host, count(bad)::DOUBLE AS n, coalesce(sum(bad), 0)::DOUBLE AS bad, array_to_string(labels[-CASE WHEN known THEN 3 ELSE 2 END:], '.') AS domain,
+         array_to_string(labels[-CASE WHEN known THEN 2 ELSE 1 END:], '.') AS suffix
+  FROM (SELECT *, string_split(host, '.') AS labels, array_to_string(string_split(host, '.')[-2:], '.') IN (""" + ", ".join(f"'{s}'" for s in SUFFIXES) + """) AS known FROM parsed)
+  LEFT JOIN judged USING (page_id) GROUP BY host, labels, known
 ), domains AS (SELECT domain, suffix, sum(n) AS n, sum(bad) AS bad FROM hosts GROUP BY domain, suffix),
 suffixes AS (SELECT suffix, sum(n) AS n, sum(bad) AS bad FROM domains GROUP BY suffix),
 top AS (
