@@ -6,7 +6,7 @@ Every stage takes and gives the columns of documents; only the last one adds the
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tiffin.llm import bpe, classifier, decontaminate, near_dup, substring_dedup, text
@@ -24,10 +24,21 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def one_of_a_kind(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near duplicates, once; documents without an id all stay."""
+    """The document with the smallest id of each group of near duplicates; documents without an id all stay.
+
+    Of rows equal in id and text one stays, the first by their other columns; rows of one id with different texts stay all. Only rows whose id comes twice are
+    shuffled for that.
+    """
     verdicts = near_dup.near_duplicates(docs)
     kept = verdicts.where("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(docs.columns).unionAll(docs.where("doc_id IS NULL"))
+    several = docs.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id")
+    left = docs.join(kept, "doc_id", "left_semi")
+    # The limit of one row per text comes before the shuffle, so copies of one row do not meet.
+    place = text.new_name(docs, stem="place")
+    first = Window.partitionBy("doc_id", F.xxhash64("text"), F.sha2(F.coalesce("text", F.lit("")), 256)).orderBy(*(c for c in docs.columns if c not in ("doc_id", "text")))
+    once = left.join(several, "doc_id", "left_semi").withColumn(place, F.row_number().over(first)).where(F.col(place) == 1).drop(place)
+    rest = left.join(several, "doc_id", "left_anti")
+    return rest.select(docs.columns).unionAll(once.select(docs.columns)).unionAll(docs.where("doc_id IS NULL"))
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,7 +61,7 @@ def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     both = bpe.decode(bpe.encode(docs, path), path)
     return both.withColumns({
-        "n_tokens": F.when(F.col("ids") == "", F.lit(0)).otherwise(F.regexp_count("ids", F.lit(",")) + 1).cast("bigint"),
+        "n_tokens": F.when(F.col("ids") == "", F.lit(0)).otherwise(F.length("ids") - F.length(F.replace("ids", F.lit(","), F.lit(""))) + 1).cast("bigint"),
         "ids_sha256": F.sha2("ids", 256), "decoded_sha256": F.sha2("decoded", 256),
     }).drop("decoded")
 
