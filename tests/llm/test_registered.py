@@ -111,11 +111,22 @@ def test_pipeline_of_awkward_rows(spark, tmp_path):
     rows = models.awkward(40)
     labels = spark.createDataFrame([(i, int(i % 5 > 0), 0) for i, _ in rows], "doc_id long, quality int, toxic int")
     labels.write.parquet(str(tmp_path / "labels.parquet"))
-    spark.createDataFrame([(1, None), (2, "a b")], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    spark.createDataFrame([(1, None), (2, "no such words")], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
     for name, stage in corpus_pipeline.STAGES:
         for source in (docs, docs.limit(0)):
             out = stage(spark, source, str(tmp_path))
             assert out.columns[:5] == docs.columns, name
             assert out.count() <= source.count() and (name in ("quality_classifier", "near_duplicates") or out.count() == source.count())
     kept = corpus_pipeline.one_of_a_kind(spark, docs, str(tmp_path)).collect()
-    assert len([r for r in kept if r.doc_id is None]) == 2 and len({r.doc_id for r in kept if r.doc_id is not None}) == len([r for r in kept if r.doc_id is not None])
+    assert len([r for r in kept if r.doc_id is None]) == 2
+    named = [(r.doc_id, r.text) for r in kept if r.doc_id is not None]
+    assert len(set(named)) == len(named) and [t for i, t in named if i == 20 and t == "same id"] == ["same id"] and len([i for i, _ in named if i == 20]) == 2
+
+
+def test_rows_of_one_id_with_different_texts_stay(spark, tmp_path):
+    """(1, A), (2, A), (2, B): the copy links both rows of id 2 to id 1; of two rows equal in id and text one stays, whatever the task."""
+    a, b = (" ".join(f"{x}{k}" for k in range(60)) for x in "ab")
+    rows = [(1, a, "en", "s", 1), (3, b, "en", "t", 1), (3, b, "de", "s", 1), (3, "other words entirely of the same id", "en", "s", 1)]
+    for order in (rows, rows[::-1]):
+        kept = corpus_pipeline.one_of_a_kind(spark, spark.createDataFrame(order, models.DOCS).repartition(3), str(tmp_path)).collect()
+        assert sorted((r.doc_id, r.text, r.lang) for r in kept) == sorted([(1, a, "en"), (3, b, "de"), (3, rows[3][1], "en")])
