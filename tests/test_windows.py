@@ -167,6 +167,13 @@ def test_two_phase_equals_one_phase(skewed):
     assert rows(got, "k", "row_count", "total") == rows(want, "k", "row_count", "total")
 
 
+@pytest.mark.parametrize("method", ["rank", "dense_rank"])
+def test_top_ranked_of_bounded_groups(skewed, method):
+    split, plain = (win.top_ranked(skewed, ["k"], "v", 3, method, out="place", bounded=b) for b in (False, True))
+    assert rows(split, "id", "place") == rows(plain, "id", "place")
+    assert "WindowGroupLimit" in plan(plain)
+
+
 def test_pivot_leaves_empty_cells_null(spark):
     df = spark.createDataFrame([("a", "x"), ("b", "y")], "k string, v string")
     assert rows(aggs.pivot_counts(df, "k", "v", ["x", "y"])) == [("a", 1, None), ("b", None, 1)]

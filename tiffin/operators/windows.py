@@ -292,14 +292,18 @@ def top_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str],
 
 
 def top_ranked(
-    df: DataFrame, keys: Sequence[str], by: str, n: int, method: str = "rank", descending: bool = True, out: str = "rank",
+    df: DataFrame, keys: Sequence[str], by: str, n: int, method: str = "rank", descending: bool = True, out: str = "rank", bounded: bool = False,
 ) -> DataFrame:
     """Rows whose rank or dense_rank by one column is at most ``n``.
 
     Ranks come from the first ``n`` distinct values per key, so a large tie does not reach one task. ``df`` is read twice: write the result of a
-    costly step first.
+    costly step first. ``bounded`` states that the rows of one key and value fit one task by contract, as groups of a report do: then the plain window is
+    taken, whose limit of ``n`` ranks per key comes before the shuffle.
     """
     order = sorting(by, descending)
+    if bounded:
+        place = {"rank": F.rank, "dense_rank": F.dense_rank}[method]().over(W.partitionBy(*keys).orderBy(order))
+        return df.withColumn(out, place).filter(F.col(out) <= n).withColumn(out, F.col(out).cast("bigint"))
     counts = df.groupBy(*keys, by).agg(F.count(F.lit(1)).alias("_n"))
     first = top_rows(counts, keys, [order], n, "_dense")
     if method == "rank":
