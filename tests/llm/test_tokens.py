@@ -116,3 +116,30 @@ def test_bpe_keeps_columns_and_empty_tables(spark):
     assert coded.columns == [*[c for c in models.clashing(spark, []).columns if c != "ids"], "ids"]
     assert bpe.decode(coded, RANKS).first()["decoded"] == b"ab cd"
     assert bpe.round_trip(models.table(spark, []), RANKS, 10).count() == 0
+
+
+def test_a_text_longer_than_a_slice(spark):
+    """One text beyond five megabytes beside short ones, counted, written and read back, encoded and decoded whole."""
+    rng = random.Random(12)
+    long = " ".join(f"w{rng.randrange(10**6)}" for _ in range(700_000))
+    docs = [(1, "short"), (2, long), (3, long[-50:])]
+    df = models.table(spark, docs)
+    ids = {i: library(t) for i, t in docs}
+    counted = token_counts.token_counts(df, JSON).collect()
+    assert {r.doc_id: (r.n_bytes, r.n_tokens, r.over_limit) for r in counted} == {i: (len(t), len(ids[i]), len(ids[i]) > 1024) for i, t in docs}
+    read = token_files.token_files(df, JSON).collect()
+    assert {r.doc_id: (r.n_tokens, r.ids_crc32) for r in read} == {i: (len(ids[i]) + 1, zlib.crc32(np.array([*ids[i], 2], "<u4").tobytes())) for i, _ in docs}
+    own = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.read_ranks(RANKS), special_tokens={})
+    got = {r.doc_id: tuple(r)[1:] for r in bpe.round_trip(df, RANKS, known=1000).collect()}
+    for i, t in docs:
+        want = own.encode_ordinary(t)
+        assert got[i] == (len(want), models.sha(",".join(map(str, want))), models.sha(t))
+
+
+def test_known_words_are_those_before_the_tie_at_the_bound(spark):
+    """The bound cuts among words of one count: none of them is taken, and the result does not change."""
+    docs = models.table(spark, [(1, "a a a b b c c d"), (2, "a b e f")])
+    found = bpe.known_words(docs, bpe.rank_lookup(RANKS), 3, "text")
+    assert sorted(found.column("word").to_pylist()) == [b" a", b" b", b" c"][: found.num_rows] and found.num_rows <= 3
+    results = [sorted(map(tuple, bpe.round_trip(docs, RANKS, known=k).collect())) for k in (0, 1, 3, 100)]
+    assert all(r == results[0] for r in results)
