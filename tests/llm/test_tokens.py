@@ -140,6 +140,6 @@ def test_known_words_are_those_before_the_tie_at_the_bound(spark):
     """The bound cuts among words of one count: none of them is taken, and the result does not change."""
     docs = models.table(spark, [(1, "a a a b b c c d"), (2, "a b e f")])
     found = bpe.known_words(docs, bpe.rank_lookup(RANKS), 3, "text")
-    assert sorted(found.column("word").to_pylist()) == [b" a", b" b", b" c"][: found.num_rows] and found.num_rows <= 3
+    assert found.column("word").to_pylist() == [b" b"]  # three times; "a", " a" and " c" come twice each
     results = [sorted(map(tuple, bpe.round_trip(docs, RANKS, known=k).collect())) for k in (0, 1, 3, 100)]
     assert all(r == results[0] for r in results)

@@ -8,9 +8,9 @@ this is a finite number of ways, and a test goes through all of them. A looser r
 short item is searched by masks over its whole length that leave out as many of its parts as words may differ. Around a hit the item is laid
 along the document, and of all stretches that meet the rule the one with the most equal words is given.
 
-Masked hashes of the benchmark are a table, as are those of the documents, and the two are joined. Before they are shuffled, the documents' hashes pass a bitmap of
-the benchmark's leading hash bits, which has at most ``1 << FILTER_BITS`` bits whatever the benchmark; where a benchmark fills it, more hashes go to
-the join, with the same result. Hits are counted once per document, item and offset; only the stretch of the document that an item covers meets the item's words.
+Masked hashes of the benchmark are a table, as are those of the documents, and the two are joined. Before they are shuffled, the documents' hashes pass a Bloom
+filter of the benchmark's, which has at most ``1 << FILTER_BITS`` bits whatever the benchmark; where a benchmark fills it, more hashes go to the join, with
+the same result. Hits are counted once per document, item and offset; only the stretch of the document that an item covers meets the item's words.
 """
 
 from __future__ import annotations
@@ -143,10 +143,18 @@ def seeds_of(items: DataFrame, least: int, share: float) -> tuple[DataFrame, lis
     return text.durable(found, "seeds"), masks
 
 
-def leading_bits(found: DataFrame, bits: int) -> np.ndarray:
-    """Which leading bits some hash has, as a table of ``1 << bits`` flags packed in bytes. The rows that come to the driver are as many as fill the table."""
-    lead = F.shiftrightunsigned("hash", 64 - bits)
-    rows = found.select(F.bitmap_bucket_number(lead + 1).alias("bucket"), F.bitmap_bit_position(lead + 1).alias("bit"))
+def bitmap_of(found: DataFrame, bits: int) -> np.ndarray:
+    """A Bloom filter of the column ``hash`` with three places each, packed in bytes; ``passing`` reads it.
+
+    The rows that come to the driver are as many as fill it, one per 32,768 bits.
+    """
+    hashed, low = F.col("hash"), F.lit((1 << bits) - 1)
+    places = F.array(
+        F.shiftrightunsigned(hashed, 64 - bits), F.shiftrightunsigned(hashed, 64 - 2 * bits).bitwiseAND(low),
+        hashed.bitwiseXOR(F.shiftrightunsigned(hashed, bits)).bitwiseAND(low),
+    )
+    place = F.col("place") + 1  # Spark's bitmaps count from 1
+    rows = found.select(F.explode(places).alias("place")).select(F.bitmap_bucket_number(place).alias("bucket"), F.bitmap_bit_position(place).alias("bit"))
     maps = rows.groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("flags")).collect()
     table = np.zeros((1 << bits) // 8 + BITS_OF_A_ROW // 8, np.uint8)
     for r in maps:
@@ -155,19 +163,28 @@ def leading_bits(found: DataFrame, bits: int) -> np.ndarray:
     return table
 
 
+def passing(hashes: np.ndarray, table: np.ndarray, bits: int) -> np.ndarray:
+    """Places of the hashes that the Bloom filter may hold."""
+    low, at = np.uint64((1 << bits) - 1), np.arange(len(hashes))
+    for probe in (
+        lambda h: h >> np.uint64(64 - bits), lambda h: (h >> np.uint64(64 - 2 * bits)) & low, lambda h: (h ^ (h >> np.uint64(bits))) & low,
+    ):
+        place = probe(hashes[at])
+        at = at[(table[(place >> np.uint64(3)).astype(np.int64)] >> (place & np.uint64(7)).astype(np.uint8)) & 1 == 1]
+    return at
+
+
 def met(docs: DataFrame, masks: list[str], table: np.ndarray, bits: int) -> DataFrame:
     """``id, print, words, hashes, places`` of the rows of ``id, body`` with a hash that the bitmap knows, written once with a row number."""
     shared = docs.sparkSession.sparkContext.broadcast(table)  # 1 << bits bits
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        flags, shift = shared.value, np.uint64(64 - bits)
         for part in text.slices(batches, "body"):
             data, offsets = text.raw(part.column("body"))
             words = text.Words(lowered(data), offsets)
             own, places, found = words.hashes(), [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
             for mask, hashes in masked(own, masks):
-                lead = (hashes >> shift).astype(np.int64)
-                at = np.flatnonzero((flags[lead >> 3] >> (lead & 7).astype(np.uint8)) & 1)
+                at = passing(hashes, shared.value, bits)
                 owner = np.searchsorted(words.docs, at, side="right") - 1
                 at = at[at + len(mask) <= words.docs[owner + 1]]
                 places.append(at)
@@ -221,8 +238,8 @@ def passages(docs: DataFrame, items: DataFrame, least: int, share: float) -> tup
     """``row, item, start, length, equal``: the best passage of each document row and item, and the rows (``row, id, print``)."""
     found, masks = seeds_of(items, least, share)
     size = found.count()
-    bits = min(FILTER_BITS, max(16, int(64 * size).bit_length()))
-    rows = met(docs, masks, leading_bits(found, bits), bits)
+    bits = min(FILTER_BITS, max(16, int(512 * size).bit_length()))
+    rows = met(docs, masks, bitmap_of(found, bits), bits)
     met_hashes = rows.select("row", "hashes", "places").mapInArrow(hits, "row bigint, place bigint, hash bigint")
     lines = met_hashes.join(found, "hash").select("row", "item", "n", (F.col("place") - F.col("at")).alias("diagonal")).distinct()
     pairs = lines.groupBy("row", F.pmod(F.xxhash64("item"), F.lit(PARTS)).alias("part")).agg(F.collect_list(F.struct("item", "n", "diagonal")).alias("pairs"))
