@@ -199,20 +199,3 @@ def test_classifier_with_one_class(spark, kind):
     marks = spark.createDataFrame([(i, kind) for i in range(20)], "doc_id long, quality int")
     got = classifier.classify(models.table(spark, docs), marks).collect()
     assert {r.predicted for r in got} == {kind}
-
-
-def test_texts_longer_than_a_slice(spark):
-    rng = random.Random(9)
-    long = " ".join(f"w{rng.randrange(10**5)}" for _ in range(800_000))  # beyond five megabytes
-    df = models.table(spark, [(1, long), (2, "short text of a few words")])
-    got = {r.doc_id: r for r in quality_rules.quality_rules(df).collect()}
-    n, chars, symbols, lines, repeats = models.figures(long)
-    assert tuple(got[1])[1:6] == (n, chars, symbols, lines, repeats)
-    turns = spark.createDataFrame([(1, 0, "user", long), (1, 1, "user", "<|im_end|>"), (1, 2, "assistant", long)], "conv_id long, turn long, role string, text string")
-    back = chat.read_back(chat.format_conversations(turns)).first()
-    assert [(t.role, t.text) for t in back.turns] == [("user", long), ("user", "<|im_end|>"), ("assistant", long)]
-    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, quality int")
-    model = classifier.fit(df, labels, F.lit(True))
-    scores = {r.doc_id: r.score for r in classifier.score(df, model).collect()}
-    odds = classifier.log_odds(np.frombuffer(long.encode(), np.uint8), np.array([0, len(long)]), model.folded(), float(model.bias[1] - model.bias[0]))
-    assert abs(scores[1] - 1 / (1 + np.exp(-odds[0]))) < 1e-6 and 0 <= scores[2] <= 1
