@@ -1,8 +1,12 @@
 """Whole results and bounded steps of jobs whose tables grow."""
 
+from pyspark.sql import functions as F
+
 from tests.conftest import rows
 from tiffin import catalog
 from tiffin.catalog.registry import SCHEMAS
+from tiffin.sources.files import stream_files
+from tiffin.streaming import streams as st
 
 
 def test_sized_write_query_gives_back_every_row(spark, tmp_path):
@@ -13,3 +17,17 @@ def test_sized_write_query_gives_back_every_row(spark, tmp_path):
     whole = spark.createDataFrame([(r[0], r[1], r[5]) for r in lines], "a bigint, b bigint, c double")
     assert rows(found, "l_orderkey", "l_partkey", "l_extendedprice") == rows(whole)
     assert rows(found.select("row_count", "within_bounds", "few_files").distinct()) == [(302, True, True)]
+
+
+def test_state_parts_stay_bounded_as_shuffle_partitions_rise(spark, tmp_path):
+    source, sink, checkpoint = (str(tmp_path / n) for n in ("in", "out", "cp"))
+    spark.range(500).select(F.col("id") % 50).toDF("k").coalesce(1).write.parquet(source)
+    before = spark.conf.get(st.SHUFFLE_PARTITIONS)
+    spark.conf.set(st.SHUFFLE_PARTITIONS, "60")
+    try:
+        query = st.update_files(stream_files(spark, source, "k bigint").groupBy("k").agg(F.count("*").alias("n")), sink, checkpoint, ["k"])
+        assert query.lastProgress.stateOperators[0].numShufflePartitions == st.state_parts(spark) < 60
+        assert spark.conf.get(st.SHUFFLE_PARTITIONS) == "60"
+    finally:
+        spark.conf.set(st.SHUFFLE_PARTITIONS, before)
+    assert rows(st.latest_groups(spark, sink, ["k"]), "k", "n") == [(k, 10) for k in range(50)]
