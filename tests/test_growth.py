@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from tests.conftest import rows
 from tiffin import catalog
 from tiffin.catalog.registry import SCHEMAS
+from tiffin.sources import sinks
 from tiffin.sources.files import stream_files
 from tiffin.streaming import streams as st
 
@@ -31,3 +32,12 @@ def test_state_parts_stay_bounded_as_shuffle_partitions_rise(spark, tmp_path):
     finally:
         spark.conf.set(st.SHUFFLE_PARTITIONS, before)
     assert rows(st.latest_groups(spark, sink, ["k"]), "k", "n") == [(k, 10) for k in range(50)]
+
+
+def test_every_core_writes_where_records_bound_the_files(spark, tmp_path):
+    path = sinks.write_table(spark.range(1000).toDF("k"), str(tmp_path / "small"), files=2, max_records=100)
+    by_file = spark.read.parquet(path).groupBy(F.col("_metadata.file_name").alias("name")).agg(F.count("*").alias("n")).collect()
+    assert len({r["name"].split("-")[1] for r in by_file}) == spark.sparkContext.defaultParallelism > 2
+    assert sum(r["n"] for r in by_file) == 1000 and max(r["n"] for r in by_file) <= 100
+    two = sinks.write_table(spark.range(1000).toDF("k"), str(tmp_path / "two"), files=2)
+    assert len(spark.read.parquet(two).inputFiles()) == 2
