@@ -2,9 +2,11 @@
 
 from pyspark.sql import functions as F
 
-from tests.conftest import rows
+from tests.conftest import plan, rows
 from tiffin import catalog
 from tiffin.catalog.registry import SCHEMAS
+from tiffin.functions.columns import money
+from tiffin.plans import restaurants
 from tiffin.sources import sinks
 from tiffin.sources.files import stream_files
 from tiffin.streaming import streams as st
@@ -41,3 +43,14 @@ def test_every_core_writes_where_records_bound_the_files(spark, tmp_path):
     assert sum(r["n"] for r in by_file) == 1000 and max(r["n"] for r in by_file) <= 100
     two = sinks.write_table(spark.range(1000).toDF("k"), str(tmp_path / "two"), files=2)
     assert len(spark.read.parquet(two).inputFiles()) == 2
+
+
+def test_stock_of_a_hot_restaurant_is_dealt_by_product(spark):
+    lines = [(1, p % 40, 2.0, 3.0) for p in range(120)] + [(2, 7, 1.0, None), (2, 7, 1.0, 2.0)]
+    inventory = spark.createDataFrame(lines, "restaurant_id bigint, product_id bigint, quantity double, v double").withColumn("inventory_value", money("v")).drop("v")
+    dim = spark.createDataFrame([(1, "a", "X"), (2, "b", "Y")], "restaurant_id bigint, name string, city string")
+    products = spark.createDataFrame([(7, "bolt", "T")], "product_id bigint, product_name string, product_type string")
+    found = restaurants.restaurant_inventory(inventory, dim)
+    assert rows(found) == [(1, 40, 240.0, 360.0, 3.0, "a", "X"), (2, 1, 2.0, 2.0, 2.0, "b", "Y")]
+    assert "hashpartitioning(restaurant_id" in plan(found) and "REPARTITION_BY_NUM" in plan(found)
+    assert rows(restaurants.product_summary(inventory, products)) == [(7, 2, 8.0, 11.0, 1.6, "bolt", "T")]

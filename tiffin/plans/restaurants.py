@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tiffin.functions.columns import above_tier, count_where, mean, money, percent, popularity, ratio, tier, total
-from tiffin.operators.aggs import weighted_mean
+from tiffin.operators.aggs import distinct_counts, weighted_mean
 from tiffin.operators.quality import Rule, expect
 from tiffin.operators.windows import composite_rank, join_beside, latest_per_key, percentiles, ranks, ranks_many
 
@@ -82,18 +82,31 @@ def restaurant_summary(ratings: DataFrame, dim: DataFrame, high: float, low: flo
     )
 
 
+def stock_per(inventory: DataFrame, key: str, member: str, members: str, measured: str) -> DataFrame:
+    """Distinct members, quantity, value, and sum and count of ``measured`` per key.
+
+    The lines are dealt by key and member over all shuffle partitions and summed there first. The number is given, so the adaptive plan does not merge
+    them into few tasks that each hold millions of pairs, and a key with most lines is spread over its members.
+    """
+    parts = int(inventory.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return distinct_counts(inventory.repartition(parts, key, member), [key], {members: member}, {
+        "_quantity": ("sum", F.col("quantity")), "_value": ("sum", F.col("inventory_value")),
+        "_sum": ("sum", money(measured)), "_n": ("count", F.col(measured)),
+    })
+
+
 def product_summary(inventory: DataFrame, products: DataFrame) -> DataFrame:
-    per_product = inventory.groupBy("product_id").agg(
-        F.countDistinct("restaurant_id").alias("restaurants_offering"), F.sum("quantity").alias("total_quantity"),
-        F.sum("inventory_value").cast("double").alias("total_inventory_value"), mean("quantity").alias("avg_quantity"),
+    per_product = stock_per(inventory, "product_id", "restaurant_id", "restaurants_offering", "quantity").select(
+        "product_id", "restaurants_offering", F.col("_quantity").alias("total_quantity"),
+        F.col("_value").cast("double").alias("total_inventory_value"), ratio(F.col("_sum"), F.col("_n")).alias("avg_quantity"),
     )
     return per_product.join(products.select("product_id", "product_name", "product_type"), "product_id")
 
 
 def restaurant_inventory(inventory: DataFrame, dim: DataFrame) -> DataFrame:
-    per_restaurant = inventory.groupBy("restaurant_id").agg(
-        F.countDistinct("product_id").alias("unique_products"), F.sum("quantity").alias("total_items"),
-        F.sum("inventory_value").cast("double").alias("total_inventory_value"), mean("inventory_value").alias("avg_product_value"),
+    per_restaurant = stock_per(inventory, "restaurant_id", "product_id", "unique_products", "inventory_value").select(
+        "restaurant_id", "unique_products", F.col("_quantity").alias("total_items"),
+        F.col("_value").cast("double").alias("total_inventory_value"), ratio(F.col("_sum"), F.col("_n")).alias("avg_product_value"),
     )
     return per_restaurant.join(dim.select("restaurant_id", "name", "city"), "restaurant_id")
 
