@@ -259,9 +259,9 @@ def read_ids(spark: SparkSession, folder: str, keys: DataFrame, width: int = 4)
     places = wanted.groupBy("bucket").cogroup(index.drop("buckets").groupBy("bucket")).applyInPandas(
         look, "doc_key bigint, shard int, block int, at bigint, tokens bigint, start bigint"
     )
-    one_null = asked.where("doc_key IS NULL").limit(1).select(F.lit(1).alias("_null"))  # one row at most
+    null_asked = asked.where("doc_key IS NULL").limit(1).agg(F.count(F.lit(1)) > 0).scalar()
     keyless = spark.read.schema("doc_key bigint, shard int, block int, at bigint, tokens bigint, start bigint").parquet(f"{folder}/keyless")
-    places = places.unionByName(keyless.withColumn("_null", F.lit(1)).join(F.broadcast(one_null), "_null", "left_semi").drop("_null"))
+    places = places.unionByName(keyless.where(null_asked))
     # One list per block: as many entries as the block has documents.
     ranges = places.groupBy("shard", "block").agg(F.collect_list(F.struct("doc_key", "at", "tokens", "start")).alias("ranges"))
     # A few blocks a task: blocks are some megabytes each, and hashing deals them unevenly.
