@@ -25,6 +25,7 @@ BITS = 16
 GRAMS = (3, 4)
 LOOK_BACK = 4
 SIZE = 8
+MODEL_PARTS = ("vectors", "weights", "bias")
 
 
 @dataclass
@@ -143,8 +144,8 @@ def train(features: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, ste
 def fit(docs: DataFrame, labels: DataFrame, training: Column, sample: int = 2000, id_column: str = "doc_id", text_column: str = "text", label_column: str = "quality") -> Model:
     """Train on rows of ``labels`` that satisfy ``training``, at most ``sample`` of each class.
 
-    Several labels of one id count by their mean, an even split as 1; null ids and labels are left out. The sampled rows' bucket counts,
-    never their texts, come to the driver.
+    Several labels of one id count by their mean, an even split as 1; null ids and labels are left out. One task learns from the sampled rows' bucket
+    counts; only the model comes to the driver.
     """
     spark = docs.sparkSession
     text.prepared(spark)
@@ -176,19 +177,27 @@ def fit(docs: DataFrame, labels: DataFrame, training: Column, sample: int = 2000
             )
 
     kind = source.schema["id"].dataType.simpleString()
-    found = source.mapInArrow(text.tidy(count), f"id {kind}, label int, grams binary, share binary").toArrow()
-    ids, classes = found.column("id").to_pylist(), found.column("label").to_pylist()
-    grams, weights = ([x.as_buffer() for x in found.column(c)] for c in ("grams", "share"))  # no copies
-    chosen: dict = {}
-    for k, key in enumerate(ids):
-        if key not in chosen or grams[k].to_pybytes() < grams[chosen[key]].to_pybytes():
-            chosen[key] = k
-    order = [chosen[key] for key in sorted(chosen, key=str)]
-    features = [(np.frombuffer(grams[k], "<i4"), np.frombuffer(weights[k], "<f4")) for k in order]
-    model = train(features, np.array([classes[k] for k in order], dtype=int))
-    del found, grams, weights, features
-    text.released()
-    return model
+
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = [part for part in batches if part.num_rows]
+        ids, classes = ([x for part in rows for x in part.column(c).to_pylist()] for c in ("id", "label"))
+        grams, weights = ([x.as_buffer() for part in rows for x in part.column(c)] for c in ("grams", "share"))  # no copies
+        chosen: dict = {}
+        for k, key in enumerate(ids):
+            if key not in chosen or grams[k].to_pybytes() < grams[chosen[key]].to_pybytes():
+                chosen[key] = k
+        order = [chosen[key] for key in sorted(chosen, key=str)]
+        features = [(np.frombuffer(grams[k], "<i4"), np.frombuffer(weights[k], "<f4")) for k in order]
+        model = train(features, np.array([classes[k] for k in order], dtype=int))
+        yield pa.RecordBatch.from_pydict({name: pa.array([getattr(model, name).tobytes()], pa.binary()) for name in MODEL_PARTS})
+
+    # The sample, bounded whatever the input, meets in one task: only the model comes to the driver.
+    found = source.mapInArrow(text.tidy(count), f"id {kind}, label int, grams binary, share binary").repartition(1)
+    learned = found.mapInArrow(text.tidy(learn), ", ".join(f"{name} binary" for name in MODEL_PARTS)).collect()
+    if not learned:  # no rows, no task
+        return train([], np.array([], dtype=int))
+    vectors, weights, bias = (np.frombuffer(learned[0][name], np.float32) for name in MODEL_PARTS)
+    return Model(vectors.reshape(-1, SIZE), weights.reshape(SIZE, 2), bias)
 
 
 def score(docs: DataFrame, model: Model, output: str = "score", text_column: str = "text") -> DataFrame:
