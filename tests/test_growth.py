@@ -54,3 +54,18 @@ def test_stock_of_a_hot_restaurant_is_dealt_by_product(spark):
     assert rows(found) == [(1, 40, 240.0, 360.0, 3.0, "a", "X"), (2, 1, 2.0, 2.0, 2.0, "b", "Y")]
     assert "hashpartitioning(restaurant_id" in plan(found) and "REPARTITION_BY_NUM" in plan(found)
     assert rows(restaurants.product_summary(inventory, products)) == [(7, 2, 8.0, 11.0, 1.6, "bolt", "T")]
+
+
+def test_streamed_join_keeps_few_parts(spark, tmp_path):
+    left, right, sink, checkpoint = (str(tmp_path / n) for n in ("l", "r", "out", "cp"))
+    spark.sql("SELECT id AS k, timestamp_seconds(id * 60) AS ts FROM range(1, 41)").coalesce(1).write.parquet(left)
+    spark.sql("SELECT id AS rk, timestamp_seconds(id * 60 + 30) AS rts FROM range(1, 41)").coalesce(1).write.parquet(right)
+    before = spark.conf.get(st.SHUFFLE_PARTITIONS)
+    spark.conf.set(st.SHUFFLE_PARTITIONS, "48")
+    try:
+        a, b = stream_files(spark, left, "k bigint, ts timestamp"), stream_files(spark, right, "rk bigint, rts timestamp")
+        query = st.append_files(st.stream_interval_join(a, b, ("k", "rk"), ("ts", "rts"), 60), sink, checkpoint)
+        assert query.lastProgress.stateOperators[0].numShufflePartitions == st.state_parts(spark) < 48
+    finally:
+        spark.conf.set(st.SHUFFLE_PARTITIONS, before)
+    assert rows(spark.read.parquet(sink), "k", "rk") == [(k, k) for k in range(1, 41)]
