@@ -143,3 +143,17 @@ def test_known_words_are_those_before_the_tie_at_the_bound(spark):
     assert found.column("word").to_pylist() == [b" b"]  # three times; "a", " a" and " c" come twice each
     results = [sorted(map(tuple, bpe.round_trip(docs, RANKS, known=k).collect())) for k in (0, 1, 3, 100)]
     assert all(r == results[0] for r in results)
+
+
+def test_rank_table_is_printed_once_by_one_plan(spark):
+    docs = models.table(spark, [(k, f"word{k % 7} other{k % 3}") for k in range(60)])
+    bus, store = spark.sparkContext._jsc.sc().listenerBus(), spark._jsparkSession.sharedState().statusStore()
+    bus.waitUntilEmpty()
+    before = store.executionsCount()
+    assert bpe.known_words(docs, ranks := bpe.rank_lookup(RANKS), 1000, "text").num_rows == 9
+    bus.waitUntilEmpty()
+    runs = store.executionsList()
+    plans = [runs.apply(k).physicalPlanDescription() for k in range(before, runs.size())]
+    large = [p for p in plans if len(p) > 100_000]
+    assert len(large) == 1 and "AdaptiveSparkPlan" not in large[0]
+    assert len(large[0]) < 1.5 * sum(len(str(m)) for m in ranks.maps)

@@ -129,7 +129,8 @@ def known_words(docs: DataFrame, ranks: Lookup, known: int, text_column: str) ->
     often = counts.groupBy("n").agg(F.count(F.lit(1)).alias("words")).orderBy(F.desc("n")).limit(known + 1).collect()  # each count has a word at least
     upto = list(itertools.accumulate(r.words for r in often))
     beyond = next((r.n for r, words in zip(often, upto) if words > known), 0)
-    spread = counts.where(F.col("n") > beyond).select("word").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "word")
+    # Spread and written first: a plan with an exchange is printed, logged and kept at each of its stages, every time with the constant table of a megabyte.
+    spread = durable(counts.where(F.col("n") > beyond).select("word").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "word"), "known")
     return spread.select(F.col("word").cast("binary").alias("word"), let(ranks.literal(), lambda table: folded(F.hex("word"), ranks, table)).alias("ids")).toArrow()
 
 
