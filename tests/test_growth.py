@@ -1,5 +1,7 @@
 """Whole results and bounded steps of jobs whose tables grow."""
 
+import shutil
+
 from pyspark.sql import functions as F
 
 from tests.conftest import plan, rows
@@ -69,3 +71,21 @@ def test_streamed_join_keeps_few_parts(spark, tmp_path):
     finally:
         spark.conf.set(st.SHUFFLE_PARTITIONS, before)
     assert rows(spark.read.parquet(sink), "k", "rk") == [(k, k) for k in range(1, 41)]
+
+
+def test_alerts_join_only_rows_that_may_become_one(spark, tmp_path, monkeypatch):
+    at = lambda minute: f"2024-01-01 0{minute // 60}:{minute % 60:02d}:00"
+    lines = [(1, at(0), 1, "view", 30.0), (2, at(50), 1, "click", None), (3, at(55), 1, "purchase", 1.0), (4, at(20), 1, "click", 2.0)]
+    lines += [(5, at(0), 2, "view", 5.0), (6, at(50), 2, "click", 1.0), (7, at(0), 3, "view", None), (8, at(60), 3, "click", 1.0)]
+    lines += [(9, at(0), 4, "view", 20.0), (10, at(100), 4, "click", 1.0), (11, at(100), None, "click", 1.0), (12, at(0), None, "view", 99.0)]
+    table = spark.createDataFrame(lines, "event_id bigint, ts string, user_id bigint, event_type string, value double")
+    table.select("event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id", "event_type", "value", F.lit("{}").alias("props")).coalesce(1).write.parquet(str(tmp_path / "rows"))
+    (tmp_path / "in").mkdir()
+    shutil.copy(next((tmp_path / "rows").glob("part-*.parquet")), tmp_path / "in" / "events.parquet")
+    seen, finish = [], st.finish
+    monkeypatch.setattr(st, "finish", lambda query: seen.append(finish(query)) or seen[-1])
+    found = catalog.load()[0]["e03_alert_messages"](spark, str(tmp_path / "in"))
+    message = '{{"order_id":{0},"alert_type":"DELIVERY_DELAY","current_status":"click","message":"Order {0} is delayed ({1} minutes). Driver: {2}"}}'
+    assert rows(found) == [("1", message.format(1, "50.0", 1)), ("9", message.format(9, "100.0", 4))]
+    kept = sum(o.numRowsUpdated for p in seen[0].recentProgress for o in p.stateOperators)
+    assert kept == 2 + 2 * 5  # orders of 20 and more, each click of a known user in two buckets

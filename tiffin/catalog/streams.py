@@ -64,9 +64,13 @@ def views_and_buys(df):
     return views, buys
 
 
-def streamed_deliveries(t, how="left"):
-    """Stream join of views and their status updates, enriched, written and read back."""
+def streamed_deliveries(t, how="left", orders=None, updates=None):
+    """Stream join of views and their status updates, enriched, written and read back.
+
+    Where an inner join is asked for rows that satisfy conditions on one side only (``orders``, ``updates``), these keep the others out of its state.
+    """
     views, buys = views_and_buys(closing_stream(t))
+    views, buys = views if orders is None else views.filter(orders), buys if updates is None else buys.filter(updates)
     joined = st.stream_interval_join(
         views, buys, ("user_id", "status_user"), ("order_event_time", "status_event_time"), 7200, "10 minutes", how
     ).drop("status_user")
@@ -309,7 +313,9 @@ SELECT CAST(order_id AS VARCHAR) AS key, '{"order_id":' || order_id || ',"alert_
   || '","message":"Order ' || order_id || ' is delayed (' || round(delivery_time_minutes, 2) || ' minutes). Driver: ' || user_id || '"}' AS value
 FROM enriched WHERE delivery_time_minutes > 45 AND NOT is_delivered AND total_amount >= 20 AND delivery_time_minutes < 180 AND current_status = 'click'""")
 def e03_alerts(t):
-    alerts = actionable_alerts(streamed_deliveries(t, "inner"), 45, 20, 180, ["click"])
+    least, statuses = 20, ["click"]
+    rows = streamed_deliveries(t, "inner", F.col("total_amount") >= least, F.col("current_status").isin(*statuses))
+    alerts = actionable_alerts(rows, 45, least, 180, statuses)
     return to_messages(alerts, "order_id", ["order_id", F.lit("DELIVERY_DELAY").alias("alert_type"), "current_status",
                                           delay_message(driver="user_id").alias("message")])
 
